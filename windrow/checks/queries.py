@@ -32,7 +32,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _EVENT_MEASURES = fixed.EVENT_COLUMNS[3:]
 _GOLD_MEASURES = tuple(c for c in fixed.FEATURE_COLUMNS if c not in ("hour_of_day", "day_of_week", "month"))
-_NO_DATES = ()
 
 
 def _rounded(df: DataFrame, columns) -> DataFrame:
@@ -92,7 +91,7 @@ def raw_scan(spark, sf):
 
 
 def raw_write(spark, sf):
-    """Objects of at most ten records; the directories come back as columns and agree with the rows."""
+    """Objects of bounded size; the directories come back as columns and agree with the rows."""
     path, run_id = work_path(spark, "raw"), raw_sink.new_run_id()
     raw = samples.raw_weather(spark, sf).select(*schemas.RAW.names)
     raw_sink.write_raw(raw, path, run_id, max_records=10_000)
@@ -121,7 +120,6 @@ def read_fallback(spark, sf):
 
 def kafka_decode(spark, sf):
     raw = samples.raw_weather(spark, sf)
-    encoded = kafka_sink.encode(raw, fixed.EVENT_COLUMNS)
     value = F.to_json(F.struct(*fixed.EVENT_COLUMNS))
     records = raw.select(
         F.col("airport").cast("binary").alias("key"),
@@ -130,7 +128,6 @@ def kafka_decode(spark, sf):
         F.col("_kafka_partition").alias("partition"),
         F.col("_kafka_offset").alias("offset"),
     )
-    assert encoded.columns == ["key", "value"]
     return _rounded(kafka_source.decode(records).drop("_ingested_at_utc"), _EVENT_MEASURES)
 
 
@@ -334,6 +331,7 @@ _SUPPLIER_ROLLING = {
 def _by_supplier(spark, sf, **options) -> DataFrame:
     columns = ("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_partkey", "l_quantity")
     items = samples.table(spark, sf, "lineitem").select(*columns, "l_extendedprice")
+    items = items.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
     rolled = rolling_features(items, **_SUPPLIER_ROLLING, **options).drop("l_extendedprice")
     return _rounded(rolled, ["quantity_avg", "price_sum"])
 

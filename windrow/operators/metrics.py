@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from windrow.operators.ordered import cumulative
 
 
-def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
+def confusion(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
+    return df.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
         F.count("*").alias("n")
     )
 
@@ -48,21 +50,25 @@ def accuracy_f1(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def area_under_roc(
-    df: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None
+    df: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    buckets: int | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Exact area under ROC: the share of (positive, negative) pairs in the right order, ties half.
 
-    Null when one class is missing.
+    Null when one class is missing. ``by`` gives one row per group.
     """
     sums = {
         "_pos": F.count(F.when(F.col(label) == 1, 1)),
         "_neg": F.count(F.when(F.col(label) == 0, 1)),
     }
-    steps = cumulative(df.select(label, score), score, sums, buckets)
+    steps = cumulative(df.select(*by, label, score), score, sums, buckets, by)
     pos = F.col("_pos").cast("double")
     pairs = F.sum("_pos").cast("double") * F.sum("_neg").cast("double")
     area = F.sum(pos * (F.col("_neg_below") + F.col("_neg") / 2))
-    return steps.agg(F.when(pairs > 0, area / pairs).alias("auc"))
+    return steps.groupBy(*by).agg(F.when(pairs > 0, area / pairs).alias("auc"))
 
 
 def score_rules(df: DataFrame, rules: dict, label: str = "label") -> DataFrame:

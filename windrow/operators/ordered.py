@@ -8,6 +8,7 @@ its own task and the bucket totals, one row per bucket, give what lies below it.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -22,38 +23,56 @@ def _bucket_count(df: DataFrame) -> int:
     return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def bucketed(df: DataFrame, value: str, sums: dict[str, Column], buckets: int | None = None) -> DataFrame:
+def bucketed(
+    df: DataFrame,
+    value: str,
+    sums: dict[str, Column],
+    buckets: int | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
     """One row per distinct value with its ``sums`` and its ``_bucket``. Runs the sketch job."""
     buckets = buckets or _bucket_count(df)
     rows = present(df.withColumn(value, F.col(value).cast("double")), value)
     edges = rows.approxQuantile(value, [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))
     # +0.0 turns a negative zero into zero, which is how grouping sees it.
     inner = sorted({e + 0.0 for e in edges if math.isfinite(e)})
-    grouped = rows.groupBy(value).agg(*[c.alias(n) for n, c in sums.items()])
+    grouped = rows.groupBy(*by, value).agg(*[c.alias(n) for n, c in sums.items()])
     if not inner:
         return grouped.withColumn("_bucket", F.lit(0.0))
     splits = [-math.inf, *inner, math.inf]
     return Bucketizer(splits=splits, inputCol=value, outputCol="_bucket").transform(grouped)
 
 
-def _bucket_offsets(grouped: DataFrame, names: list[str]) -> DataFrame:
-    totals = grouped.groupBy("_bucket").agg(*[F.sum(n).alias(n) for n in names])
-    # One row per bucket, so this single-task window is bounded by the bucket count.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+def _bucket_offsets(grouped: DataFrame, names: list[str], by: Sequence[str] = ()) -> DataFrame:
+    totals = grouped.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in names])
+    # One row per bucket and group, so this window is bounded by the bucket count.
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
+        *by,
         "_bucket",
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_off_{n}") for n in names],
         *[F.col(n).alias(f"_in_{n}") for n in names],
     )
 
 
-def cumulative(df: DataFrame, value: str, sums: dict[str, Column], buckets: int | None = None) -> DataFrame:
-    """Per distinct value: the sums, and ``<name>_below``, the sums over all smaller values."""
+def cumulative(
+    df: DataFrame,
+    value: str,
+    sums: dict[str, Column],
+    buckets: int | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Per distinct value: the sums, and ``<name>_below``, the sums over all smaller values.
+
+    ``by`` names a few groups (experiment runs, say) that are kept apart.
+    """
     names = list(sums)
-    grouped = bucketed(df, value, sums, buckets)
-    offsets = F.broadcast(_bucket_offsets(grouped, names))
-    before = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return grouped.join(offsets, "_bucket").select(
+    grouped = bucketed(df, value, sums, buckets, by)
+    offsets = _bucket_offsets(grouped, names, by)
+    inside = Window.partitionBy(*by, "_bucket").orderBy(value)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    return grouped.join(offsets, [*by, "_bucket"]).select(
+        *by,
         value,
         *names,
         *[
@@ -76,6 +95,7 @@ def exact_quantile(
     target = F.greatest(F.ceil(F.lit(probability) * rows), F.lit(1))
     holder = offsets.where((F.col("_off__n") < target) & (target <= F.col("_off__n") + F.col("_in__n")))
     upto = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    # The holder is one row.
     running = grouped.join(F.broadcast(holder), "_bucket").select(
         value, (F.sum("_n").over(upto) + F.col("_off__n")).alias("_upto")
     )

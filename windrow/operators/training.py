@@ -58,17 +58,16 @@ def score(model, rows: DataFrame) -> DataFrame:
     return model.transform(rows).withColumn("score", vector_to_array("probability")[1])
 
 
-def evaluate(scored: DataFrame) -> dict[str, float | None]:
-    """Accuracy, weighted F1 and exact area under ROC (None when a class is missing)."""
-    slim = scored.select("label", "prediction", "score").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        quality = accuracy_f1(confusion(slim)).first()
-        auc = area_under_roc(slim).first()
-    finally:
-        slim.unpersist()
-    if quality is None:
-        raise ValueError("no rows to evaluate")
-    return {"accuracy": quality["accuracy"], "f1": quality["f1"], "auc": auc["auc"]}
+def evaluate(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, weighted F1 and exact area under ROC, per ``by`` group.
+
+    The area is null when a class is missing.
+    """
+    quality = accuracy_f1(confusion(scored, by=by), by)
+    auc = area_under_roc(scored, by=by)
+    if not by:
+        return quality.withColumn("auc", auc.scalar())
+    return quality.join(auc, list(by), "left")
 
 
 def run_experiments(
@@ -77,38 +76,49 @@ def run_experiments(
     key: str = "event_id",
     partitions: int | None = None,
 ) -> list[dict]:
-    """Fit and evaluate each specification on the same split; one record per run.
+    """Fit each specification on the same split and evaluate them together; one record per run.
 
-    The loop only starts fits; each fit and evaluation is a distributed job over the kept
-    train and test rows.
+    The loop only starts fits; each fit is a distributed job over the kept train rows. The
+    scored rows of all runs are evaluated in one pass that keeps the runs apart.
     """
+    spark = df.sparkSession
     rows = model_rows(df, key, partitions)
     train, test = split_or_all(rows, key)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    scored = None
     try:
-        sizes = {"train_rows": train.count(), "test_rows": test.count()}
-        records = []
+        params = {
+            "train_rows": train.count(),
+            "test_rows": test.count(),
+            "feature_cols": ",".join(fixed.FEATURE_COLUMNS),
+            "spark_version": spark.version,
+        }
         for spec in specs:
-            model = estimator(spec).fit(train)
-            params = {k: v for k, v in spec.items() if k != "run_name"}
-            records.append(
-                {
-                    "run_id": uuid.uuid4().hex,
-                    "run_name": spec["run_name"],
-                    "params": {
-                        **params,
-                        **sizes,
-                        "feature_cols": ",".join(fixed.FEATURE_COLUMNS),
-                        "spark_version": df.sparkSession.version,
-                    },
-                    "metrics": evaluate(score(model, test)),
-                }
+            run = score(estimator(spec).fit(train), test).select(
+                F.lit(spec["run_name"]).alias("run_name"), "label", "prediction", "score"
             )
-        return records
+            scored = run if scored is None else scored.unionByName(run)
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        measured = {r["run_name"]: r.asDict() for r in evaluate(scored, by=("run_name",)).collect()}
     finally:
-        train.unpersist()
-        test.unpersist()
+        for kept in (train, test, scored):
+            if kept is not None:
+                kept.unpersist()
+    records = []
+    for spec in specs:
+        name = spec["run_name"]
+        if name not in measured:
+            raise ValueError("no test rows to evaluate")
+        records.append(
+            {
+                "run_id": uuid.uuid4().hex,
+                "run_name": name,
+                "params": {**{k: v for k, v in spec.items() if k != "run_name"}, **params},
+                "metrics": {m: measured[name][m] for m in ("accuracy", "f1", "auc")},
+            }
+        )
+    return records
 
 
 def best_spec(records: Sequence[dict], specs: Sequence[dict] = fixed.EXPERIMENTS) -> dict:

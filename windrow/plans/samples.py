@@ -14,8 +14,19 @@ from windrow.session import use_utc
 from windrow.sources.grid import to_events, with_event_columns
 
 
+# Column types of the two tables, so that opening them starts no job.
+_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return use_utc(spark).read.schema(_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def station_points(spark: SparkSession, sf_dir: str) -> DataFrame:

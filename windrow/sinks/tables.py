@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from windrow.sources.tables import condition
+
 
 def balanced(df: DataFrame, *keys: str) -> DataFrame:
     """Bring rows of a partition directory together, so that each gets few files.
@@ -44,28 +47,36 @@ def write_formats(
         try:
             write_table(df, f"{base}_{fmt}", partition_by, fmt)
             outcome[fmt] = "written"
-        except AnalysisException as error:
-            if i == 0 or error.getCondition() != "DATA_SOURCE_NOT_FOUND":
+        except (AnalysisException, Py4JJavaError) as error:
+            if i == 0 or condition(error) != "DATA_SOURCE_NOT_FOUND":
                 raise
             outcome[fmt] = "no connector"
     return outcome
 
 
-def write_checked(df: DataFrame, path: str, partition_by: Sequence[str] = ("event_date",)) -> DataFrame:
+def write_checked(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = ("event_date",),
+    expected_rows: int | None = None,
+) -> DataFrame:
     """Write, read back and compare row count and columns; returns the table as read.
 
-    The rows are counted while they are written, so the input is computed once.
+    Without ``expected_rows`` the input is counted, which reads only the columns that
+    decide the number of rows.
     """
-    seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    expected, found = seen.get["rows"], stored.count()
-    if expected != found:
-        raise RuntimeError(f"Wrote {expected} rows to {path} but read {found}")
-    names = set(df.sparkSession.read.parquet(path).columns)
+    if expected_rows is None:
+        expected_rows = df.count()
+    write_table(df, path, partition_by)
+    spark = df.sparkSession
+    names = set(spark.read.parquet(path).columns)
     if names != set(df.columns):
         raise RuntimeError(f"Columns at {path} differ: {sorted(names ^ set(df.columns))}")
-    return stored.select(*df.columns)
+    stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    found = stored.count()
+    if expected_rows != found:
+        raise RuntimeError(f"Expected {expected_rows} rows at {path} but read {found}")
+    return stored
 
 
 def write_sample(df: DataFrame, path: str, airport: str = "airport", time: str = "timestamp_utc") -> None:

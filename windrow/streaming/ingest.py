@@ -114,46 +114,55 @@ class ParquetBatches:
 class BronzeSink:
     """Adds the events of each batch that bronze does not hold yet.
 
-    Looks for known ids only in the dates of the batch: an event id contains its time, so
-    a redelivery has the date of the first delivery. Rows of this batch and of later ones
-    (left by an attempt that failed) do not count as known.
+    Bronze is laid out by event date, then run and batch. Known ids are looked for only in
+    the dates of the batch: an event id contains its time, so a redelivery has the date of
+    the first delivery, and only the directories of those dates are listed. Rows of this
+    batch and of later ones (left by an attempt that failed) do not count as known.
     """
 
     path: str
     run_id: str
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         fresh = first_delivery(typed_events(valid_events(batch))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            stored = read_if_there(spark, self.path, STREAM_BRONZE)
+            stored = self._stored(fresh)
             new = fresh if stored is None else self._without_known(fresh, stored, batch_id)
-            new.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(
-                f"{self.path}/run_id={self.run_id}/batch_id={batch_id}"
+            placed = new.withColumns(
+                {"run_id": F.lit(self.run_id), "batch_id": F.lit(batch_id).cast("long")}
+            )
+            (
+                placed.hint("rebalance", "event_date")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("event_date", "run_id", "batch_id")
+                .parquet(self.path)
             )
         finally:
             fresh.unpersist()
 
+    def _stored(self, fresh: DataFrame) -> DataFrame | None:
+        spark = fresh.sparkSession
+        dates = fresh.select("event_date").distinct()
+        listed = [r[0] for r in dates.limit(_DATE_LIST + 1).collect()]
+        if not listed:
+            return None
+        if len(listed) > _DATE_LIST:
+            low, high = fresh.agg(F.min("event_date"), F.max("event_date")).first()
+            found = read_if_there(spark, self.path, STREAM_BRONZE)
+            return None if found is None else found.where(F.col("event_date").between(low, high))
+        names = ",".join(d.isoformat() for d in listed)
+        return read_if_there(spark, f"{self.path}/event_date={{{names}}}", STREAM_BRONZE, base=self.path)
+
     def _without_known(self, fresh: DataFrame, stored: DataFrame, batch_id: int) -> DataFrame:
         earlier = (F.col("run_id") != self.run_id) | (F.col("batch_id") < batch_id)
         ids = fresh.select("event_id")
         # Bronze stays where it is when the ids of one batch are few enough to send to it.
         ids = F.broadcast(ids) if is_small(ids) else ids
-        known = (
-            stored.where(earlier & _in_dates(fresh)).select("event_id").join(ids, "event_id", "left_semi")
-        )
+        known = stored.where(earlier).select("event_id").join(ids, "event_id", "left_semi")
         return fresh.join(known, "event_id", "left_anti")
 
 
-def _in_dates(fresh: DataFrame):
-    dates = fresh.select("event_date").distinct()
-    listed = [r[0] for r in dates.limit(_DATE_LIST + 1).collect()]
-    if len(listed) <= _DATE_LIST:
-        return F.col("event_date").isin(listed)
-    low, high = fresh.agg(F.min("event_date"), F.max("event_date")).first()
-    return F.col("event_date").between(low, high)
-
-
 def read_stream_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STREAM_BRONZE).parquet(path).select(*schemas.BRONZE.names)
 
