@@ -8,13 +8,13 @@ again, so the result is the same.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow import fixed
+from windrow.session import is_small, materialise
 
 #: Rows of one key that a single task may sort.
 MAX_KEY_ROWS = 2_000_000
@@ -31,24 +31,49 @@ def _with_order(df: DataFrame, time: str) -> DataFrame:
     return df.withColumn("_order_s", F.col(time).cast("timestamp").cast("long"))
 
 
-def slice_width(
-    df: DataFrame, key: str, time: str, max_key_rows: int = MAX_KEY_ROWS, edge_rows: int = 4
-) -> int | None:
-    """Seconds per slice, or None when no key needs slicing. Runs one aggregate job.
+def key_sizes(df: DataFrame, key: str, time: str) -> DataFrame:
+    """(key, n, span in seconds) per key: one aggregate over two columns."""
+    return (
+        df.select(key, F.col(time).cast("timestamp").cast("long").alias("s"))
+        .groupBy(key)
+        .agg(F.count("*").alias("n"), (F.max("s") - F.min("s") + 1).alias("span"))
+    )
+
+
+def slice_widths(sizes: DataFrame, key: str, max_key_rows: int, edge_rows: int) -> DataFrame:
+    """(key, seconds per slice) of the keys too big for one task.
 
     With c slices a key of n rows gives tasks of n / c rows and a second pass over
     ``edge_rows * c`` rows; both are equal, and least, at c = sqrt(n / edge_rows).
+    There are at most total rows / ``max_key_rows`` such keys.
     """
-    hottest = (
-        df.select(key, F.col(time).cast("timestamp").cast("long").alias("s"))
-        .groupBy(key)
-        .agg(F.count("*").alias("n"), (F.max("s") - F.min("s") + 1).alias("span"))
-        .agg(F.max_by("n", "n").alias("n"), F.max_by("span", "n").alias("span"))
-        .first()
+    width = F.ceil(F.col("span") / F.sqrt(F.col("n") / edge_rows))
+    return sizes.where((F.col("n") > max_key_rows) & F.col("span").isNotNull()).select(
+        F.col(key).alias("_key"), F.greatest(width, F.lit(1)).alias("_width")
+    )
+
+
+def _by_width(keyed: DataFrame, key: str, widths: DataFrame) -> DataFrame:
+    """Slice numbers from per-key widths; a key without a width is one slice."""
+    if is_small(widths):
+        widths = F.broadcast(widths)
+    # A row without a time has no slice number; like its time, that sorts first.
+    number = F.when(F.col("_width").isNull(), F.lit(0)).otherwise(F.floor(F.col("_order_s") / F.col("_width")))
+    return (
+        keyed.join(widths, keyed[key] == widths["_key"], "left")
+        .withColumn("_slice", number)
+        .drop("_key", "_width")
     )
-    if hottest.n is None or hottest.n <= max_key_rows or hottest.span is None:
-        return None
-    return max(1, math.ceil(hottest.span / math.sqrt(hottest.n / edge_rows)))
+
+
+def _by_range(keyed: DataFrame, key: str, tie: Sequence[str], slices: int) -> DataFrame:
+    """Slice numbers from a range partitioning on the whole order, ties included.
+
+    Evens out any distribution, also very many rows of one key within a second. The
+    numbers are kept in a written table, since a later sampling might cut elsewhere.
+    """
+    ranged = keyed.repartitionByRange(slices, key, "_order_s", *tie)
+    return materialise(ranged.withColumn("_slice", F.spark_partition_id().cast("long")), "ranges")
 
 
 def rolling_plain(
@@ -64,25 +89,20 @@ def rolling_plain(
 
 
 def rolling_sliced(
-    df: DataFrame,
+    keyed: DataFrame,
     key: str,
-    time: str,
     tie: Sequence[str],
     features: Sequence[Feature],
     rows: int,
-    slice_seconds: int,
 ) -> DataFrame:
-    """The same rows as ``rolling_plain``, computed slice by slice.
+    """The same rows as ``rolling_plain``, from rows with ``_order_s`` and ``_slice``.
 
-    Within a slice a row from position ``rows`` on sees its whole frame. The rows before
-    that need the end of earlier slices: the first and last ``rows - 1`` rows of all
-    slices of a key hold every frame that crosses a cut, so they are windowed once more.
-    Both branches read the same shuffle.
+    Slices are stretches of a key's order. Within a slice a row from position ``rows`` on
+    sees its whole frame. The rows before that need the end of earlier slices: the first
+    and last ``rows - 1`` rows of all slices of a key hold every frame that crosses a cut,
+    so they are windowed once more. Both branches read the same shuffle.
     """
-    base = df.columns
-    keyed = _with_order(df, time).withColumn(
-        "_slice", F.floor(F.col("_order_s") / F.lit(slice_seconds))
-    )
+    base = [c for c in keyed.columns if c not in ("_order_s", "_slice")]
     inside = Window.partitionBy(key, "_slice").orderBy("_order_s", *tie)
     placed = keyed.select(
         "*",
@@ -92,9 +112,9 @@ def rolling_sliced(
     )
     names = [name for name, _, _ in features]
     settled = placed.where(F.col("_pos") >= rows).select(*base, *names)
-    across = Window.partitionBy(key).orderBy("_order_s", *tie).rowsBetween(1 - rows, 0)
+    across = Window.partitionBy(key).orderBy("_slice", "_order_s", *tie).rowsBetween(1 - rows, 0)
     edges = placed.where((F.col("_pos") < rows) | F.col("_tail")).select(
-        *base, "_order_s", "_pos"
+        *base, "_order_s", "_slice", "_pos"
     )
     reworked = (
         edges.select("*", *_columns(features, across))
@@ -117,15 +137,29 @@ def rolling_features(
 ) -> DataFrame:
     """Add the rolling columns.
 
-    ``slice_seconds`` forces slicing. Without it the key sizes are measured on
-    ``sized_by`` (by default ``df``): one aggregate over two columns. Pass a table there
-    when ``df`` is costly; any superset of its rows serves.
+    ``slice_seconds`` forces slices of that width. Without it the key sizes are measured on
+    ``sized_by`` (by default ``df``): one aggregate over two columns, and two more when a
+    key is too big for one task. Pass a table there when ``df`` is costly; any superset of
+    its rows serves.
     """
     if rows < 2:
         raise ValueError("a rolling frame has at least two rows")
-    if slice_seconds is None:
-        sizes = df if sized_by is None else sized_by
-        slice_seconds = slice_width(sizes, key, time, max_key_rows, 2 * (rows - 1))
-    if slice_seconds is None:
+    keyed = _with_order(df, time)
+    if slice_seconds is not None:
+        cut = keyed.withColumn("_slice", F.floor(F.col("_order_s") / F.lit(slice_seconds)))
+        return rolling_sliced(cut, key, tie, features, rows)
+
+    source = df if sized_by is None else sized_by
+    sizes = key_sizes(source, key, time)
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    if largest is None or largest <= max_key_rows:
         return rolling_plain(df, key, time, tie, features, rows)
-    return rolling_sliced(df, key, time, tie, features, rows, slice_seconds)
+
+    widths = materialise(slice_widths(sizes, key, max_key_rows, 2 * (rows - 1)), "widths")
+    per_slice = _by_width(_with_order(source, time).select(key, "_order_s"), key, widths)
+    fullest = per_slice.groupBy(key, "_slice").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    if fullest <= max_key_rows:
+        cut = _by_width(keyed, key, widths)
+    else:
+        cut = _by_range(keyed, key, tie, 1 + total // max_key_rows)
+    return rolling_sliced(cut, key, tie, features, rows)
