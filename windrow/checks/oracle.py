@@ -154,13 +154,12 @@ _EVENT = ("latitude", "longitude", "temperature_k", "temperature_c", "wind_u_ms"
           "surface_pressure_pa", "cape_j_kg")
 _BRONZE = ("latitude", "longitude", "temperature_c", "wind_speed_kts", "precipitation_mm",
            "surface_pressure_pa", "cape_j_kg")
-_GOLD = ("temperature_c", "wind_speed_kts", "wind_speed_max_3h", "wind_speed_avg_3h", "precipitation_mm",
-         "precipitation_sum_3h", "surface_pressure_pa", "cape_j_kg", "cape_avg_3h")
 _DELIVERY = "_kafka_topic, _kafka_partition, _kafka_offset, _ingested_at_utc"
-_BRONZE_SELECT = (f"SELECT event_id, airport, timestamp_utc, event_date, {rounded(*_BRONZE)}, {_DELIVERY}, "
+_BRONZE_SELECT = (f"SELECT event_id, airport, timestamp_utc, event_date, {', '.join(_BRONZE)}, {_DELIVERY}, "
                   "_source_object FROM bronze")
-_GOLD_SELECT = (f"SELECT event_id, airport, timestamp_utc, {rounded(*_GOLD)}, hour_of_day, day_of_week, month, "
-                "label, label_source FROM gold")
+_GOLD_SELECT = ("SELECT * REPLACE (round(wind_speed_avg_3h, 6) AS wind_speed_avg_3h, "
+                "round(precipitation_sum_3h, 6) AS precipitation_sum_3h, round(cape_avg_3h, 6) AS cape_avg_3h) "
+                "FROM gold")
 _VALID = "event_id IS NOT NULL AND airport IS NOT NULL AND timestamp_utc IS NOT NULL"
 
 
@@ -170,24 +169,24 @@ def statements() -> dict[str, str]:
         "grid_nearest_point": (("nearest",), "SELECT code, latitude, longitude FROM nearest"),
         "grid_extract": (("grid", "nearest"), f"""
             SELECT n.code AS airport, g.time, g.latitude, g.longitude,
-                   {rounded('t2m', 'u10', 'v10', 'tp', 'sp', 'cape')}
+                   g.t2m, g.u10, g.v10, g.tp, g.sp, g.cape
             FROM grid g JOIN nearest n ON g.latitude = n.latitude AND g.longitude = n.longitude
             WHERE g.time BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '2001-12-31'"""),
         "raw_scan": (("raw_weather",), f"""
-            SELECT event_id, airport, timestamp_utc, {rounded(*_EVENT)}, {_DELIVERY} FROM raw_weather"""),
+            SELECT event_id, airport, timestamp_utc, {', '.join(_EVENT)}, {_DELIVERY} FROM raw_weather"""),
         "raw_manifest": (("records",), """
             SELECT DISTINCT 'airport=' || airport || '/year=' || strftime(t, '%Y')
                             || '/month=' || strftime(t, '%m') AS directory, true AS has_bytes
             FROM records"""),
         "read_fallback": (("bronze",), _BRONZE_SELECT),
         "kafka_decode": (("raw_weather",), f"""
-            SELECT event_id, airport, timestamp_utc, {rounded(*_EVENT)}, _kafka_topic, _kafka_partition,
+            SELECT event_id, airport, timestamp_utc, {', '.join(_EVENT)}, _kafka_topic, _kafka_partition,
                    _kafka_offset
             FROM raw_weather"""),
         # sinks
         "bronze_roundtrip": (("bronze",), _BRONZE_SELECT),
         "sample_partitioned": (("records",), f"""
-            SELECT event_id, airport, t AS timestamp_utc, {rounded(*_EVENT)},
+            SELECT event_id, airport, t AS timestamp_utc, {', '.join(_EVENT)},
                    CAST(year(t) AS INTEGER) AS year, CAST(month(t) AS INTEGER) AS month
             FROM records"""),
         "kafka_encode": (("raw_weather",), """
@@ -198,14 +197,14 @@ def statements() -> dict[str, str]:
             FROM raw_weather"""),
         # projections and filters
         "unit_conversion": (("records",), f"""
-            SELECT event_id, airport, t AS timestamp_utc, {rounded(*_EVENT)} FROM records"""),
+            SELECT event_id, airport, t AS timestamp_utc, {', '.join(_EVENT)} FROM records"""),
         "event_id_key": (("records",), "SELECT event_id, airport, t AS timestamp_utc FROM records"),
         "raw_valid": (("raw_weather",), f"""
             SELECT event_id, airport, timestamp_utc, _kafka_offset, _source_object FROM raw_weather
             WHERE {_VALID}"""),
         "bronze_typed": (("raw_weather",), f"""
             SELECT event_id, airport, t AS timestamp_utc, CAST(t AS DATE) AS event_date,
-                   {rounded(*_BRONZE)}, {_DELIVERY}, _source_object
+                   {', '.join(_BRONZE)}, {_DELIVERY}, _source_object
             FROM raw_weather"""),
         "flatten_nested": (("raw_weather",), """
             SELECT event_id, '{"airport":"' || airport || '","offset":' || CAST(_kafka_offset AS VARCHAR) || '}'
@@ -221,7 +220,7 @@ def statements() -> dict[str, str]:
                       "_kafka_partition", "_kafka_offset", "_ingested_at_utc"))
             + " UNION ALL SELECT 'wind_gust_kts', false, CAST(0 AS BIGINT)"),
         "peek_latest": (("bronze",), """
-            SELECT event_id, airport, timestamp_utc, round(wind_speed_kts, 6) AS wind_speed_kts FROM bronze
+            SELECT event_id, airport, timestamp_utc, wind_speed_kts FROM bronze
             ORDER BY timestamp_utc DESC, event_id LIMIT 10"""),
         # aggregates
         "average_wind": (("raw_weather",), """
@@ -250,13 +249,13 @@ def statements() -> dict[str, str]:
         "bronze_table": (("bronze",), _BRONZE_SELECT),
         "silver_rule_label": (("silver",), "SELECT event_id, weather_rule_label FROM silver"),
         "silver_risk_score": (("silver",),
-                              "SELECT event_id, round(risk_score_proxy, 6) AS risk_score_proxy FROM silver"),
+                              "SELECT event_id, risk_score_proxy FROM silver"),
         "class_count": (("labeled",), "SELECT count(DISTINCT label) AS class_count FROM labeled"),
         "quantile_threshold": (("silver",), """
-            SELECT round(quantile_disc(risk_score_proxy, 0.75), 6) AS threshold FROM silver"""),
+            SELECT quantile_disc(risk_score_proxy, 0.75) AS threshold FROM silver"""),
         "silver_labeled": (("labeled",), """
             SELECT event_id, airport, timestamp_utc, weather_rule_label,
-                   round(risk_score_proxy, 6) AS risk_score_proxy, label, label_source
+                   risk_score_proxy, label, label_source
             FROM labeled"""),
         "silver_fallback": (("silver",), """
             SELECT event_id, CAST(0 AS DOUBLE) AS weather_rule_label,
@@ -270,10 +269,10 @@ def statements() -> dict[str, str]:
         # gold
         "gold_calendar": (("gold",), "SELECT event_id, hour_of_day, day_of_week, month FROM gold"),
         "gold_rolling": (("gold",), f"""
-            SELECT event_id, {rounded('wind_speed_max_3h', 'wind_speed_avg_3h', 'precipitation_sum_3h',
-                                      'cape_avg_3h')} FROM gold"""),
+            SELECT event_id, wind_speed_max_3h,
+                   {rounded('wind_speed_avg_3h', 'precipitation_sum_3h', 'cape_avg_3h')} FROM gold"""),
         "gold_dropna": (("labeled",), f"""
-            SELECT event_id, {rounded('cape_j_kg', 'wind_speed_avg_3h', 'cape_avg_3h')}
+            SELECT event_id, cape_j_kg, {rounded('wind_speed_avg_3h', 'cape_avg_3h')}
             FROM (SELECT event_id, gappy AS cape_j_kg, avg(wind_speed_kts) OVER w AS wind_speed_avg_3h,
                          avg(gappy) OVER w AS cape_avg_3h
                   FROM (SELECT *, CASE WHEN precipitation_mm < 1 THEN NULL ELSE cape_j_kg END AS gappy
@@ -285,7 +284,7 @@ def statements() -> dict[str, str]:
         "gold_training_features": (("gold",), _GOLD_SELECT),
         # model rows, metrics, runs
         "feature_vector": (("gold",), f"""
-            SELECT event_id, {rounded('temperature_c', 'wind_speed_max_3h', 'cape_avg_3h')},
+            SELECT event_id, temperature_c, wind_speed_max_3h, {rounded('cape_avg_3h')},
                    CAST(month AS DOUBLE) AS month, CAST(12 AS INTEGER) AS vector_size, label
             FROM gold"""),
         "train_test_split": (("sides",), "SELECT event_id, side FROM sides"),
@@ -332,7 +331,7 @@ def statements() -> dict[str, str]:
     sql["gold_rolling_sliced"] = sql["gold_rolling"]
     sql["rolling_by_supplier_sliced"] = sql["rolling_by_supplier"]
     sql["stream_raw_to_bronze"] = (("bronze",), f"""
-        SELECT event_id, airport, timestamp_utc, event_date, {rounded(*_BRONZE)} FROM bronze""")
+        SELECT event_id, airport, timestamp_utc, event_date, {', '.join(_BRONZE)} FROM bronze""")
     sql["stream_dual_sink"] = (("raw_weather",), """
         SELECT store, count(*) AS row_count, count(event_id) AS with_id, min(timestamp_utc) AS min_timestamp
         FROM raw_weather, (VALUES ('raw'), ('table')) s(store) GROUP BY store""")

@@ -1,6 +1,7 @@
 """One query per operator, over the whole test tables.
 
-Doubles are rounded here, not in the library, because two engines add in different orders.
+Sums and averages over several rows are rounded here, not in the library, because two
+engines add in different orders.
 """
 
 from __future__ import annotations
@@ -30,9 +31,6 @@ from windrow.streaming import ingest, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_EVENT_MEASURES = fixed.EVENT_COLUMNS[3:]
-_GOLD_MEASURES = tuple(c for c in fixed.FEATURE_COLUMNS if c not in ("hour_of_day", "day_of_week", "month"))
-
 
 def _rounded(df: DataFrame, columns) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
@@ -80,14 +78,14 @@ def grid_extract(spark, sf):
         "surface_pressure": "sp",
         "convective_available_potential_energy": "cape",
     }
-    return _rounded(rows.withColumnsRenamed(short), short.values())
+    return rows.withColumnsRenamed(short)
 
 
 def raw_scan(spark, sf):
     path = work_path(spark, "raw")
     raw = samples.raw_weather(spark, sf).select(*schemas.RAW.names)
     raw_sink.write_raw(raw, path, raw_sink.new_run_id())
-    return _rounded(raw_source.scan_raw(spark, path).drop("_source_object"), _EVENT_MEASURES)
+    return raw_source.scan_raw(spark, path).drop("_source_object")
 
 
 def raw_write(spark, sf):
@@ -99,7 +97,7 @@ def raw_write(spark, sf):
     placed = (F.col("run_id") == run_id) & (
         F.make_date("year", "month", "day") == F.to_date(F.to_timestamp("_ingested_at_utc"))
     )
-    return _rounded(stored.where(placed).select(*schemas.RAW.names), _EVENT_MEASURES)
+    return stored.where(placed).select(*schemas.RAW.names)
 
 
 def raw_manifest(spark, sf):
@@ -114,8 +112,7 @@ def raw_manifest(spark, sf):
 def read_fallback(spark, sf):
     base = work_path(spark, "bronze")
     table_sink.write_table(_bronze(spark, sf), f"{base}_parquet")
-    found = table_source.read_table(spark, base, schemas.BRONZE)
-    return _rounded(found.select(*fixed.BRONZE_COLUMNS), fixed.BRONZE_MEASURES)
+    return table_source.read_table(spark, base, schemas.BRONZE).select(*fixed.BRONZE_COLUMNS)
 
 
 def kafka_decode(spark, sf):
@@ -128,22 +125,20 @@ def kafka_decode(spark, sf):
         F.col("_kafka_partition").alias("partition"),
         F.col("_kafka_offset").alias("offset"),
     )
-    return _rounded(kafka_source.decode(records).drop("_ingested_at_utc"), _EVENT_MEASURES)
+    return kafka_source.decode(records).drop("_ingested_at_utc")
 
 
 # Sinks
 
 
 def bronze_roundtrip(spark, sf):
-    stored = table_sink.write_checked(_bronze(spark, sf), work_path(spark, "bronze"))
-    return _rounded(stored, fixed.BRONZE_MEASURES)
+    return table_sink.write_checked(_bronze(spark, sf), work_path(spark, "bronze"))
 
 
 def sample_partitioned(spark, sf):
     path = work_path(spark, "sample")
     table_sink.write_sample(samples.event_records(spark, sf), path)
-    stored = spark.read.parquet(path).select(*fixed.EVENT_COLUMNS, "year", "month")
-    return _rounded(stored, _EVENT_MEASURES)
+    return spark.read.parquet(path).select(*fixed.EVENT_COLUMNS, "year", "month")
 
 
 def kafka_encode(spark, sf):
@@ -156,7 +151,7 @@ def kafka_encode(spark, sf):
 
 
 def unit_conversion(spark, sf):
-    return _rounded(samples.event_records(spark, sf), _EVENT_MEASURES)
+    return samples.event_records(spark, sf)
 
 
 def event_id_key(spark, sf):
@@ -170,7 +165,7 @@ def raw_valid(spark, sf):
 
 
 def bronze_typed(spark, sf):
-    return _rounded(layers.typed_events(samples.raw_weather(spark, sf)), fixed.BRONZE_MEASURES)
+    return layers.typed_events(samples.raw_weather(spark, sf))
 
 
 def flatten(spark, sf):
@@ -191,9 +186,8 @@ def required_columns(spark, sf):
 
 
 def peek_latest(spark, sf):
-    return _rounded(
-        layers.latest(_bronze(spark, sf)).select("event_id", "airport", "timestamp_utc", "wind_speed_kts"),
-        ["wind_speed_kts"],
+    return layers.latest(_bronze(spark, sf)).select(
+        "event_id", "airport", "timestamp_utc", "wind_speed_kts"
     )
 
 
@@ -228,7 +222,7 @@ def bronze_dedup(spark, sf):
 
 
 def bronze_table(spark, sf):
-    return _rounded(_bronze(spark, sf), fixed.BRONZE_MEASURES)
+    return _bronze(spark, sf)
 
 
 def silver_rule_label(spark, sf):
@@ -237,7 +231,7 @@ def silver_rule_label(spark, sf):
 
 def silver_risk_score(spark, sf):
     ruled = labels.with_rule(_bronze(spark, sf))
-    return ruled.select("event_id", F.round("risk_score_proxy", 6).alias("risk_score_proxy"))
+    return ruled.select("event_id", "risk_score_proxy")
 
 
 def class_count(spark, sf):
@@ -246,8 +240,7 @@ def class_count(spark, sf):
 
 def quantile_threshold(spark, sf):
     ruled = labels.with_rule(_bronze_table(spark, sf))
-    found = exact_quantile(ruled, "risk_score_proxy", fixed.FALLBACK_QUANTILE)
-    return _rounded(found, ["threshold"])
+    return exact_quantile(ruled, "risk_score_proxy", fixed.FALLBACK_QUANTILE)
 
 
 def price_quantile(spark, sf):
@@ -255,17 +248,14 @@ def price_quantile(spark, sf):
 
 
 def silver_labeled(spark, sf):
-    return _rounded(
-        _silver(spark, sf).select(
-            "event_id",
-            "airport",
-            "timestamp_utc",
-            "weather_rule_label",
-            "risk_score_proxy",
-            "label",
-            "label_source",
-        ),
-        ["risk_score_proxy"],
+    return _silver(spark, sf).select(
+        "event_id",
+        "airport",
+        "timestamp_utc",
+        "weather_rule_label",
+        "risk_score_proxy",
+        "label",
+        "label_source",
     )
 
 
@@ -290,9 +280,12 @@ def gold_calendar(spark, sf):
     return _gold(spark, sf).select("event_id", "hour_of_day", "day_of_week", "month")
 
 
+_ADDED_UP = ("wind_speed_avg_3h", "precipitation_sum_3h", "cape_avg_3h")
+
+
 def _rolling_columns(df: DataFrame) -> DataFrame:
     names = [name for name, _, _ in fixed.ROLLING_FEATURES]
-    return _rounded(df.select("event_id", *names), names)
+    return _rounded(df.select("event_id", *names), _ADDED_UP)
 
 
 def gold_rolling(spark, sf):
@@ -309,11 +302,11 @@ def gold_dropna(spark, sf):
     gappy = F.when(F.col("precipitation_mm") >= 1, F.col("cape_j_kg"))
     gold = layers.build_gold(silver.withColumn("cape_j_kg", gappy))
     columns = ["cape_j_kg", "wind_speed_avg_3h", "cape_avg_3h"]
-    return _rounded(gold.select("event_id", *columns), columns)
+    return _rounded(gold.select("event_id", *columns), columns[1:])
 
 
 def gold_training_features(spark, sf):
-    return _rounded(_gold(spark, sf), _GOLD_MEASURES)
+    return _rounded(_gold(spark, sf), _ADDED_UP)
 
 
 _SUPPLIER_ROLLING = {
@@ -359,7 +352,7 @@ def feature_vector(spark, sf):
         F.size(values).alias("vector_size"),
         "label",
     )
-    return _rounded(vectors, taken[:3])
+    return _rounded(vectors, ["cape_avg_3h"])
 
 
 def train_test_split(spark, sf):
@@ -469,10 +462,9 @@ def stream_raw_to_bronze(spark, sf):
     stream = ingest.read_landed(spark, landed, max_files=4)
     sink = ingest.BronzeSink(bronze, raw_sink.new_run_id())
     ingest.start(stream, sink, work_path(spark, "checkpoint")).awaitTermination()
-    stored = ingest.read_stream_bronze(spark, bronze).select(
+    return ingest.read_stream_bronze(spark, bronze).select(
         "event_id", "airport", "timestamp_utc", "event_date", *fixed.BRONZE_MEASURES
     )
-    return _rounded(stored, fixed.BRONZE_MEASURES)
 
 
 def stream_dual_sink(spark, sf):
