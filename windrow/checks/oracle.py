@@ -223,7 +223,7 @@ def statements() -> dict[str, str]:
             SELECT event_id, airport, timestamp_utc, wind_speed_kts FROM bronze
             ORDER BY timestamp_utc DESC, event_id LIMIT 10"""),
         # aggregates
-        "average_wind": (("raw_weather",), """
+        "smoke_avg": (("raw_weather",), """
             SELECT round(avg(wind_speed_kts), 6) AS avg_wind_speed_kts FROM raw_weather"""),
         "raw_by_airport": (("raw_weather",), f"""
             SELECT airport, count(*) AS row_count FROM raw_weather WHERE {_VALID} GROUP BY airport"""),

@@ -194,7 +194,7 @@ def peek_latest(spark, sf):
 # Aggregates
 
 
-def average_wind(spark, sf):
+def smoke_avg(spark, sf):
     return samples.raw_weather(spark, sf).agg(
         F.round(F.avg("wind_speed_kts"), 6).alias("avg_wind_speed_kts")
     )
@@ -520,7 +520,7 @@ def catalog() -> dict[str, Query]:
         bronze_typed,
         required_columns,
         peek_latest,
-        average_wind,
+        smoke_avg,
         raw_by_airport,
         raw_time_bounds,
         storage_summary,

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windrow import fixed
+from windrow.functions.weather import is_train
 from windrow.operators.metrics import accuracy_f1, area_under_roc, confusion
-from windrow.operators.split import split_or_all
+
+_SIDES = (("train_rows", True), ("test_rows", False))
 
 
 def assemble(df: DataFrame, features: Sequence[str] = fixed.FEATURE_COLUMNS) -> DataFrame:
@@ -73,55 +75,76 @@ def evaluate(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return quality.join(auc, list(by), "left")
 
 
-def run_experiments(
-    df: DataFrame,
-    specs: Sequence[dict] = fixed.EXPERIMENTS,
-    key: str = "event_id",
-    partitions: int | None = None,
-) -> list[dict]:
-    """Fit each specification on the same split and evaluate them together; one record per run.
+def fit_and_evaluate(
+    df: DataFrame, specs: Sequence[dict], key: str = "event_id", partitions: int | None = None
+) -> list[tuple[dict, object]]:
+    """Fit each specification on the same split and evaluate them together.
 
-    The loop only starts fits; each fit is a distributed job over the kept train rows. The
-    scored rows of all runs are evaluated in one pass that keeps the runs apart.
+    Returns one (run record, model) per specification. With one class among the train rows
+    all rows are used on both sides. The loop only starts fits; each fit is a distributed
+    job over the kept train rows. The scored rows of all runs are evaluated in one pass
+    that keeps the runs apart.
     """
-    spark = df.sparkSession
-    rows = model_rows(df, key, partitions)
-    train, test = split_or_all(rows, key)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
-    scored = None
+    rows = model_rows(df, key, partitions).withColumn("_train", is_train(key))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    scored, models = None, {}
     try:
-        params = {
-            "train_rows": train.count(),
-            "test_rows": test.count(),
-            "feature_cols": ",".join(fixed.FEATURE_COLUMNS),
-            "spark_version": spark.version,
-        }
+        # One job keeps the rows, counts both sides and looks at the train labels.
+        sides = rows.groupBy("_train").agg(
+            F.count("*").alias("n"), (F.min("label") < F.max("label")).alias("two_classes")
+        )
+        side = {r["_train"]: r for r in sides.collect()}
+        if True in side and side[True]["two_classes"]:
+            train, test = rows.where("_train"), rows.where("not _train")
+            sizes = {name: side[s]["n"] if s in side else 0 for name, s in _SIDES}
+        else:
+            train = test = rows
+            sizes = {name: sum(r["n"] for r in side.values()) for name, _ in _SIDES}
         for spec in specs:
-            run = score(estimator(spec).fit(train), test).select(
-                F.lit(spec["run_name"]).alias("run_name"), "label", "prediction", "score"
+            name = spec["run_name"]
+            models[name] = estimator(spec).fit(train)
+            run = score(models[name], test).select(
+                F.lit(name).alias("run_name"), "label", "prediction", "score"
             )
             scored = run if scored is None else scored.unionByName(run)
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         measured = {r["run_name"]: r.asDict() for r in evaluate(scored, by=("run_name",)).collect()}
     finally:
-        for kept in (train, test, scored):
-            if kept is not None:
-                kept.unpersist()
-    records = []
-    for spec in specs:
-        name = spec["run_name"]
-        if name not in measured:
-            raise ValueError("no test rows to evaluate")
-        records.append(
-            {
-                "run_id": uuid.uuid4().hex,
-                "run_name": name,
-                "params": {**{k: v for k, v in spec.items() if k != "run_name"}, **params},
-                "metrics": {m: measured[name][m] for m in ("accuracy", "f1", "auc")},
-            }
-        )
-    return records
+        rows.unpersist()
+        if scored is not None:
+            scored.unpersist()
+    if not measured:
+        raise ValueError("no test rows to evaluate")
+    shared = {
+        **sizes,
+        "feature_cols": ",".join(fixed.FEATURE_COLUMNS),
+        "spark_version": df.sparkSession.version,
+    }
+    return [(_record(spec, shared, measured[spec["run_name"]]), models[spec["run_name"]]) for spec in specs]
+
+
+def _record(spec: dict, shared: dict, measured: dict) -> dict:
+    return {
+        "run_id": uuid.uuid4().hex,
+        "run_name": spec["run_name"],
+        "params": {**{k: v for k, v in spec.items() if k != "run_name"}, **shared},
+        "metrics": {m: measured[m] for m in ("accuracy", "f1", "auc")},
+    }
+
+
+def run_experiments(
+    df: DataFrame,
+    specs: Sequence[dict] = fixed.EXPERIMENTS,
+    key: str = "event_id",
+    partitions: int | None = None,
+) -> list[dict]:
+    """One record per specification."""
+    return [record for record, _ in fit_and_evaluate(df, specs, key, partitions)]
+
+
+def train_and_evaluate(df: DataFrame, spec: dict = fixed.FINAL_FOREST, **options) -> tuple[dict, object]:
+    """One run: its record and the model fitted on the train rows."""
+    return fit_and_evaluate(df, [spec], **options)[0]
 
 
 def best_spec(records: Sequence[dict], specs: Sequence[dict] = fixed.EXPERIMENTS) -> dict:

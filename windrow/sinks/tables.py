@@ -40,15 +40,19 @@ def write_formats(
 ) -> dict[str, str]:
     """Write ``<base>_<format>`` for each format; says per format whether it was written.
 
-    The first format must succeed. A later one whose connector is missing is reported.
+    The first format must succeed and the others are written from it, so ``df`` is
+    computed once. A later format whose connector is missing is reported.
     """
-    outcome = {}
-    for i, fmt in enumerate(formats):
+    first, *others = formats
+    write_table(df, f"{base}_{first}", partition_by, first)
+    outcome = {first: "written"}
+    for fmt in others:
+        stored = df.sparkSession.read.format(first).load(f"{base}_{first}")
         try:
-            write_table(df, f"{base}_{fmt}", partition_by, fmt)
+            write_table(stored, f"{base}_{fmt}", partition_by, fmt)
             outcome[fmt] = "written"
         except (AnalysisException, Py4JJavaError) as error:
-            if i == 0 or condition(error) != "DATA_SOURCE_NOT_FOUND":
+            if condition(error) != "DATA_SOURCE_NOT_FOUND":
                 raise
             outcome[fmt] = "no connector"
     return outcome

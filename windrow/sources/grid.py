@@ -40,15 +40,12 @@ def nearest_on_axes(targets: DataFrame, axes: DataFrame) -> DataFrame:
     on each side is the last and the next one. A cell without a mark on a side takes it
     from the closest cell that has any.
     """
-    degrees = F.when(F.col("mark").between(-360.0, 360.0), F.col("mark")).otherwise(
-        F.raise_error(F.concat("axis", F.lit(" is not in degrees: "), F.col("mark").cast("string")))
+    marks = axes.select(F.lit(None).cast("string").alias("code"), "axis", F.col("mark").alias("value"), "mark")
+    wanted = targets.select("code", "axis", "value", F.lit(None).cast("double").alias("mark"))
+    degrees = F.when(F.col("value").between(-360.0, 360.0), F.col("value")).otherwise(
+        F.raise_error(F.concat("axis", F.lit(" is not in degrees: "), F.col("value").cast("string")))
     )
-    marks = axes.select(F.lit(None).cast("string").alias("code"), "axis", degrees.alias("value")).withColumn(
-        "mark", F.col("value")
-    )
-    both = marks.unionByName(
-        targets.select("code", "axis", "value", F.lit(None).cast("double").alias("mark"))
-    ).withColumn("cell", F.floor(F.col("value") / _CELL))
+    both = marks.unionByName(wanted).withColumn("cell", F.floor(degrees / _CELL))
 
     # At most 721 cells per axis, one row each.
     line = Window.partitionBy("axis").orderBy("cell")

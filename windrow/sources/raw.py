@@ -14,11 +14,7 @@ _CORRUPT = "_corrupt_record"
 def _relative(path: str, column: str):
     """The part of an object's address below ``path``."""
     tail = path.rstrip("/").rsplit("/", 1)[-1]
-    return F.regexp_extract(F.url_decode(F.col(column)), f"/{_quoted(tail)}/(.*)$", 1)
-
-
-def _quoted(text: str) -> str:
-    return r"\Q" + text + r"\E"
+    return F.substring_index(F.col(column), f"/{tail}/", -1)
 
 
 def scan_raw(

@@ -68,6 +68,18 @@ class RawSink:
     missed: list[int] = field(default_factory=list)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.second is None:
+            self._write_raw(batch, batch_id)
+            return
+        # Two targets, one read of the source.
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._write_raw(batch, batch_id)
+            self._write_second(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write_raw(self, batch: DataFrame, batch_id: int) -> None:
         part = f"{batch_id + 1:05d}"
         keyed = with_run_keys(batch, self.run_id).withColumn("part", F.lit(part))
         writer = (
@@ -78,11 +90,8 @@ class RawSink:
         if self.max_records:
             writer = writer.option("maxRecordsPerFile", self.max_records)
         writer.json(self.path)
-        self._write_second(batch, batch_id)
 
     def _write_second(self, batch: DataFrame, batch_id: int) -> None:
-        if self.second is None:
-            return
         try:
             self.second(batch, batch_id)
         except Exception:
