@@ -74,6 +74,15 @@ def test_area_per_run(spark):
         assert got[name] == pytest.approx(metrics.area_under_roc(df).first()["auc"], abs=1e-12)
 
 
+def test_the_counts_are_shuffled_once(spark, tmp_path):
+    from plans import executed
+
+    path = str(tmp_path / "scored")
+    scored(spark, n=500).write.parquet(path)
+    text = executed(metrics.area_under_roc(spark.read.parquet(path))).split("== Initial Plan ==")[0]
+    assert text.count("FileScan") == 1 and "ReusedExchange" in text
+
+
 def test_area_needs_both_classes(spark):
     df = scored(spark, n=50).where("label = 1")
     assert metrics.area_under_roc(df).first()["auc"] is None

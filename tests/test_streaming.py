@@ -168,6 +168,27 @@ def test_raw_sink_numbers_parts_and_keeps_every_row(spark, tmp_path):
     assert (summary["total_rows"], summary["airport_list"], summary["max_kafka_offset"]) == (72, "JFK, LAX", 71)
 
 
+def test_a_retried_raw_batch_overwrites_its_own_part(spark, tmp_path):
+    landed, raw, checkpoint = (str(tmp_path / n) for n in ("in", "raw", "cp"))
+    land(spark, landed, chunks(hourly(24, seed=12), 16))
+    inner = ingest.RawSink(raw, "r1")
+
+    def fails_after_writing(batch, batch_id):
+        inner(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("lost after the write")
+
+    def stream():
+        return ingest.read_landed(spark, landed, max_files=1).select(*schemas.RAW.names)
+
+    with pytest.raises(Exception, match="lost after the write"):
+        ingest.start(stream(), fails_after_writing, checkpoint).awaitTermination()
+    assert raw_source.scan_raw(spark, raw).count() == 32
+    ingest.start(stream(), inner, checkpoint).awaitTermination()
+    stored = raw_source.scan_raw(spark, raw)
+    assert stored.count() == stored.select("_kafka_offset").distinct().count() == 48
+
+
 def test_a_second_target_may_fail_and_is_repaired(spark, tmp_path):
     landed, raw, table = (str(tmp_path / n) for n in ("in", "raw", "table"))
     land(spark, landed, chunks(hourly(36, seed=9), 24))

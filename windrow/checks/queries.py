@@ -293,8 +293,8 @@ def gold_rolling(spark, sf):
 
 
 def gold_rolling_sliced(spark, sf):
-    """The same rows with every station's time line cut into days."""
-    return _rolling_columns(rolling_features(_bronze_table(spark, sf), slice_seconds=86_400))
+    """The same rows when a task may hold few rows of a station, so that its time line is cut."""
+    return _rolling_columns(rolling_features(_bronze_table(spark, sf), max_key_rows=1000))
 
 
 def gold_dropna(spark, sf):
@@ -334,8 +334,8 @@ def rolling_by_supplier(spark, sf):
 
 
 def rolling_by_supplier_sliced(spark, sf):
-    """Slices as wide as the measured key sizes ask for when a task may hold few rows."""
-    return _by_supplier(spark, sf, max_key_rows=100)
+    """Suppliers above the size limit are cut, the others are not."""
+    return _by_supplier(spark, sf, max_key_rows=600)
 
 
 # Models

@@ -65,9 +65,9 @@ def area_under_roc(
         "_neg": F.count(F.when(F.col(label) == 0, 1)),
     }
     steps = cumulative(df.select(*by, label, score), score, sums, buckets, by)
-    pos = F.col("_pos").cast("double")
-    pairs = F.sum("_pos").cast("double") * F.sum("_neg").cast("double")
-    area = F.sum(pos * (F.col("_neg_below") + F.col("_neg") / 2))
+    # Both totals come with the bucket offsets, so both uses of the counts share one shuffle.
+    pairs = F.max("_pos_total").cast("double") * F.max("_neg_total").cast("double")
+    area = F.sum(F.col("_pos").cast("double") * (F.col("_neg_below") + F.col("_neg") / 2))
     return steps.groupBy(*by).agg(F.when(pairs > 0, area / pairs).alias("auc"))
 
 

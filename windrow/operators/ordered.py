@@ -45,13 +45,14 @@ def bucketed(
 
 def _bucket_offsets(grouped: DataFrame, names: list[str], by: Sequence[str] = ()) -> DataFrame:
     totals = grouped.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in names])
-    # One row per bucket and group, so this window is bounded by the bucket count.
+    # One row per bucket and group, so these windows are bounded by the bucket count.
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
         *by,
         "_bucket",
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_off_{n}") for n in names],
         *[F.col(n).alias(f"_in_{n}") for n in names],
+        *[F.sum(n).over(Window.partitionBy(*by)).alias(f"{n}_total") for n in names],
     )
 
 
@@ -62,7 +63,7 @@ def cumulative(
     buckets: int | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Per distinct value: the sums, and ``<name>_below``, the sums over all smaller values.
+    """Per distinct value: the sums, ``<name>_below`` over all smaller values, ``<name>_total``.
 
     ``by`` names a few groups (experiment runs, say) that are kept apart.
     """
@@ -79,6 +80,7 @@ def cumulative(
             (F.coalesce(F.sum(n).over(before), F.lit(0)) + F.col(f"_off_{n}")).alias(f"{n}_below")
             for n in names
         ],
+        *[f"{n}_total" for n in names],
     )
 
 
@@ -91,7 +93,7 @@ def exact_quantile(
     """
     grouped = bucketed(df, value, {"_n": F.count("*")}, buckets)
     offsets = _bucket_offsets(grouped, ["_n"])
-    rows = offsets.agg(F.sum("_in__n")).scalar()
+    rows = offsets.agg(F.max("_n_total")).scalar()
     target = F.greatest(F.ceil(F.lit(probability) * rows), F.lit(1))
     holder = offsets.where((F.col("_off__n") < target) & (target <= F.col("_off__n") + F.col("_in__n")))
     upto = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)

@@ -161,5 +161,7 @@ def rolling_features(
     if fullest <= max_key_rows:
         cut = _by_width(keyed, key, widths)
     else:
-        cut = _by_range(keyed, key, tie, 1 + total // max_key_rows)
+        # Slices need not be more than what keeps every task of the cluster busy.
+        enough = 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cut = _by_range(keyed, key, tie, min(1 + total // max_key_rows, enough))
     return rolling_sliced(cut, key, tie, features, rows)
