@@ -20,6 +20,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
+        spark__sql__maxMetadataStringLength="10000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,18 +78,42 @@ def test_time_bounds_and_columns_reach_the_scan(spark, sf):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_a_long_station_list_is_not_broadcast(spark, sf, monkeypatch):
+def test_coordinates_of_few_points_reach_the_scan(spark, tmp_path):
+    grid = axes_grid(spark, [0.0, 1.0, 2.0], [0.0, 1.0, 2.0]).withColumns(
+        {"time": F.lit("2022-01-01").cast("timestamp"), **{v: F.lit(1.0) for v in fixed.ARCHIVE_VARIABLES}}
+    )
+    grid.write.parquet(str(tmp_path / "grid"))
+    stored = spark.read.parquet(str(tmp_path / "grid"))
+    rows = g.extract_points(stored, points(spark, [("a", "", 1.1, 1.9), ("b", "", 0.1, 0.0)]), "2022-01-01", "2022-01-01")
+    scan = initial(rows).split("FileScan parquet")[1]
+    assert re.search(r"DataFilters: \[.*latitude#\d+ IN \(0.0,1.0\).*longitude#\d+ IN \(0.0,2.0\)", scan)
+    assert {(r["airport"], r["latitude"], r["longitude"]) for r in rows.collect()} == {("a", 1.0, 2.0), ("b", 0.0, 0.0)}
+
+
+def test_no_stations_give_no_rows(spark, sf):
+    from windrow.plans import samples
+
+    none = g.stations_frame(spark).limit(0)
+    assert g.extract_points(samples.grid(spark, sf), none, "1995-01-01", "2001-12-31").isEmpty()
+
+
+def test_longer_station_lists_are_broadcast_then_shuffled(spark, sf, monkeypatch):
     from windrow import session
     from windrow.plans import samples
 
-    grid = samples.grid(spark, sf)
-    stations = g.stations_frame(spark)
-    small = g.extract_points(grid, stations, "1995-01-01", "2001-12-31")
-    expected = small.count()
-    monkeypatch.setattr(g, "is_small", lambda df: session.is_small(df, 2))
-    wide = g.extract_points(grid, stations, "1995-01-01", "2001-12-31")
-    assert wide.count() == expected
-    assert "rightHint=(strategy=broadcast)" not in wide._jdf.queryExecution().optimizedPlan().toString().split("Join")[1]
+    grid, stations = samples.grid(spark, sf), g.stations_frame(spark)
+
+    def extract():
+        rows = g.extract_points(grid, stations, "1995-01-01", "2001-12-31")
+        return sorted(map(tuple, rows.collect())), rows._jdf.queryExecution().optimizedPlan().toString().split("Join")[1]
+
+    listed, _ = extract()
+    monkeypatch.setattr(g, "LISTED_POINTS", 2)
+    hinted, plan = extract()
+    assert hinted == listed and "rightHint=(strategy=broadcast)" in plan
+    monkeypatch.setattr(g, "is_small", lambda df, n=2: session.is_small(df, min(n, 2)))
+    shuffled, plan = extract()
+    assert shuffled == listed and "rightHint=(strategy=broadcast)" not in plan.split("\n")[0]
 
 
 def test_a_missing_variable_is_an_error(spark):

@@ -54,7 +54,9 @@ def test_from_archive_to_ranked_runs(spark, archive, tmp_path):
     )
     assert jobs.consume(landed, at["raw"], at["cp"], table=at["table"]).missed == []
 
-    summary, columns = jobs.validate(spark, at["raw"])
+    summary, columns, second = jobs.validate(spark, at["raw"], at["table"])
+    assert second == 72
+    assert jobs.validate(spark, at["raw"], str(tmp_path / "nowhere"))[2] is None
     row = summary.first()
     assert (row["total_rows"], row["airport_list"]) == (72, "JFK")
     assert (row["min_timestamp"], row["max_timestamp"]) == ("2022-01-01 00:00:00", "2022-01-03 23:00:00")

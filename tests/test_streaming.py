@@ -1,3 +1,4 @@
+import json
 import os
 import random
 import time
@@ -254,6 +255,24 @@ def test_a_replay_lands_in_time_order(spark, tmp_path):
     assert replay.replay(events.limit(0), str(tmp_path / "none")) == 0
 
 
+def test_steps_hold_each_event_once_and_keys_in_order(spark, tmp_path, monkeypatch):
+    events = spark.createDataFrame(hourly(50, seed=13), schemas.RAW)
+    sent = []
+
+    def keep(records, servers, topic):
+        assert (servers, topic, records.columns) == ("s:9092", fixed.TOPIC, ["key", "value"])
+        rows = records.select(F.spark_partition_id().alias("p"), "key", "value").collect()
+        assert len({r["p"] for r in rows if r["key"] == "JFK"}) <= 1
+        sent.extend(rows)
+
+    monkeypatch.setattr(replay, "send", keep)
+    assert replay.replay_topic(events, "s:9092", step="day") == 3
+    assert len(sent) == 100
+    for key in ("JFK", "LAX"):
+        times = [json.loads(r["value"])["timestamp_utc"] for r in sent if r["key"] == key]
+        assert times == sorted(times) and len(times) == 50
+
+
 def test_stream_scores_equal_batch_scores(spark, gold, tmp_path):
     from windrow.operators import training
 

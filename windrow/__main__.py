@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import argparse
 
+from windrow import schemas
 from windrow.plans import jobs
 from windrow.session import build_session, use_utc
 from windrow.sources import kafka as kafka_source
 from windrow.streaming import scoring
+from windrow.streaming.replay import replay_topic
 
 
 def parser() -> argparse.ArgumentParser:
@@ -21,7 +23,8 @@ def parser() -> argparse.ArgumentParser:
 
     step("sample", "grid", "out", "start", "end")
     step("consume", "servers", "raw", "checkpoint", "table", table=None)
-    step("validate", "raw")
+    step("replay", "events", "servers")
+    step("validate", "raw", "table", table=None)
     step("bronze", "raw", "lake")
     step("silver", "lake")
     step("gold", "lake")
@@ -40,8 +43,12 @@ def main(argv: list[str] | None = None) -> None:
         stream = kafka_source.decode(kafka_source.read_topic(spark, a.servers))
         print("missed by the second target:", jobs.consume(stream, a.raw, a.checkpoint, table=a.table).missed)
     elif a.step == "validate":
-        for result in jobs.validate(spark, a.raw):
-            result.show(truncate=False)
+        summary, columns, second = jobs.validate(spark, a.raw, a.table)
+        summary.show(truncate=False)
+        columns.show(truncate=False)
+        print("rows in the second target:", second)
+    elif a.step == "replay":
+        print("steps sent:", replay_topic(spark.read.schema(schemas.EVENT).json(a.events), a.servers))
     elif a.step == "bronze":
         print(jobs.bronze(spark, a.raw, a.lake))
     elif a.step == "silver":

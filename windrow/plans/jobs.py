@@ -13,7 +13,7 @@ from windrow.sinks import raw as raw_sink
 from windrow.sinks.tables import write_formats, write_sample
 from windrow.sources import grid as grid_source
 from windrow.sources import raw as raw_source
-from windrow.sources.tables import read_table
+from windrow.sources.tables import read_if_there, read_table
 from windrow.streaming import ingest
 
 BRONZE = "bronze/weather_events"
@@ -49,12 +49,15 @@ def consume(
     return sink
 
 
-def validate(spark: SparkSession, raw: str) -> tuple[DataFrame, DataFrame]:
-    """What the raw zone holds: one summary row, and the filled rows per expected column."""
+def validate(spark: SparkSession, raw: str, table: str | None = None) -> tuple[DataFrame, DataFrame, int | None]:
+    """What the raw zone holds: one summary row, the filled rows per expected column, and
+    the rows of the second target (None when there is none)."""
     rows = raw_source.scan_raw(spark, raw)
+    second = read_if_there(spark, table, schemas.RAW) if table else None
     return (
         quality.storage_summary(rows, raw_source.manifest(spark, raw)),
         quality.column_report(rows, fixed.STORED_COLUMNS),
+        None if second is None else second.count(),
     )
 
 

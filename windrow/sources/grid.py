@@ -19,6 +19,8 @@ from windrow.session import is_small
 
 #: Width in degrees of the cells an axis is cut into: at most 721 of them.
 _CELL = 1.0
+#: Stations up to which the coordinates of their points are listed in the scan filter.
+LISTED_POINTS = 1000
 
 
 def stations_frame(spark: SparkSession, rows: Sequence[tuple] = fixed.STATIONS) -> DataFrame:
@@ -102,14 +104,22 @@ def extract_points(
 ) -> DataFrame:
     """The station rows of the grid between two times, both included.
 
-    The time bounds and the wanted columns reach the scan. The station side is broadcast
-    only when the station list is counted to be small.
+    The time bounds and the wanted columns reach the scan. With a short station list the
+    points are looked up first (a job over the two axis columns) and their coordinates
+    reach the scan too, so that files and row groups without them are skipped. A longer
+    list is broadcast, and one too long for that is joined by shuffle.
     """
     require_columns(grid, [time, "latitude", "longitude", *variables])
+    bounds = [F.lit(t).cast("timestamp") for t in (start, end)]
+    sliced = grid.where(F.col(time).between(*bounds)).select(time, "latitude", "longitude", *variables)
     points = nearest_points(stations, grid)
-    if is_small(stations):
+    if is_small(stations, LISTED_POINTS):
+        found = points.collect()
+        for axis in ("latitude", "longitude"):
+            sliced = sliced.where(F.col(axis).isin(sorted({r[axis] for r in found})))
+        points = F.broadcast(grid.sparkSession.createDataFrame(found, points.schema))
+    elif is_small(stations):
         points = F.broadcast(points)
-    sliced = grid.where(F.col(time).between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
     return sliced.join(points, ["latitude", "longitude"]).select(
         F.col("code").alias("airport"), time, "latitude", "longitude", *variables
     )

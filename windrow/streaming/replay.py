@@ -2,40 +2,79 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from windrow import fixed
+from windrow.sinks.kafka import encode, send
 
-def replay(events: DataFrame, path: str, step: str = "day", time: str = "timestamp_utc") -> int:
-    """Land events as JSON lines, one time step after the other; returns the steps.
 
-    A stream that reads ``path`` oldest file first sees the steps in order and paces itself
-    with its own files-per-trigger limit. Each step is one write that reads its time range
-    only; within a step rows are range-sorted by time, so a busy step uses many tasks.
-    """
+def time_steps(events: DataFrame, step: str, time: str) -> list[tuple[str, str]]:
+    """(from, until) texts of the steps between the first and the last event; one job."""
     at = F.col(time).cast("timestamp")
     first, last = events.agg(
-        F.date_trunc(step, F.min(at)).cast("string"), F.date_trunc(step, F.max(at)).cast("string")
-    ).first()
+        F.date_trunc(step, F.min(at)).alias("first"), F.date_trunc(step, F.max(at)).alias("last")
+    ).select(F.col("first").cast("string"), F.col("last").cast("string")).first()
     if first is None:
-        return 0
-    spark = events.sparkSession
-    bounds = spark.range(1).select(
-        F.inline(
-            F.transform(
-                F.expr(f"sequence(timestamp'{first}', timestamp'{last}', interval 1 {step})"),
-                lambda t: F.struct(
-                    t.cast("string").alias("low"), (t + F.expr(f"interval 1 {step}")).cast("string").alias("high")
-                ),
-            )
-        )
-    )
-    steps = 0
-    for low, high in bounds.collect():
-        within = events.where((at >= F.lit(low).cast("timestamp")) & (at < F.lit(high).cast("timestamp")))
-        ordered = within.repartitionByRange(F.col(time), F.col("event_id")).sortWithinPartitions(
-            time, "event_id"
-        )
+        return []
+    one = F.expr(f"interval 1 {step}")
+    starts = F.explode(F.sequence(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp"), one))
+    steps = events.sparkSession.range(1).select(starts.alias("low")).orderBy("low")
+    return [tuple(r) for r in steps.select(F.col("low").cast("string"), (F.col("low") + one).cast("string")).collect()]
+
+
+def replay_steps(
+    events: DataFrame,
+    emit: Callable[[DataFrame], None],
+    step: str = "day",
+    time: str = "timestamp_utc",
+) -> int:
+    """Hand events to ``emit``, one time step after the other; returns the number of steps.
+
+    Each step reads its time range only.
+    """
+    at = F.col(time).cast("timestamp")
+    steps = time_steps(events, step, time)
+    for low, high in steps:
+        emit(events.where((at >= F.lit(low).cast("timestamp")) & (at < F.lit(high).cast("timestamp"))))
+    return len(steps)
+
+
+def replay(events: DataFrame, path: str, step: str = "day", time: str = "timestamp_utc") -> int:
+    """Land events as JSON lines, step by step.
+
+    A stream that reads ``path`` oldest file first sees the steps in order and paces itself
+    with its own files-per-trigger limit. Within a step rows are range-sorted by time, so a
+    busy step uses many tasks.
+    """
+
+    def land(rows: DataFrame) -> None:
+        ordered = rows.repartitionByRange(F.col(time), F.col("event_id")).sortWithinPartitions(time, "event_id")
         ordered.write.mode("append").json(path)
-        steps += 1
-    return steps
+
+    return replay_steps(events, land, step, time)
+
+
+def replay_topic(
+    events: DataFrame,
+    servers: str,
+    topic: str = fixed.TOPIC,
+    step: str = "hour",
+    time: str = "timestamp_utc",
+) -> int:
+    """Send events to a topic, step by step and in time order per airport.
+
+    A topic keeps the order of one key only when one task sends it, so a task holds the
+    rows of its airports within one step; choose the step with that in mind.
+    """
+
+    def send_rows(rows: DataFrame) -> None:
+        send(encode(in_key_order(rows, time)), servers, topic)
+
+    return replay_steps(events, send_rows, step, time)
+
+
+def in_key_order(rows: DataFrame, time: str = "timestamp_utc") -> DataFrame:
+    return rows.repartition("airport").sortWithinPartitions("airport", time, "event_id")
