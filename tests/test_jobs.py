@@ -80,6 +80,17 @@ def test_from_archive_to_ranked_runs(spark, archive, tmp_path):
     assert scoring.scored(gold, scoring.load_model(at["model"])).count() == 72
 
 
+def test_consume_waits_until_it_has_enough(spark, tmp_path):
+    from test_streaming import chunks, hourly, land
+    from windrow.sources import raw as raw_source
+
+    landed, raw = str(tmp_path / "in"), str(tmp_path / "raw")
+    land(spark, landed, chunks(hourly(36), 12))
+    stream = ingest.read_landed(spark, landed, max_files=1)
+    sink = jobs.consume(stream, raw, str(tmp_path / "cp"), run_id="r1", max_records=72, idle_seconds=60)
+    assert sink.run_id == "r1" and raw_source.scan_raw(spark, raw).count() == 72
+
+
 def test_empty_raw_zone_is_an_error(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw" / "a.json").write_text('{"test": 1}\n')
@@ -90,6 +101,7 @@ def test_empty_raw_zone_is_an_error(spark, tmp_path):
 def test_the_command_line_names_every_step():
     args = cli.parser().parse_args(["bronze", "--raw", "a", "--lake", "b"])
     assert (args.step, args.raw, args.lake) == ("bronze", "a", "b")
-    assert cli.parser().parse_args(["consume", "--servers", "s", "--raw", "r", "--checkpoint", "c"]).table is None
+    args = cli.parser().parse_args(["consume", "--servers", "s", "--raw", "r", "--checkpoint", "c"])
+    assert (args.table, args.idle_seconds, args.max_records, args.flush) == (None, 60, None, fixed.FLUSH_ROWS)
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["silver"])

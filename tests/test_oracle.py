@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from plans import plan
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
@@ -20,6 +21,8 @@ def test_every_statement_has_a_query():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, sf, con, name):
     df = QUERIES[name](spark, sf)
+    text = plan(df)
+    assert not [word for word in ("CartesianProduct", "NestedLoop", "Python", "Pandas") if word in text]
     assert df.limit(1).count() == 1
     assert differences(df, con, SQL[name]) == []
 

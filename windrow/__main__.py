@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from windrow import schemas
+from windrow import fixed, schemas
 from windrow.plans import jobs
 from windrow.session import build_session, use_utc
 from windrow.sources import kafka as kafka_source
@@ -16,13 +16,14 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="windrow")
     steps = top.add_subparsers(dest="step", required=True)
 
-    def step(name: str, *options: str, **defaults: str) -> None:
+    def step(name: str, *options: str, **defaults) -> None:
         sub = steps.add_parser(name)
         for option in options:
             sub.add_argument(f"--{option}", required=option not in defaults, default=defaults.get(option))
 
     step("sample", "grid", "out", "start", "end")
-    step("consume", "servers", "raw", "checkpoint", "table", table=None)
+    consume = {"table": None, "run-id": None, "flush": fixed.FLUSH_ROWS, "max-records": None, "idle-seconds": 60}
+    step("consume", "servers", "raw", "checkpoint", *consume, **consume)
     step("replay", "events", "servers")
     step("validate", "raw", "table", table=None)
     step("bronze", "raw", "lake")
@@ -40,8 +41,17 @@ def main(argv: list[str] | None = None) -> None:
     if a.step == "sample":
         jobs.sample(spark.read.parquet(a.grid), a.out, a.start, a.end).show(5, truncate=False)
     elif a.step == "consume":
-        stream = kafka_source.decode(kafka_source.read_topic(spark, a.servers))
-        print("missed by the second target:", jobs.consume(stream, a.raw, a.checkpoint, table=a.table).missed)
+        topic = kafka_source.read_topic(spark, a.servers, max_offsets=int(a.flush))
+        sink = jobs.consume(
+            kafka_source.decode(topic),
+            a.raw,
+            a.checkpoint,
+            a.run_id,
+            a.table,
+            int(a.max_records) if a.max_records else None,
+            float(a.idle_seconds),
+        )
+        print("run:", sink.run_id, "missed by the second target:", sink.missed)
     elif a.step == "validate":
         summary, columns, second = jobs.validate(spark, a.raw, a.table)
         summary.show(truncate=False)

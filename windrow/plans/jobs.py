@@ -39,13 +39,28 @@ def sample(
 
 
 def consume(
-    stream: DataFrame, raw: str, checkpoint: str, run_id: str | None = None, table: str | None = None
+    stream: DataFrame,
+    raw: str,
+    checkpoint: str,
+    run_id: str | None = None,
+    table: str | None = None,
+    max_records: int | None = None,
+    idle_seconds: float | None = None,
 ) -> ingest.RawSink:
-    """Decoded events of a stream to the raw zone, and best effort to a table of raw rows."""
+    """Decoded events of a stream to the raw zone, and best effort to a table of raw rows.
+
+    Reads what is there now and ends; with ``max_records`` or ``idle_seconds`` it waits for
+    events until it has read that many or nothing has come for that long.
+    """
     run_id = run_id or raw_sink.new_run_id()
     second = ingest.ParquetBatches(table, run_id) if table else None
     sink = ingest.RawSink(raw, run_id, second=second)
-    ingest.start(stream.select(*schemas.RAW.names), sink, checkpoint).awaitTermination()
+    waits = max_records is not None or idle_seconds is not None
+    query = ingest.start(stream.select(*schemas.RAW.names), sink, checkpoint, available_now=not waits)
+    if waits:
+        ingest.run_until(query, max_records, idle_seconds)
+    else:
+        query.awaitTermination()
     return sink
 
 

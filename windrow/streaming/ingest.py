@@ -200,7 +200,9 @@ def run_until(
 ) -> int:
     """Let a query run until it ends, has read ``max_records``, or read nothing for a while.
 
-    Stops between batches; a batch that has begun is not cut short. Returns the rows read.
+    Counts whole batches, so it may read past ``max_records`` to the end of one. A batch cut
+    short by the stop is run again on the next start and overwrites its own output. Returns
+    the rows read.
     """
     read: dict[int, int] = {}
     quiet_since = time.monotonic()
