@@ -218,6 +218,25 @@ def test_a_second_target_may_fail_and_is_repaired(spark, tmp_path):
     )
 
 
+def test_without_the_delta_connector_raw_storage_goes_on(spark, tmp_path):
+    landed, raw, table = (str(tmp_path / n) for n in ("in", "raw", "table"))
+    land(spark, landed, chunks(hourly(12, seed=14), 24))
+    sink = ingest.RawSink(raw, "r1", second=ingest.DeltaBatches(table, "r1"))
+    stream = ingest.read_landed(spark, landed).select(*schemas.RAW.names)
+    ingest.start(stream, sink, str(tmp_path / "cp")).awaitTermination()
+    assert raw_source.scan_raw(spark, raw).count() == 24
+    if not sink.missed:
+        assert spark.read.format("delta").load(table).count() == 24
+
+
+def test_a_batch_without_valid_events_adds_nothing(spark, tmp_path):
+    landed, bronze = str(tmp_path / "in"), str(tmp_path / "bronze")
+    stray = [{**r, "event_id": None} for r in hourly(3, seed=15)]
+    land(spark, landed, [stray, hourly(3, seed=15), stray])
+    run_bronze(spark, landed, bronze, str(tmp_path / "cp"))
+    assert ingest.read_stream_bronze(spark, bronze).count() == 6
+
+
 def test_a_query_stops_after_enough_records_or_when_idle(spark, tmp_path):
     landed = str(tmp_path / "in")
     land(spark, landed, chunks(hourly(36, seed=10), 12))

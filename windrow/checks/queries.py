@@ -458,10 +458,14 @@ def _landed(spark, sf) -> str:
 
 
 def stream_raw_to_bronze(spark, sf):
-    landed, bronze = _landed(spark, sf), work_path(spark, "bronze")
-    stream = ingest.read_landed(spark, landed, max_files=4)
+    """First deliveries stream in, the query ends; it starts again when redeliveries have come."""
+    landed, bronze, checkpoint = (work_path(spark, n) for n in ("landed", "bronze", "checkpoint"))
+    raw = samples.raw_weather(spark, sf)
     sink = ingest.BronzeSink(bronze, raw_sink.new_run_id())
-    ingest.start(stream, sink, work_path(spark, "checkpoint")).awaitTermination()
+    again = F.col("_source_object") == "part-replay.jsonl"
+    for deliveries in (raw.where(~again), raw.where(again)):
+        deliveries.select(*schemas.RAW.names).write.mode("append").json(landed)
+        ingest.start(ingest.read_landed(spark, landed), sink, checkpoint).awaitTermination()
     return ingest.read_stream_bronze(spark, bronze).select(
         "event_id", "airport", "timestamp_utc", "event_date", *fixed.BRONZE_MEASURES
     )

@@ -28,10 +28,13 @@ def class_count(df: DataFrame, label: str = "label") -> DataFrame:
     return df.agg(F.count_distinct(label).alias("class_count"))
 
 
-def has_two_classes(df: DataFrame, label: str = "label") -> bool:
-    """Is there more than one label value. Both looks stop at the first row they find."""
+def has_two_classes(df: DataFrame, label: str = "label") -> bool | None:
+    """Is there more than one label value; None when there is no label at all.
+
+    Both looks stop at the first row they find.
+    """
     first = df.select(label).where(F.col(label).isNotNull()).first()
-    return first is not None and not df.where(F.col(label) != first[0]).isEmpty()
+    return None if first is None else not df.where(F.col(label) != first[0]).isEmpty()
 
 
 def score_threshold(
@@ -59,10 +62,14 @@ def label_events(
 ) -> DataFrame:
     """Add rule label, score, label and label source.
 
-    Looks at the data to choose the label (early-exit jobs), so hand it a table.
+    Looks at the data to choose the label (early-exit jobs), so hand it a table. Raises
+    when there is nothing to label.
     """
     ruled = with_rule(df, wind_limit, precip_limit)
-    if has_two_classes(ruled, "weather_rule_label"):
+    two_classes = has_two_classes(ruled, "weather_rule_label")
+    if two_classes is None:
+        raise ValueError("bronze has no rows to label")
+    if two_classes:
         label, source = F.col("weather_rule_label"), fixed.RULE_SOURCE
     else:
         limit = score_threshold(ruled, quantile=quantile, relative_error=relative_error)

@@ -9,7 +9,7 @@ from windrow import fixed
 from windrow.functions import weather
 from windrow.operators.dedup import first_delivery
 from windrow.operators.labels import label_events
-from windrow.operators.quality import require_rows, valid_events
+from windrow.operators.quality import valid_events
 from windrow.operators.rolling import rolling_features
 
 
@@ -50,7 +50,7 @@ def build_bronze(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 def build_silver(bronze: DataFrame, **options) -> DataFrame:
     """Bronze with labels; raises on an empty table."""
-    return label_events(require_rows(bronze, "bronze"), **options)
+    return label_events(bronze, **options)
 
 
 def feature_rows(silver: DataFrame, **options) -> DataFrame:

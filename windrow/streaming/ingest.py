@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from windrow import schemas
+from windrow.functions.flatten import flatten_nested
 from windrow.operators.dedup import first_delivery
 from windrow.operators.quality import valid_events
 from windrow.plans.layers import typed_events
@@ -110,13 +111,26 @@ class RawSink:
 
 @dataclass
 class ParquetBatches:
-    """A second target: appends each batch below its own ``run_id=/batch_id=`` directory."""
+    """A second target: each batch, nested values as text, in its own ``run_id=/batch_id=`` directory."""
 
     path: str
     run_id: str
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/run_id={self.run_id}/batch_id={batch_id}")
+        place = f"{self.path}/run_id={self.run_id}/batch_id={batch_id}"
+        flatten_nested(batch).write.mode("overwrite").parquet(place)
+
+
+@dataclass
+class DeltaBatches:
+    """The same as a Delta table: an append that Delta skips when it has seen the batch."""
+
+    path: str
+    run_id: str
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        once = {"txnAppId": self.run_id, "txnVersion": batch_id}
+        flatten_nested(batch).write.format("delta").options(**once).mode("append").save(self.path)
 
 
 @dataclass
