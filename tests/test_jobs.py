@@ -19,7 +19,8 @@ def archive(spark):
     points = spark.range(9).select(
         (40.25 + F.floor(F.col("id") / 3) * 0.25).alias("latitude"), (286.0 + F.col("id") % 3 * 0.25).alias("longitude")
     )
-    cells = hours.withColumn("p", F.explode(F.array(*[F.struct(F.lit(r[0]).alias("a"), F.lit(r[1]).alias("o")) for r in points.collect()])))
+    listed = [F.struct(F.lit(r[0]).alias("a"), F.lit(r[1]).alias("o")) for r in points.collect()]
+    cells = hours.withColumn("p", F.explode(F.array(*listed)))
     h = F.col("h").cast("double")
     grid = cells.select(
         (F.lit("2022-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("h").cast("int"))).alias("time"),

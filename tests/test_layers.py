@@ -10,9 +10,8 @@ from windrow.plans import layers
 
 def bronze_rows(spark, rows):
     """rows of (id, airport, second, wind, precipitation, cape)"""
-    df = spark.createDataFrame(
-        rows, "event_id string, airport string, s long, wind_speed_kts double, precipitation_mm double, cape_j_kg double"
-    )
+    measures = "wind_speed_kts double, precipitation_mm double, cape_j_kg double"
+    df = spark.createDataFrame(rows, f"event_id string, airport string, s long, {measures}")
     made = {
         "timestamp_utc": F.timestamp_seconds("s"),
         "event_date": F.to_date(F.timestamp_seconds("s")),

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 from test_raw_zone import event
 from windrow import fixed, schemas
 from windrow.operators import quality
-from windrow.operators.rolling import rolling_features
 from windrow.plans import layers
-from windrow.session import materialise
 from windrow.sources import raw as raw_source
 from windrow.streaming import ingest, replay, scoring
 
@@ -145,7 +143,7 @@ def test_many_dates_prune_by_range(spark, tmp_path, monkeypatch):
 
 
 def test_large_batches_do_not_broadcast_their_ids(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(ingest, "is_small", lambda df: False)
+    monkeypatch.setattr(ingest, "broadcast_if_small", lambda df: df)
     landed, bronze = str(tmp_path / "in"), str(tmp_path / "bronze")
     land(spark, landed, chunks(hourly(30, redelivered=30, seed=7), 30))
     run_bronze(spark, landed, bronze, str(tmp_path / "cp"))

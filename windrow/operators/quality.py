@@ -73,7 +73,7 @@ def storage_summary(df: DataFrame, manifest: DataFrame | None = None) -> DataFra
 
     Rows are first counted per (airport, object), combined on the map side, so a hot
     airport or object costs one row per task and the distinct counts read that small
-    result. With a ``manifest`` the stored objects are those listed, including objects
+    result. The list of airports is as long as there are airports. With a ``manifest`` the stored objects are those listed, including objects
     that hold no rows.
     """
     per_pair = df.groupBy("airport", "_source_object").agg(

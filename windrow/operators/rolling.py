@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow import fixed
-from windrow.session import is_small, materialise
+from windrow.session import broadcast_if_small, materialise
 
 #: Rows of one key that a single task may sort.
 MAX_KEY_ROWS = 2_000_000
@@ -55,8 +55,7 @@ def slice_widths(sizes: DataFrame, key: str, max_key_rows: int, edge_rows: int)
 
 def _by_width(keyed: DataFrame, key: str, widths: DataFrame) -> DataFrame:
     """Slice numbers from per-key widths; a key without a width is one slice."""
-    if is_small(widths):
-        widths = F.broadcast(widths)
+    widths = broadcast_if_small(widths)
     # A row without a time has no slice number; like its time, that sorts first.
     number = F.when(F.col("_width").isNull(), F.lit(0)).otherwise(F.floor(F.col("_order_s") / F.col("_width")))
     return (

@@ -22,7 +22,7 @@ from windrow.functions.flatten import flatten_nested
 from windrow.operators.dedup import first_delivery
 from windrow.operators.quality import valid_events
 from windrow.plans.layers import typed_events
-from windrow.session import is_small
+from windrow.session import broadcast_if_small
 from windrow.sinks.raw import RUN_KEYS, with_run_keys
 from windrow.sources.tables import read_if_there
 
@@ -181,8 +181,7 @@ class BronzeSink:
         earlier = (F.col("run_id") != self.run_id) | (F.col("batch_id") < batch_id)
         ids = fresh.select("event_id")
         # Bronze stays where it is when the ids of one batch are few enough to send to it.
-        ids = F.broadcast(ids) if is_small(ids) else ids
-        known = stored.where(earlier).select("event_id").join(ids, "event_id", "left_semi")
+        known = stored.where(earlier).select("event_id").join(broadcast_if_small(ids), "event_id", "left_semi")
         return fresh.join(known, "event_id", "left_anti")
 
 
