@@ -104,3 +104,12 @@ def test_rules_in_one_pass_equal_rules_one_by_one(silver):
         one = silver.withColumn("prediction", rule.cast("double"))
         alone = metrics.accuracy_f1(metrics.confusion(one)).first()
         assert together[name]["accuracy"] == alone["accuracy"] and together[name]["f1"] == alone["f1"]
+
+
+def test_fits_at_the_same_time_change_nothing(gold):
+    def measured(parallelism):
+        done = training.run_experiments(gold, SMALL_SPECS, partitions=2, parallelism=parallelism)
+        return [(r["run_name"], r["metrics"]) for r in done]
+
+    assert measured(1) == measured(2)
+    assert training.run_experiments(gold, []) == []

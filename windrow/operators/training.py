@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -76,18 +77,25 @@ def evaluate(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def fit_and_evaluate(
-    df: DataFrame, specs: Sequence[dict], key: str = "event_id", partitions: int | None = None
+    df: DataFrame,
+    specs: Sequence[dict],
+    key: str = "event_id",
+    partitions: int | None = None,
+    parallelism: int = 2,
 ) -> list[tuple[dict, object]]:
     """Fit each specification on the same split and evaluate them together.
 
     Returns one (run record, model) per specification. With one class among the train rows
-    all rows are used on both sides. The loop only starts fits; each fit is a distributed
-    job over the kept train rows. The scored rows of all runs are evaluated in one pass
-    that keeps the runs apart.
+    all rows are used on both sides. Each fit is a chain of distributed jobs over the kept
+    train rows; ``parallelism`` fits run at a time, since the short jobs of one leave a
+    cluster idle. Pass 1 when one fit fills it. The scored rows of all runs are evaluated
+    in one pass that keeps the runs apart.
     """
+    if not specs:
+        return []
     rows = model_rows(df, key, partitions).withColumn("_train", is_train(key))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    scored, models = None, {}
+    scored = None
     try:
         # One job keeps the rows, counts both sides and looks at the train labels.
         sides = rows.groupBy("_train").agg(
@@ -100,12 +108,11 @@ def fit_and_evaluate(
         else:
             train = test = rows
             sizes = {name: sum(r["n"] for r in side.values()) for name, _ in _SIDES}
-        for spec in specs:
-            name = spec["run_name"]
-            models[name] = estimator(spec).fit(train)
-            run = score(models[name], test).select(
-                F.lit(name).alias("run_name"), "label", "prediction", "score"
-            )
+        fit = inheritable_thread_target(df.sparkSession)(lambda spec: estimator(spec).fit(train))
+        with ThreadPool(min(parallelism, len(specs))) as pool:
+            models = dict(zip([s["run_name"] for s in specs], pool.map(fit, specs, chunksize=1), strict=True))
+        for name, model in models.items():
+            run = score(model, test).select(F.lit(name).alias("run_name"), "label", "prediction", "score")
             scored = run if scored is None else scored.unionByName(run)
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         measured = {r["run_name"]: r.asDict() for r in evaluate(scored, by=("run_name",)).collect()}
@@ -132,14 +139,9 @@ def _record(spec: dict, shared: dict, measured: dict) -> dict:
     }
 
 
-def run_experiments(
-    df: DataFrame,
-    specs: Sequence[dict] = fixed.EXPERIMENTS,
-    key: str = "event_id",
-    partitions: int | None = None,
-) -> list[dict]:
-    """One record per specification."""
-    return [record for record, _ in fit_and_evaluate(df, specs, key, partitions)]
+def run_experiments(df: DataFrame, specs: Sequence[dict] = fixed.EXPERIMENTS, **options) -> list[dict]:
+    """One record per specification; options as for ``fit_and_evaluate``."""
+    return [record for record, _ in fit_and_evaluate(df, specs, **options)]
 
 
 def train_and_evaluate(df: DataFrame, spec: dict = fixed.FINAL_FOREST, **options) -> tuple[dict, object]:
