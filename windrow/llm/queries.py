@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from windrow.llm import common, quality, secrets
+from windrow.llm import common, mixing, quality, secrets
 from windrow.session import work_path
 
 
@@ -23,6 +23,11 @@ def op1_secret_scan(spark, sf):
     )
 
 
+def op2_mix_sources(spark, sf):
+    mixed = mixing.mix(common.table(spark, sf, "documents"), "doc_id", "source", "text")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_quality_rules(spark, sf):
     return quality.judge(common.table(spark, sf, "documents"), "doc_id", "text", ["lang", "source"])
 
@@ -30,5 +35,6 @@ def op5_quality_rules(spark, sf):
 def catalog():
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_mix_sources": op2_mix_sources,
         "op5_quality_rules": op5_quality_rules,
     }
