@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from windrow.llm import common, mixing, quality, secrets
+from windrow.llm import common, mixing, pieces, quality, secrets
 from windrow.session import work_path
 
 
@@ -32,9 +33,24 @@ def op5_quality_rules(spark, sf):
     return quality.judge(common.table(spark, sf, "documents"), "doc_id", "text", ["lang", "source"])
 
 
+def op9_sentencepiece(spark, sf):
+    docs = common.table(spark, sf, "documents")
+    return digest_ids(pieces.encode(docs, "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def digest_ids(coded):
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 def catalog():
     return {
         "op1_secret_scan": op1_secret_scan,
         "op2_mix_sources": op2_mix_sources,
         "op5_quality_rules": op5_quality_rules,
+        "op9_sentencepiece": op9_sentencepiece,
     }
