@@ -113,5 +113,14 @@ FROM judged"""
 )
 
 
+WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+largest AS (SELECT b, max(page_id) AS m FROM p WHERE octet_length(b) >= 1000 GROUP BY b)
+SELECT page_id, octet_length(p.b)::BIGINT AS payload_bytes, sha1(p.b) AS payload_digest,
+  CASE WHEN m <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN m <> page_id THEN m END AS refers_to
+FROM p LEFT JOIN largest ON p.b = largest.b"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_secret_scan": SECRETS, "op5_quality_rules": QUALITY}
+    return {"op1_secret_scan": SECRETS, "op5_quality_rules": QUALITY, "op7_warc": WARC}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from windrow.llm import common, mixing, pieces, quality, secrets
+from windrow.llm import common, mixing, pieces, quality, secrets, token_files, warc
 from windrow.session import work_path
 
 
@@ -33,6 +33,19 @@ def op5_quality_rules(spark, sf):
     return quality.judge(common.table(spark, sf, "documents"), "doc_id", "text", ["lang", "source"])
 
 
+def op6_token_files(spark, sf):
+    path = work_path(spark, "token-files")
+    docs = common.table(spark, sf, "documents")
+    token_files.write(docs, path, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, path)
+
+
+def op7_warc(spark, sf):
+    path = work_path(spark, "warc")
+    warc.write(common.table(spark, sf, "pages"), path, "page_id", "url", "html")
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_sentencepiece(spark, sf):
     docs = common.table(spark, sf, "documents")
     return digest_ids(pieces.encode(docs, "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model")))
@@ -52,5 +65,7 @@ def catalog():
         "op1_secret_scan": op1_secret_scan,
         "op2_mix_sources": op2_mix_sources,
         "op5_quality_rules": op5_quality_rules,
+        "op6_token_files": op6_token_files,
+        "op7_warc": op7_warc,
         "op9_sentencepiece": op9_sentencepiece,
     }
