@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from windrow.llm import common, mixing, pieces, quality, secrets, token_files, warc
+from windrow.llm import common, mixing, near_dups, pieces, quality, secrets, token_files, warc
 from windrow.session import work_path
 
 
@@ -46,6 +46,10 @@ def op7_warc(spark, sf):
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_minhash(spark, sf):
+    return near_dups.group(common.table(spark, sf, "documents"), "doc_id", "text", near_dups.Similar(3, 85))
+
+
 def op9_sentencepiece(spark, sf):
     docs = common.table(spark, sf, "documents")
     return digest_ids(pieces.encode(docs, "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model")))
@@ -67,5 +71,6 @@ def catalog():
         "op5_quality_rules": op5_quality_rules,
         "op6_token_files": op6_token_files,
         "op7_warc": op7_warc,
+        "op8_minhash": op8_minhash,
         "op9_sentencepiece": op9_sentencepiece,
     }
