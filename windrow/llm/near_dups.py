@@ -10,8 +10,9 @@ sketch's rarest values, as many as leave fewer than ``common``. Values of passag
 that very many documents share are common, hence not listed unless they are most of a sketch.
 
 Long lists are not multiplied out. First each list's members are compared with one of them, the
-pivot; members found to be linked are one component, and pairs within one need no look.
-What is left of a list is compared outside its largest component.
+pivot; members found to be linked are one component, and pairs within one need no look. Then
+members outside a list's largest component are compared with more and more pivots, at last
+with all, so no link between components is missed.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.llm import common
@@ -34,6 +35,9 @@ from windrow.session import materialise
 #: Values that a sketch retains, and the chance that two similar documents go unseen.
 K, MISS = 64, 1e-8
 
+#: Pivots of a list, round by round after the first; None is all that is left.
+PIVOTS = (4, 16, 64, 256, None)
+
 #: Words whose hashes a worker remembers.
 MEMORY = 500_000
 
@@ -140,7 +144,9 @@ def listed(classes: DataFrame, like: Similar) -> DataFrame:
     alone = F.least(F.col("n"), F.lit(K)).cast("int") - F.size("held")
     most = F.greatest(like.listed(F.col("n")) - alone, F.lit(0))
     chosen = held.select("cid", "n", F.explode(F.slice("held", F.lit(1), most)).alias("x"))
-    return materialise(chosen.select("cid", "n", "x.value"), "lists")
+    chosen = materialise(chosen.select("cid", "n", "x.value"), "listed")
+    several = chosen.groupBy("value").agg(F.count("*").alias("size")).where("size > 1").select("value")
+    return materialise(chosen.join(several, "value"), "lists")
 
 
 def _close_in_size(a: Column, b: Column, like: Similar) -> Column:
@@ -153,54 +159,68 @@ def promising(pairs: DataFrame, classes: DataFrame, like: Similar) -> DataFrame:
     both = pairs.join(side("a"), "a").join(side("b"), "b").where(_close_in_size(F.col("n_a"), F.col("n_b"), like))
     both = both.withColumn("union", F.slice(F.sort_array(F.array_union("s_a", "s_b")), 1, K))
     shared = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), F.col("union")))
-    return both.where(shared * K >= like.common * F.size("union")).select("a", "b", "n_a", "n_b")
+    return both.where(shared * K >= like.common * F.size("union")).select("a", "b")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, like: Similar) -> DataFrame:
-    """The pairs that the full sets confirm; sets are made for documents of ``pairs`` only."""
-    pairs = materialise(pairs, "promising")
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().toDF("cid")
-    wanted = materialise(wanted.join(classes.select("cid", "set_hash", "rep"), "cid"), "wanted")
+def whole_sets(lists: DataFrame, classes: DataFrame, docs: DataFrame, like: Similar) -> DataFrame:
+    """(cid, whole): the full sets of all classes that are in some list, made from their texts."""
+    wanted = lists.select("cid").distinct().join(classes.select("cid", "set_hash", "rep"), "cid")
+    wanted = materialise(wanted, "wanted")
     ids = common.broadcast_if_bounded(wanted.select(F.col("rep").alias("_rep")).distinct(), 32)
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_rep"))).select("doc_id", "text")
     # An id that several texts share brings some that are not asked for.
-    whole = sets(texts, like.width, False).select("set_hash", "values").dropDuplicates(["set_hash"])
-    whole = materialise(whole.join(wanted.select("cid", "set_hash"), "set_hash").select("cid", "values"), "whole")
-    side = lambda x: whole.select(F.col("cid").alias(x), F.col("values").alias(f"v_{x}"))
+    made = sets(texts, like.width, False).select("set_hash", "values").dropDuplicates(["set_hash"])
+    made = made.join(wanted.select("cid", "set_hash"), "set_hash")
+    return materialise(made.select("cid", F.col("values").alias("whole")), "whole")
+
+
+def verified(pairs: DataFrame, whole: DataFrame, like: Similar) -> DataFrame:
+    """The pairs that the full sets confirm."""
+    side = lambda x: whole.select(F.col("cid").alias(x), F.col("whole").alias(f"w_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("v_a", "v_b"))
-    sure = 100 * shared >= like.percent * (F.col("n_a") + F.col("n_b") - shared)
-    return materialise(both.where(sure).select("a", "b"), "verified")
+    shared = F.size(F.array_intersect("w_a", "w_b"))
+    sure = 100 * shared >= like.percent * (F.size("w_a") + F.size("w_b") - shared)
+    return both.where(sure).select("a", "b")
 
 
 def pivot_pairs(lists: DataFrame) -> DataFrame:
     """Each member of a list with the list's least member."""
-    pivots = lists.groupBy("value").agg(F.min("cid").alias("b"), F.count("*").alias("size")).where("size > 1")
+    pivots = lists.groupBy("value").agg(F.min("cid").alias("b"))
     return lists.join(pivots, "value").where("cid <> b").select(F.col("cid").alias("a"), "b").distinct()
 
 
-def remaining_pairs(lists: DataFrame, roots: DataFrame, like: Similar) -> DataFrame:
-    """Pairs of a list that are not with its pivot and not in one component so far.
-
-    One of the two is outside the component that has most of the list, so a list of many
-    copies costs its few strangers times its length.
-    """
+def open_lists(lists: DataFrame, roots: DataFrame, before: int) -> DataFrame:
+    """Members, with their roots, of lists that hold several components and untried pairs."""
     rooted = lists.join(roots, F.col("cid") == F.col("node"), "left").select(
         "value", "cid", "n", F.coalesce("root", "cid").alias("root")
     )
-    parts = rooted.groupBy("value", "root").agg(F.count("*").alias("size"), F.min("cid").alias("least"))
-    open_lists = (
-        parts.groupBy("value")
-        .agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.min("least").alias("pivot"), F.sum("size").alias("size"), F.count("*").alias("parts"))
-        .where("parts > 1 AND size > 2")
-        .select("value", "main", "pivot")
+    parts = rooted.groupBy("value", "root").agg(F.count("*").alias("size"))
+    still = parts.groupBy("value").agg(
+        F.max_by("root", F.struct("size", "root")).alias("main"),
+        F.sum("size").alias("size"),
+        F.count("*").alias("parts"),
     )
-    members = materialise(rooted.join(open_lists, "value").where("cid <> pivot"), "open-lists")
-    other = members.select("value", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "root")])
-    few = members.where("root <> main").select("value", "main", "cid", "n", "root")
-    once = (F.col("root_b") == F.col("main")) | (F.col("cid") > F.col("cid_b"))
-    pairs = few.join(other, "value").where((F.col("root") != F.col("root_b")) & once)
-    pairs = pairs.where(_close_in_size(F.col("n"), F.col("n_b"), like))
+    still = still.where((F.col("parts") > 1) & (F.col("size") > before + 1))
+    return materialise(rooted.join(still.select("value", "main"), "value"), "open-lists")
+
+
+def further_pairs(members: DataFrame, before: int, pivots: int | None, like: Similar) -> DataFrame:
+    """Pairs across components with the pivots after the first ``before``; with all, for None.
+
+    One of the two is outside the component that has most of the list, so a list of many
+    copies costs its strangers times the pivots.
+    """
+    side = [F.col(c).alias(f"{c}_b") for c in ("cid", "n", "root")]
+    few = members.where("root <> main")
+    if pivots is None:
+        tried = members
+    else:
+        turn = F.row_number().over(Window.partitionBy("value").orderBy("cid"))
+        tried = members.withColumn("turn", turn).where(F.col("turn") <= pivots).where(F.col("turn") > before)
+    pairs = few.join(tried.select("value", *side), "value")
+    if pivots is not None:
+        pairs = pairs.union(tried.where("root <> main").drop("turn").join(members.select("value", *side), "value"))
+    pairs = pairs.where((F.col("root") != F.col("root_b")) & _close_in_size(F.col("n"), F.col("n_b"), like))
     return pairs.select(F.greatest("cid", "cid_b").alias("a"), F.least("cid", "cid_b").alias("b")).distinct()
 
 
@@ -221,10 +241,18 @@ def group(docs: DataFrame, doc_id: str, text: str, like: Similar = Similar()) ->
     )
     classes = materialise(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     lists = listed(classes, like)
-    links = verified(promising(pivot_pairs(lists), classes, like), classes, docs, like)
-    roots = materialise(components(links), "roots")
-    more = verified(promising(remaining_pairs(lists, roots, like), classes, like), classes, docs, like)
-    roots = components(links.union(more))
+    whole = whole_sets(lists, classes, docs, like)
+    check = lambda pairs: verified(promising(pairs, classes, like), whole, like)
+    links = materialise(check(pivot_pairs(lists)), "linked")
+    roots, before = materialise(components(links), "roots"), 1
+    for pivots in PIVOTS:
+        members = open_lists(lists, roots, before)
+        if members.isEmpty():
+            break
+        # What is known of components stands in for their links.
+        known = roots.where("node <> root").toDF("a", "b")
+        links = materialise(check(further_pairs(members, before, pivots, like)).union(known), "linked")
+        roots, before = materialise(components(links), "roots"), pivots
     named = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         "set_hash", "rep", F.coalesce("root", "cid").alias("root")
     )

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,59 +24,64 @@ from windrow.llm import files
 from windrow.session import materialise
 
 #: Ids in a sequence, sequences in a batch, and the ids at which a file is closed behind a document.
-SEQUENCE, BATCH, FILE_IDS = 1024, 256, 4 << 20
+SEQUENCE, BATCH, FILE_IDS = 1024, 256, 2 << 20
 
 #: Pieces of text that a worker remembers; beyond that it starts anew.
-MEMORY = 600_000
+MEMORY = 700_000
 
 
 class Encoder:
-    """The tokenizer's ids, with the ids of pieces between single spaces remembered.
+    """The tokenizer's ids, with the ids of pieces between single white spaces remembered.
 
-    For a byte-level tokenizer a space with no white space beside it always begins a new
-    pre-token, so the pieces that follow are encoded on their own. Texts with other white
-    space next to a space are cut only at the spaces that stand alone.
+    For a byte-level tokenizer a space or line end with no white space beside it begins a new
+    pre-token, or is one, so the pieces that it parts are encoded on their own. Texts with
+    other white space, or with a special token, are encoded as they are.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         spec = json.loads(self.tokenizer.to_str())
-        kinds = {spec["model"]["type"], (spec["pre_tokenizer"] or {}).get("type")}
-        self.splits = kinds == {"BPE", "ByteLevel"} and not spec["normalizer"] and not spec["pre_tokenizer"]["add_prefix_space"]
+        before = spec["pre_tokenizer"] or {}
+        self.parts = (spec["model"]["type"], before.get("type")) == ("BPE", "ByteLevel")
+        self.parts = self.parts and before.get("use_regex", True) and not before["add_prefix_space"]
+        self.parts = self.parts and not spec["normalizer"]
         self.marks = [t["content"] for t in spec["added_tokens"]]
-        self.known: dict[str, bytes] = {}
+        self.white = re.compile(r"[^\S \n]")
+        # "x" stands for " x", "\nx" for itself and ("x",) for the "x" that begins a text.
+        self.known: dict[str | tuple, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, dtype="<u4").tobytes() for c in coded]
-
-    def _keys(self, text: str) -> list[str]:
-        keys, at = [], 0
-        parts = text.split(" ")
-        for i, part in enumerate(parts):
-            lone = part and not part[0].isspace() and (not i or (parts[i - 1] and not parts[i - 1][-1].isspace()))
-            if not i:
-                keys.append(part)
-            elif lone:
-                keys.append(" " + part)
-            else:
-                keys[-1] += " " + part
-        return keys
+        return [array("I", c.ids).tobytes() for c in coded]
+
+    def _learn(self, keys: set) -> None:
+        # A stop or comma behind letters is a pre-token of its own.
+        ended = {k for k in keys if k[-1:] in (".", ",") and k[:-1].isalpha()}
+        plain = list((keys - ended) | {k[:-1] for k in ended if k[:-1] not in self.known})
+        texts = [k[0] if isinstance(k, tuple) else k if k[:1] == "\n" else " " + k for k in plain]
+        self.known.update(zip(plain, self._whole(texts)))
+        if ended:
+            stops = dict(zip(".,", self._whole([".", ","])))
+            self.known.update((k, self.known[k[:-1]] + stops[k[-1]]) for k in ended)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.splits:
+        if not self.parts:
             return self._whole(texts)
+        if len(self.known) > MEMORY:
+            self.known.clear()
         known, out = self.known, []
-        cut = [[t] if any(m in t for m in self.marks) else self._keys(t) for t in texts]
-        new = list({k for keys in cut for k in keys if k not in known})
-        if len(known) + len(new) > MEMORY:
-            known.clear()
-            new = list({k for keys in cut for k in keys})
-        for k, ids in zip(new, self._whole(new)):
-            known[k] = ids
-        for keys in cut:
-            out.append(b"".join([known[k] for k in keys]))
+        for text in texts:
+            keys: list = text.replace("\n", " \n").split(" ")
+            if "" in keys or "\n" in keys or self.white.search(text) or any(m in text for m in self.marks):
+                out += self._whole([text])
+                continue
+            keys[0] = (keys[0],)
+            found = list(map(known.get, keys))
+            if None in found:
+                self._learn({k for k, ids in zip(keys, found) if ids is None})
+                found = [known[k] for k in keys]
+            out.append(b"".join(found))
         return out
 
 
