@@ -122,5 +122,18 @@ SELECT page_id, octet_length(p.b)::BIGINT AS payload_bytes, sha1(p.b) AS payload
 FROM p LEFT JOIN largest ON p.b = largest.b"""
 
 
+# The search is approximate; at this size it finds all of the nearest.
+NEAREST = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_secret_scan": SECRETS, "op5_quality_rules": QUALITY, "op7_warc": WARC}
+    return {"op1_secret_scan": SECRETS, "op3_nearest": NEAREST, "op5_quality_rules": QUALITY, "op7_warc": WARC}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from windrow.llm import common, mixing, near_dups, pieces, quality, secrets, token_files, warc
+from windrow.llm import common, mixing, near_dups, nearest, pieces, quality, secrets, token_files, toxicity, warc
 from windrow.session import work_path
 
 
@@ -29,6 +29,11 @@ def op2_mix_sources(spark, sf):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_nearest(spark, sf):
+    vectors = common.table(spark, sf, "embeddings")
+    return nearest.search(vectors, F.col("vec_id") % 20 == 0, "vec_id", "embedding", 20)
+
+
 def op5_quality_rules(spark, sf):
     return quality.judge(common.table(spark, sf, "documents"), "doc_id", "text", ["lang", "source"])
 
@@ -64,13 +69,21 @@ def digest_ids(coded):
     )
 
 
+def op10_toxicity(spark, sf):
+    docs = common.table(spark, sf, "documents")
+    model = toxicity.fit(docs, common.table(spark, sf, "labels"))
+    return toxicity.score(docs, model, "doc_id", "text")
+
+
 def catalog():
     return {
         "op1_secret_scan": op1_secret_scan,
         "op2_mix_sources": op2_mix_sources,
+        "op3_nearest": op3_nearest,
         "op5_quality_rules": op5_quality_rules,
         "op6_token_files": op6_token_files,
         "op7_warc": op7_warc,
         "op8_minhash": op8_minhash,
         "op9_sentencepiece": op9_sentencepiece,
+        "op10_toxicity": op10_toxicity,
     }
