@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.session import materialise, work_root
+from windrow.session import materialise
 
 #: The six ASCII white-space characters, as a Java pattern. Words are what lies between.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -13,9 +13,6 @@ WHITE = r"[\x20\x09-\x0D]+"
 #: A side may be broadcast when its rows, counted, times their width stay below this many bytes.
 BROADCAST_BYTES = 16 << 20
 
-#: Rows in one Arrow batch of texts, so that a worker holds few texts at a time.
-TEXT_BATCH = 256
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,26 +22,27 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE), lambda w: w != "")
 
 
-def text_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches that Python workers get; a setting of the session."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > TEXT_BATCH:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH))
-
-
 def broadcast_if_bounded(df: DataFrame, row_bytes: int) -> DataFrame:
     """A broadcast hint, given only after counting; ``row_bytes`` bounds one row's width."""
     most = BROADCAST_BYTES // row_bytes
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def numbered(stored: DataFrame) -> DataFrame:
+    """(_row, _doc): the rows of a stored table with a number each, whatever their columns are called.
+
+    The number follows from the place of a row in the files, so every scan of the same table
+    gives the same; of anything but a stored table it would not.
+    """
+    return stored.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_doc"))
+
+
 def with_rank(df: DataFrame, *order: str, name: str = "_rank", into: str = "ranked") -> DataFrame:
     """``df`` with its position (from 0) in the total order of ``order``; a written table.
 
     A range partitioning, then one row per partition for the offsets: no task sees more
     than its own range. Rows equal in all of ``order`` are interchangeable.
     """
-    root = work_root(df.sparkSession)
-    assert root
     parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialise(parts.withColumn("_at", F.monotonically_increasing_id()), into)
     part, inside = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))

@@ -12,7 +12,7 @@ block goes to a block of the next level, so the work is a reduction tree over th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.llm import common
@@ -125,8 +125,8 @@ def dependent_rounding(shares: DataFrame, rows: int, seed: int) -> DataFrame:
     return out
 
 
-def mix(docs: DataFrame, doc_id: str, source: str, text: str, seed: int = 17) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken.
+def mix(docs: DataFrame, doc_id: str, source: str, text: str, seed: int = 17, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken (and ``row``).
 
     ``taken`` is copies x size. Documents of a source are rounded from long to short, so what
     is left to chance at the end is mostly a short one. The draws depend on the document's
@@ -134,12 +134,13 @@ def mix(docs: DataFrame, doc_id: str, source: str, text: str, seed: int = 17) ->
     A null text has size 0 and is taken 0 times its size; a null source is a source, the last
     one; repeated rows are rounded one by one; an empty table gives an empty result.
     """
+    carried = [F.col(row).alias("row")] if row else []
     sized = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), *carried
     )
     sized = materialise(sized.withColumns({"_down": -F.col("size"), "_hash": F.xxhash64(F.lit(seed), "doc_id")}), "sizes")
     aims = materialise(targets(sized), "targets")
-    ranked = common.with_rank(sized, "source", "_down", "_hash", "doc_id", name="rank").drop("_down", "_hash")
+    ranked = common.with_rank(sized, "source", "_down", "_hash", "doc_id", *(["row"] if row else []), name="rank").drop("_down", "_hash")
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(F.col("_due") + EXACT)
     aims_side = common.broadcast_if_bounded(aims, 256).withColumnRenamed("source", "_of")
@@ -154,31 +155,21 @@ def mix(docs: DataFrame, doc_id: str, source: str, text: str, seed: int = 17) ->
     up = dependent_rounding(shares, ranked.count(), seed)
     copies = F.col("whole") + F.coalesce(F.col("up").cast("long"), F.lit(0))
     return ranked.join(up, "rank", "left").select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        copies.alias("copies"),
+        (copies * F.col("size")).alias("taken"),
+        *(["row"] if row else []),
     )
 
 
-def repeat(docs: DataFrame, mixed: DataFrame, doc_id: str, source: str, text: str) -> DataFrame:
-    """``docs`` with each row as often as ``mixed`` takes it; rows taken no time go.
-
-    Rows of one id, source and size are alike to the mix: they share their copies in any order.
-    """
-    key = ["_id", "_source", "_size"]
-    mine = mixed.where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies"
-    )
-    mine = mine.groupBy(*key).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies"))
-    keyed = docs.select(F.struct("*").alias("_row")).withColumns(
-        {
-            "_id": F.col(f"_row.`{doc_id}`"),
-            "_source": F.col(f"_row.`{source}`"),
-            "_size": word_count(F.col(f"_row.`{text}`")),
-        }
-    )
-    turn = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
-    on = F.lit(True)
-    for k in key:
-        on &= keyed[k].eqNullSafe(mine[k])
-    held = keyed.withColumn("_turn", turn).join(mine, on)
-    times = F.coalesce(F.try_element_at("_copies", F.col("_turn")), F.lit(0))
-    return held.where(times > 0).select("_row", F.explode(F.sequence(F.lit(1), times.cast("int")))).select("_row.*")
+def repeated(stored: DataFrame, doc_id: str, source: str, text: str, seed: int = 17) -> DataFrame:
+    """The rows of a stored table, each as often as the mix takes it; rows taken no time go."""
+    rows = common.numbered(stored)
+    mixed = mix(rows.select("_row", *[f"_doc.`{c}`" for c in (doc_id, source, text)]), doc_id, source, text, seed, "_row")
+    taken = materialise(mixed.where("copies > 0").select(F.col("row").alias("_taken"), "copies"), "taken")
+    held = rows.join(common.broadcast_if_bounded(taken, 24), F.col("_row") == F.col("_taken"))
+    return held.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_doc.*")

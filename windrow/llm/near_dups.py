@@ -270,3 +270,17 @@ def group(docs: DataFrame, doc_id: str, text: str, like: Similar = Similar()) ->
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def one_of_each(stored: DataFrame, doc_id: str, text: str, like: Similar = Similar()) -> DataFrame:
+    """The rows of a stored table without all but one of each group: the one with the least id.
+
+    Rows are told apart by their place in the table, so repeated rows and rows without an id
+    leave one too; a row with an id goes before one without.
+    """
+    rows = common.numbered(stored)
+    own = F.struct(F.col(f"_doc.`{doc_id}`").isNull().alias("none"), F.col(f"_doc.`{doc_id}`").alias("id"), F.col("_row").alias("row"))
+    grouped = group(rows.select(own.alias("own"), F.col(f"_doc.`{text}`").alias("text")), "own", "text", like)
+    gone = materialise(grouped.where(~F.col("kept")).select(F.col("doc_id.row").alias("_gone")), "gone")
+    left = rows.join(common.broadcast_if_bounded(gone, 16), F.col("_row") == F.col("_gone"), "left_anti")
+    return left.select("_doc.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from windrow.llm.licences import TEMPLATES
+
 # Pieces between matches and the matches give the offsets.
 _KIND = """
 {kind}_m AS (SELECT doc_id, regexp_extract_all(t, '{pattern}') m, string_split_regex(t, '{pattern}') p FROM docs),
@@ -122,6 +124,48 @@ SELECT page_id, octet_length(p.b)::BIGINT AS payload_bytes, sha1(p.b) AS payload
 FROM p LEFT JOIN largest ON p.b = largest.b"""
 
 
+# All lines of all documents, without the operator's choice of candidates.
+_TERM = "[a-z0-9]+(?:[.][0-9]+)*"
+LICENCES = f"""
+WITH templates(licence, t) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in TEMPLATES.items())}),
+tc AS (
+  SELECT licence, term, count(*) AS n
+  FROM (SELECT licence, unnest(regexp_extract_all(lower(t), '{_TERM}')) AS term FROM templates) GROUP BY ALL),
+idf AS (SELECT term, ln((1 + {len(TEMPLATES)}) / (1 + count(*))) + 1 AS idf FROM tc GROUP BY term),
+tw AS (SELECT licence, term, n * idf AS w, sqrt(sum((n * idf) ** 2) OVER (PARTITION BY licence)) AS size
+  FROM tc JOIN idf USING (term)),
+docs AS (
+  SELECT doc_id, text, source, length(abs(doc_id)::VARCHAR) AS k, coalesce(source, 'none') || '/' || array_to_string(
+    [substr(abs(doc_id)::VARCHAR, 1, i) for i in range(1, length(abs(doc_id)::VARCHAR) + 1)], '/') AS path
+  FROM documents),
+lines AS (SELECT DISTINCT path, unnest(string_split(text, chr(10))) AS line FROM docs),
+lc AS (
+  SELECT path, line, term, count(*) AS n
+  FROM (SELECT path, line, unnest(regexp_extract_all(lower(line), '{_TERM}')) AS term FROM lines) GROUP BY ALL),
+lw AS (
+  SELECT path, line, term, n * coalesce(idf, ln(1 + {len(TEMPLATES)}) + 1) AS w
+  FROM lc LEFT JOIN idf USING (term)),
+ln AS (SELECT path, line, sqrt(sum(w * w)) AS size FROM lw GROUP BY path, line),
+near AS (
+  SELECT path, licence, round(sum(lw.w / ln.size * tw.w / tw.size), 6) AS similarity
+  FROM lw JOIN ln USING (path, line) JOIN tw USING (term) GROUP BY path, line, licence),
+own AS (
+  SELECT path, licence, similarity FROM near WHERE similarity >= 0.6
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY similarity DESC, licence) = 1),
+declared AS (
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS directory, path AS declared_by, licence, similarity FROM own
+  QUALIFY row_number() OVER (
+    PARTITION BY regexp_replace(path, '/?[^/]*$', '') ORDER BY similarity DESC, path) = 1),
+heirs AS (
+  SELECT h.home, d.* FROM (SELECT DISTINCT regexp_replace(path, '/?[^/]*$', '') AS home FROM docs) h
+  JOIN declared d ON starts_with(h.home || '/', d.directory || '/')
+  QUALIFY row_number() OVER (PARTITION BY h.home ORDER BY length(d.directory) DESC) = 1)
+SELECT doc_id, coalesce(o.licence, h.licence) AS licence, coalesce(o.similarity, h.similarity) AS similarity,
+  string_split(CASE WHEN o.path IS NOT NULL THEN o.path ELSE h.declared_by END, '/')[-1]::BIGINT AS declared_by,
+  o.path IS NULL AND h.home IS NOT NULL AS inherited
+FROM docs d LEFT JOIN own o ON d.path = o.path
+LEFT JOIN heirs h ON regexp_replace(d.path, '/?[^/]*$', '') = h.home"""
+
 # The search is approximate; at this size it finds all of the nearest.
 NEAREST = """
 WITH v AS (
@@ -136,4 +180,4 @@ FROM scored QUALIFY rank <= 20"""
 
 
 def statements() -> dict[str, str]:
-    return {"op1_secret_scan": SECRETS, "op3_nearest": NEAREST, "op5_quality_rules": QUALITY, "op7_warc": WARC}
+    return {"op1_secret_scan": SECRETS, "op3_nearest": NEAREST, "op4_licences": LICENCES, "op5_quality_rules": QUALITY, "op7_warc": WARC}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from windrow.llm import common, mixing, near_dups, nearest, pieces, quality, secrets, token_files, toxicity, warc
+from windrow.llm import common, licences, mixing, near_dups, nearest, pieces, quality, secrets, token_files, toxicity, warc
 from windrow.session import work_path
 
 
@@ -34,6 +34,24 @@ def op3_nearest(spark, sf):
     return nearest.search(vectors, F.col("vec_id") % 20 == 0, "vec_id", "embedding", 20)
 
 
+def document_path():
+    """Documents have no paths: these come from source and id. Document 1234 of src7 is at
+    src7/1/12/123/1234, so 12 declares for the directories below src7/1."""
+    digits = F.abs("doc_id").cast("string")
+    steps = F.transform(F.sequence(F.lit(1), F.length(digits)), lambda k: F.substring(digits, F.lit(1), k))
+    return F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), F.array_join(steps, "/"))
+
+
+def op4_licences(spark, sf):
+    docs = common.table(spark, sf, "documents").select("doc_id", document_path().alias("path"), "text")
+    found = licences.scan(docs, "path", "text")
+    # The last part of a path is the id.
+    number = lambda c: F.substring_index(c, "/", -1).cast("long")
+    return found.select(
+        number("path").alias("doc_id"), "licence", "similarity", number("declared_by").alias("declared_by"), "inherited"
+    )
+
+
 def op5_quality_rules(spark, sf):
     return quality.judge(common.table(spark, sf, "documents"), "doc_id", "text", ["lang", "source"])
 
@@ -80,6 +98,7 @@ def catalog():
         "op1_secret_scan": op1_secret_scan,
         "op2_mix_sources": op2_mix_sources,
         "op3_nearest": op3_nearest,
+        "op4_licences": op4_licences,
         "op5_quality_rules": op5_quality_rules,
         "op6_token_files": op6_token_files,
         "op7_warc": op7_warc,

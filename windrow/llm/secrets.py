@@ -16,8 +16,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import common
-
 FINDING = "array<struct<start:int,place:int,end:int,kind:string>>"
 LEDGER = f"blob string, rules array<string>, findings {FINDING}"
 
@@ -90,10 +88,8 @@ def update_ledger(versions: DataFrame, ledger: str, text: str, rules: Sequence[R
     scanned by the next run; rows that are there twice do no harm.
     """
     spark = versions.sparkSession
-    common.text_batches(spark)
     names = F.array(*[F.lit(r.name) for r in rules])
-    content = F.coalesce(F.col(text), F.lit(""))
-    contents = versions.select(F.sha2(content, 256).alias("blob"), content.alias("text")).dropDuplicates(["blob"])
+    contents = versions.select(blob(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text")).dropDuplicates(["blob"])
     seen = read_ledger(spark, ledger).groupBy("blob").agg(F.flatten(F.collect_list("rules")).alias("seen"))
     todo = (
         contents.join(seen, "blob", "left")
@@ -103,6 +99,21 @@ def update_ledger(versions: DataFrame, ledger: str, text: str, rules: Sequence[R
     todo.mapInPandas(_scanner(rules), LEDGER).write.mode("append").parquet(ledger)
 
 
+def findings_by_content(spark: SparkSession, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """(blob, findings) of every content in which the given rule versions found something."""
+    rows = read_ledger(spark, ledger).select("blob", "rules", F.explode("findings").alias("f"))
+    # A rule's older version may have left findings too: a row counts for the versions that wrote it.
+    current = F.lit(False)
+    for rule in rules:
+        current |= (F.col("f.kind") == rule.kind) & F.array_contains("rules", rule.name)
+    found = rows.where(current).groupBy("blob")
+    return found.agg(F.sort_array(F.collect_set("f")).alias("findings"))
+
+
+def blob(text: str):
+    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+
+
 def findings_by_path(
     versions: DataFrame, ledger: str, paths: Sequence[str], text: str, rules: Sequence[Rule] = RULES
 ) -> DataFrame:
@@ -111,20 +122,11 @@ def findings_by_path(
     The join is on the content's name. A content that a third of all rows share makes that
     key hot on the side of the paths, whose rows are narrow, and adaptive execution splits it.
     """
-    kinds = {r.kind: r.name for r in rules}
-    rows = read_ledger(versions.sparkSession, ledger).select("blob", "rules", F.explode("findings").alias("f"))
-    # A rule's older version may have left findings too: a row counts for the versions that wrote it.
-    current = F.lit(False)
-    for kind, name in kinds.items():
-        current |= (F.col("f.kind") == kind) & F.array_contains("rules", name)
-    found = (
-        rows.where(current)
-        .groupBy("blob")
-        .agg(F.sort_array(F.collect_set("f")).alias("findings"))
-    )
-    held = versions.select(*paths, F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("_blob"))
-    return held.join(found, F.col("_blob") == found["blob"], "left").select(
-        *paths, F.coalesce("findings", F.array().cast(FINDING)).alias("findings")
+    found = findings_by_content(versions.sparkSession, ledger, rules)
+    held = versions.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(paths)], blob(text).alias("_blob"))
+    return held.join(found, F.col("_blob") == F.col("blob"), "left").select(
+        *[F.col(f"_p{i}").alias(p) for i, p in enumerate(paths)],
+        F.coalesce("findings", F.array().cast(FINDING)).alias("findings"),
     )
 
 
@@ -143,7 +145,7 @@ def scan(
 
 
 def redact(text: str, findings: str = "findings", mask: str = "[REDACTED]"):
-    """The text with each stretch of found characters replaced; overlapping finds are one stretch."""
+    """A column: the text with each stretch of found characters replaced; overlapping finds are one stretch."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(done, f):
@@ -155,4 +157,4 @@ def redact(text: str, findings: str = "findings", mask: str = "[REDACTED]"):
         )
 
     rest = lambda d: F.concat(d["out"], F.substring(F.col(text), d["at"] + 1, F.length(F.col(text))))
-    return F.when(F.size(findings) == 0, F.col(text)).otherwise(F.aggregate(findings, start, step, rest))
+    return F.when(F.coalesce(F.size(findings), F.lit(0)) <= 0, F.col(text)).otherwise(F.aggregate(findings, start, step, rest))

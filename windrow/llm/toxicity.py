@@ -256,3 +256,18 @@ def score(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, model: Model, text: str) -> DataFrame:
+    """The rows, with all their columns, that are not predicted to be toxic."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grammar = Grammar(model.lexicon)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                x = np.array([grammar.features(t or "") for t in part.column(at).to_pylist()])
+                yield part.filter(pa.array(model.scores(x) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -40,8 +40,12 @@ CRLF = b"\r\n"
 
 def build_dictionary(pages: DataFrame, page_id: str, html: str) -> bytes:
     """From a bounded sample; empty when there is nothing to learn from."""
-    chosen = pages.select(F.xxhash64(page_id).alias("h"), F.encode(F.substring(html, 1, SAMPLE_BYTES), "utf-8").alias("b"))
-    sample = [bytes(r.b)[:SAMPLE_BYTES] for r in chosen.where(F.length("b") > 0).orderBy("h", "b").limit(SAMPLE_PAGES).collect()]
+    hashed = pages.select(F.xxhash64(page_id).alias("h"), F.encode(F.substring(html, 1, SAMPLE_BYTES), "utf-8").alias("b"))
+    hashed = hashed.where(F.length("b") > 0)
+    # First the hashes alone, so that tasks send numbers, not pages.
+    lowest = hashed.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).agg(F.max("h")).scalar()
+    chosen = hashed.where(F.col("h") <= lowest).groupBy("h").agg(F.min("b").alias("b")).orderBy("h")
+    sample = [bytes(r.b)[:SAMPLE_BYTES] for r in chosen.collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, sample).as_bytes()
     except (zstandard.ZstdError, ValueError):
