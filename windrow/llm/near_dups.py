@@ -36,7 +36,7 @@ from windrow.session import materialise
 K, MISS = 64, 1e-8
 
 #: Pivots of a list, round by round after the first; None is all that is left.
-PIVOTS = (4, 16, 64, 256, None)
+PIVOTS = (8, 64, 512, None)
 
 #: Words whose hashes a worker remembers.
 MEMORY = 500_000
@@ -191,7 +191,7 @@ def pivot_pairs(lists: DataFrame) -> DataFrame:
 
 def open_lists(lists: DataFrame, roots: DataFrame, before: int) -> DataFrame:
     """Members, with their roots, of lists that hold several components and untried pairs."""
-    rooted = lists.join(roots, F.col("cid") == F.col("node"), "left").select(
+    rooted = lists.select("value", "cid", "n").join(roots, F.col("cid") == F.col("node"), "left").select(
         "value", "cid", "n", F.coalesce("root", "cid").alias("root")
     )
     parts = rooted.groupBy("value", "root").agg(F.count("*").alias("size"))
@@ -242,17 +242,17 @@ def group(docs: DataFrame, doc_id: str, text: str, like: Similar = Similar()) ->
     classes = materialise(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     lists = listed(classes, like)
     whole = whole_sets(lists, classes, docs, like)
-    check = lambda pairs: verified(promising(pairs, classes, like), whole, like)
-    links = materialise(check(pivot_pairs(lists)), "linked")
-    roots, before = materialise(components(links), "roots"), 1
+    check = lambda pairs: materialise(verified(promising(pairs, classes, like), whole, like), "linked")
+    roots, before = materialise(components(check(pivot_pairs(lists))), "roots"), 1
     for pivots in PIVOTS:
-        members = open_lists(lists, roots, before)
-        if members.isEmpty():
+        lists = open_lists(lists, roots, before)
+        if lists.isEmpty():
             break
-        # What is known of components stands in for their links.
-        known = roots.where("node <> root").toDF("a", "b")
-        links = materialise(check(further_pairs(members, before, pivots, like)).union(known), "linked")
-        roots, before = materialise(components(links), "roots"), pivots
+        links, before = check(further_pairs(lists, before, pivots, like)), pivots
+        if not links.isEmpty():
+            # What is known of components stands in for their links.
+            known = roots.where("node <> root").toDF("a", "b")
+            roots = materialise(components(links.union(known)), "roots")
     named = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         "set_hash", "rep", F.coalesce("root", "cid").alias("root")
     )

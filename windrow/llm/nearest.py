@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from windrow.session import materialise
 
 #: Standard deviations of the estimate that the bounds allow for.
-WIDTH = 4.0
+WIDTH = 3.0
 
 #: Index rows in a group are about this many times the root of all; queries visit every group.
 GROUP, LEAST_GROUP = 8, 2048
