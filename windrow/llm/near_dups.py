@@ -10,9 +10,10 @@ sketch's rarest values, as many as leave fewer than ``common``. Values of passag
 that very many documents share are common, hence not listed unless they are most of a sketch.
 
 Long lists are not multiplied out. First each list's members are compared with one of them, the
-pivot; members found to be linked are one component, and pairs within one need no look. Then
-members outside a list's largest component are compared with more and more pivots, at last
-with all, so no link between components is missed.
+pivot; members found to be linked are one component, and pairs within one need no look. What a
+set shares with no other bounds its similarity to any. Members outside a list's largest
+component that may still be linked are compared with more and more pivots, at last with all, so
+no link between components is missed.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from windrow.llm.graph import components
 from windrow.session import materialise
 
 #: Values that a sketch retains, and the chance that two similar documents go unseen.
-K, MISS = 64, 1e-8
+K, MISS = 64, 1e-6
 
 #: Pivots of a list, round by round after the first; None is all that is left.
 PIVOTS = (8, 64, 512, None)
@@ -131,20 +132,22 @@ def sets(docs: DataFrame, width: int, sketch: bool) -> DataFrame:
 
 
 def listed(classes: DataFrame, like: Similar) -> DataFrame:
-    """(cid, n, value): the rarest retained values of each class that another class has too.
+    """(cid, n, weight, value): the rarest retained values of each class that another class has too.
 
     Values that no other class retains come first in the order of rarity and are not written.
+    ``weight`` says how common a class's values are: in a group of copies it is largest for the
+    one that the others were made from.
     """
     retained = classes.select("cid", "n", F.explode("values").alias("value"))
     # A hot value is one row per task here, and narrow rows in the join below.
     shared = retained.groupBy("value").agg(F.count("*").alias("seen")).where("seen > 1")
     held = retained.join(shared, "value").groupBy("cid", "n").agg(
-        F.sort_array(F.collect_list(F.struct("seen", "value"))).alias("held")
+        F.sort_array(F.collect_list(F.struct("seen", "value"))).alias("held"), F.sum("seen").alias("weight")
     )
     alone = F.least(F.col("n"), F.lit(K)).cast("int") - F.size("held")
     most = F.greatest(like.listed(F.col("n")) - alone, F.lit(0))
-    chosen = held.select("cid", "n", F.explode(F.slice("held", F.lit(1), most)).alias("x"))
-    chosen = materialise(chosen.select("cid", "n", "x.value"), "listed")
+    chosen = held.select("cid", "n", "weight", F.explode(F.slice("held", F.lit(1), most)).alias("x"))
+    chosen = materialise(chosen.select("cid", "n", "weight", "x.value"), "listed")
     several = chosen.groupBy("value").agg(F.count("*").alias("size")).where("size > 1").select("value")
     return materialise(chosen.join(several, "value"), "lists")
 
@@ -162,15 +165,13 @@ def promising(pairs: DataFrame, classes: DataFrame, like: Similar) -> DataFrame:
     return both.where(shared * K >= like.common * F.size("union")).select("a", "b")
 
 
-def whole_sets(lists: DataFrame, classes: DataFrame, docs: DataFrame, like: Similar) -> DataFrame:
-    """(cid, whole): the full sets of all classes that are in some list, made from their texts."""
-    wanted = lists.select("cid").distinct().join(classes.select("cid", "set_hash", "rep"), "cid")
-    wanted = materialise(wanted, "wanted")
-    ids = common.broadcast_if_bounded(wanted.select(F.col("rep").alias("_rep")).distinct(), 32)
+def whole_sets(members: DataFrame, docs: DataFrame, like: Similar) -> DataFrame:
+    """(cid, whole): the full sets of ``members``, made from their texts."""
+    ids = common.broadcast_if_bounded(members.select(F.col("rep").alias("_rep")).distinct(), 32)
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_rep"))).select("doc_id", "text")
     # An id that several texts share brings some that are not asked for.
     made = sets(texts, like.width, False).select("set_hash", "values").dropDuplicates(["set_hash"])
-    made = made.join(wanted.select("cid", "set_hash"), "set_hash")
+    made = made.join(members.select("cid", "set_hash"), "set_hash")
     return materialise(made.select("cid", F.col("values").alias("whole")), "whole")
 
 
@@ -183,45 +184,73 @@ def verified(pairs: DataFrame, whole: DataFrame, like: Similar) -> DataFrame:
     return both.where(sure).select("a", "b")
 
 
-def pivot_pairs(lists: DataFrame) -> DataFrame:
-    """Each member of a list with the list's least member."""
-    pivots = lists.groupBy("value").agg(F.min("cid").alias("b"))
-    return lists.join(pivots, "value").where("cid <> b").select(F.col("cid").alias("a"), "b").distinct()
+def pivot_pairs(lists: DataFrame, like: Similar) -> DataFrame:
+    """Each member of a list with the list's first member."""
+    first = F.max_by(F.struct("cid", "n"), F.struct("weight", -F.col("cid")))
+    pivots = lists.groupBy("value").agg(first.alias("p"))
+    pairs = lists.join(pivots, "value").where((F.col("cid") != F.col("p.cid")))
+    pairs = pairs.where(_close_in_size(F.col("n"), F.col("p.n"), like))
+    return pairs.select(F.greatest("cid", "p.cid").alias("a"), F.least("cid", "p.cid").alias("b")).distinct()
 
 
-def open_lists(lists: DataFrame, roots: DataFrame, before: int) -> DataFrame:
-    """Members, with their roots, of lists that hold several components and untried pairs."""
-    rooted = lists.select("value", "cid", "n").join(roots, F.col("cid") == F.col("node"), "left").select(
-        "value", "cid", "n", F.coalesce("root", "cid").alias("root")
-    )
-    parts = rooted.groupBy("value", "root").agg(F.count("*").alias("size"))
+def _can_link(a: Column, b: Column, like: Similar) -> Column:
+    """May two sets be linked of which at most ``common`` members are in any other set?"""
+    most = F.least(a["common"], b["common"])
+    return 100 * most >= like.percent * (a["n"] + b["n"] - most)
+
+
+def open_lists(lists: DataFrame, roots: DataFrame, before: int, like: Similar) -> DataFrame:
+    """Members, with their roots, of lists that hold several components and untried pairs.
+
+    Members that can't be linked with anything keep their places but count for no component.
+    """
+    rooted = lists.select("value", "cid", "n", "weight", "common").join(roots, F.col("cid") == F.col("node"), "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "cid")).drop("node")
+    rooted = rooted.withColumn("live", 100 * F.col("common") >= like.percent * F.col("n"))
+    parts = rooted.groupBy("value", "root").agg(F.count("*").alias("size"), F.count_if("live").alias("live"))
     still = parts.groupBy("value").agg(
-        F.max_by("root", F.struct("size", "root")).alias("main"),
+        F.max_by("root", F.struct("live", "root")).alias("main"),
         F.sum("size").alias("size"),
-        F.count("*").alias("parts"),
+        F.count_if(F.col("live") > 0).alias("parts"),
     )
     still = still.where((F.col("parts") > 1) & (F.col("size") > before + 1))
     return materialise(rooted.join(still.select("value", "main"), "value"), "open-lists")
 
 
+def with_common(lists: DataFrame, whole: DataFrame) -> DataFrame:
+    """``lists`` with ``common``: how many members of each set are in another listed set too.
+
+    Only listed sets can be linked, so this bounds every intersection, and it is exact.
+    """
+    held = whole.join(lists.select("cid").distinct(), "cid", "left_semi").select("cid", F.explode("whole").alias("v"))
+    alone = held.groupBy("v").agg(F.count("*").alias("seen"), F.min("cid").alias("cid")).where("seen = 1")
+    alone = alone.groupBy("cid").agg(F.count("*").alias("alone"))
+    lists = lists.drop("common").join(alone, "cid", "left")
+    return materialise(lists.withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone"), "bounded")
+
+
 def further_pairs(members: DataFrame, before: int, pivots: int | None, like: Similar) -> DataFrame:
     """Pairs across components with the pivots after the first ``before``; with all, for None.
 
     One of the two is outside the component that has most of the list, so a list of many
     copies costs its strangers times the pivots.
     """
-    side = [F.col(c).alias(f"{c}_b") for c in ("cid", "n", "root")]
-    few = members.where("root <> main")
+    side = F.struct("cid", "n", "common", "root").alias("b")
+    few = members.where("live AND root <> main").select("value", "cid", "n", "common", "root")
     if pivots is None:
         tried = members
     else:
-        turn = F.row_number().over(Window.partitionBy("value").orderBy("cid"))
+        turn = F.row_number().over(Window.partitionBy("value").orderBy(F.desc("weight"), "cid"))
         tried = members.withColumn("turn", turn).where(F.col("turn") <= pivots).where(F.col("turn") > before)
-    pairs = few.join(tried.select("value", *side), "value")
+    tried = tried.where("live")
+    pairs = few.join(tried.select("value", side), "value")
     if pivots is not None:
-        pairs = pairs.union(tried.where("root <> main").drop("turn").join(members.select("value", *side), "value"))
-    pairs = pairs.where((F.col("root") != F.col("root_b")) & _close_in_size(F.col("n"), F.col("n_b"), like))
-    return pairs.select(F.greatest("cid", "cid_b").alias("a"), F.least("cid", "cid_b").alias("b")).distinct()
+        strange = tried.where("root <> main").select("value", "cid", "n", "common", "root")
+        pairs = pairs.union(strange.join(members.where("live").select("value", side), "value"))
+    mine = {"n": F.col("n"), "common": F.col("common")}
+    other = F.col("b")
+    pairs = pairs.where((F.col("root") != other["root"]) & _can_link(mine, other, like))
+    return pairs.select(F.greatest("cid", "b.cid").alias("a"), F.least("cid", "b.cid").alias("b")).distinct()
 
 
 def group(docs: DataFrame, doc_id: str, text: str, like: Similar = Similar()) -> DataFrame:
@@ -241,13 +270,17 @@ def group(docs: DataFrame, doc_id: str, text: str, like: Similar = Similar()) ->
     )
     classes = materialise(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     lists = listed(classes, like)
-    whole = whole_sets(lists, classes, docs, like)
-    check = lambda pairs: materialise(verified(promising(pairs, classes, like), whole, like), "linked")
-    roots, before = materialise(components(check(pivot_pairs(lists))), "roots"), 1
+    members = materialise(classes.join(lists.select("cid").distinct(), "cid", "left_semi"), "members")
+    whole = whole_sets(members, docs, like)
+    check = lambda pairs: materialise(verified(promising(pairs, members, like), whole, like), "linked")
+    roots, before = materialise(components(check(pivot_pairs(lists, like))), "roots"), 1
+    lists = lists.withColumn("common", F.col("n"))
     for pivots in PIVOTS:
-        lists = open_lists(lists, roots, before)
+        lists = open_lists(lists, roots, before, like)
         if lists.isEmpty():
             break
+        if before == 1:
+            lists = open_lists(with_common(lists, whole), roots, before, like)
         links, before = check(further_pairs(lists, before, pivots, like)), pivots
         if not links.isEmpty():
             # What is known of components stands in for their links.
