@@ -53,7 +53,7 @@ def test_from_archive_to_ranked_runs(spark, archive, tmp_path):
         F.hour(F.to_timestamp("timestamp_utc")).cast("long").alias("_kafka_offset"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("_ingested_at_utc"),
     )
-    assert jobs.consume(landed, at["raw"], at["cp"], table=at["table"]).missed == []
+    assert jobs.consume(landed, at["raw"], at["cp"], table=at["table"]).missed(spark) == []
 
     summary, columns, second = jobs.validate(spark, at["raw"], at["table"])
     assert second == 72

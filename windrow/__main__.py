@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from windrow import fixed, schemas
+from windrow import schemas
 from windrow.plans import jobs
 from windrow.session import build_session, use_utc
 from windrow.sources import kafka as kafka_source
@@ -12,6 +12,10 @@ from windrow.streaming import scoring
 from windrow.streaming.replay import replay_topic
 
 
+#: Rows of a stored object at most. How much a batch reads is not bound by it.
+OBJECT_ROWS = 100_000
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="windrow")
     steps = top.add_subparsers(dest="step", required=True)
@@ -22,7 +26,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{option}", required=option not in defaults, default=defaults.get(option))
 
     step("sample", "grid", "out", "start", "end")
-    consume = {"table": None, "run-id": None, "flush": fixed.FLUSH_ROWS, "max-records": None, "idle-seconds": 60}
+    consume = {"table": None, "run-id": None, "object-rows": OBJECT_ROWS, "max-records": None, "idle-seconds": 60}
     step("consume", "servers", "raw", "checkpoint", *consume, **consume)
     step("replay", "events", "servers")
     step("validate", "raw", "table", table=None)
@@ -41,7 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     if a.step == "sample":
         jobs.sample(spark.read.parquet(a.grid), a.out, a.start, a.end).show(5, truncate=False)
     elif a.step == "consume":
-        topic = kafka_source.read_topic(spark, a.servers, max_offsets=int(a.flush))
+        topic = kafka_source.read_topic(spark, a.servers)
         sink = jobs.consume(
             kafka_source.decode(topic),
             a.raw,
@@ -50,8 +54,9 @@ def main(argv: list[str] | None = None) -> None:
             a.table,
             int(a.max_records) if a.max_records else None,
             float(a.idle_seconds),
+            int(a.object_rows),
         )
-        print("run:", sink.run_id, "missed by the second target:", sink.missed)
+        print("run:", sink.run_id, "missed by the second target:", sink.missed(spark))
     elif a.step == "validate":
         summary, columns, second = jobs.validate(spark, a.raw, a.table)
         summary.show(truncate=False)

@@ -335,4 +335,10 @@ def statements() -> dict[str, str]:
     sql["stream_dual_sink"] = (("raw_weather",), """
         SELECT store, count(*) AS row_count, count(event_id) AS with_id, min(timestamp_utc) AS min_timestamp
         FROM raw_weather, (VALUES ('raw'), ('table')) s(store) GROUP BY store""")
+    sql["raw_whole_record"] = (("raw_weather",), """
+        SELECT event_id, _kafka_offset, CAST(_kafka_offset AS VARCHAR) AS gust, airport AS origin_airport,
+               2::INTEGER AS unknown_fields
+        FROM raw_weather""")
+    sql["stream_raw_restart"] = (("raw_weather",), """
+        SELECT store, event_id, _kafka_offset FROM raw_weather, (VALUES ('raw'), ('table')) s(store)""")
     return {name: with_blocks(needed, select) for name, (needed, select) in sql.items()}

@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windrow import fixed, schemas
 from windrow.functions.flatten import flatten_nested
@@ -18,7 +20,7 @@ from windrow.operators import labels, metrics, quality, runs, split, training
 from windrow.operators.dedup import first_delivery
 from windrow.operators.ordered import exact_quantile
 from windrow.operators.rolling import rolling_features
-from windrow.plans import layers, samples
+from windrow.plans import jobs, layers, samples
 from windrow.session import materialise, use_utc, work_path
 from windrow.sinks import kafka as kafka_sink
 from windrow.sinks import raw as raw_sink
@@ -125,7 +127,31 @@ def kafka_decode(spark, sf):
         F.col("_kafka_partition").alias("partition"),
         F.col("_kafka_offset").alias("offset"),
     )
-    return kafka_source.decode(records).drop("_ingested_at_utc")
+    return kafka_source.decode(records).drop("_ingested_at_utc", "_rest")
+
+
+def raw_whole_record(spark, sf):
+    """Fields outside the schema, one plain and one nested, come back from the raw zone."""
+    raw = samples.raw_weather(spark, sf)
+    extra = [F.col("_kafka_offset").alias("gust"), F.struct("airport", "_kafka_partition").alias("origin")]
+    records = raw.select(
+        F.col("airport").cast("binary").alias("key"),
+        F.to_json(F.struct(*fixed.EVENT_COLUMNS, *extra)).cast("binary").alias("value"),
+        F.col("_kafka_topic").alias("topic"),
+        F.col("_kafka_partition").alias("partition"),
+        F.col("_kafka_offset").alias("offset"),
+    )
+    path = work_path(spark, "raw")
+    raw_sink.write_raw(kafka_source.decode(records), path, raw_sink.new_run_id())
+    whole = T.StructType([*schemas.RAW.fields, schemas.REST])
+    stored = raw_source.scan_raw(spark, path, whole)
+    return stored.select(
+        "event_id",
+        "_kafka_offset",
+        F.col("_rest.gust").alias("gust"),
+        F.get_json_object("_rest.origin", "$.airport").alias("origin_airport"),
+        F.size("_rest").cast("int").alias("unknown_fields"),
+    )
 
 
 # Sinks
@@ -490,6 +516,34 @@ def stream_dual_sink(spark, sf):
     return summary
 
 
+def stream_raw_restart(spark, sf):
+    """The second target fails once, the process dies behind a raw write, the next start names
+    no run: both targets hold every row once."""
+    landed, raw, table, checkpoint = (_landed(spark, sf), *(work_path(spark, n) for n in ("raw", "table", "checkpoint")))
+    run_id = ingest.run_of(spark, checkpoint)
+
+    def away(batch, batch_id):
+        raise OSError("second target is away")
+
+    sink = ingest.RawSink(raw, run_id, second=away)
+
+    def dies(batch, batch_id):
+        sink(batch, batch_id)
+        raise RuntimeError("process is gone")
+
+    def stream():
+        return ingest.read_landed(spark, landed).select(*schemas.RAW.names)
+
+    try:
+        ingest.start(stream(), dies, checkpoint).awaitTermination()
+    except StreamingQueryException:
+        pass
+    jobs.consume(stream(), raw, checkpoint, table=table)
+    stores = {"raw": raw_source.scan_raw(spark, raw), "table": spark.read.schema(schemas.RAW).parquet(table)}
+    rows = [df.select(F.lit(name).alias("store"), "event_id", "_kafka_offset") for name, df in stores.items()]
+    return rows[0].unionByName(rows[1])
+
+
 def stream_score(spark, sf):
     """Rows scored as they stream in, next to the batch score of the same row."""
     gold_path, scores = work_path(spark, "gold"), work_path(spark, "scores")
@@ -515,6 +569,7 @@ def catalog() -> dict[str, Query]:
         raw_manifest,
         read_fallback,
         kafka_decode,
+        raw_whole_record,
         bronze_roundtrip,
         sample_partitioned,
         kafka_encode,
@@ -561,6 +616,7 @@ def catalog() -> dict[str, Query]:
         model_roundtrip,
         stream_raw_to_bronze,
         stream_dual_sink,
+        stream_raw_restart,
         stream_score,
     )
     named = {q.__name__: _in_utc(q) for q in listed}

@@ -19,8 +19,23 @@ def present(df: DataFrame, value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull() & ~F.isnan(value))
 
 
-def _bucket_count(df: DataFrame) -> int:
-    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+#: Rows in a bucket, about; one task sorts what is distinct in one.
+BUCKET_ROWS = 1_000_000
+
+
+def _edges(rows: DataFrame, value: str, buckets: int | None) -> list[float]:
+    """Inner edges of buckets with about as many rows each; their number follows the rows'."""
+    buckets = buckets or max(64, -(-rows.count() // BUCKET_ROWS))
+    edges = rows.approxQuantile(value, [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))
+    # +0.0 turns a negative zero into zero, which is how grouping sees it.
+    return sorted({e + 0.0 for e in edges if math.isfinite(e)})
+
+
+def _placed(rows: DataFrame, value: str, edges: list[float]) -> DataFrame:
+    if not edges:
+        return rows.withColumn("_bucket", F.lit(0.0))
+    splits = [-math.inf, *edges, math.inf]
+    return Bucketizer(splits=splits, inputCol=value, outputCol="_bucket").transform(rows)
 
 
 def bucketed(
@@ -31,16 +46,9 @@ def bucketed(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """One row per distinct value with its ``sums`` and its ``_bucket``. Runs the sketch job."""
-    buckets = buckets or _bucket_count(df)
     rows = present(df.withColumn(value, F.col(value).cast("double")), value)
-    edges = rows.approxQuantile(value, [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))
-    # +0.0 turns a negative zero into zero, which is how grouping sees it.
-    inner = sorted({e + 0.0 for e in edges if math.isfinite(e)})
-    grouped = rows.groupBy(*by, value).agg(*[c.alias(n) for n, c in sums.items()])
-    if not inner:
-        return grouped.withColumn("_bucket", F.lit(0.0))
-    splits = [-math.inf, *inner, math.inf]
-    return Bucketizer(splits=splits, inputCol=value, outputCol="_bucket").transform(grouped)
+    edges = _edges(rows, value, buckets)
+    return _placed(rows.groupBy(*by, value).agg(*[c.alias(n) for n, c in sums.items()]), value, edges)
 
 
 def _bucket_offsets(grouped: DataFrame, names: list[str], by: Sequence[str] = ()) -> DataFrame:
@@ -89,16 +97,19 @@ def exact_quantile(
 ) -> DataFrame:
     """The smallest value with at least ``probability`` of the rows at or below it; one row.
 
-    Nulls and NaN are left out. Only the bucket that holds the answer is sorted.
+    Nulls and NaN are left out. Rows are placed in buckets and counted there before anything
+    is shuffled; only the rows of the one bucket that holds the answer are, and sorted. The
+    result has the column's own type, so large integers stay exact.
     """
-    grouped = bucketed(df, value, {"_n": F.count("*")}, buckets)
-    offsets = _bucket_offsets(grouped, ["_n"])
-    rows = offsets.agg(F.max("_n_total")).scalar()
-    target = F.greatest(F.ceil(F.lit(probability) * rows), F.lit(1))
-    holder = offsets.where((F.col("_off__n") < target) & (target <= F.col("_off__n") + F.col("_in__n")))
-    upto = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    rows = present(df, value).select(F.col(value).alias("_v"), F.col(value).cast("double").alias("_d"))
+    placed = _placed(rows, "_d", _edges(rows, "_d", buckets))
+    offsets = _bucket_offsets(placed.groupBy("_bucket").agg(F.count("*").alias("_n")), ["_n"])
+    holder = offsets.withColumn(
+        "_target", F.greatest(F.ceil(F.lit(probability) * F.col("_n_total")), F.lit(1)).cast("long")
+    ).where((F.col("_off__n") < F.col("_target")) & (F.col("_target") <= F.col("_off__n") + F.col("_in__n")))
     # The holder is one row.
-    running = grouped.join(F.broadcast(holder), "_bucket").select(
-        value, (F.sum("_n").over(upto) + F.col("_off__n")).alias("_upto")
-    )
-    return running.where(F.col("_upto") >= target).agg(F.min(value).alias(name))
+    held = placed.join(F.broadcast(holder.select("_bucket", "_off__n", "_target")), "_bucket")
+    counted = held.groupBy("_v", "_off__n", "_target").agg(F.count("*").alias("_n"))
+    upto = Window.partitionBy("_target").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    running = counted.select("_v", "_target", (F.sum("_n").over(upto) + F.col("_off__n")).alias("_upto"))
+    return running.where(F.col("_upto") >= F.col("_target")).agg(F.min("_v").alias(name))

@@ -160,7 +160,6 @@ def rolling_features(
     if fullest <= max_key_rows:
         cut = _by_width(keyed, key, widths)
     else:
-        # Slices need not be more than what keeps every task of the cluster busy.
-        enough = 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cut = _by_range(keyed, key, tie, min(1 + total // max_key_rows, enough))
+        # The range edges come from a sample: twice as many slices as must be stay below the limit.
+        cut = _by_range(keyed, key, tie, 2 * -(-total // max_key_rows))
     return rolling_sliced(cut, key, tie, features, rows)

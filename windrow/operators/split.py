@@ -26,4 +26,5 @@ def split_or_all(
 
 
 def with_side(df: DataFrame, key: str = "event_id", percent: int = fixed.SPLIT_TRAIN_PERCENT) -> DataFrame:
-    return df.withColumn("side", F.when(is_train(key, percent), "train").otherwise("test"))
+    """A row without a key has no side, as in ``split_rows``."""
+    return df.withColumn("side", F.when(is_train(key, percent), "train").when(~is_train(key, percent), "test"))

@@ -93,6 +93,8 @@ def fit_and_evaluate(
     """
     if not specs:
         return []
+    if len({s["run_name"] for s in specs}) < len(specs):
+        raise ValueError("runs of one comparison need names of their own")
     rows = model_rows(df, key, partitions).withColumn("_train", is_train(key))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     scored = None

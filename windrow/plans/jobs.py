@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from windrow import fixed, schemas
 from windrow.operators import quality, runs, training
 from windrow.plans import layers
-from windrow.sinks import raw as raw_sink
 from windrow.sinks.tables import write_formats, write_sample
 from windrow.sources import grid as grid_source
 from windrow.sources import raw as raw_source
@@ -46,21 +45,28 @@ def consume(
     table: str | None = None,
     max_records: int | None = None,
     idle_seconds: float | None = None,
+    object_rows: int | None = None,
 ) -> ingest.RawSink:
     """Decoded events of a stream to the raw zone, and best effort to a table of raw rows.
 
+    The run's name stays with the checkpoint, so a start after a failure replaces what the
+    last batch left instead of adding to it. Batches that the table misses, also from earlier
+    starts, are written to it from the raw zone. ``object_rows`` bounds the rows of an object.
     Reads what is there now and ends; with ``max_records`` or ``idle_seconds`` it waits for
     events until it has read that many or nothing has come for that long.
     """
-    run_id = run_id or raw_sink.new_run_id()
+    spark = stream.sparkSession
+    run_id = ingest.run_of(spark, checkpoint, run_id)
     second = ingest.ParquetBatches(table, run_id) if table else None
-    sink = ingest.RawSink(raw, run_id, second=second)
+    sink = ingest.RawSink(raw, run_id, second=second, max_records=object_rows)
+    names = [n for n in (*schemas.RAW.names, schemas.REST.name) if n in stream.columns]
     waits = max_records is not None or idle_seconds is not None
-    query = ingest.start(stream.select(*schemas.RAW.names), sink, checkpoint, available_now=not waits)
+    query = ingest.start(stream.select(*names), sink, checkpoint, available_now=not waits)
     if waits:
         ingest.run_until(query, max_records, idle_seconds)
     else:
         query.awaitTermination()
+    sink.repair(spark)
     return sink
 
 

@@ -32,6 +32,8 @@ EVENT = T.StructType(
 )
 #: An event as stored in the raw zone, with where it was delivered from.
 RAW = T.StructType([*EVENT.fields, *_struct(fixed.DELIVERY_COLUMNS).fields])
+#: Fields of a record that the schema does not know: plain values as text, nested ones as JSON.
+REST = T.StructField("_rest", T.MapType(T.StringType(), T.StringType()))
 BRONZE = _struct(fixed.BRONZE_COLUMNS)
 SILVER = T.StructType(
     [*BRONZE.fields, *_struct(("weather_rule_label", "risk_score_proxy", "label", "label_source")).fields]

@@ -19,6 +19,8 @@ def build_session(app: str = "windrow", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # A value that does not parse is an error, not a null.
+        "spark.sql.ansi.enabled": "true",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     builder = SparkSession.builder.appName(app)

@@ -8,6 +8,7 @@ point are joined out of the grid.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -94,6 +95,13 @@ def nearest_points(stations: DataFrame, grid: DataFrame) -> DataFrame:
     )
 
 
+def _until(time: str, end: str):
+    """Up to a time, itself included; a date alone stands for its whole day."""
+    if ":" in end:
+        return F.col(time) <= F.lit(end).cast("timestamp")
+    return F.col(time) < F.lit(str(date.fromisoformat(end.strip()) + timedelta(days=1))).cast("timestamp")
+
+
 def extract_points(
     grid: DataFrame,
     stations: DataFrame,
@@ -102,7 +110,7 @@ def extract_points(
     variables: Sequence[str] = fixed.ARCHIVE_VARIABLES,
     time: str = "time",
 ) -> DataFrame:
-    """The station rows of the grid between two times, both included.
+    """The station rows of the grid between two times, both included; a date means its whole day.
 
     The time bounds and the wanted columns reach the scan. With a short station list the
     points are looked up first (a job over the two axis columns) and their coordinates
@@ -110,8 +118,7 @@ def extract_points(
     list is broadcast, and one too long for that is joined by shuffle.
     """
     require_columns(grid, [time, "latitude", "longitude", *variables])
-    bounds = [F.lit(t).cast("timestamp") for t in (start, end)]
-    sliced = grid.where(F.col(time).between(*bounds)).select(time, "latitude", "longitude", *variables)
+    sliced = grid.where(F.col(time) >= F.lit(start).cast("timestamp")).where(_until(time, end)).select(time, "latitude", "longitude", *variables)
     points = nearest_points(stations, grid)
     if is_small(stations, LISTED_POINTS):
         found = points.collect()

@@ -33,15 +33,20 @@ def read_topic(
 
 
 def decode(records: DataFrame, schema: T.StructType = schemas.EVENT) -> DataFrame:
-    """Topic records to events with their delivery columns.
+    """Topic records to events with their delivery columns, and ``_rest`` for unknown fields.
 
+    ``_rest`` is null where the schema knows all fields of a record.
     On a stream the ingest time is that of the micro-batch, so a retried batch repeats it.
     """
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    text, known = F.col("value").cast("string"), F.array(*[F.lit(n) for n in schema.names])
+    every = F.from_json(text, schemas.REST.dataType)
+    rest = F.map_filter(every, lambda name, _: ~F.array_contains(known, name))
     return records.select(
-        F.from_json(F.col("value").cast("string"), schema, {"mode": "FAILFAST"}).alias("e"),
+        F.from_json(text, schema, {"mode": "FAILFAST"}).alias("e"),
+        F.when(F.size(rest) > 0, rest).alias(schemas.REST.name),
         F.col("topic").alias("_kafka_topic"),
         F.col("partition").alias("_kafka_partition"),
         F.col("offset").alias("_kafka_offset"),
         now.alias("_ingested_at_utc"),
-    ).select("e.*", *fixed.DELIVERY_COLUMNS)
+    ).select("e.*", *fixed.DELIVERY_COLUMNS, schemas.REST.name)

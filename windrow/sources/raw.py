@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,9 +14,11 @@ _CORRUPT = "_corrupt_record"
 
 
 def _relative(path: str, column: str):
-    """The part of an object's address below ``path``."""
-    tail = path.rstrip("/").rsplit("/", 1)[-1]
-    return F.substring_index(F.col(column), f"/{tail}/", -1)
+    """The part of an object's address below ``path``, whatever directories are called."""
+    place = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/")
+    prefix = place if place.startswith("/") else f"/{place}"
+    at = F.locate(f"{prefix}/", F.col(column))
+    return F.when(at > 0, F.substr(F.col(column), at + len(prefix) + 1)).otherwise(F.col(column))
 
 
 def scan_raw(
@@ -39,6 +43,11 @@ def scan_raw(
     )
 
 
+def with_object(df: DataFrame, path: str) -> DataFrame:
+    """``df`` read from files below ``path``, with the key of each row's object."""
+    return df.withColumn("_source_object", _relative(path, "_metadata.file_path"))
+
+
 def good_lines(df: DataFrame) -> DataFrame:
     return df.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
 

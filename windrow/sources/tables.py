@@ -49,17 +49,18 @@ def read_table(
 
 
 def read_if_there(
-    spark: SparkSession, path: str, schema: T.StructType, base: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None, fmt: str = "parquet", base: str | None = None
 ) -> DataFrame | None:
-    """A Parquet table, or None when nothing was written yet.
+    """A table, or None when nothing was written yet; without a schema the files themselves.
 
     ``path`` may be a pattern; ``base`` then says where directory columns begin.
     """
-    reader = spark.read.schema(schema)
+    reader = spark.read.format(fmt)
+    reader = reader.schema(schema) if schema else reader.option("recursiveFileLookup", "true")
     if base:
         reader = reader.option("basePath", base)
     try:
-        return reader.parquet(path)
+        return reader.load(path)
     except _ERRORS as error:
         if not _is_absent(error):
             raise

@@ -1,7 +1,8 @@
 """Topic or landed files to the raw zone and to bronze, in micro-batches.
 
 Every batch writes to places named after the run and the batch and overwrites exactly
-those, so a batch that is retried after a failure leaves the same rows once.
+those. The run's name is kept next to the checkpoint, so a batch that is retried, also by the
+next start, leaves the same rows once.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,8 @@ from windrow.operators.dedup import first_delivery
 from windrow.operators.quality import valid_events
 from windrow.plans.layers import typed_events
 from windrow.session import broadcast_if_small
-from windrow.sinks.raw import RUN_KEYS, with_run_keys
+from windrow.sinks.raw import RUN_KEYS, new_run_id, with_run_keys
+from windrow.sources import raw as raw_source
 from windrow.sources.tables import read_if_there
 
 log = logging.getLogger(__name__)
@@ -51,22 +53,40 @@ def read_landed(
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path).withColumn("_source_object", F.element_at(F.split("_metadata.file_path", "/"), -1))
+    return raw_source.with_object(reader.json(path), path)
+
+
+def run_of(spark: SparkSession, checkpoint: str, run_id: str | None = None) -> str:
+    """The name of the run that a checkpoint belongs to: kept next to it by the first start.
+
+    ``run_id`` names it then; a later start may repeat the name but not change it.
+    """
+    place = f"{checkpoint.rstrip('/')}-run"
+    schema = T.StructType([T.StructField("run_id", T.StringType())])
+    kept = read_if_there(spark, place, schema, "json")
+    if kept is None:
+        name = run_id or new_run_id()
+        spark.createDataFrame([(name,)], schema).coalesce(1).write.mode("ignore").json(place)
+        kept = spark.read.schema(schema).json(place)
+    name = kept.first()[0]
+    if run_id and run_id != name:
+        raise ValueError(f"the checkpoint belongs to run {name}, not to {run_id}")
+    return name
 
 
 @dataclass
 class RawSink:
     """Writes each batch to the raw zone and, best effort, to a second target.
 
-    The raw write must succeed. When the second fails, the batch goes on and is listed in
-    ``missed``; ``repair`` writes it again from the raw zone.
+    The raw write must succeed. When the second fails, the batch goes on. What the second
+    misses is what the raw zone has and it has not, so nothing is forgotten with the process;
+    ``repair`` writes it again from the raw zone.
     """
 
     path: str
     run_id: str
     second: Callable[[DataFrame, int], None] | None = None
     max_records: int | None = None
-    missed: list[int] = field(default_factory=list)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.second is None:
@@ -97,16 +117,31 @@ class RawSink:
             self.second(batch, batch_id)
         except Exception:
             log.exception("second target failed for batch %d; raw storage succeeded", batch_id)
-            self.missed.append(batch_id)
+
+    def missed(self, spark: SparkSession) -> list[int]:
+        """Batches of this run that the raw zone has and the second target has not."""
+        if self.second is None or not hasattr(self.second, "batches"):
+            return []
+        raw = _numbers(spark, self.path, f"run_id={self.run_id}/.*/part=(\\d+)/part-[^/]*$")
+        return sorted({n - 1 for n in raw} - self.second.batches(spark))
 
     def repair(self, spark: SparkSession) -> None:
         """Write the missed batches to the second target from what the raw zone holds."""
-        todo, self.missed = self.missed, []
-        for batch_id in todo:
-            stored = spark.read.schema(schemas.RAW).json(self.path).where(
+        for batch_id in self.missed(spark):
+            stored = spark.read.json(self.path, schema=T.StructType([*schemas.RAW.fields, schemas.REST])).where(
                 (F.col("run_id") == self.run_id) & (F.col("part").cast("int") == batch_id + 1)
             )
-            self._write_second(stored.select(*schemas.RAW.names), batch_id)
+            self._write_second(stored.select(*schemas.RAW.names, schemas.REST.name), batch_id)
+
+
+def _numbers(spark: SparkSession, path: str, pattern: str) -> set[int]:
+    """Numbers in the names of the files below ``path``: one a batch of the run."""
+    listing = read_if_there(spark, path, None, "binaryFile")
+    if listing is None:
+        return set()
+    number = F.regexp_extract("path", pattern, 1)
+    found = listing.where(number != "").select(number.cast("int").alias("n")).distinct()
+    return {r.n for r in found.collect()}
 
 
 @dataclass
@@ -120,6 +155,9 @@ class ParquetBatches:
         place = f"{self.path}/run_id={self.run_id}/batch_id={batch_id}"
         flatten_nested(batch).write.mode("overwrite").parquet(place)
 
+    def batches(self, spark: SparkSession) -> set[int]:
+        return _numbers(spark, self.path, f"run_id={self.run_id}/batch_id=(\\d+)/part-[^/]*$")
+
 
 @dataclass
 class DeltaBatches:

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegressionModel, RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from windrow import schemas
 from windrow.operators.training import assemble, score
 
-_LOADERS = {
-    "random_forest": RandomForestClassificationModel.load,
-    "logistic_regression": LogisticRegressionModel.load,
-}
+_KINDS = {c.__name__: c for c in (RandomForestClassificationModel, LogisticRegressionModel)}
 
 
-def load_model(path: str, model_type: str = "random_forest"):
-    return _LOADERS[model_type](path)
+def load_model(path: str):
+    """A saved model, of the class that its own metadata names."""
+    spark = SparkSession.active()
+    metadata = spark.read.text(f"{path.rstrip('/')}/metadata")
+    name = metadata.select(F.get_json_object("value", "$.class")).first()[0]
+    return _KINDS[name.rsplit(".", 1)[-1]].load(path)
 
 
 def read_gold_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
