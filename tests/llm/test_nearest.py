@@ -67,8 +67,10 @@ def test_recall_and_bounds(spark):
     assert hits / (20 * 120) >= 0.9
     codes = nearest.Codes(np.arange(6000), d, d.mean(0))
     estimate, error = codes.estimates(d[:100])
-    true = d[:100] @ d.T
+    true = d[:100] @ codes.vectors.T
     assert np.mean(np.abs(estimate - true) <= error) > 0.999
     # The bits tell something: most rows are out of reach of the 20th best.
     least = np.partition(estimate - error, -20, axis=1)[:, -20]
     assert np.mean(estimate + error >= least[:, None]) < 0.5
+    # Copies beyond those that can be answers are left out.
+    assert len(nearest.Codes(np.arange(50), np.ones((50, 4)), np.zeros(4), 21).ids) == 21

@@ -1,10 +1,13 @@
 """Nearest neighbours by inner product, with randomly rotated one-bit codes.
 
-A vector is centred, rotated at random and kept as one bit a dimension, with three numbers:
-its distance from the centre, its inner product with the centre and how well the bits stand
-for its direction. From packed bits and these numbers the inner product with a query is
-estimated, with a bound on the error that holds with high probability. Only vectors whose upper
-bound reaches the k-th best lower bound are looked at again, in double precision.
+A vector is centred, rotated at random into at least ``BITS`` dimensions and kept as one bit a
+dimension, with three numbers: its distance from the centre, its inner product with the centre
+and how well the bits stand for its direction. From packed bits and these numbers the inner
+product with a query is estimated, with a bound on the error that holds with high probability.
+
+A first pass looks again, in double precision, at the best estimates of each group; the k-th
+best score of all groups is what a vector has to reach. A second pass looks at all vectors
+whose upper bound reaches it.
 """
 
 from __future__ import annotations
@@ -22,6 +25,9 @@ from windrow.session import materialise
 #: Standard deviations of the estimate that the bounds allow for.
 WIDTH = 3.0
 
+#: Bits of a code at least: a short vector is turned into more dimensions than it has.
+BITS = 256
+
 #: Index rows in a group are about this many times the root of all; queries visit every group.
 GROUP, LEAST_GROUP = 8, 2048
 
@@ -39,59 +45,78 @@ def usable(embedding: str) -> Column:
 
 
 def rotation(dim: int) -> np.ndarray:
-    q, r = np.linalg.qr(np.random.default_rng([SEED, dim]).standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
+    """A random turn from ``dim`` into at least ``BITS`` dimensions; lengths and angles stay."""
+    wide = max(dim, BITS)
+    q, r = np.linalg.qr(np.random.default_rng([SEED, dim]).standard_normal((wide, dim)))
+    return (q * np.sign(np.diag(r))).T
 
 
-def inner(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Row-wise inner products, summed from the first dimension to the last."""
-    out = np.zeros(len(rows))
+def inner(rows: np.ndarray, queries: np.ndarray, row: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs, summed from the first dimension to the last."""
+    out = np.zeros(len(row))
     for d in range(rows.shape[1]):
-        out += rows[:, d] * queries[:, d]
+        out += rows[:, d][row] * queries[:, d][query]
     return out
 
 
 class Codes:
-    """One-bit codes of some vectors of one dimension, with their correction numbers."""
+    """One-bit codes of some vectors of one dimension, with their correction numbers.
+
+    Of equal vectors only the ``copies`` with the smallest ids are kept.
+    """
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, centre: np.ndarray):
-        dim = vectors.shape[1]
-        self.ids, self.vectors, self.centre, self.dim = ids, vectors, centre, dim
-        self.turn = rotation(dim)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, centre: np.ndarray, copies: int | None = None):
+        order = np.lexsort((ids, *vectors.T))
+        ids, vectors = ids[order], vectors[order]
+        if copies is not None:
+            fresh = np.r_[True, (vectors[1:] != vectors[:-1]).any(1)]
+            first = np.maximum.accumulate(np.where(fresh, np.arange(len(ids)), 0))
+            few = np.arange(len(ids)) - first < copies
+            ids, vectors = ids[few], vectors[few]
+        self.ids, self.vectors, self.centre = ids, vectors, centre
+        self.turn = rotation(vectors.shape[1])
+        self.wide = self.turn.shape[1]
         offset = vectors - centre
         self.length = np.linalg.norm(offset, axis=1)
         unit = offset @ self.turn / np.maximum(self.length, 1e-300)[:, None]
         self.bits = np.packbits(unit > 0, axis=1)
-        # The code's own direction is (+-1, ...) / sqrt(dim); this is its cosine with the vector.
-        self.fit = np.abs(unit).sum(1) / math.sqrt(dim)
+        # The code's own direction is (+-1, ...) / sqrt(wide); this is its cosine with the vector.
+        fit = np.maximum(np.abs(unit).sum(1) / math.sqrt(self.wide), 1e-9)
+        self.stretch = self.length / fit / math.sqrt(self.wide)
+        self.spread = self.length * np.sqrt(np.maximum(1 - fit**2, 0)) / fit / math.sqrt(max(self.wide - 1, 1))
         self.shift = vectors @ centre
 
     def estimates(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Estimated inner products, queries by rows, and the bound on each one's error."""
-        signs = np.unpackbits(self.bits, axis=1, count=self.dim).astype(np.float32) * 2 - 1
-        turned = (queries - self.centre) @ self.turn
-        cosines = (turned.astype(np.float32) @ signs.T) / math.sqrt(self.dim)
-        fit = np.maximum(self.fit, 1e-9)
+        signs = np.unpackbits(self.bits, axis=1, count=self.wide).astype(np.float32) * 2 - 1
+        offset = queries - self.centre
         # <v, q> = <v, c> + <c, q - c> + <v - c, q - c>; the last is what the bits tell.
-        base = self.shift[None, :] + ((queries - self.centre) @ self.centre)[:, None]
-        estimate = base + cosines * (self.length / fit)[None, :]
-        spread = np.sqrt(np.maximum(1 - self.fit**2, 0)) / fit / math.sqrt(max(self.dim - 1, 1))
-        size = np.linalg.norm(queries - self.centre, axis=1)
-        error = WIDTH * size[:, None] * (self.length * spread)[None, :]
-        return estimate, error + 1e-5 * (np.abs(estimate) + size[:, None] * self.length[None, :]) + 1e-12
-
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each query its k best rows here: (ids, scores), best first, ties to smaller ids."""
+        estimate = (offset @ self.turn).astype(np.float32) @ (signs * self.stretch[:, None].astype(np.float32)).T
+        estimate += self.shift.astype(np.float32)
+        estimate += (offset @ self.centre).astype(np.float32)[:, None]
+        size = np.linalg.norm(offset, axis=1)
+        # What single precision may add is far below the first term.
+        error = (WIDTH * size)[:, None] * self.spread + 1e-5 * (size[:, None] * self.length + np.abs(self.shift)) + 1e-12
+        return estimate, error.astype(np.float32)
+
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int, reach: np.ndarray) -> Iterator[tuple]:
+        """For each query its k best rows here: (ids, scores), best first, ties to smaller ids.
+
+        Where ``reach`` is a number, of the rows whose upper bound comes up to it; else of
+        the 2 k rows with the best estimates.
+        """
         estimate, error = self.estimates(queries)
-        own = query_ids[:, None] == self.ids[None, :]
-        lower = np.where(own, -np.inf, estimate - error)
-        upper = np.where(own, -np.inf, estimate + error)
-        if k < lower.shape[1]:
-            least = np.partition(lower, -k, axis=1)[:, -k]
-        else:
-            least = np.full(len(queries), -np.inf)
-        q, row = np.nonzero((upper >= least[:, None]) & ~own)
-        score = inner(self.vectors[row], queries[q])
+        first = np.isnan(reach)
+        if first.any():
+            wanted = min(2 * k + 1, estimate.shape[1])
+            least = np.partition(estimate[first], -wanted, axis=1)[:, -wanted]
+            estimate[first] -= least[:, None]
+            error[first] = 0
+        estimate += error
+        q, row = np.nonzero(estimate >= np.where(first, 0, reach).astype(np.float32)[:, None])
+        other = query_ids[q] != self.ids[row]
+        q, row = q[other], row[other]
+        score = inner(self.vectors, queries, row, q)
         order = np.lexsort((self.ids[row], -score, q))
         q, row, score = q[order], row[order], score[order]
         edges = np.searchsorted(q, np.arange(len(queries) + 1))
@@ -109,12 +134,14 @@ def _searcher(centres: dict[int, list[float]], k: int):
             for dim in {len(v) for _, v in rows}:
                 mine = [(i, v) for i, v in rows if len(v) == dim]
                 ids, vectors = np.array([i for i, _ in mine]), np.stack([v for _, v in mine])
-                made[dim] = Codes(ids, vectors, np.array(centres[dim]))
+                # One of the copies may be the query itself.
+                made[dim] = Codes(ids, vectors, np.array(centres[dim]), k + 1)
             return made
 
         for batch in batches:
             found, where = [], batch.column(0).to_numpy()
             kinds, ids = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            reach = batch.column(4).to_numpy(zero_copy_only=False).astype(np.float64)
             values, ends = batch.column(3).flatten().to_numpy(), batch.column(3).offsets.to_numpy()
             ends = ends - ends[0]
             vectors = [values[a:b].astype(np.float64) for a, b in zip(ends, ends[1:])]
@@ -122,14 +149,14 @@ def _searcher(centres: dict[int, list[float]], k: int):
                 asked: dict[int, list[int]] = {}
                 for i in range(at, min(at + QUERY_BLOCK, len(ids))):
                     if where[i] != group:
-                        found += _answers(codes, asked, ids, vectors, k)
+                        found += _answers(codes, asked, ids, vectors, reach, k)
                         asked, group, rows, codes = {}, where[i], [], {}
                     if kinds[i] == 0:
                         rows.append((ids[i], vectors[i]))
                         continue
                     codes = codes or coded()
                     asked.setdefault(len(vectors[i]), []).append(i)
-                found += _answers(codes, asked, ids, vectors, k)
+                found += _answers(codes, asked, ids, vectors, reach, k)
             yield pa.RecordBatch.from_pylist(found, _FOUND)
 
     return run
@@ -143,12 +170,12 @@ _FOUND = pa.schema(
 )
 
 
-def _answers(codes: dict[int, Codes], asked: dict[int, list[int]], ids, vectors, k: int) -> list[dict]:
+def _answers(codes: dict[int, Codes], asked: dict[int, list[int]], ids, vectors, reach, k: int) -> list[dict]:
     out = []
     for dim, mine in asked.items():
         if dim in codes:
             queries = np.stack([vectors[i] for i in mine])
-            hits = codes[dim].search(ids[mine], queries, k)
+            hits = codes[dim].best(ids[mine], queries, k, reach[mine])
             for i, (near, score) in zip(mine, hits):
                 best = [{"down": -s, "vec_id": n} for n, s in zip(near.tolist(), score.tolist())]
                 out.append({"query_id": int(ids[i]), "found": best})
@@ -178,15 +205,27 @@ def search(vectors: DataFrame, queries: Column, vec_id: str, embedding: str, k:
     centres: dict[int, list[float]] = {}
     for r in sorted(parts, key=lambda r: (r.dim, r.pos)):
         centres.setdefault(r.dim, []).append(r.m)
-    index = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("g"), F.lit(0).alias("kind"), "vec_id", "v")
-    asked = rows.where("asked").select(
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(1).alias("kind"), "vec_id", "v"
-    )
-    dealt = index.union(asked).repartition(groups, "g").sortWithinPartitions("g", "kind")
-    found = dealt.mapInArrow(
-        _searcher(centres, k), "query_id bigint, found array<struct<down:double,vec_id:bigint>>"
-    )
-    best = found.groupBy("query_id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("found"))), 1, k).alias("found"))
-    return best.select("query_id", F.posexplode("found").alias("rank", "near")).select(
+    group = F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("g")
+    none = F.lit(None).cast("double").alias("reach")
+    index = rows.select(group, F.lit(0).alias("kind"), "vec_id", "v", none)
+
+    def visit(asked: DataFrame) -> DataFrame:
+        """(query_id, found): the best of each group, of one query in one row per group."""
+        every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g")
+        dealt = index.union(asked.select(every, F.lit(1).alias("kind"), "vec_id", "v", "reach"))
+        dealt = dealt.repartition(groups, "g").sortWithinPartitions("g", "kind")
+        return dealt.mapInArrow(
+            _searcher(centres, k), "query_id bigint, found array<struct<down:double,vec_id:bigint>>"
+        )
+
+    best = F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("found")))), 1, k).alias("found")
+    queries_of = rows.where("asked")
+    first = materialise(visit(queries_of.select("vec_id", "v", none)).groupBy("query_id").agg(best), "first")
+    # Fewer than k found so far: everything may still be among the nearest.
+    reached = F.when(F.size("found") >= k, -F.element_at("found", -1)["down"]).otherwise(F.lit(float("-inf")))
+    reach = first.select("query_id", reached.alias("reach"))
+    again = queries_of.join(reach, F.col("vec_id") == F.col("query_id")).select("vec_id", "v", "reach")
+    found = visit(again).union(first).groupBy("query_id").agg(best)
+    return found.select("query_id", F.posexplode("found").alias("rank", "near")).select(
         "query_id", (F.col("rank") + 1).alias("rank"), "near.vec_id", (-F.col("near.down")).alias("score")
     )
