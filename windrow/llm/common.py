@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrow.session import materialise
@@ -49,12 +49,8 @@ def with_rank(df: DataFrame, *order: str, name: str = "_rank", into: str = "rank
     placed = placed.withColumns({"_part": part, "_inside": inside})
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     # As many rows as there are partitions.
-    offsets = sizes.join(
-        sizes.select(F.col("_part").alias("_before"), F.col("_n").alias("_m")),
-        F.col("_before") < F.col("_part"),
-        "left",
-    )
-    offsets = offsets.groupBy("_part").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_offset"))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset"))
     return (
         placed.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + F.col("_inside"))
