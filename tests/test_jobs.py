@@ -103,6 +103,6 @@ def test_the_command_line_names_every_step():
     args = cli.parser().parse_args(["bronze", "--raw", "a", "--lake", "b"])
     assert (args.step, args.raw, args.lake) == ("bronze", "a", "b")
     args = cli.parser().parse_args(["consume", "--servers", "s", "--raw", "r", "--checkpoint", "c"])
-    assert (args.table, args.idle_seconds, args.max_records, args.flush) == (None, 60, None, fixed.FLUSH_ROWS)
+    assert (args.table, args.idle_seconds, args.max_records, args.object_rows) == (None, 60, None, cli.OBJECT_ROWS)
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["silver"])
