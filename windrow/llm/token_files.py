@@ -30,6 +30,14 @@ SEQUENCE, BATCH, FILE_IDS = 1024, 256, 2 << 20
 MEMORY = 700_000
 
 
+#: The characters by which byte-level tokenizers write bytes: printable ones stand for
+#: themselves, the others follow from 256 on.
+_BYTE_CHARS = {}
+for _b in range(256):
+    _printable = 33 <= _b <= 126 or 161 <= _b <= 172 or 174 <= _b <= 255
+    _BYTE_CHARS[_b] = _b if _printable else 256 + sum(v >= 256 for v in _BYTE_CHARS.values())
+
+
 class Encoder:
     """The tokenizer's ids, with the ids of pieces between single white spaces remembered.
 
@@ -58,7 +66,14 @@ class Encoder:
     def _learn(self, keys: set) -> None:
         # A stop or comma behind letters is a pre-token of its own.
         ended = {k for k in keys if k[-1:] in (".", ",") and k[:-1].isalpha()}
-        plain = list((keys - ended) | {k[:-1] for k in ended if k[:-1] not in self.known})
+        words = {k for k in keys if isinstance(k, str) and k.isalpha()}
+        words |= {k[:-1] for k in ended if k[:-1] not in self.known}
+        # A space and letters are one pre-token: its bytes go to the merges directly.
+        tokenize = self.tokenizer.model.tokenize
+        for k in words:
+            piece = (" " + k).encode().decode("latin-1").translate(_BYTE_CHARS)
+            self.known[k] = array("I", [t.id for t in tokenize(piece)]).tobytes()
+        plain = list(keys - ended - words)
         texts = [k[0] if isinstance(k, tuple) else k if k[:1] == "\n" else " " + k for k in plain]
         self.known.update(zip(plain, self._whole(texts)))
         if ended:
