@@ -5,8 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from compare import connect, differences
 from plans import plan
+from windrow.checks import oracle
+from windrow.checks.queries import catalog
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog(), oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,8 @@ def con(sf):
 
 
 def test_every_statement_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
