@@ -47,8 +47,8 @@ class Templates:
     """Weights of terms, unit vectors of templates, and the terms that decide.
 
     By Cauchy's inequality a cosine of ``least`` needs shared terms with that share of a
-    template's length. ``deciding`` holds each template's heaviest terms, as many as leave less
-    than that to all others: a candidate without any of them is not near to any template.
+    template's length. ``deciding`` holds each template's longest terms, which texts rarely have,
+    as many as leave less than that to all others: a candidate without any of them is not near.
     """
 
     def __init__(self, templates: dict[str, str], least: float):
@@ -63,12 +63,24 @@ class Templates:
             size = math.sqrt(sum(w * w for w in weights.values()))
             self.rows += [(name, t, w / size) for t, w in weights.items()]
             rest = 1.0
-            for t, w in sorted(weights.items(), key=lambda x: (-x[1], x[0])):
+            for t, w in sorted(weights.items(), key=lambda x: (-len(x[0]), -x[1], x[0])):
                 if rest < least * least:
                     break
                 self.deciding.add(t)
                 rest -= (w / size) ** 2
 
+    def may_be_near(self, terms: str, least: float) -> Column:
+        """Do the shared terms of some template have the share of its length that a cosine needs?"""
+        near = F.lit(False)
+        for name in sorted({n for n, _, _ in self.rows}):
+            shared = [F.when(F.array_contains(terms, t), w * w).otherwise(0.0) for n, t, w in self.rows if n == name]
+            total = shared[0]
+            for x in shared[1:]:
+                total = total + x
+            # Rounding must not lose one that just reaches it.
+            near |= total >= least * least - 1e-9
+        return near
+
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, "licence string, term string, share double")
 
@@ -91,8 +103,10 @@ def own_licences(files: DataFrame, templates: dict[str, str] = TEMPLATES, least:
     lines = F.concat(F.filter(F.split("text", "\n"), lambda x: x.rlike(sign)), whole)
     # Copies of a file at one path are one file to the directories, so equal rows may meet here.
     found = files.where(F.col("text").rlike(sign)).select("path", F.explode(F.array_distinct(lines)).alias("line"))
-    found = found.withColumn("unit", F.xxhash64("path", "line"))
-    terms = found.select("path", "unit", F.explode(_terms_of(F.col("line"))).alias("term"))
+    # What can't be near goes before anything is shuffled.
+    found = found.select("path", F.xxhash64("path", "line").alias("unit"), _terms_of(F.col("line")).alias("terms"))
+    found = found.withColumn("kinds", F.array_distinct("terms")).where(known.may_be_near("kinds", least))
+    terms = found.select("path", "unit", F.explode("terms").alias("term"))
     vectors = terms.groupBy("path", "unit", "term").agg(F.count("*").alias("n"))
     weights = F.broadcast(spark.createDataFrame(sorted(known.idf.items()), "term string, idf double"))
     vectors = vectors.join(weights, "term", "left")
