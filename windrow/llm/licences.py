@@ -71,9 +71,17 @@ class Templates:
 
     def may_be_near(self, terms: str, least: float) -> Column:
         """Do the shared terms of some template have the share of its length that a cosine needs?"""
+
+        def near(held: Column) -> Column:
+            return self._near(held, least)
+
+        # As a lambda's argument the terms are worked out once, not once for each term.
+        return F.exists(F.array(terms), near)
+
+    def _near(self, held: Column, least: float) -> Column:
         near = F.lit(False)
         for name in sorted({n for n, _, _ in self.rows}):
-            shared = [F.when(F.array_contains(terms, t), w * w).otherwise(0.0) for n, t, w in self.rows if n == name]
+            shared = [F.when(F.array_contains(held, t), w * w).otherwise(0.0) for n, t, w in self.rows if n == name]
             total = shared[0]
             for x in shared[1:]:
                 total = total + x
