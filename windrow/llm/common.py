@@ -31,10 +31,10 @@ def broadcast_if_bounded(df: DataFrame, row_bytes: int) -> DataFrame:
 def numbered(stored: DataFrame) -> DataFrame:
     """(_row, _doc): the rows of a stored table with a number each, whatever their columns are called.
 
-    The number follows from the place of a row in the files, so every scan of the same table
-    gives the same; of anything but a stored table it would not.
+    A written table: how files are split, and so the number that a scan gives to a row, follows
+    the cores at hand, which may change between two scans.
     """
-    return stored.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_doc"))
+    return materialise(stored.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_doc")), "numbered")
 
 
 def with_rank(df: DataFrame, *order: str, name: str = "_rank", into: str = "ranked") -> DataFrame:

@@ -308,7 +308,7 @@ def group(docs: DataFrame, doc_id: str, text: str, like: Similar = Similar()) ->
 def one_of_each(stored: DataFrame, doc_id: str, text: str, like: Similar = Similar()) -> DataFrame:
     """The rows of a stored table without all but one of each group: the one with the least id.
 
-    Rows are told apart by their place in the table, so repeated rows and rows without an id
+    Rows are told apart by numbers that are written first, so repeated rows and rows without an id
     leave one too; a row with an id goes before one without.
     """
     rows = common.numbered(stored)
