@@ -5,14 +5,15 @@ tokens is the encoding exactly when each neighbouring pair is: the pair's text a
 to the pair. So the last token of a prefix is the one that ends there, as an automaton over
 all pieces finds, and goes with the last token of what stands before it. Ids are then read
 off backwards. No merge queue over the text is needed, and prefixes that words share are
-worked out once.
+worked out once. A long segment's prefixes are told apart by their length alone, in an array
+that goes with the segment.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,12 @@ SPACE = "▁"
 #: Entries in each table that a worker keeps; a table beyond that starts anew.
 MEMORY = 600_000
 
+#: Characters of the prefixes in the table, and bytes of the segments and ids that are remembered.
+TABLE_CHARS, HELD_BYTES = 16 << 20, 64 << 20
+
+#: Segments beyond so many characters are neither entered in the table nor remembered.
+LONG = 64
+
 #: The "token" of a character that no piece has: any token may stand next to it.
 NONE = -1
 
@@ -83,6 +90,7 @@ class Encoder:
         self.automaton = Automaton({p: i for i, p in self.piece.items() if self._library(p) == [i]})
         self.pairs: dict[int, bool] = {}
         self.ids: dict[str, bytes] = {}
+        self.held = 0
         self._forget()
 
     def _library(self, text: str) -> list[int]:
@@ -101,6 +109,7 @@ class Encoder:
         state = self.automaton.step(0, SPACE)
         token = next((t for _, t in self.automaton.ending[state]), NONE)
         self.table: dict[str, tuple[int, int]] = {"": (state, token)}
+        self.chars = 0
 
     def _extend(self, key: str, known: int) -> None:
         """Enter the prefixes of ``key`` that are longer than ``known``."""
@@ -122,28 +131,58 @@ class Encoder:
                 last = token
                 break
             table[key[: at + 1]] = (state, last)
+            self.chars += at + 1
+
+    def _long(self, key: str) -> bytes:
+        """The same as by the table, with the last token of each prefix at the prefix's length."""
+        pairs, step, ending = self.pairs, self.automaton.step, self.automaton.ending
+        state, token = self.table[""]
+        lasts = array("i", [token])
+        for at, char in enumerate(key):
+            state = step(state, char)
+            last = NONE
+            for length, token in ending[state]:
+                # With its space the prefix has at + 2 characters.
+                if length == at + 2:
+                    last = token
+                    break
+                left = lasts[at + 1 - length]
+                if left != NONE:
+                    pair = left << 32 | token
+                    if not (pairs[pair] if pair in pairs else self._fits(pair)):
+                        continue
+                last = token
+                break
+            lasts.append(last)
+        return self._read(key, lasts.__getitem__)
 
     def _char(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode()] if self.bytes else [self.sp.unk_id()]
 
     def _segment(self, key: str) -> bytes:
-        if len(self.table) + len(key) > MEMORY:
+        if len(key) > LONG:
+            return self._long(key)
+        if len(self.table) + len(key) > MEMORY or self.chars > TABLE_CHARS:
             self._forget()
         table, known = self.table, len(key)
         while key[:known] not in table:
             known -= 1
         self._extend(key, known)
-        ids, at = [], len(key)
+        return self._read(key, lambda at: table[key[:at]][1])
+
+    def _read(self, key: str, last_of: Callable[[int], int]) -> bytes:
+        """Ids from the last tokens of the prefixes, by their lengths."""
+        ids, at = array("i"), len(key)
         while at >= 0:
-            last = table[key[:at]][1]
+            last = last_of(at)
             if last == NONE:
-                ids += reversed(self._char(key[at - 1] if at else SPACE))
+                ids.extend(reversed(self._char(key[at - 1] if at else SPACE)))
                 at -= 1
             else:
                 ids.append(last)
                 at -= len(self.piece[last])
         ids.reverse()
-        return array("i", ids).tobytes()
+        return ids.tobytes()
 
     def _keys(self, text: str) -> list[str]:
         """A text falls apart before each run of spaces, as no piece goes on behind one."""
@@ -162,13 +201,17 @@ class Encoder:
         keys = self._keys(text)
         found = list(map(known.get, keys))
         if None in found:
-            if len(known) > MEMORY:
+            if len(known) > MEMORY or self.held > HELD_BYTES:
                 known.clear()
+                self.held = 0
             for i, (key, ids) in enumerate(zip(keys, found)):
                 if ids is None:
                     ids = known.get(key)
                     if ids is None:
-                        known[key] = ids = self._segment(key)
+                        ids = self._segment(key)
+                        if len(key) <= LONG:
+                            known[key] = ids
+                            self.held += len(ids) + 4 * len(key)
                     found[i] = ids
         return np.frombuffer(b"".join(found), dtype=np.int32)
 
