@@ -58,3 +58,35 @@ def test_no_python_on_the_path(spark, sf):
 
     plan = queries.op4_licences(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not [w for w in ("Python", "Pandas", "InArrow", "Cartesian") if w in plan]
+
+
+def test_headers_that_are_no_copies_of_the_templates(spark):
+    """Tags, titles, notices and headers within longer lines or over several."""
+    gpl = "# {} it under the terms of the GNU {}General Public License as\n# published by the Free Software Foundation; either version {} of\n# the License"
+    cases = {
+        "// SPDX-License-Identifier: MIT": "MIT",
+        "/* SPDX-License-Identifier: Apache-2.0 */": "Apache-2.0",
+        "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+        "# SPDX-License-Identifier: (MIT OR GPL-2.0-only)": "(MIT OR GPL-2.0)",
+        "All rights reserved.": "Proprietary",
+        "Copyright (c) 2020 Some Firm, Inc. All rights reserved.": "Proprietary",
+        "Copyright 2020 Some Firm. All rights reserved.\n\n" + MIT: "MIT",
+        "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "  GNU LESSER GENERAL PUBLIC LICENSE\n   Version 2.1, February 1999": "LGPL-2.1",
+        "  GNU LESSER GENERAL PUBLIC LICENSE": "LGPL",
+        "  GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991\n\n text": "GPL-2.0",
+        "  GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007": "GPL-3.0",
+        "GNU GENERAL PUBLIC LICENSE": "GPL",
+        gpl.format("redistribute", "", "2"): "GPL-2.0",
+        gpl.format("modify", "Affero ", "3"): "AGPL-3.0",
+        "some words " * 30 + APACHE + " more words" * 30: "Apache-2.0",
+        "The text so far. " * 20 + "This is released under the MIT License. And on.": "MIT",
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted": "ISC",
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that "
+        "the following conditions\nare met:": "BSD-2-Clause",
+        "all the rights of words and a version of the general public": None,
+    }
+    rows = [(f"d{i}/x", text) for i, text in enumerate(cases)]
+    got = {path: licence for path, licence, _, _ in scanned(spark, rows)}
+    assert {text: got[f"d{i}/x"] for i, text in enumerate(cases)} == cases

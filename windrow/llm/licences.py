@@ -1,6 +1,8 @@
 """Licence scans: sparse TF-IDF cosine to templates, and inheritance by directory.
 
-Every line of a file is a candidate header, a licence file's whole text is one more. Terms are
+Licence tags and the wording of known headers, titles and conditions count wherever they stand,
+across comment signs and line ends. Besides, every line of a file and every sentence of it is a
+candidate header for the cosine, a licence file's whole text is one more. Terms are
 weighed by how few templates have them; a term that no template has weighs most. A file whose
 best candidate is near enough to a template has that licence. A file without one takes that of
 the nearest directory above it, or its own, that a licensed file declares.
@@ -31,8 +33,57 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "BSD-3-Clause": "Use of this source code is governed by a BSD 3-Clause License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Proprietary": "All rights reserved.",
 }
 
+#: Further wordings, found as these words in a row.
+_LATER = "as published by the Free Software Foundation, either version"
+WORDINGS = {
+    "Apache-2.0": ["Apache License Version 2.0, January 2004"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International"],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International"],
+    "CC0-1.0": ["CC0 1.0 Universal", "Licensed under CC0 1.0"],
+    "GPL-2.0": ["GNU General Public License Version 2, June 1991", f"GNU General Public License {_LATER} 2"],
+    "GPL-3.0": ["GNU General Public License Version 3, 29 June 2007", f"GNU General Public License {_LATER} 3"],
+    "LGPL-2.1": ["GNU Lesser General Public License Version 2.1", f"GNU Lesser General Public License {_LATER} 2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License Version 3", f"GNU Lesser General Public License {_LATER} 3"],
+    "AGPL-3.0": ["GNU Affero General Public License Version 3, 19 November 2007", f"GNU Affero General Public License {_LATER} 3"],
+    "MIT": [
+        "Licensed under the MIT License",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the Software), to deal in the Software without restriction",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted",
+    ],
+    "BSD-3-Clause": ["may be used to endorse or promote products derived from this software without specific prior written permission"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
+}
+
+#: Wordings that count when nothing of the above is found: titles without a version, as whole
+#: lines, and conditions that a longer licence has too.
+TITLES = {
+    "GPL": "GNU General Public License",
+    "LGPL": "GNU Lesser General Public License",
+    "AGPL": "GNU Affero General Public License",
+    "MIT": "(The )?MIT License",
+    "ISC": "ISC License",
+}
+SHARED = {
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met"
+}
+
+#: What a candidate must have to declare the version, and the licence that it declares without.
+VERSIONS = {"GPL-2.0": ("2", "GPL"), "GPL-3.0": ("3", "GPL"), "BSD-3-Clause": ("3", "BSD")}
+
+#: A notice that other licences have too counts last.
+LAST = "Proprietary"
+
+_TAG = r"(?i)SPDX-License-Identifier:\s*(\(?[a-z0-9.+-]*[a-z0-9+]\)*(?:\s+(?:AND|OR|WITH)\s+\(*[a-z0-9.+-]*[a-z0-9+]\)*)*)"
+
 #: Names of files whose whole text is a candidate too.
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
@@ -90,13 +141,40 @@ class Templates:
         return near
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, "licence string, term string, share double")
+        rows = [(n, t, share, n not in VERSIONS or VERSIONS[n][0] == t) for n, t, share in self.rows]
+        return spark.createDataFrame(rows, "licence string, term string, share double, sure boolean")
 
 
 def _terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({_TERM})"), F.lit(1))
 
 
+def _in_a_row(wording: str) -> str:
+    """A pattern of these words with anything but letters and digits between them."""
+    return "[^a-z0-9]+".join(re.escape(t) for t in re.findall(_TERM, wording.lower()))
+
+
+def worded(files: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """(path, licence, similarity, rank) of the tags, wordings and titles in files (path, text)."""
+    low = F.lower("text")
+    rows = files.where(low.rlike("licen[cs]e|permission|redistribution|rights|creative|cc0"))
+    rows = rows.select("path", "text", low.alias("low"))
+    found = []
+    for name in sorted({*templates, *WORDINGS}):
+        ways = [templates[name]] if name in templates else []
+        ways = "|".join(_in_a_row(w) for w in [*ways, *WORDINGS.get(name, [])])
+        found.append((name, f"(?<![a-z0-9])({ways})(?![a-z0-9]|[.][0-9])", 3 if name == LAST else 1))
+    for name, title in TITLES.items():
+        found.append((name, "(?m)^[^a-z0-9\n]*" + title.lower().replace(" ", "[^a-z0-9\n]+") + "[^a-z0-9\n]*$", 2))
+    found += [(name, _in_a_row(wording), 2) for name, wording in SHARED.items()]
+    marks = [F.when(F.col("low").rlike(p), F.struct(F.lit(n).alias("licence"), F.lit(r).alias("rank"))) for n, p, r in found]
+    tag = F.regexp_replace(F.regexp_extract("text", _TAG, 1), r"(?i)(-only|-or-later|\+)(?=$|[\s)])", "")
+    marks.append(F.when(tag != "", F.struct(tag.alias("licence"), F.lit(0).alias("rank"))))
+    return rows.select("path", F.explode(F.array_compact(F.array(*marks))).alias("m")).select(
+        "path", "m.licence", F.lit(1.0).alias("similarity"), "m.rank"
+    )
+
+
 def own_licences(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """(path, licence, similarity) of the files (path, text) that declare one; the nearest template's.
 
@@ -108,7 +186,9 @@ def own_licences(files: DataFrame, templates: dict[str, str] = TEMPLATES, least:
     sign = r"(?i)(^|[^a-z0-9])(" + "|".join(sorted(re.escape(t) for t in known.deciding)) + r")($|[^a-z0-9])"
     name = F.substring_index("path", "/", -1)
     whole = F.when(name.rlike(LICENCE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
-    lines = F.concat(F.filter(F.split("text", "\n"), lambda x: x.rlike(sign)), whole)
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(sign))
+    sentences = F.filter(F.flatten(F.transform(lines, lambda x: F.split(x, r"(?<=[.;!?])\s+"))), lambda x: x.rlike(sign))
+    lines = F.concat(lines, sentences, whole)
     # Copies of a file at one path are one file to the directories, so equal rows may meet here.
     found = files.where(F.col("text").rlike(sign)).select("path", F.explode(F.array_distinct(lines)).alias("line"))
     # What can't be near goes before anything is shuffled.
@@ -123,9 +203,16 @@ def own_licences(files: DataFrame, templates: dict[str, str] = TEMPLATES, least:
     vectors = vectors.withColumn("share_here", F.col("w") / sizes)
     # One row for each term of a template; the templates are a parameter.
     near = vectors.join(F.broadcast(known.frame(spark)), "term").groupBy("path", "unit", "licence")
-    near = near.agg(F.round(F.sum(F.col("share_here") * F.col("share")), 6).alias("similarity"))
-    best = F.min_by(F.struct("licence", "similarity"), F.struct(-F.col("similarity"), F.col("licence")))
-    near = near.where(F.col("similarity") >= least).groupBy("path").agg(best.alias("b"))
+    near = near.agg(
+        F.round(F.sum(F.col("share_here") * F.col("share")), 6).alias("similarity"), F.max("sure").alias("sure")
+    )
+    without = F.coalesce(*[F.when(F.col("licence") == n, F.lit(w)) for n, (_, w) in VERSIONS.items()], "licence")
+    rank = F.when(F.col("licence") == LAST, 3).when(F.col("sure"), 1).otherwise(2)
+    near = near.where(F.col("similarity") >= least).select(
+        "path", F.when(F.col("sure"), F.col("licence")).otherwise(without).alias("licence"), "similarity", rank.alias("rank")
+    )
+    best = F.min_by(F.struct("licence", "similarity"), F.struct("rank", -F.col("similarity"), F.col("licence")))
+    near = near.unionByName(worded(files, templates)).groupBy("path").agg(best.alias("b"))
     return near.select("path", "b.licence", "b.similarity")
 
 
