@@ -28,6 +28,27 @@ def test_context_weighs_a_hit(grammar):
     assert grammar.clauses("")[0] == [] and grammar.clauses("one two.\nthree")[1] == 3
 
 
+def test_patterns_read_both_sides(grammar):
+    # A threat is aimed at somebody; its word alone is none.
+    assert total(grammar, "kill") == 0.0 and total(grammar, "they kill the process") == 0.0
+    assert total(grammar, "kill you") == 2.0 and total(grammar, "i will never kill you") == 1.0
+    assert total(grammar, "kill. you") == 0.0 and total(grammar, "kill a b c d you") == 0.0
+    assert total(grammar, "ich werde dich töten") == 2.0 and total(grammar, "je vais te tuer") == 2.0
+    # Reported speech may follow, and counts once.
+    assert total(grammar, "you are an idiot, he said") == 3.0
+    assert total(grammar, "he said you are an idiot, she said") == 3.0
+    assert total(grammar, "i will kill you, he wrote") == 1.0
+    assert total(grammar, "you are an idiot. he said") == 6.0
+
+
+def test_threats_are_learned(spark):
+    rows = [(f"one i will smash {w} now. n{i}", 1) for i, w in enumerate(["you", "them", "your"] * 5)]
+    rows += [(f"one i will smash the record now. you n{i}", 0) for i in range(40)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert lexicon["smash>"] >= toxicity.LEAST_ODDS and "smash$" not in lexicon
+    assert total(Grammar(lexicon), "smash the record") == 0.0 < total(Grammar(lexicon), "smash all of them")
+
+
 def test_composition_is_the_product():
     go, worth = toxicity.compose(toxicity.CONTEXTS)
     assert len(go) == 4 * 9 * 5 and sorted(set(worth)) == [0.25, 0.375, 0.5, 0.75, 1.0, 1.5]

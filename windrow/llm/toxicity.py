@@ -2,11 +2,13 @@
 
 Words fall into classes: insults, threats, targets, negations, speech verbs, others. Small
 transducers, one for each class of context, remember whether that context is near; composed,
-they form one machine that reads a clause from left to right and weighs each insult or threat
-by the context it stands in. A document is scored from its clauses, not from single words.
+they form one machine that reads a clause from left to right and another that reads it from
+right to left, and each insult or threat is weighed by the context on both sides. A threat is a
+word of threat with a target; the word alone is none. Speech counts on either side. A document
+is scored from its clauses, not from single words.
 
-The insults are learned: word beginnings and whole words that labelled toxic documents have and
-the others do not, with their log-odds as weights. How clause scores make a document's score is a
+Insults and threats are learned: word beginnings and whole words that labelled toxic documents
+have and the others do not, and words in front of a target, with their log-odds as weights. How clause scores make a document's score is a
 logistic regression on the same rows.
 """
 
@@ -40,10 +42,12 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, SPEECH = range(6)
 #: Classes that are given, in four languages, and insults to begin with.
 GIVEN = {
     THREAT: "kill hurt destroy murder strangle töten umbringen tuer matar",
-    TARGET: "you your yours yourself they them he she du dich dir dein ihr euch tu toi te vous tú ti usted ustedes",
+    TARGET: "you your yours yourself they them he she him her us everyone du dich dir dein ihr euch tu toi te vous tú ti usted ustedes",
     NEGATION: "not never no none nobody isn aren nicht kein keine nie pas jamais aucun nunca jamás ningún",
     SPEECH: "said says called wrote quoted claimed sagte schrieb nannte dit disait écrit dijo escribió llamó",
 }
+#: Threats whose target may stand in front of them too.
+EITHER_SIDE = frozenset("töten umbringen tuer matar".split())
 SEEDS = "idiot moron stupid loser trash scum pathetic worthless disgusting clown"
 SEED_WEIGHT, THREAT_WEIGHT = 3.0, 2.0
 
@@ -69,9 +73,22 @@ class Transducer:
 CONTEXTS = (Transducer(NEGATION, 3, 0.5), Transducer(SPEECH, 8, 0.5), Transducer(TARGET, 4, 1.5))
 
 
+#: What is read from the right: a speech verb behind a hit, and a target behind a threat.
+BEHIND = (Transducer(SPEECH, 8, 0.5), Transducer(TARGET, 4, 1.0))
+
+
+def _states(parts: tuple[Transducer, ...]) -> list[tuple[int, ...]]:
+    return list(product(*[range(p.reach + 1) for p in parts]))
+
+
+def held(parts: tuple[Transducer, ...], sign: int) -> list[bool]:
+    """For each state of the composed machine: is ``sign`` near?"""
+    return [any(p.sign == sign and x > 0 for p, x in zip(parts, s)) for s in _states(parts)]
+
+
 def compose(parts: tuple[Transducer, ...]) -> tuple[list[list[int]], list[float]]:
     """One machine: next state by state and symbol, and what a hit in a state is worth."""
-    states = list(product(*[range(p.reach + 1) for p in parts]))
+    states = _states(parts)
     number = {s: i for i, s in enumerate(states)}
     go = [[number[tuple(p.step(x, c) for p, x in zip(parts, s))] for c in range(6)] for s in states]
     worth = [float(np.prod([p.weight(x) for p, x in zip(parts, s)])) for s in states]
@@ -80,46 +97,72 @@ def compose(parts: tuple[Transducer, ...]) -> tuple[list[list[int]], list[float]
 
 @dataclass
 class Grammar:
-    """Reads texts; ``lexicon`` has word beginnings, and whole words with a trailing '$'."""
+    """Reads texts; ``lexicon`` has word beginnings, whole words with a trailing '$', and threats with '>'."""
 
     lexicon: dict[str, float]
-    known: dict[str, tuple[int, float]] = field(default_factory=dict)
+    known: dict[str, tuple[int, float, bool]] = field(default_factory=dict)
 
     def __post_init__(self):
         self.go, self.worth = compose(CONTEXTS)
+        self.back, self.worth_behind = compose(BEHIND)
+        # A threat's target is part of it, not its context.
+        aimless = [p if p.sign != TARGET else Transducer(p.sign, p.reach, 1.0) for p in CONTEXTS]
+        self.threat_worth = compose(tuple(aimless))[1]
+        self.aimed, self.aimed_behind = held(CONTEXTS, TARGET), held(BEHIND, TARGET)
+        self.said = held(CONTEXTS, SPEECH)
         self.given = {w: c for c, words in GIVEN.items() for w in words.split()}
 
-    def _class(self, word: str) -> tuple[int, float]:
+    def _class(self, word: str) -> tuple[int, float, bool]:
         if len(self.known) >= MEMORY:
             self.known.clear()
         starts = (word[:k] for k in range(SHORTEST, min(len(word), LONGEST) + 1))
         weight = max((self.lexicon.get(x, 0.0) for x in (*starts, word + "$")), default=0.0)
         if weight:
-            found = INSULT, weight
+            found = INSULT, weight, False
         else:
-            kind = self.given.get(word, OTHER)
-            found = kind, THREAT_WEIGHT if kind == THREAT else 0.0
+            kind, learned = self.given.get(word, OTHER), self.lexicon.get(word + ">", 0.0)
+            if kind == OTHER and learned:
+                kind = THREAT
+            found = kind, max(THREAT_WEIGHT, learned) if kind == THREAT else 0.0, word in EITHER_SIDE
         self.known[word] = found
         return found
 
+    def _clause(self, marks: list[tuple[int, float, bool]]) -> float:
+        """From the right for what stands behind each word, then from the left."""
+        behind, state = [], 0
+        for m in reversed(marks):
+            behind.append(state)
+            state = self.back[state][m[0]]
+        score, state = 0.0, 0
+        for (symbol, weight, either), right in zip(marks, reversed(behind)):
+            if weight:
+                if symbol != THREAT:
+                    worth = self.worth[state]
+                elif self.aimed_behind[right] or (either and self.aimed[state]):
+                    worth = self.threat_worth[state]
+                else:
+                    worth = 0.0
+                score += weight * worth * (1.0 if self.said[state] else self.worth_behind[right])
+            state = self.go[state][symbol]
+        return score
+
     def clauses(self, text: str) -> tuple[list[float], int]:
         """Scores of the clauses that have a hit, and the number of words."""
-        known, go, worth = self.known, self.go, self.worth
+        known = self.known
         tokens = _TOKENS.findall(text.lower())
         marks = [None if t in _STOP else known.get(t) or self._class(t) for t in tokens]
         stops = marks.count(None)
         scores: list[float] = []
         if any(m and m[1] for m in marks):
-            state, score = 0, 0.0
-            for m in (*marks, None):
+            begin, hit = 0, False
+            for i, m in enumerate((*marks, None)):
                 if m is None:
+                    score = self._clause(marks[begin:i]) if hit else 0.0
                     if score:
                         scores.append(score)
-                    state, score = 0, 0.0
-                    continue
-                if m[1]:
-                    score += m[1] * worth[state]
-                state = go[state][m[0]]
+                    begin, hit = i + 1, False
+                elif m[1]:
+                    hit = True
         return scores, len(marks) - stops
 
     def features(self, text: str) -> list[float]:
@@ -158,8 +201,19 @@ def _train_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(rows, "labelled")
 
 
+def aimed(text: str):
+    """A column: the words, with a trailing '>', that a target follows within the reach in their clause."""
+    given = {w: c for c, words in GIVEN.items() for w in words.split()}
+    reach = next(p.reach for p in BEHIND if p.sign == TARGET)
+    targets = "|".join(sorted((re.escape(w) for w, c in given.items() if c == TARGET), reverse=True))
+    others = "|".join(sorted(map(re.escape, given), reverse=True))
+    gap = r"[^\p{L}.!?;:\n]+"
+    near = rf"(?<!\p{{L}})(?!(?:{others})(?!\p{{L}}))(\p{{L}}+)(?={gap}(?:\p{{L}}+{gap}){{0,{reach - 1}}}(?:{targets})(?!\p{{L}}))"
+    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(near), F.lit(1)), lambda x: F.concat(x, F.lit(">")))
+
+
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
-    """Log-odds of word beginnings and whole words, from counts of documents.
+    """Log-odds of word beginnings, whole words and words before a target, from counts of documents.
 
     Counting is an aggregate over all rows; at most ``LEXICON`` entries come to the driver.
     """
@@ -173,8 +227,8 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         F.transform(F.filter("w", lambda x, k=k: F.length(x) >= k), lambda x, k=k: F.substring(x, 1, k))
         for k in range(SHORTEST, LONGEST + 1)
     ]
-    every = F.flatten(F.array(F.transform("w", lambda x: F.concat(x, F.lit("$"))), *starts))
-    seen = rows.select(words.alias("w"), "toxic").select(F.explode(F.array_distinct(every)).alias("entry"), "toxic")
+    every = F.flatten(F.array(F.transform("w", lambda x: F.concat(x, F.lit("$"))), *starts, "aimed"))
+    seen = rows.select(words.alias("w"), aimed("text").alias("aimed"), "toxic").select(F.explode(F.array_distinct(every)).alias("entry"), "toxic")
     seen = seen.groupBy("entry").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
     best = (
