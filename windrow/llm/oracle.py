@@ -179,5 +179,23 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 20"""
 
 
+# Rows of one id are one document; rows without an id are another one, smaller than all.
+LINES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (
+  SELECT r, doc_id, i, l[i] AS line,
+    translate(regexp_replace(l[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT r, doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+common AS (
+  SELECT k, max(doc_id) AS keeper FROM (SELECT DISTINCT k, doc_id FROM lines WHERE length(k) >= 20)
+  GROUP BY k HAVING count(*) >= 3)
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FROM (
+  SELECT r, any_value(doc_id) AS doc_id, count(*) AS n_lines,
+    count(*) FILTER (c.k IS NOT NULL AND doc_id IS DISTINCT FROM keeper) AS n_dropped,
+    string_agg(line, chr(10) ORDER BY i) FILTER (c.k IS NULL OR doc_id IS NOT DISTINCT FROM keeper) AS kept
+  FROM lines LEFT JOIN common c ON lines.k = c.k GROUP BY r)"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_secret_scan": SECRETS, "op3_nearest": NEAREST, "op4_licences": LICENCES, "op5_quality_rules": QUALITY, "op7_warc": WARC}
+    return {"op1_secret_scan": SECRETS, "op3_nearest": NEAREST, "op4_licences": LICENCES, "op5_quality_rules": QUALITY, "op7_warc": WARC, "op13_line_dedup": LINES}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from windrow.llm import common, licences, mixing, near_dups, nearest, pieces, quality, secrets, token_files, toxicity, warc
+from windrow.llm import common, licences, line_dedup, mixing, near_dups, nearest, pieces, quality, secrets, token_files, toxicity, warc
 from windrow.session import work_path
 
 
@@ -93,6 +93,11 @@ def op10_toxicity(spark, sf):
     return toxicity.score(docs, model, "doc_id", "text")
 
 
+def op13_line_dedup(spark, sf):
+    kept = line_dedup.dedup(common.table(spark, sf, "documents"), "doc_id", "text")
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def catalog():
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -105,4 +110,5 @@ def catalog():
         "op8_minhash": op8_minhash,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_toxicity": op10_toxicity,
+        "op13_line_dedup": op13_line_dedup,
     }
