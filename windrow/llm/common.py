@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from windrow.session import materialise
 
@@ -56,3 +61,40 @@ def with_rank(df: DataFrame, *order: str, name: str = "_rank", into: str = "rank
         .withColumn(name, F.col("_offset") + F.col("_inside"))
         .drop("_part", "_inside", "_offset", "_at")
     )
+
+
+def _hashed(kind: pa.DataType, separator: bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state, done = None, None, []
+        for batch in batches:
+            for key, piece in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                if state is None or key != now:
+                    if state is not None:
+                        done.append((now, state.hexdigest()))
+                    now, state = key, hashlib.sha256()
+                else:
+                    state.update(separator)
+                state.update(piece)
+            if len(done) >= 10_000:
+                yield _digests(done, kind)
+                done = []
+        if state is not None:
+            done.append((now, state.hexdigest()))
+        yield _digests(done, kind)
+
+    return run
+
+
+def _digests(done: list, kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in done], kind), pa.array([d for _, d in done], pa.string())], ["key", "sha256"])
+
+
+def sha256_of_pieces(pieces: DataFrame, key: str, order: Sequence[str], piece: str, separator: str) -> DataFrame:
+    """(key, sha256): the digest of each key's pieces, strings, by ``order`` with ``separator`` between them.
+
+    A digest has to read its bytes in order, so a key is one task's; its rows go by one at a
+    time and are never held together.
+    """
+    rows = pieces.repartition(key).sortWithinPartitions(key, *order).select(F.col(key).alias("key"), F.col(piece).alias("piece"))
+    field = rows.schema["key"].dataType
+    return rows.mapInArrow(_hashed(to_arrow_type(field), separator.encode()), f"key {field.simpleString()}, sha256 string")

@@ -179,6 +179,42 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 20"""
 
 
+def _crc32(text: str) -> str:
+    """Bit by bit: a byte is mixed in, then eight shifts."""
+    step = "CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    return (
+        f"xor(4294967295, list_reduce(flatten([[4294967295::BIGINT]] || [[ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] "
+        f"for ch in string_split({text}, '')]), lambda a, x: {step}))"
+    )
+
+
+# Every prefix of every conversation, and each node handed to all nodes above it.
+TRIE = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 5 AS base, {_crc32("c::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT c FROM t)),
+rebuilt AS (
+  SELECT convs.c, 0 AS part, p, role, text FROM convs JOIN t ON t.c = base AND p <= h
+  UNION ALL SELECT t.c, 1, p, role, text FROM t JOIN convs ON t.c = convs.c AND p > h),
+lists AS (
+  SELECT convs.c, coalesce(list(sha256(length(role) || ':' || role || text) ORDER BY part, p) FILTER (role IS NOT NULL), []) AS l,
+    coalesce(list(strlen(text) ORDER BY part, p) FILTER (role IS NOT NULL), []) AS b
+  FROM convs LEFT JOIN rebuilt ON rebuilt.c = convs.c GROUP BY convs.c),
+members AS (SELECT c, len(l) AS n, d, l[1:d] AS k, coalesce(b[d], 0) AS bytes FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM lists)),
+nodes AS (
+  SELECT k, d AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+    max(n) = d AS leaf, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+  FROM members GROUP BY k, d),
+sums AS (
+  SELECT k, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (depth = a + 1) AS n_children
+  FROM (SELECT k[1:a] AS k, a, depth, leaf, saved FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM nodes)) GROUP BY k)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums USING (k) LEFT JOIN nodes p ON n.depth > 0 AND p.k = n.k[1:n.depth - 1]"""
+
+
 # Rows of one id are one document; rows without an id are another one, smaller than all.
 LINES = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
@@ -198,4 +234,4 @@ SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FRO
 
 
 def statements() -> dict[str, str]:
-    return {"op1_secret_scan": SECRETS, "op3_nearest": NEAREST, "op4_licences": LICENCES, "op5_quality_rules": QUALITY, "op7_warc": WARC, "op13_line_dedup": LINES}
+    return {"op1_secret_scan": SECRETS, "op3_nearest": NEAREST, "op4_licences": LICENCES, "op5_quality_rules": QUALITY, "op7_warc": WARC, "op11_prefix_trie": TRIE, "op13_line_dedup": LINES}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from windrow.llm import common, licences, line_dedup, mixing, near_dups, nearest, pieces, quality, secrets, token_files, toxicity, warc
+from windrow.llm import common, licences, line_dedup, mixing, near_dups, nearest, pieces, quality, secrets, token_files, toxicity, trie, warc
 from windrow.session import work_path
 
 
@@ -93,6 +93,16 @@ def op10_toxicity(spark, sf):
     return toxicity.score(docs, model, "doc_id", "text")
 
 
+def op11_prefix_trie(spark, sf):
+    rows = common.table(spark, sf, "conversations")
+    turns = trie.numbered_turns(rows, "conv_id", "turn", "role", "text")
+    conv = F.col("conv")
+    turns = trie.shared_openings(turns, conv - conv % 5, F.crc32(conv.cast("string").cast("binary")) % 9)
+    counts = ("depth", "parent_conv_id", "n_convs", "n_children", "n_leaves")
+    nodes = trie.prefix_trie(turns)
+    return nodes.select("conv_id", *[F.col(c).cast("long").alias(c) for c in counts], F.col("saved").alias("saved_tokens"), "ends_sha256")
+
+
 def op13_line_dedup(spark, sf):
     kept = line_dedup.dedup(common.table(spark, sf, "documents"), "doc_id", "text")
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -110,5 +120,6 @@ def catalog():
         "op8_minhash": op8_minhash,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_toxicity": op10_toxicity,
+        "op11_prefix_trie": op11_prefix_trie,
         "op13_line_dedup": op13_line_dedup,
     }
