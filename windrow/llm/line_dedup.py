@@ -363,10 +363,7 @@ class LineStore:
         An empty table gives an empty result; further columns of any name are not read.
         """
         kind = docs.schema[doc_id].dataType.simpleString()
-        drops = materialise(self.drops().withColumnRenamed("doc_id", "_id"), "drops")
-        size = drops.agg(F.sum(F.size("drops") * 48 + 96)).first()[0] or 0
-        if size <= common.BROADCAST_BYTES:
-            drops = F.broadcast(drops)
+        drops = self.drops().withColumnRenamed("doc_id", "_id")
         rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
         rows = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "drops")
         return rows.mapInArrow(_dropped, f"doc_id {kind}, n_lines bigint, n_dropped bigint, kept string")
