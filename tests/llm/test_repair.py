@@ -1,0 +1,190 @@
+import hashlib
+import random
+import re
+import zlib
+from itertools import product
+
+import numpy as np
+import pytest
+
+from windrow.llm import queries, repair
+
+WHITE = " \t\n\x0b\x0c\r"
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+RIGHT = re.compile("(s?(ua)+)?$")
+
+
+def damage(rows):
+    """Rows of one conversation, in order."""
+    out = []
+    for conv, turn, role, text in rows:
+        said = [" " if x is None else str(x) for x in (conv, turn, role, text)]
+        draw = zlib.crc32(f"{said[0]}:{said[1]}".encode()) % 20
+        role, text = said[2], said[3]
+        if draw == 1:
+            text = ""
+        if draw == 2:
+            text = re.sub("[.!?]", "", text)
+        if draw == 4:
+            role = "user"
+        out += [(turn, role, text)] * (0 if draw == 0 else 2 if draw == 3 else 1)
+    return out
+
+
+def marked(rows):
+    seen, out = set(), []
+    for turn, role, text in rows:
+        bare = text.strip(WHITE)
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else None
+        seen.add((role, text))
+        out.append((turn, role, text, fault))
+    return out
+
+
+def cheapest(rows):
+    """(cost, audit, repaired) by growing every useful sequence of edits, the least for each ending."""
+
+    def closed(best):
+        todo = list(best.items())
+        while todo:
+            ending, (cost, audit, out) = todo.pop()
+            role = "assistant" if ending.endswith("u") else "user"
+            new = (cost + 5, audit + "I", out + [f"{role}:"])
+            to = shape(ending + role[0])
+            if to not in best or new < best[to]:
+                best[to] = new
+                todo.append((to, new))
+        return best
+
+    def shape(initials):
+        return initials if initials in ("", "s") else "u" if initials.endswith("u") else "a"
+
+    best = closed({"": (0, "", [])})
+    for _, role, text, fault in rows:
+        new = {}
+
+        def offer(to, got):
+            if to not in new or got < new[to]:
+                new[to] = got
+
+        for ending, (cost, audit, out) in best.items():
+            offer(ending, (cost + 2, audit + "D", out))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = 5 * (fault == "truncated")
+            first = role[:1]
+            if first == "s" and ending == "" or first == "u" and ending != "u" or first == "a" and ending == "u":
+                offer(shape(ending + first), (cost + more, audit + "K", out + [f"{role}:{text}"]))
+            to = "assistant" if ending == "u" else "user"
+            offer(shape(ending + to[0]), (cost + more + 1, audit + "R", out + [f"{to}:{text}"]))
+        best = closed(new)
+    return min(best[e] for e in ("", "a") if e in best)
+
+
+def brute(rows):
+    convs = {}
+    for r in rows:
+        convs.setdefault(r[0], []).append(r)
+    out = []
+    for conv, own in convs.items():
+        name = lambda r: hashlib.sha256(f"{len(r[2] if r[2] is not None else ' ')}:{' ' if r[2] is None else r[2]}{' ' if r[3] is None else r[3]}".encode()).hexdigest()
+        own.sort(key=lambda r: (r[1] is not None, r[1] or 0, name(r)))
+        now = marked(damage(own))
+        turns = [t for t, *_ in now if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        kinds = [r[1][:1] for r in now]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(kinds, kinds[1:]))
+        cost, audit, said = cheapest(now) if now else (0, "", [])
+        assert all(RIGHT.match("".join(s[0] for s in said)) for _ in [0])
+        count = lambda f: sum(r[3] == f for r in now)
+        digest = hashlib.sha256("\n".join(said).encode()).hexdigest()
+        out.append((conv, gaps, count("blank"), count("duplicate"), count("truncated"), illegal, cost, audit, digest))
+    return sorted(out, key=repr)
+
+
+def result(spark, rows, tmp_path):
+    spark.createDataFrame(rows, SCHEMA).repartition(4).write.parquet(str(tmp_path / "conversations.parquet"))
+    return sorted(map(tuple, queries.op12_conversation_repair(spark, str(tmp_path)).collect()), key=repr)
+
+
+def conversations(n, longest, seed):
+    rng = random.Random(seed)
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", None, "u", "a"]
+    texts = ["Fine.", "Cut off", " \t", "", "Why?  ", "é!", None, "x" * 50 + "."]
+    rows = []
+    for c in range(n):
+        for t in range(rng.randint(1, longest)):
+            if rng.random() < 0.1:
+                continue
+            turn = None if rng.random() < 0.05 else t
+            text = rng.choice(texts) if rng.random() < 0.3 else f"Text {t}{rng.choice('.!?x')}"
+            role = rng.choice(roles) if rng.random() < 0.4 else ["user", "assistant"][t % 2]
+            rows.append((c, turn, role, text))
+    return rows
+
+
+def test_tables_know_few_vectors():
+    made = repair.Tables()
+    assert 4 < len(made.vectors) < 500
+    assert all(min(v) == 0 and max(v) <= 10 + repair.DELETE for v in made.vectors)
+
+
+def test_blocks_equal_single_steps_and_every_edit():
+    made = repair.tables()
+    for length in (0, 1, 3, 4):
+        for symbols in product(range(repair.SYMBOLS), repeat=length) if length < 4 else [(0, 8, 3, 5), (1, 1, 1, 1), (7, 8, 0, 2)]:
+            array = np.array(symbols, np.uint8)
+            _, front, total = made.bounds(array, made.end)
+            assert total + made.end_cost + made.vectors[front][repair.START] == best_of(symbols)[0]
+            found, state = made.trace(array, made.end, repair.START)
+            audit = "".join(letter for _, letter, _ in found) + "I" * len(made.closing(state))
+            assert audit == best_of(symbols)[1]
+
+
+def best_of(symbols):
+    rows = []
+    for i, x in enumerate(symbols):
+        kind, cut = divmod(x - 1, 2) if x else (0, 0)
+        rows.append((i, "suat"[kind], str(i), "blank" if not x else "truncated" if cut else None))
+    return cheapest(rows)[:2]
+
+
+@pytest.mark.parametrize(("n", "longest", "stretch"), [(150, 12, 1024), (3, 700, 1024), (40, 30, 8)])
+def test_equals_brute_force(spark, tmp_path, monkeypatch, n, longest, stretch):
+    monkeypatch.setattr(repair, "STRETCH", stretch)
+    rows = conversations(n, longest, n)
+    assert result(spark, rows, tmp_path) == brute(rows)
+
+
+def test_odd_rows_and_empty_table(spark, tmp_path):
+    rows = [
+        (None, 1, "user", "No conversation."),
+        (None, None, None, None),
+        (1, 5, "user", "Same."),
+        (1, 5, "user", "Same."),
+        (1, 5, "assistant", "Same."),
+        (2, None, None, None),
+        (3, 1, "user", "x" * 2_000_000 + "."),
+        (3, 2, "assistant", "\x00\U0001f642."),
+        (4, -7, "assistant", "Ends."),
+        (5, 9, "system", "Alone."),
+    ]
+    (tmp_path / "a").mkdir()
+    assert result(spark, rows, tmp_path / "a") == brute(rows)
+    (tmp_path / "b").mkdir()
+    assert result(spark, [], tmp_path / "b") == []
+
+
+def test_a_conversation_whose_rows_are_all_dropped(spark, tmp_path):
+    conv = next(c for c in range(1000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    rows = [(conv, 0, "user", "Hello."), (conv + 1, 50, "user", "Hi.")]
+    got = {r[0]: r for r in result(spark, rows, tmp_path)}
+    assert got[conv] == (conv, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+
+
+def test_repaired_rows(spark):
+    rows = [("7", 1, 0, "system", "Be kind."), ("7", 2, 1, "user", "Hello."), ("7", 3, 2, "user", "Again?"), ("7", 4, 3, "user", " ")]
+    summary, repaired = repair.repair(spark.createDataFrame(rows, "conv string, at bigint, turn bigint, role string, text string"))
+    assert summary.first().audit == "KKRD"
+    got = [(r.edit, r.role, r.text) for r in repaired.orderBy("at", "k").collect()]
+    assert got == [("K", "system", "Be kind."), ("K", "user", "Hello."), ("R", "assistant", "Again?"), ("D", None, None)]

@@ -215,6 +215,60 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_con
 FROM nodes n JOIN sums USING (k) LEFT JOIN nodes p ON n.depth > 0 AND p.k = n.k[1:n.depth - 1]"""
 
 
+# A row's edits with up to two inserts in front, and the least (cost, letters) for each state.
+REPAIR = rf"""
+WITH RECURSIVE drawn AS (
+  SELECT coalesce(conv_id::VARCHAR, ' ') AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS w
+  FROM conversations),
+damaged AS (
+  SELECT c, turn, CASE WHEN w = 4 THEN 'user' ELSE role END AS role,
+    CASE w WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text), copy) AS i
+  FROM (SELECT *, unnest(CASE WHEN w = 3 THEN [0, 1] ELSE [0] END) AS copy FROM drawn WHERE w <> 0)),
+rows AS (
+  SELECT *, left(role, 1) AS initial,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated'
+      ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS former
+  FROM damaged),
+due(q, q2, said) AS (VALUES (0, 2, 'user:'), (1, 2, 'user:'), (2, 3, 'assistant:'), (3, 2, 'user:')),
+fronts AS (
+  SELECT q, q AS q2, 0 AS cost, '' AS letters, []::VARCHAR[] AS said FROM due
+  UNION ALL SELECT q, q2, 5, 'I', [said] FROM due
+  UNION ALL SELECT a.q, b.q2, 10, 'II', [a.said, b.said] FROM due a JOIN due b ON a.q2 = b.q),
+keeps(q, initial, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+options AS (
+  SELECT c, i, f.q, f.q2, f.cost + 2 AS cost, f.letters || 'D' AS letters, f.said FROM rows, fronts f
+  UNION ALL
+  SELECT c, i, f.q, k.q2, f.cost + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, f.letters || 'K', f.said || [role || ':' || text]
+  FROM rows JOIN keeps k USING (initial) JOIN fronts f ON f.q2 = k.q WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT c, i, f.q, d.q2, f.cost + 1 + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, f.letters || 'R', f.said || [d.said || text]
+  FROM rows, fronts f JOIN due d ON f.q2 = d.q WHERE fault NOT IN ('blank', 'duplicate')),
+best AS (
+  SELECT c, 0::BIGINT AS i, 0 AS q, {{'cost': 0, 'letters': '', 'said': []::VARCHAR[]}} AS b FROM (SELECT DISTINCT c FROM rows)
+  UNION ALL
+  SELECT c, o.i, o.q2, min({{'cost': b.cost + o.cost, 'letters': b.letters || o.letters, 'said': b.said || o.said}})
+  FROM best JOIN options o USING (c) WHERE o.i = best.i + 1 AND o.q = best.q GROUP BY c, o.i, o.q2),
+repaired AS (
+  SELECT c, min({{'cost': b.cost + f.cost, 'letters': b.letters || f.letters, 'said': b.said || f.said}}) AS b
+  FROM best JOIN fronts f ON f.q = best.q AND f.q2 IN (0, 3)
+  WHERE best.i = (SELECT max(i) FROM rows r WHERE r.c = best.c) GROUP BY c),
+counted AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (former IS NOT NULL AND former || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.cost, 0)::BIGINT AS cost,
+  coalesce(b.letters, '') AS audit, sha256(coalesce(array_to_string(b.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, ' ') AS c FROM conversations)
+LEFT JOIN counted USING (c) LEFT JOIN repaired USING (c)"""
+
+
 # Rows of one id are one document; rows without an id are another one, smaller than all.
 LINES = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
@@ -234,4 +288,4 @@ SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FRO
 
 
 def statements() -> dict[str, str]:
-    return {"op1_secret_scan": SECRETS, "op3_nearest": NEAREST, "op4_licences": LICENCES, "op5_quality_rules": QUALITY, "op7_warc": WARC, "op11_prefix_trie": TRIE, "op13_line_dedup": LINES}
+    return {"op1_secret_scan": SECRETS, "op3_nearest": NEAREST, "op4_licences": LICENCES, "op5_quality_rules": QUALITY, "op7_warc": WARC, "op11_prefix_trie": TRIE, "op12_conversation_repair": REPAIR, "op13_line_dedup": LINES}

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from windrow.llm import common, licences, line_dedup, mixing, near_dups, nearest, pieces, quality, secrets, token_files, toxicity, trie, warc
-from windrow.session import work_path
+from windrow.llm import common, licences, line_dedup, mixing, near_dups, nearest, pieces, quality, repair, secrets, token_files, toxicity, trie, warc
+from windrow.session import materialise, work_path
 
 
 def op1_secret_scan(spark, sf):
@@ -103,6 +103,22 @@ def op11_prefix_trie(spark, sf):
     return nodes.select("conv_id", *[F.col(c).cast("long").alias(c) for c in counts], F.col("saved").alias("saved_tokens"), "ends_sha256")
 
 
+def op12_conversation_repair(spark, sf):
+    rows = common.table(spark, sf, "conversations")
+    broken = materialise(repair.damaged(rows, "conv_id", "turn", "role", "text"), "damaged")
+    summary, repaired = repair.repair(broken)
+    pieces_of = repaired.where("edit <> 'D'").select("conv", "at", "k", F.concat("role", F.lit(":"), "text").alias("piece"))
+    digests = common.sha256_of_pieces(pieces_of, "conv", ["at", "k"], "piece", "\n").toDF("conv", "repaired_sha256")
+    every = rows.select("conv_id").distinct().withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(summary, "conv", "left").join(digests, "conv", "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_line_dedup(spark, sf):
     kept = line_dedup.dedup(common.table(spark, sf, "documents"), "doc_id", "text")
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -121,5 +137,6 @@ def catalog():
         "op9_sentencepiece": op9_sentencepiece,
         "op10_toxicity": op10_toxicity,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_line_dedup": op13_line_dedup,
     }
