@@ -10,6 +10,7 @@ from __future__ import annotations
 import io
 import json
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -20,14 +21,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from windrow.llm import files
+from windrow.llm import common, files
 from windrow.session import materialise
 
 #: Ids in a sequence, sequences in a batch, and the ids at which a file is closed behind a document.
 SEQUENCE, BATCH, FILE_IDS = 1024, 256, 2 << 20
 
-#: Pieces of text that a worker remembers; beyond that it starts anew.
-MEMORY = 700_000
+#: Bytes, as Python holds them, of the pieces of text that a worker remembers and their ids.
+PIECE_BYTES, TAIL_BYTES = 160 << 20, 1 << 20
+
+#: Marks that no letter or number belongs to; an apostrophe may begin a pre-token with letters.
+_MARKS = string.punctuation.replace("'", "")
 
 
 #: The characters by which byte-level tokenizers write bytes: printable ones stand for
@@ -56,47 +60,41 @@ class Encoder:
         self.parts = self.parts and not spec["normalizer"]
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.white = re.compile(r"[^\S \n]")
-        # "x" stands for " x", "\nx" for itself and ("x",) for the "x" that begins a text.
-        self.known: dict[str | tuple, bytes] = {}
+        self.known = common.Memory(self._piece, PIECE_BYTES)
+        self.tails = common.Memory(lambda tail: self._whole([tail])[0], TAIL_BYTES)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", c.ids).tobytes() for c in coded]
 
-    def _learn(self, keys: set) -> None:
-        # A stop or comma behind letters is a pre-token of its own.
-        ended = {k for k in keys if k[-1:] in (".", ",") and k[:-1].isalpha()}
-        words = {k for k in keys if isinstance(k, str) and k.isalpha()}
-        words |= {k[:-1] for k in ended if k[:-1] not in self.known}
-        # A space and letters are one pre-token: its bytes go to the merges directly.
-        tokenize = self.tokenizer.model.tokenize
-        for k in words:
-            piece = (" " + k).encode().decode("latin-1").translate(_BYTE_CHARS)
-            self.known[k] = array("I", [t.id for t in tokenize(piece)]).tobytes()
-        plain = list(keys - ended - words)
-        texts = [k[0] if isinstance(k, tuple) else k if k[:1] == "\n" else " " + k for k in plain]
-        self.known.update(zip(plain, self._whole(texts)))
-        if ended:
-            stops = dict(zip(".,", self._whole([".", ","])))
-            self.known.update((k, self.known[k[:-1]] + stops[k[-1]]) for k in ended)
+    def _letters(self, word: str) -> bytes:
+        """Letters, with a space before them or none, are one pre-token: its bytes go to the merges directly."""
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARS))]).tobytes()
+
+    def _piece(self, key: str) -> bytes:
+        """Ids of a piece that a space stands in front of, or that begins with a line end."""
+        bare = key.rstrip(_MARKS)
+        if bare.isalpha():
+            if bare is key:
+                return self._letters(" " + key)
+            # Marks behind letters are a pre-token of their own.
+            return self.known[bare] + self.tails[key[len(bare) :]]
+        if key[:1] != "\n":
+            return self._whole([" " + key])[0]
+        if bare[1:].isalpha():
+            return self.tails["\n"] + self._letters(bare[1:]) + (self.tails[key[len(bare) :]] if len(bare) < len(key) else b"")
+        return self._whole([key])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.parts:
             return self._whole(texts)
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        known, out = self.known, []
+        find, out = self.known.__getitem__, []
         for text in texts:
-            keys: list = text.replace("\n", " \n").split(" ")
+            keys = text.replace("\n", " \n").split(" ")
             if "" in keys or "\n" in keys or self.white.search(text) or any(m in text for m in self.marks):
                 out += self._whole([text])
                 continue
-            keys[0] = (keys[0],)
-            found = list(map(known.get, keys))
-            if None in found:
-                self._learn({k for k, ids in zip(keys, found) if ids is None})
-                found = [known[k] for k in keys]
-            out.append(b"".join(found))
+            out.append(b"".join([*self._whole(keys[:1]), *map(find, keys[1:])]))
         return out
 
 
