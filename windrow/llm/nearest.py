@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 
 from windrow.session import materialise
 
-#: Standard deviations of the estimate that the bounds allow for.
-WIDTH = 3.0
+#: The chance that an estimate is outside its bounds, and the standard deviations that it takes.
+MISS = 0.0005
+WIDTH = NormalDist().inv_cdf(1 - MISS / 2)
 
 #: Bits of a code at least: a short vector is turned into more dimensions than it has.
 BITS = 256
