@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +20,36 @@ WHITE = r"[\x20\x09-\x0D]+"
 BROADCAST_BYTES = 16 << 20
 
 
+class Memory(dict):
+    """What ``make`` says of a key, remembered within ``limit`` bytes as Python holds them.
+
+    With half of the limit used a new generation begins: of the one before only what is asked
+    for again is taken over. Nothing depends on what is remembered. Keys of which ``keep`` says
+    no are made anew each time.
+    """
+
+    #: Bytes of a place in a dict, with its share of free places.
+    PLACE = 64
+
+    def __init__(self, make: Callable, limit: int, keep: Callable | None = None):
+        super().__init__()
+        self.make, self.limit, self.keep, self.bytes, self.old = make, limit, keep, 0, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if self.keep is not None and not self.keep(key):
+                return value
+        if self.bytes > self.limit // 2:
+            self.old = dict(self)
+            self.clear()
+            self.bytes = 0
+        self[key] = value
+        self.bytes += sys.getsizeof(key) + (0 if value is True or value is False else sys.getsizeof(value)) + self.PLACE
+        return value
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,10 +58,14 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE), lambda w: w != "")
 
 
-def broadcast_if_bounded(df: DataFrame, row_bytes: int) -> DataFrame:
-    """A broadcast hint, given only after counting; ``row_bytes`` bounds one row's width."""
-    most = BROADCAST_BYTES // row_bytes
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def broadcast_if_bounded(df: DataFrame, row_bytes: int | Column) -> DataFrame:
+    """A broadcast hint, given only after counting rows of a fixed width, or summing the widths of a column."""
+    if isinstance(row_bytes, Column):
+        small = (df.agg(F.sum(row_bytes)).first()[0] or 0) <= BROADCAST_BYTES
+    else:
+        most = BROADCAST_BYTES // row_bytes
+        small = df.limit(most + 1).count() <= most
+    return F.broadcast(df) if small else df
 
 
 def numbered(stored: DataFrame) -> DataFrame:

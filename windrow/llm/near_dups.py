@@ -39,8 +39,8 @@ K, MISS = 64, 1e-6
 #: Pivots of a list, round by round after the first; None is all that is left.
 PIVOTS = (8, 64, 512, None)
 
-#: Words whose hashes a worker remembers.
-MEMORY = 500_000
+#: Bytes of words and their hashes that a task remembers.
+WORD_BYTES = 40 << 20
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -73,14 +73,6 @@ class Similar:
         return F.when(n > K, F.lit(K - self.common + 1)).otherwise(F.least(n, whole)).cast("int")
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMORY:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
 def _mixed(h: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits that spreads every bit over all."""
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
@@ -103,7 +95,7 @@ def shingle_set(text: str, width: int, words: dict) -> np.ndarray:
 
 def _sets(width: int, sketch: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
+        words = common.Memory(xxhash.xxh3_64_intdigest, WORD_BYTES)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -4,31 +4,29 @@ A merge-type (BPE) encoding has one last token for each prefix of a text, and a
 tokens is the encoding exactly when each neighbouring pair is: the pair's text alone encodes
 to the pair. So the last token of a prefix is the one that ends there, as an automaton over
 all pieces finds, and goes with the last token of what stands before it. Ids are then read
-off backwards. No merge queue over the text is needed, and prefixes that words share are
-worked out once. A long segment's prefixes are told apart by their length alone, in an array
-that goes with the segment.
+off backwards. No merge queue over the text is needed. The table of a segment is an array by
+the lengths of its prefixes; short segments' ids are remembered, within bounds in bytes.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-SPACE = "▁"
+from windrow.llm import common
 
-#: Entries in each table that a worker keeps; a table beyond that starts anew.
-MEMORY = 600_000
+SPACE = "▁"
 
-#: Characters of the prefixes in the table, and bytes of the segments and ids that are remembered.
-TABLE_CHARS, HELD_BYTES = 16 << 20, 64 << 20
+#: Bytes, as Python holds them, of the segments and ids that a worker remembers, and of pairs.
+IDS_BYTES, PAIRS_BYTES = 80 << 20, 64 << 20
 
-#: Segments beyond so many characters are neither entered in the table nor remembered.
+#: Segments beyond so many characters are not remembered.
 LONG = 64
 
 #: The "token" of a character that no piece has: any token may stand next to it.
@@ -88,10 +86,12 @@ class Encoder:
         self.before = len(sp.encode(self.gap))
         # Only a piece that its own text encodes to can be a token.
         self.automaton = Automaton({p: i for i, p in self.piece.items() if self._library(p) == [i]})
-        self.pairs: dict[int, bool] = {}
-        self.ids: dict[str, bytes] = {}
-        self.held = 0
-        self._forget()
+        self.length = {i: len(p) for i, p in self.piece.items()}
+        self.pairs = common.Memory(self._fits, PAIRS_BYTES)
+        self.ids = common.Memory(self._segment, IDS_BYTES, lambda key: len(key) <= LONG)
+        # Every segment begins with a space, which its key leaves out.
+        self.first = self.automaton.step(0, SPACE)
+        self.first_token = next((t for _, t in self.automaton.ending[self.first]), NONE)
 
     def _library(self, text: str) -> list[int]:
         """What the library's merges make of a short text that stands alone."""
@@ -99,88 +99,46 @@ class Encoder:
 
     def _fits(self, pair: int) -> bool:
         a, b = pair >> 32, pair & 0xFFFFFFFF
-        if len(self.pairs) >= MEMORY:
-            self.pairs.clear()
-        self.pairs[pair] = fits = self._library(self.piece[a] + self.piece[b]) == [a, b]
-        return fits
-
-    def _forget(self) -> None:
-        # Keys leave out the space that every segment begins with.
-        state = self.automaton.step(0, SPACE)
-        token = next((t for _, t in self.automaton.ending[state]), NONE)
-        self.table: dict[str, tuple[int, int]] = {"": (state, token)}
-        self.chars = 0
-
-    def _extend(self, key: str, known: int) -> None:
-        """Enter the prefixes of ``key`` that are longer than ``known``."""
-        table, pairs, step, ending = self.table, self.pairs, self.automaton.step, self.automaton.ending
-        state = table[key[:known]][0]
-        for at in range(known, len(key)):
-            state = step(state, key[at])
-            last = NONE
-            for length, token in ending[state]:
-                # With its space the prefix has at + 2 characters.
-                if length == at + 2:
-                    last = token
+        return self._library(self.piece[a] + self.piece[b]) == [a, b]
+
+    def _table(self, key: str) -> Sequence[int]:
+        """The last token of each prefix of the segment, by the prefix's length without its space."""
+        go, fail, ending, pairs = self.automaton.go, self.automaton.fail, self.automaton.ending, self.pairs
+        state, lasts = self.first, [self.first_token]
+        if len(key) > LONG:
+            lasts = array("i", lasts)
+        for whole, char in enumerate(key, 2):
+            while char not in go[state]:
+                if not state:
                     break
-                left = table[key[: at + 1 - length]][1]
-                if left != NONE:
-                    pair = left << 32 | token
-                    if not (pairs[pair] if pair in pairs else self._fits(pair)):
-                        continue
-                last = token
-                break
-            table[key[: at + 1]] = (state, last)
-            self.chars += at + 1
-
-    def _long(self, key: str) -> bytes:
-        """The same as by the table, with the last token of each prefix at the prefix's length."""
-        pairs, step, ending = self.pairs, self.automaton.step, self.automaton.ending
-        state, token = self.table[""]
-        lasts = array("i", [token])
-        for at, char in enumerate(key):
-            state = step(state, char)
+                state = fail[state]
+            else:
+                state = go[state][char]
             last = NONE
             for length, token in ending[state]:
-                # With its space the prefix has at + 2 characters.
-                if length == at + 2:
-                    last = token
-                    break
-                left = lasts[at + 1 - length]
-                if left != NONE:
-                    pair = left << 32 | token
-                    if not (pairs[pair] if pair in pairs else self._fits(pair)):
+                if length != whole:
+                    left = lasts[whole - 1 - length]
+                    if left != NONE and not pairs[left << 32 | token]:
                         continue
                 last = token
                 break
             lasts.append(last)
-        return self._read(key, lasts.__getitem__)
+        return lasts
 
     def _char(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode()] if self.bytes else [self.sp.unk_id()]
 
     def _segment(self, key: str) -> bytes:
-        if len(key) > LONG:
-            return self._long(key)
-        if len(self.table) + len(key) > MEMORY or self.chars > TABLE_CHARS:
-            self._forget()
-        table, known = self.table, len(key)
-        while key[:known] not in table:
-            known -= 1
-        self._extend(key, known)
-        return self._read(key, lambda at: table[key[:at]][1])
-
-    def _read(self, key: str, last_of: Callable[[int], int]) -> bytes:
-        """Ids from the last tokens of the prefixes, by their lengths."""
-        ids, at = array("i"), len(key)
+        """Ids from the table, from its end."""
+        lasts, ids, at = self._table(key), array("i"), len(key)
         while at >= 0:
-            last = last_of(at)
+            last = lasts[at]
             if last == NONE:
                 ids.extend(reversed(self._char(key[at - 1] if at else SPACE)))
                 at -= 1
             else:
                 ids.append(last)
-                at -= len(self.piece[last])
+                at -= self.length[last]
         ids.reverse()
         return ids.tobytes()
 
@@ -197,23 +155,7 @@ class Encoder:
 
     def encode(self, text: str) -> np.ndarray:
         """Segments occur again and again, so each is encoded once while it is remembered."""
-        known = self.ids
-        keys = self._keys(text)
-        found = list(map(known.get, keys))
-        if None in found:
-            if len(known) > MEMORY or self.held > HELD_BYTES:
-                known.clear()
-                self.held = 0
-            for i, (key, ids) in enumerate(zip(keys, found)):
-                if ids is None:
-                    ids = known.get(key)
-                    if ids is None:
-                        ids = self._segment(key)
-                        if len(key) <= LONG:
-                            known[key] = ids
-                            self.held += len(ids) + 4 * len(key)
-                    found[i] = ids
-        return np.frombuffer(b"".join(found), dtype=np.int32)
+        return np.frombuffer(b"".join(map(self.ids.__getitem__, self._keys(text))), dtype=np.int32)
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import product
 
 import numpy as np
@@ -34,8 +34,8 @@ MOST_LABELLED = 40_000
 #: evidence for an entry: toxic documents that have it, and log-odds of a document that does.
 LEXICON, SHORTEST, LONGEST, LEAST_SEEN, LEAST_ODDS = 4000, 3, 9, 5, 2.5
 
-#: Words that a worker remembers the class of.
-MEMORY = 500_000
+#: Bytes of words and their classes that a task remembers.
+WORD_BYTES = 40 << 20
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, SPEECH = range(6)
 
@@ -100,9 +100,9 @@ class Grammar:
     """Reads texts; ``lexicon`` has word beginnings, whole words with a trailing '$', and threats with '>'."""
 
     lexicon: dict[str, float]
-    known: dict[str, tuple[int, float, bool]] = field(default_factory=dict)
 
     def __post_init__(self):
+        self.known = common.Memory(self._class, WORD_BYTES)
         self.go, self.worth = compose(CONTEXTS)
         self.back, self.worth_behind = compose(BEHIND)
         # A threat's target is part of it, not its context.
@@ -113,19 +113,14 @@ class Grammar:
         self.given = {w: c for c, words in GIVEN.items() for w in words.split()}
 
     def _class(self, word: str) -> tuple[int, float, bool]:
-        if len(self.known) >= MEMORY:
-            self.known.clear()
         starts = (word[:k] for k in range(SHORTEST, min(len(word), LONGEST) + 1))
         weight = max((self.lexicon.get(x, 0.0) for x in (*starts, word + "$")), default=0.0)
         if weight:
-            found = INSULT, weight, False
-        else:
-            kind, learned = self.given.get(word, OTHER), self.lexicon.get(word + ">", 0.0)
-            if kind == OTHER and learned:
-                kind = THREAT
-            found = kind, max(THREAT_WEIGHT, learned) if kind == THREAT else 0.0, word in EITHER_SIDE
-        self.known[word] = found
-        return found
+            return INSULT, weight, False
+        kind, learned = self.given.get(word, OTHER), self.lexicon.get(word + ">", 0.0)
+        if kind == OTHER and learned:
+            kind = THREAT
+        return kind, max(THREAT_WEIGHT, learned) if kind == THREAT else 0.0, word in EITHER_SIDE
 
     def _clause(self, marks: list[tuple[int, float, bool]]) -> float:
         """From the right for what stands behind each word, then from the left."""
@@ -150,7 +145,7 @@ class Grammar:
         """Scores of the clauses that have a hit, and the number of words."""
         known = self.known
         tokens = _TOKENS.findall(text.lower())
-        marks = [None if t in _STOP else known.get(t) or self._class(t) for t in tokens]
+        marks = [None if t in _STOP else known[t] for t in tokens]
         stops = marks.count(None)
         scores: list[float] = []
         if any(m and m[1] for m in marks):
