@@ -35,8 +35,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     found = materialise(secrets.findings_by_content(spark, ledger), "findings")
     columns = docs.columns
     rows = docs.select(F.struct("*").alias("_doc"), F.col("text").alias("_text"), secrets.blob("text").alias("_blob"))
-    # Few contents have findings; a row of theirs is some spans of 40 bytes.
-    rows = rows.join(common.broadcast_if_bounded(found, 1024), F.col("_blob") == F.col("blob"), "left")
+    # Few contents have findings, but one may have very many: their sizes are summed.
+    width = F.size("findings") * 64 + 160
+    rows = rows.join(common.broadcast_if_bounded(found, width), F.col("_blob") == F.col("blob"), "left")
     clean = secrets.redact("_text")
     changed = {"text": clean, "n_chars": F.when(F.size("findings") > 0, F.length(clean).cast("long")).otherwise(F.col("_doc.n_chars"))}
     return rows.select(*[changed.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in columns])
