@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import argparse
 
-from windrow import schemas
 from windrow.plans import jobs
 from windrow.session import build_session, use_utc
 from windrow.sources import kafka as kafka_source
 from windrow.streaming import scoring
-from windrow.streaming.replay import replay_topic
 
 
 #: Rows of a stored object at most. How much a batch reads is not bound by it.
@@ -26,9 +24,11 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{option}", required=option not in defaults, default=defaults.get(option))
 
     step("sample", "grid", "out", "start", "end")
-    consume = {"table": None, "run-id": None, "object-rows": OBJECT_ROWS, "max-records": None, "idle-seconds": 60}
+    consume = {"table": None, "table-format": "parquet", "run-id": None, "object-rows": OBJECT_ROWS, "max-records": None, "idle-seconds": 60}
     step("consume", "servers", "raw", "checkpoint", *consume, **consume)
-    step("replay", "events", "servers")
+    ends = {"run-id": None, "max-records": None, "idle-seconds": 60}
+    step("stream-bronze", "servers", "bronze", "checkpoint", "merge-every", *ends, **ends, **{"merge-every": 50})
+    step("merge-bronze", "bronze")
     step("validate", "raw", "table", table=None)
     step("bronze", "raw", "lake")
     step("silver", "lake")
@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None) -> None:
             int(a.max_records) if a.max_records else None,
             float(a.idle_seconds),
             int(a.object_rows),
+            a.table_format,
         )
         print("run:", sink.run_id, "missed by the second target:", sink.missed(spark))
     elif a.step == "validate":
@@ -62,8 +63,15 @@ def main(argv: list[str] | None = None) -> None:
         summary.show(truncate=False)
         columns.show(truncate=False)
         print("rows in the second target:", second)
-    elif a.step == "replay":
-        print("steps sent:", replay_topic(spark.read.schema(schemas.EVENT).json(a.events), a.servers))
+    elif a.step == "stream-bronze":
+        stream = kafka_source.decode(kafka_source.read_topic(spark, a.servers))
+        most = int(a.max_records) if a.max_records else None
+        stored = jobs.stream_bronze(
+            stream, a.bronze, a.checkpoint, a.run_id, int(a.merge_every), most, float(a.idle_seconds)
+        )
+        print("events:", stored.count())
+    elif a.step == "merge-bronze":
+        print("dates merged:", jobs.merge_bronze(spark, a.bronze))
     elif a.step == "bronze":
         print(jobs.bronze(spark, a.raw, a.lake))
     elif a.step == "silver":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from windrow import fixed, schemas
 from windrow.operators import quality, runs, training
@@ -13,7 +14,9 @@ from windrow.sinks.tables import write_formats, write_sample
 from windrow.sources import grid as grid_source
 from windrow.sources import raw as raw_source
 from windrow.sources.tables import read_if_there, read_table
-from windrow.streaming import ingest
+from windrow.streaming import ingest, merging
+
+SECOND_TARGETS = {"parquet": ingest.ParquetBatches, "delta": ingest.DeltaBatches}
 
 BRONZE = "bronze/weather_events"
 SILVER = "silver/weather_labeled"
@@ -46,6 +49,7 @@ def consume(
     max_records: int | None = None,
     idle_seconds: float | None = None,
     object_rows: int | None = None,
+    table_format: str = "parquet",
 ) -> ingest.RawSink:
     """Decoded events of a stream to the raw zone, and best effort to a table of raw rows.
 
@@ -53,21 +57,53 @@ def consume(
     last batch left instead of adding to it. Batches that the table misses, also from earlier
     starts, are written to it from the raw zone. ``object_rows`` bounds the rows of an object.
     Reads what is there now and ends; with ``max_records`` or ``idle_seconds`` it waits for
-    events until it has read that many or nothing has come for that long.
+    events until it has read that many or nothing has come for that long. ``table_format`` is
+    parquet or delta; what a Delta table misses is not written again, as its rows do not say
+    which batch they are from.
     """
     spark = stream.sparkSession
     run_id = ingest.run_of(spark, checkpoint, run_id)
-    second = ingest.ParquetBatches(table, run_id) if table else None
+    second = SECOND_TARGETS[table_format](table, run_id) if table else None
     sink = ingest.RawSink(raw, run_id, second=second, max_records=object_rows)
     names = [n for n in (*schemas.RAW.names, schemas.REST.name) if n in stream.columns]
+    _run(stream.select(*names), sink, checkpoint, max_records, idle_seconds)
+    sink.repair(spark)
+    return sink
+
+
+def _run(stream: DataFrame, sink, checkpoint: str, max_records: int | None, idle_seconds: float | None) -> None:
     waits = max_records is not None or idle_seconds is not None
-    query = ingest.start(stream.select(*names), sink, checkpoint, available_now=not waits)
+    query = ingest.start(stream, sink, checkpoint, available_now=not waits)
     if waits:
         ingest.run_until(query, max_records, idle_seconds)
     else:
         query.awaitTermination()
-    sink.repair(spark)
-    return sink
+
+
+def stream_bronze(
+    stream: DataFrame,
+    bronze: str,
+    checkpoint: str,
+    run_id: str | None = None,
+    merge_every: int = 50,
+    max_records: int | None = None,
+    idle_seconds: float | None = None,
+) -> DataFrame:
+    """Decoded events of a stream to bronze, each event once; returns the table as it is read.
+
+    Ends like ``consume``. The table is merged on the way, every ``merge_every`` batches.
+    """
+    spark = stream.sparkSession
+    sink = ingest.BronzeSink(bronze, ingest.run_of(spark, checkpoint, run_id), merge_every)
+    if "_source_object" not in stream.columns:
+        stream = stream.withColumn("_source_object", F.lit(None).cast("string"))
+    _run(stream.select(*schemas.RAW.names, "_source_object"), sink, checkpoint, max_records, idle_seconds)
+    return ingest.read_stream_bronze(spark, bronze)
+
+
+def merge_bronze(spark: SparkSession, bronze: str, least: int = merging.LEAST) -> int:
+    """Merge the small directories of a streamed bronze table, also while its stream runs."""
+    return merging.merge(spark, bronze, ingest.STREAM_BRONZE, least)
 
 
 def validate(spark: SparkSession, raw: str, table: str | None = None) -> tuple[DataFrame, DataFrame, int | None]:

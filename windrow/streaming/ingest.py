@@ -27,6 +27,7 @@ from windrow.session import broadcast_if_small
 from windrow.sinks.raw import RUN_KEYS, new_run_id, with_run_keys
 from windrow.sources import raw as raw_source
 from windrow.sources.tables import read_if_there
+from windrow.streaming import merging
 
 log = logging.getLogger(__name__)
 
@@ -64,11 +65,13 @@ def run_of(spark: SparkSession, checkpoint: str, run_id: str | None = None) -> s
     place = f"{checkpoint.rstrip('/')}-run"
     schema = T.StructType([T.StructField("run_id", T.StringType())])
     kept = read_if_there(spark, place, schema, "json")
+    kept = kept and kept.first()
     if kept is None:
+        # Also where a start that failed has left a folder without a row.
         name = run_id or new_run_id()
-        spark.createDataFrame([(name,)], schema).coalesce(1).write.mode("ignore").json(place)
-        kept = spark.read.schema(schema).json(place)
-    name = kept.first()[0]
+        spark.createDataFrame([(name,)], schema).coalesce(1).write.mode("overwrite").json(place)
+        kept = spark.read.schema(schema).json(place).first()
+    name = kept[0]
     if run_id and run_id != name:
         raise ValueError(f"the checkpoint belongs to run {name}, not to {run_id}")
     return name
@@ -80,13 +83,14 @@ class RawSink:
 
     The raw write must succeed. When the second fails, the batch goes on. What the second
     misses is what the raw zone has and it has not, so nothing is forgotten with the process;
-    ``repair`` writes it again from the raw zone.
+    ``repair`` writes it again from the raw zone, as soon as the second target takes a batch again.
     """
 
     path: str
     run_id: str
     second: Callable[[DataFrame, int], None] | None = None
     max_records: int | None = None
+    behind: bool = False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.second is None:
@@ -96,9 +100,12 @@ class RawSink:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._write_raw(batch, batch_id)
+            late = self.behind
             self._write_second(batch, batch_id)
         finally:
             batch.unpersist()
+        if late and not self.behind:
+            self.repair(batch.sparkSession)
 
     def _write_raw(self, batch: DataFrame, batch_id: int) -> None:
         part = f"{batch_id + 1:05d}"
@@ -115,14 +122,17 @@ class RawSink:
     def _write_second(self, batch: DataFrame, batch_id: int) -> None:
         try:
             self.second(batch, batch_id)
+            self.behind = False
         except Exception:
+            self.behind = True
             log.exception("second target failed for batch %d; raw storage succeeded", batch_id)
 
     def missed(self, spark: SparkSession) -> list[int]:
         """Batches of this run that the raw zone has and the second target has not."""
         if self.second is None or not hasattr(self.second, "batches"):
             return []
-        raw = _numbers(spark, self.path, f"run_id={self.run_id}/.*/part=(\\d+)/part-[^/]*$")
+        # Only this run's objects are listed.
+        raw = _numbers(spark, f"{self.path}/run_id={self.run_id}", "/part=(\\d+)/part-[^/]*$")
         return sorted({n - 1 for n in raw} - self.second.batches(spark))
 
     def repair(self, spark: SparkSession) -> None:
@@ -156,7 +166,7 @@ class ParquetBatches:
         flatten_nested(batch).write.mode("overwrite").parquet(place)
 
     def batches(self, spark: SparkSession) -> set[int]:
-        return _numbers(spark, self.path, f"run_id={self.run_id}/batch_id=(\\d+)/part-[^/]*$")
+        return _numbers(spark, f"{self.path}/run_id={self.run_id}", "/batch_id=(\\d+)/part-[^/]*$")
 
 
 @dataclass
@@ -179,12 +189,22 @@ class BronzeSink:
     the dates of the batch: an event id contains its time, so a redelivery has the date of
     the first delivery, and only the directories of those dates are listed. Rows of this
     batch and of later ones (left by an attempt that failed) do not count as known.
+
+    Every ``merge_every`` batches the dates that have many directories are merged, so what a
+    batch lists and reads does not grow with the number of batches before it.
     """
 
     path: str
     run_id: str
+    merge_every: int | None = 50
+
+    def __post_init__(self):
+        if self.run_id == merging.MERGED:
+            raise ValueError(f"no run may be called {merging.MERGED}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.merge_every and batch_id and batch_id % self.merge_every == 0:
+            merging.merge(batch.sparkSession, self.path, STREAM_BRONZE)
         fresh = first_delivery(typed_events(valid_events(batch))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             stored = self._stored(fresh)
@@ -210,10 +230,15 @@ class BronzeSink:
             return None
         if len(listed) > _DATE_LIST:
             low, high = fresh.agg(F.min("event_date"), F.max("event_date")).first()
-            found = read_if_there(spark, self.path, STREAM_BRONZE)
-            return None if found is None else found.where(F.col("event_date").between(low, high))
-        names = ",".join(d.isoformat() for d in listed)
-        return read_if_there(spark, f"{self.path}/event_date={{{names}}}", STREAM_BRONZE, base=self.path)
+            wanted, found = F.col("event_date").between(low, high), read_if_there(spark, self.path, STREAM_BRONZE)
+        else:
+            names = ",".join(d.isoformat() for d in listed)
+            wanted = F.col("event_date").isin(listed)
+            found = read_if_there(spark, f"{self.path}/event_date={{{names}}}", STREAM_BRONZE, base=self.path)
+        if found is None:
+            return None
+        by = merging.held(spark, self.path)
+        return merging.live(found.where(wanted), None if by is None else by.where(wanted))
 
     def _without_known(self, fresh: DataFrame, stored: DataFrame, batch_id: int) -> DataFrame:
         earlier = (F.col("run_id") != self.run_id) | (F.col("batch_id") < batch_id)
@@ -224,7 +249,8 @@ class BronzeSink:
 
 
 def read_stream_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STREAM_BRONZE).parquet(path).select(*schemas.BRONZE.names)
+    rows = spark.read.schema(STREAM_BRONZE).parquet(path)
+    return merging.live(rows, merging.held(spark, path)).select(*schemas.BRONZE.names)
 
 
 def start(
