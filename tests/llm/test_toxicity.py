@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from windrow.llm import toxicity
@@ -87,3 +88,15 @@ def test_odd_rows_and_no_labels(spark, odd, none):
         same = {r.score for r in out if r.doc_id in (1, 2, 3)}
         assert len(same) == 1
         assert toxicity.score(none, model, "doc_id", "text").collect() == []
+
+
+def test_the_regression_settles_on_classes_that_hardly_overlap():
+    """Plain Newton steps run away here and end with the classes the wrong way round."""
+    rng = np.random.default_rng(6)
+    for n in (200, 5000, 40_000):
+        y = (rng.random(n) < 0.1).astype(float)
+        hit = y * (3 + rng.random(n)) + (1 - y) * 0.01 * rng.random(n) * (rng.random(n) < 0.02)
+        x = np.column_stack([hit, hit * 20, hit > 0, rng.standard_normal(n)]).astype(float)
+        x = np.column_stack([(x - x.mean(0)) / x.std(0), np.ones(n)])
+        w = toxicity._logistic(x, y)
+        assert np.abs(w).max() < 50 and ((x @ w > 0) == y).mean() > 0.999
