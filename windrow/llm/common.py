@@ -50,6 +50,19 @@ class Memory(dict):
         return value
 
 
+#: Bytes of rows that go to a Python worker at once. Both sides hold a batch whole.
+BATCH_BYTES = 4 << 20
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends rows to Python in batches of ``BATCH_BYTES``.
+
+    Batches by number alone are as large as texts are long.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -77,7 +77,7 @@ def _refs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def references(docs: DataFrame) -> DataFrame:
     """(doc_id, high, low): the keys of each document, once; rows of one id are one document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_refs, f"doc_id {kind}, high bigint, low bigint").distinct()
+    return common.in_small_batches(docs.select("doc_id", "text")).mapInArrow(_refs, f"doc_id {kind}, high bigint, low bigint").distinct()
 
 
 def _shard(shards: int):
@@ -366,7 +366,7 @@ class LineStore:
         drops = self.drops().withColumnRenamed("doc_id", "_id")
         rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
         rows = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "drops")
-        return rows.mapInArrow(_dropped, f"doc_id {kind}, n_lines bigint, n_dropped bigint, kept string")
+        return common.in_small_batches(rows).mapInArrow(_dropped, f"doc_id {kind}, n_lines bigint, n_dropped bigint, kept string")
 
 
 def dedup(docs: DataFrame, doc_id: str, text: str, shards: int = 64) -> DataFrame:

@@ -118,7 +118,7 @@ def _sets(width: int, sketch: bool):
 
 def sets(docs: DataFrame, width: int, sketch: bool) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return common.in_small_batches(docs.select("doc_id", "text")).mapInArrow(
         _sets(width, sketch), f"doc_id {kind}, n bigint, set_hash binary, values array<bigint>"
     )
 

@@ -194,6 +194,6 @@ def encode(docs: DataFrame, doc_id: str, text: str, model: str) -> DataFrame:
     path that every worker can open.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text").mapInArrow(
+    return common.in_small_batches(docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text")).mapInArrow(
         _coder(model), f"doc_id {kind}, ids array<int>, decoded string"
     )

@@ -16,6 +16,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from windrow.llm import common
+
 FINDING = "array<struct<start:int,place:int,end:int,kind:string>>"
 LEDGER = f"blob string, rules array<string>, findings {FINDING}"
 
@@ -96,7 +98,7 @@ def update_ledger(versions: DataFrame, ledger: str, text: str, rules: Sequence[R
         .select("blob", "text", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))).alias("rules"))
         .where(F.size("rules") > 0)
     )
-    todo.mapInPandas(_scanner(rules), LEDGER).write.mode("append").parquet(ledger)
+    common.in_small_batches(todo).mapInPandas(_scanner(rules), LEDGER).write.mode("append").parquet(ledger)
 
 
 def findings_by_content(spark: SparkSession, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:

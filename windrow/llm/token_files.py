@@ -218,7 +218,7 @@ def write(
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    made = ordered.mapInArrow(_writer(tokenizer, end_id, sequence, file_ids), "name string, content binary")
+    made = common.in_small_batches(ordered).mapInArrow(_writer(tokenizer, end_id, sequence, file_ids), "name string, content binary")
     files.write(made, path, "name", "content")
 
 

@@ -278,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from labelled rows that are not held out; the features, never source, language or id."""
     rows = _train_rows(docs, labels)
     lexicon = learn_lexicon(rows)
-    seen = rows.select("toxic", "text").mapInArrow(_features(lexicon, "toxic"), "toxic int, x array<double>")
+    seen = common.in_small_batches(rows.select("toxic", "text")).mapInArrow(_features(lexicon, "toxic"), "toxic int, x array<double>")
     data = seen.collect()  # five numbers for each of the bounded rows
     x = np.array([r.x for r in data]) if data else np.zeros((0, 5))
     y = np.array([r.toxic for r in data], dtype=float)
@@ -308,7 +308,7 @@ def score(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.scores(x))], names=["doc_id", "score"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    scored = rows.mapInArrow(run, f"doc_id {kind}, score double")
+    scored = common.in_small_batches(rows).mapInArrow(run, f"doc_id {kind}, score double")
     return scored.select(
         "doc_id",
         held_out("doc_id").alias("held_out"),
@@ -329,4 +329,4 @@ def without_toxic(docs: DataFrame, model: Model, text: str) -> DataFrame:
                 x = np.array([grammar.features(t or "") for t in part.column(at).to_pylist()])
                 yield part.filter(pa.array(model.scores(x) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return common.in_small_batches(docs).mapInArrow(run, docs.schema)
