@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plans import executed, initial
+from plans import initial
 from windrow.operators import rolling
 from windrow.operators.rolling import rolling_features
 
@@ -49,28 +49,48 @@ def as_tuples(df):
 
 
 @pytest.mark.parametrize("rows", [2, 3, 5])
-@pytest.mark.parametrize("seconds", [1, 10, 300, 100_000])
-def test_slices_change_nothing(spark, rows, seconds):
+@pytest.mark.parametrize("slices", [1, 7, 60, 900])
+def test_slices_change_nothing(spark, rows, slices):
     df = rows_with_a_hot_key(spark).cache()
     expected = brute_force(df.collect(), rows)
     assert as_tuples(rolled(df, rows=rows)) == expected
-    assert as_tuples(rolled(df, rows=rows, slice_seconds=seconds)) == expected
+    assert as_tuples(rolled(df, rows=rows, slices=slices)) == expected
 
 
-def test_a_hot_key_is_cut_by_its_own_width(spark):
-    df = rows_with_a_hot_key(spark, seconds=100_000).cache()
-    result = rolled(df, max_key_rows=150)
-    assert as_tuples(result) == brute_force(df.collect())
-    assert "_slice" in initial(result)
+def test_a_hot_key_and_a_hot_second_are_cut(spark):
+    for seconds in (100_000, 1):
+        df = rows_with_a_hot_key(spark, seconds=seconds).cache()
+        result = rolled(df, max_key_rows=150)
+        assert as_tuples(result) == brute_force(df.collect())
+        assert "_slice" in initial(result)
+        assert "_slice" not in initial(rolled(df, max_key_rows=1000))
 
 
-def test_a_hot_second_is_cut_by_range(spark, monkeypatch):
-    df = rows_with_a_hot_key(spark, n=500, seconds=1).cache()
-    used = []
-    by_range = rolling._by_range
-    monkeypatch.setattr(rolling, "_by_range", lambda *a: used.append(a) or by_range(*a))
-    assert as_tuples(rolled(df, max_key_rows=40)) == brute_force(df.collect())
-    assert used
+def test_the_input_is_read_once_for_a_sample_and_once_for_the_rows(spark):
+    df, read = rows_with_a_hot_key(spark), spark.sparkContext.accumulator(0)
+    count = df.count()
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    once = df.mapInArrow(counted, df.schema)
+    assert rolled(once, slices=9).count() == count
+    assert read.value == 2 * count
+    assert rolled(once, max_key_rows=100).count() == count
+    # The key sizes are one more, over the key alone.
+    assert read.value == 5 * count
+
+
+def test_only_the_ends_of_slices_are_given_to_the_next(spark):
+    df = spark.range(1000).select(F.lit("a").alias("k"), F.col("id").alias("_order_s"), F.floor(F.col("id") / 100).alias("_slice"))
+    given = rolling.rows_in_front(df, "k", [], 4).orderBy("_slice", "_order_s").collect()
+    assert [(r["_slice"], r["_order_s"]) for r in given] == [(s, s * 100 - 3 + i) for s in range(1, 10) for i in range(3)]
+    # Slices of one row each: the rows in front come from several.
+    thin = spark.range(5).select(F.lit("a").alias("k"), F.col("id").alias("_order_s"), (F.col("id") * 7).alias("_slice"))
+    given = {(r["_slice"], r["_order_s"]) for r in rolling.rows_in_front(thin, "k", [], 3).collect()}
+    assert given == {(7, 0), (14, 0), (14, 1), (21, 1), (21, 2), (28, 2), (28, 3)}
 
 
 def test_rows_without_a_time_come_first_either_way(spark):
@@ -79,23 +99,18 @@ def test_rows_without_a_time_come_first_either_way(spark):
         "k", F.timestamp_seconds("s").alias("t"), "id", "v"
     )
     plain = as_tuples(rolled(df))
-    assert as_tuples(rolled(df, slice_seconds=2)) == plain
+    assert as_tuples(rolled(df, slices=5)) == plain
     assert as_tuples(rolled(df, max_key_rows=4)) == plain
 
 
 def test_plain_windows_share_one_shuffle_and_one_sort(bronze):
-    text = initial(rolling_features(bronze, slice_seconds=None))
+    text = initial(rolling_features(bronze))
     assert text.count("Exchange ") == 1
     assert text.count("Sort ") == 1
     assert text.count("Window ") == 1
     assert "Python" not in text
 
 
-def test_both_branches_of_slices_read_one_shuffle(bronze):
-    text = executed(rolling_features(bronze, slice_seconds=3600)).split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in text or text.count("FileScan") == 1
-
-
 def test_a_filter_on_the_key_reaches_the_scan(bronze):
     df = rolling_features(bronze).where(F.col("airport") == "JFK")
     assert "EqualTo(airport,JFK)" in initial(df)
@@ -115,3 +130,5 @@ def test_nan_and_null_in_a_frame(spark):
 def test_frames_of_one_row_are_refused(bronze):
     with pytest.raises(ValueError):
         rolling_features(bronze, rows=1)
+    with pytest.raises(ValueError):
+        rolling_features(bronze, slices=0)

@@ -2,8 +2,8 @@
 
 The frame counts rows: the current row and the ``rows - 1`` before it, per key, in time
 order. A plain window puts a whole key into one task. When the largest key is too big
-for that, its time line is cut into slices; only the few rows next to a cut are looked at
-again, so the result is the same.
+for that, all rows are range partitioned on key and time order instead; each range is given the
+few rows in front of it, so every frame is whole within its range.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow import fixed
-from windrow.session import broadcast_if_small, materialise
+from windrow.session import materialise
 
 #: Rows of one key that a single task may sort.
 MAX_KEY_ROWS = 2_000_000
@@ -31,38 +31,9 @@ def _with_order(df: DataFrame, time: str) -> DataFrame:
     return df.withColumn("_order_s", F.col(time).cast("timestamp").cast("long"))
 
 
-def key_sizes(df: DataFrame, key: str, time: str) -> DataFrame:
-    """(key, n, span in seconds) per key: one aggregate over two columns."""
-    return (
-        df.select(key, F.col(time).cast("timestamp").cast("long").alias("s"))
-        .groupBy(key)
-        .agg(F.count("*").alias("n"), (F.max("s") - F.min("s") + 1).alias("span"))
-    )
-
-
-def slice_widths(sizes: DataFrame, key: str, max_key_rows: int, edge_rows: int) -> DataFrame:
-    """(key, seconds per slice) of the keys too big for one task.
-
-    With c slices a key of n rows gives tasks of n / c rows and a second pass over
-    ``edge_rows * c`` rows; both are equal, and least, at c = sqrt(n / edge_rows).
-    There are at most total rows / ``max_key_rows`` such keys.
-    """
-    width = F.ceil(F.col("span") / F.sqrt(F.col("n") / edge_rows))
-    return sizes.where((F.col("n") > max_key_rows) & F.col("span").isNotNull()).select(
-        F.col(key).alias("_key"), F.greatest(width, F.lit(1)).alias("_width")
-    )
-
-
-def _by_width(keyed: DataFrame, key: str, widths: DataFrame) -> DataFrame:
-    """Slice numbers from per-key widths; a key without a width is one slice."""
-    widths = broadcast_if_small(widths)
-    # A row without a time has no slice number; like its time, that sorts first.
-    number = F.when(F.col("_width").isNull(), F.lit(0)).otherwise(F.floor(F.col("_order_s") / F.col("_width")))
-    return (
-        keyed.join(widths, keyed[key] == widths["_key"], "left")
-        .withColumn("_slice", number)
-        .drop("_key", "_width")
-    )
+def key_sizes(df: DataFrame, key: str) -> DataFrame:
+    """(key, n): one aggregate over one column."""
+    return df.groupBy(key).agg(F.count("*").alias("n"))
 
 
 def _by_range(keyed: DataFrame, key: str, tie: Sequence[str], slices: int) -> DataFrame:
@@ -87,40 +58,47 @@ def rolling_plain(
     return _with_order(df, time).select("*", *_columns(features, w)).drop("_order_s")
 
 
+def rows_in_front(sliced: DataFrame, key: str, tie: Sequence[str], rows: int) -> DataFrame:
+    """The last ``rows - 1`` rows before each slice, with that slice's number.
+
+    They are among the last rows of the slices before it, of which each task sends at most
+    ``rows - 1`` for a slice; all that follows has so many rows for each slice.
+    """
+    back = Window.partitionBy("_slice").orderBy(*[F.desc(c) for c in (key, "_order_s", *tie)])
+    tails = sliced.withColumn("_back", F.row_number().over(back)).where(F.col("_back") < rows)
+    tails = materialise(tails, "tails")
+    ahead = Window.orderBy("_slice")
+    places = tails.groupBy("_slice").agg(F.count("*").alias("n")).select(
+        "_slice",
+        F.row_number().over(ahead).alias("_place"),
+        F.coalesce(F.sum("n").over(ahead.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("n").over(ahead.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+    )
+    # A slice with few rows lets those of earlier ones pass through.
+    to = places.select(F.col("_slice").alias("_to"), F.col("_place").alias("_next"), F.col("_before").alias("_start"))
+    reach = F.explode(F.sequence(F.col("_place") + 1, F.col("_place") + rows - 1))
+    held = tails.join(places.drop("_before"), "_slice").withColumn("_next", reach).join(to, "_next")
+    held = held.where(F.col("_start") - F.col("_upto") + F.col("_back") < rows).withColumn("_slice", F.col("_to"))
+    return held.select(*sliced.columns)
+
+
 def rolling_sliced(
-    keyed: DataFrame,
+    sliced: DataFrame,
     key: str,
     tie: Sequence[str],
     features: Sequence[Feature],
     rows: int,
 ) -> DataFrame:
-    """The same rows as ``rolling_plain``, from rows with ``_order_s`` and ``_slice``.
+    """The same rows as ``rolling_plain``, from a stored table with ``_order_s`` and ``_slice``.
 
-    Slices are stretches of a key's order. Within a slice a row from position ``rows`` on
-    sees its whole frame. The rows before that need the end of earlier slices: the first
-    and last ``rows - 1`` rows of all slices of a key hold every frame that crosses a cut,
-    so they are windowed once more. Both branches read the same shuffle.
+    Slices are stretches of the order by key, time and tie.
     """
-    base = [c for c in keyed.columns if c not in ("_order_s", "_slice")]
-    inside = Window.partitionBy(key, "_slice").orderBy("_order_s", *tie)
-    placed = keyed.select(
-        "*",
-        *_columns(features, inside.rowsBetween(1 - rows, 0)),
-        F.row_number().over(inside).alias("_pos"),
-        F.lead(F.lit(1), rows - 1).over(inside).isNull().alias("_tail"),
-    )
+    base = [c for c in sliced.columns if c not in ("_order_s", "_slice")]
+    given = rows_in_front(sliced, key, tie, rows).withColumn("_given", F.lit(1))
+    every = sliced.withColumn("_given", F.lit(0)).unionByName(given)
+    w = Window.partitionBy("_slice", key).orderBy(F.desc("_given"), "_order_s", *tie).rowsBetween(1 - rows, 0)
     names = [name for name, _, _ in features]
-    settled = placed.where(F.col("_pos") >= rows).select(*base, *names)
-    across = Window.partitionBy(key).orderBy("_slice", "_order_s", *tie).rowsBetween(1 - rows, 0)
-    edges = placed.where((F.col("_pos") < rows) | F.col("_tail")).select(
-        *base, "_order_s", "_slice", "_pos"
-    )
-    reworked = (
-        edges.select("*", *_columns(features, across))
-        .where(F.col("_pos") < rows)
-        .select(*base, *names)
-    )
-    return settled.unionByName(reworked)
+    return every.select("*", *_columns(features, w)).where("_given = 0").select(*base, *names)
 
 
 def rolling_features(
@@ -130,36 +108,26 @@ def rolling_features(
     tie: Sequence[str] = ("event_id",),
     features: Sequence[Feature] = fixed.ROLLING_FEATURES,
     rows: int = fixed.ROLLING_ROWS,
-    slice_seconds: int | None = None,
+    slices: int | None = None,
     sized_by: DataFrame | None = None,
     max_key_rows: int = MAX_KEY_ROWS,
 ) -> DataFrame:
     """Add the rolling columns.
 
-    ``slice_seconds`` forces slices of that width. Without it the key sizes are measured on
-    ``sized_by`` (by default ``df``): one aggregate over two columns, and two more when a
-    key is too big for one task. Pass a table there when ``df`` is costly; any superset of
-    its rows serves.
+    ``slices`` forces a range partitioning into so many: the input is read twice, for a
+    sample of the order and for the rows. Without it the key sizes are measured first, on
+    ``sized_by`` (by default ``df``), by an aggregate over the key alone. Pass a table there
+    when ``df`` is costly; any superset of its rows serves.
     """
     if rows < 2:
         raise ValueError("a rolling frame has at least two rows")
-    keyed = _with_order(df, time)
-    if slice_seconds is not None:
-        cut = keyed.withColumn("_slice", F.floor(F.col("_order_s") / F.lit(slice_seconds)))
-        return rolling_sliced(cut, key, tie, features, rows)
-
-    source = df if sized_by is None else sized_by
-    sizes = key_sizes(source, key, time)
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if largest is None or largest <= max_key_rows:
-        return rolling_plain(df, key, time, tie, features, rows)
-
-    widths = materialise(slice_widths(sizes, key, max_key_rows, 2 * (rows - 1)), "widths")
-    per_slice = _by_width(_with_order(source, time).select(key, "_order_s"), key, widths)
-    fullest = per_slice.groupBy(key, "_slice").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    if fullest <= max_key_rows:
-        cut = _by_width(keyed, key, widths)
-    else:
+    if slices is None:
+        sizes = key_sizes(df if sized_by is None else sized_by, key)
+        largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+        if largest is None or largest <= max_key_rows:
+            return rolling_plain(df, key, time, tie, features, rows)
         # The range edges come from a sample: twice as many slices as must be stay below the limit.
-        cut = _by_range(keyed, key, tie, 2 * -(-total // max_key_rows))
-    return rolling_sliced(cut, key, tie, features, rows)
+        slices = 2 * -(-total // max_key_rows)
+    elif slices < 1:
+        raise ValueError("there is at least one slice")
+    return rolling_sliced(_by_range(_with_order(df, time), key, tie, slices), key, tie, features, rows)
