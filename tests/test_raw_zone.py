@@ -115,6 +115,31 @@ def test_summary_counts_listed_objects(spark, prefix):
     }
 
 
+def counting(spark, df):
+    """``df`` and an accumulator of the rows that were read of it."""
+    read = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema), read
+
+
+def test_checks_read_their_input_once(spark, tmp_path):
+    rows = spark.createDataFrame([event(i % 24, _kafka_offset=i) for i in range(96)], schemas.RAW)
+    rows = rows.withColumn("_source_object", F.concat(F.lit("o"), F.col("_kafka_offset") % 7))
+    once, read = counting(spark, rows)
+    (one,) = quality.storage_summary(once).collect()
+    assert (one["total_rows"], one["stored_objects"], one["unique_airports"]) == (96, 7, 1) and read.value == 96
+    once, read = counting(spark, rows)
+    stored = table_sink.write_checked(once, str(tmp_path / "t"), ("_kafka_partition",))
+    assert stored.count() == 96 and read.value == 96
+    with pytest.raises(RuntimeError, match="Expected 95"):
+        table_sink.write_checked(rows, str(tmp_path / "t"), ("_kafka_partition",), 95)
+
+
 def test_summary_of_nothing(spark):
     (one,) = quality.storage_summary(
         spark.createDataFrame([], schemas.RAW).withColumn("_source_object", F.lit("x"))

@@ -339,6 +339,15 @@ def statements() -> dict[str, str]:
         SELECT event_id, _kafka_offset, CAST(_kafka_offset AS VARCHAR) AS gust, airport AS origin_airport,
                2::INTEGER AS unknown_fields
         FROM raw_weather""")
+    sql["kafka_new_fields"] = (("raw_weather",), """
+        SELECT field_name, field_type, count(*) AS record_count, min(spot).p AS first_partition, min(spot).o AS first_offset,
+          max(spot).p AS last_partition, max(spot).o AS last_offset
+        FROM (
+          SELECT CASE airport WHEN 'ORD' THEN 'origin' ELSE 'gust' END AS field_name,
+            CASE airport WHEN 'JFK' THEN 'BIGINT' WHEN 'LAX' THEN 'STRING' ELSE 'OBJECT<sensor: ARRAY<BIGINT>>' END AS field_type,
+            {'p': _kafka_partition, 'o': _kafka_offset} AS spot
+          FROM raw_weather)
+        GROUP BY field_name, field_type""")
     sql["stream_raw_restart"] = (("raw_weather",), """
         SELECT store, event_id, _kafka_offset FROM raw_weather, (VALUES ('raw'), ('table')) s(store)""")
     return {name: with_blocks(needed, select) for name, (needed, select) in sql.items()}

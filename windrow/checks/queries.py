@@ -130,6 +130,27 @@ def kafka_decode(spark, sf):
     return kafka_source.decode(records).drop("_ingested_at_utc", "_rest")
 
 
+def kafka_new_fields(spark, sf):
+    """A field that comes as a number from some stations and as text from another, and a nested one."""
+    raw = samples.raw_weather(spark, sf)
+    station = F.col("airport")
+    text = F.to_json(F.struct(*fixed.EVENT_COLUMNS))
+    more = (
+        F.when(station == "JFK", F.concat(F.lit(', "gust": '), F.col("_kafka_offset").cast("string")))
+        .when(station == "LAX", F.lit(', "gust": "calm"'))
+        .otherwise(F.lit(', "origin": {"sensor": [1, 2]}'))
+    )
+    whole = F.concat(F.substring_index(text, "}", 1), more, F.lit("}"))
+    records = raw.select(
+        station.cast("binary").alias("key"),
+        whole.cast("binary").alias("value"),
+        F.col("_kafka_topic").alias("topic"),
+        F.col("_kafka_partition").alias("partition"),
+        F.col("_kafka_offset").alias("offset"),
+    )
+    return kafka_source.new_fields(records)
+
+
 def raw_whole_record(spark, sf):
     """Fields outside the schema, one plain and one nested, come back from the raw zone."""
     raw = samples.raw_weather(spark, sf)
@@ -319,8 +340,8 @@ def gold_rolling(spark, sf):
 
 
 def gold_rolling_sliced(spark, sf):
-    """The same rows when a task may hold few rows of a station, so that its time line is cut."""
-    return _rolling_columns(rolling_features(_bronze_table(spark, sf), max_key_rows=1000))
+    """The same rows when the time lines of the stations are cut into ranges."""
+    return _rolling_columns(rolling_features(_bronze_table(spark, sf), slices=24))
 
 
 def gold_dropna(spark, sf):
@@ -360,8 +381,8 @@ def rolling_by_supplier(spark, sf):
 
 
 def rolling_by_supplier_sliced(spark, sf):
-    """Suppliers above the size limit are cut, the others are not."""
-    return _by_supplier(spark, sf, max_key_rows=600)
+    """The same rows from ranges that cut suppliers anywhere."""
+    return _by_supplier(spark, sf, slices=24)
 
 
 # Models
@@ -569,6 +590,7 @@ def catalog() -> dict[str, Query]:
         raw_manifest,
         read_fallback,
         kafka_decode,
+        kafka_new_fields,
         raw_whole_record,
         bronze_roundtrip,
         sample_partitioned,

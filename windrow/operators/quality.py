@@ -72,9 +72,10 @@ def storage_summary(df: DataFrame, manifest: DataFrame | None = None) -> DataFra
     """One row describing what is stored.
 
     Rows are first counted per (airport, object), combined on the map side, so a hot
-    airport or object costs one row per task and the distinct counts read that small
-    result. The list of airports is as long as there are airports. With a ``manifest`` the stored objects are those listed, including objects
-    that hold no rows.
+    airport or object costs one row per task, and all else, both distinct counts too, is one
+    aggregate of that small result: the input is read once. The list of airports is as long as
+    there are airports. With a ``manifest`` the stored objects are those listed, including
+    objects that hold no rows.
     """
     per_pair = df.groupBy("airport", "_source_object").agg(
         F.count("*").alias("n"),
@@ -83,26 +84,17 @@ def storage_summary(df: DataFrame, manifest: DataFrame | None = None) -> DataFra
         F.min("_kafka_offset").alias("o0"),
         F.max("_kafka_offset").alias("o1"),
     )
-    per_airport = per_pair.groupBy("airport").agg(
-        F.sum("n").alias("n"),
-        F.min("t0").alias("t0"),
-        F.max("t1").alias("t1"),
-        F.min("o0").alias("o0"),
-        F.max("o1").alias("o1"),
-    )
-    summary = per_airport.agg(
+    objects = F.count_distinct("_source_object") if manifest is None else F.lit(0).cast("long")
+    summary = per_pair.agg(
         F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_rows"),
-        F.count("airport").alias("unique_airports"),
-        F.array_join(F.array_sort(F.collect_list("airport")), ", ").alias("airport_list"),
+        F.count_distinct("airport").alias("unique_airports"),
+        F.array_join(F.array_sort(F.collect_set("airport")), ", ").alias("airport_list"),
         F.min("t0").alias("min_timestamp"),
         F.max("t1").alias("max_timestamp"),
         F.min("o0").alias("min_kafka_offset"),
         F.max("o1").alias("max_kafka_offset"),
+        objects.alias("stored_objects"),
     )
-    if manifest is not None:
-        objects = manifest.agg(F.count("*").alias("stored_objects"))
-    else:
-        objects = per_pair.select("_source_object").distinct().agg(
-            F.count("_source_object").alias("stored_objects")
-        )
-    return summary.withColumn("stored_objects", objects.scalar())
+    if manifest is None:
+        return summary
+    return summary.withColumn("stored_objects", manifest.agg(F.count("*")).scalar())

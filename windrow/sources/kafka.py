@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,21 +32,66 @@ def read_topic(
     return reader.load()
 
 
+def _parsed(records: DataFrame) -> DataFrame:
+    """``_text``, and ``_fields``: a map of the top-level values, from one parse of each record.
+
+    Null for what is no JSON object, and for records with a bare NaN, which only the reader by
+    schema takes.
+    """
+    text = records.withColumn("_text", F.col("value").cast("string"))
+    whole = text.withColumn("_whole", F.try_parse_json("_text"))
+    return whole.withColumn("_fields", F.try_variant_get("_whole", "$", "map<string,variant>"))
+
+
+def _unknown(schema: T.StructType) -> Column:
+    known = F.array(*[F.lit(n) for n in schema.names])
+    return F.map_filter("_fields", lambda name, _: ~F.array_contains(known, name))
+
+
 def decode(records: DataFrame, schema: T.StructType = schemas.EVENT) -> DataFrame:
     """Topic records to events with their delivery columns, and ``_rest`` for unknown fields.
 
-    ``_rest`` is null where the schema knows all fields of a record.
+    ``_rest`` is null where the schema knows all fields of a record. A value that does not
+    suit its type, and a record that is no JSON, are errors.
     On a stream the ingest time is that of the micro-batch, so a retried batch repeats it.
     """
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    text, known = F.col("value").cast("string"), F.array(*[F.lit(n) for n in schema.names])
-    every = F.from_json(text, schemas.REST.dataType)
-    rest = F.map_filter(every, lambda name, _: ~F.array_contains(known, name))
-    return records.select(
-        F.from_json(text, schema, {"mode": "FAILFAST"}).alias("e"),
-        F.when(F.size(rest) > 0, rest).alias(schemas.REST.name),
-        F.col("topic").alias("_kafka_topic"),
-        F.col("partition").alias("_kafka_partition"),
-        F.col("offset").alias("_kafka_offset"),
-        now.alias("_ingested_at_utc"),
-    ).select("e.*", *fixed.DELIVERY_COLUMNS, schemas.REST.name)
+    event = F.struct(
+        *[F.variant_get("_whole", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    )
+    by_schema = F.from_json("_text", schema, {"mode": "FAILFAST"})
+    rest = F.transform_values(_unknown(schema), lambda _, value: F.variant_get(value, "$", "string"))
+    # Of a record that only the reader by schema takes, the rest is parsed once more.
+    known = F.array(*[F.lit(n) for n in schema.names])
+    odd = F.map_filter(F.from_json("_text", schemas.REST.dataType), lambda name, _: ~F.array_contains(known, name))
+    parsed = F.col("_fields").isNotNull()
+    return (
+        _parsed(records)
+        .select(
+            F.when(parsed, event).otherwise(by_schema).alias("e"),
+            F.when(parsed, rest).otherwise(odd).alias("r"),
+            F.col("topic").alias("_kafka_topic"),
+            F.col("partition").alias("_kafka_partition"),
+            F.col("offset").alias("_kafka_offset"),
+            now.alias("_ingested_at_utc"),
+        )
+        .select("e.*", *fixed.DELIVERY_COLUMNS, F.when(F.size("r") > 0, F.col("r")).alias(schemas.REST.name))
+    )
+
+
+def new_fields(records: DataFrame, schema: T.StructType = schemas.EVENT) -> DataFrame:
+    """Fields that the schema does not know, by the type they came with: how often, and where first and last.
+
+    One parse of each record and one aggregate; names and types are few, so the shuffle is small.
+    """
+    found = _parsed(records).select("partition", "offset", F.explode(_unknown(schema)).alias("field_name", "value"))
+    return found.groupBy("field_name", F.schema_of_variant("value").alias("field_type")).agg(
+        F.count("*").alias("record_count"),
+        F.min(F.struct("partition", "offset")).alias("first"),
+        F.max(F.struct("partition", "offset")).alias("last"),
+    ).select(
+        "field_name",
+        "field_type",
+        "record_count",
+        *[F.col(f"{at}.{c}").alias(f"{at}_{c}") for at in ("first", "last") for c in ("partition", "offset")],
+    )
