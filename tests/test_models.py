@@ -3,7 +3,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import functions as F
 
 from windrow import fixed
-from windrow.operators import metrics, runs, training
+from windrow.operators import metrics, model_tables, runs, training
 from windrow.streaming import scoring
 
 SMALL_SPECS = (fixed.EXPERIMENTS[0], fixed.EXPERIMENTS[4])
@@ -87,7 +87,7 @@ def test_a_saved_model_scores_the_same(spark, gold, tmp_path):
         model = training.fit_final(gold, spec, partitions=2)
         training.save_model(model, path)
         training.save_model(model, path)
-        loaded = scoring.load_model(path, kind)
+        loaded = scoring.load_model(path)
         before, after = scoring.scored(gold, model), scoring.scored(gold, loaded)
         assert before.exceptAll(after).isEmpty() and after.count() == gold.count()
 
@@ -113,3 +113,28 @@ def test_fits_at_the_same_time_change_nothing(gold):
 
     assert measured(1) == measured(2)
     assert training.run_experiments(gold, []) == []
+
+
+def test_tables_of_a_saved_model_score_like_the_model(spark, gold, tmp_path):
+    for i, spec in enumerate((fixed.FINAL_FOREST, fixed.EXPERIMENTS[0], fixed.EXPERIMENTS[4])):
+        path = str(tmp_path / f"m{i}")
+        training.save_model(training.fit_final(gold, spec, partitions=2), path)
+        mine = {r.event_id: r for r in model_tables.score_by_tables(gold, path).collect()}
+        for r in scoring.scored(gold, scoring.load_model(path)).collect():
+            assert mine[r.event_id].prediction == r.prediction
+            assert abs(mine[r.event_id].score - r.score) < 1e-12
+        if spec["model_type"] == "random_forest":
+            nodes = model_tables.forest_nodes(spark, path)
+            assert nodes.select("tree").distinct().count() == spec["numTrees"]
+            assert nodes.where("feature IS NULL AND below IS NOT NULL").isEmpty()
+        else:
+            assert model_tables.regression_terms(spark, path).count() == len(fixed.FEATURE_COLUMNS) + 1
+
+
+def test_a_forest_of_one_class_has_no_score(spark, gold, tmp_path):
+    path = str(tmp_path / "one")
+    calm = gold.withColumn("label", F.lit(0.0))
+    training.save_model(training.fit_final(calm, fixed.EXPERIMENTS[0], partitions=2), path)
+    rows = model_tables.score_by_tables(gold.limit(50), path).collect()
+    library = {r.event_id: r for r in scoring.scored(gold, scoring.load_model(path)).collect()}
+    assert {(r.prediction, r.score) for r in rows} == {(library[r.event_id].prediction, library[r.event_id].score) for r in rows}

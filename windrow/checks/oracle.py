@@ -327,6 +327,10 @@ def statements() -> dict[str, str]:
                count(*) FILTER (WHERE side = 'test') AS test_rows, true AS has_f1, true AS has_auc
         FROM sides, (VALUES ('rf_trees_5_depth_3'), ('logistic_regression_baseline')) r(run_name)
         GROUP BY run_name""")
+    for name in ("rf_by_tables", "lr_by_tables"):
+        sql[name] = (("gold", "sides"), """
+        SELECT side, count(*) AS row_count, count(*) AS same_prediction, count(*) AS same_score
+        FROM gold JOIN sides USING (event_id) GROUP BY side""")
     sql["raw_write"] = sql["raw_scan"]
     sql["gold_rolling_sliced"] = sql["gold_rolling"]
     sql["rolling_by_supplier_sliced"] = sql["rolling_by_supplier"]

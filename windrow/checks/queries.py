@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from windrow import fixed, schemas
 from windrow.functions.flatten import flatten_nested
-from windrow.operators import labels, metrics, quality, runs, split, training
+from windrow.operators import labels, metrics, model_tables, quality, runs, split, training
 from windrow.operators.dedup import first_delivery
 from windrow.operators.ordered import exact_quantile
 from windrow.operators.rolling import rolling_features
@@ -463,6 +463,28 @@ def lr_train_eval(spark, sf):
     return _train_eval(spark, sf, fixed.EXPERIMENTS[4])
 
 
+def _by_tables(spark, sf, spec: dict) -> DataFrame:
+    """Fitted on the train rows and saved; then every row is scored from the saved tables too."""
+    gold, path = split.with_side(_gold_table(spark, sf)), work_path(spark, "model")
+    training.save_model(training.fit_final(gold.where("side = 'train'"), spec), path)
+    mine = model_tables.score_by_tables(gold, path).select("event_id", "side", "prediction", "score")
+    library = scoring.scored(gold, scoring.load_model(path))
+    library = library.select("event_id", F.col("prediction").alias("p"), F.col("score").alias("s"))
+    return mine.join(library, "event_id").groupBy("side").agg(
+        F.count("*").alias("row_count"),
+        F.count_if(F.col("prediction") == F.col("p")).alias("same_prediction"),
+        F.count_if(F.abs(F.col("score") - F.col("s")) < 1e-9).alias("same_score"),
+    )
+
+
+def rf_by_tables(spark, sf):
+    return _by_tables(spark, sf, fixed.FINAL_FOREST)
+
+
+def lr_by_tables(spark, sf):
+    return _by_tables(spark, sf, fixed.EXPERIMENTS[4])
+
+
 def experiment_grid(spark, sf):
     records = training.run_experiments(_gold_table(spark, sf))
     return runs.run_metrics(runs.runs_frame(spark, records)).drop("run_id")
@@ -633,6 +655,8 @@ def catalog() -> dict[str, Query]:
         top_runs,
         rf_train_eval,
         lr_train_eval,
+        rf_by_tables,
+        lr_by_tables,
         experiment_grid,
         runs_table,
         model_roundtrip,
