@@ -1,19 +1,23 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from windrow.llm import graph, near_dups
 from windrow.llm.near_dups import Similar
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def shingles(text, width):
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(LOWER)) if x]
+    k = min(width, len(w))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
+
+
 def brute(rows, width, percent):
     """(n, least id of the component) per row, from all pairs."""
-    sets = []
-    for _, text in rows:
-        w = [x for x in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(LOWER)) if x]
-        k = min(width, len(w))
-        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set())
+    sets = [shingles(text, width) for _, text in rows]
     root = list(range(len(rows)))
 
     def find(i):
@@ -79,6 +83,41 @@ def test_a_large_group_around_the_threshold(spark):
     assert grouped(spark, rows, 5, 80) == brute(rows, 5, 80)
 
 
+def test_groups_without_their_origin_and_of_two_versions(spark):
+    """Copies whose origin is not there, and two versions of it with copies of their own."""
+    rng = random.Random(7)
+    for width, percent in ((3, 85), (5, 80)):
+        words = [f"w{i}" for i in range(150)]
+        second = changed(rng, words, 6)
+        rows = [(i, " ".join(changed(rng, words if i % 3 else second, 1 + i % 4))) for i in range(160)]
+        # Parts of it, and it with more behind: neighbours of very different sizes.
+        rows += [(200 + i, " ".join(words[: 100 + i * 4])) for i in range(12)]
+        rows += [(300 + i, " ".join(words + [f"x{j}" for j in range(i * 6)])) for i in range(12)]
+        rng.shuffle(rows)
+        assert grouped(spark, rows, width, percent) == brute(rows, width, percent)
+
+
+def test_few_pairs_of_a_large_group_are_looked_at(spark):
+    """Near copies that are too far from each other: their differences tell it before any pair is formed."""
+    rng, like = random.Random(8), Similar(5, 80)
+    words = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join(changed(rng, words, 5))) for i in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    whole = near_dups.sets(df, like.width, False).select(F.col("doc_id").alias("cid"), F.col("values").alias("whole"), "n").cache()
+    groups = whole.select(F.lit(0).cast("long").alias("pivot"), "cid", "n", F.lit(1).alias("weight"))
+    groups = groups.withColumn("pivot_n", F.lit(whole.where("cid = 0").first().n))
+    roots = spark.createDataFrame([], "node long, root long")
+    left = near_dups.open_groups(groups, roots)
+    apart = near_dups.differences(left, whole.drop("n"), like)
+    pairs = near_dups.difference_pairs(apart, like)
+    sets = {i: shingles(t, 5) for i, t in docs[1:]}  # the pivot has been compared with all
+    links = {(a, b) for a in sets for b in sets if a > b and 180 * len(sets[a] & sets[b]) >= 80 * (len(sets[a]) + len(sets[b]))}
+    found = {(max(r), min(r)) for r in near_dups.linked_by_difference(pairs, apart, like).select("a", "b").collect()}
+    assert found == links
+    # All pairs would be 179,101.
+    assert pairs.count() < 2000
+
+
 def test_odd_rows_and_empty_table(spark, odd, none, stored):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     assert grouped(spark, rows) == brute(rows, 3, 85)

@@ -10,10 +10,14 @@ sketch's rarest values, as many as leave fewer than ``common``. Values of passag
 that very many documents share are common, hence not listed unless they are most of a sketch.
 
 Long lists are not multiplied out. First each list's members are compared with one of them, the
-pivot; members found to be linked are one component, and pairs within one need no look. What a
-set shares with no other bounds its similarity to any. Members outside a list's largest
-component that may still be linked are compared with more and more pivots, at last with all, so
-no link between components is missed.
+pivot; members found to be linked are one component, and pairs within one need no look. Lists of
+one pivot are one group, and a few of the strangers in it are pivots too. For what is left, each
+member stands as its difference from the group's pivot: the members that it lacks and those that
+it has besides. Two sets a and b of pivot p are linked exactly when their differences share at
+least c(a) + c(b) - k members, where c weighs a difference's parts and k follows from p's size.
+Near copies that are too far from each other share little of their differences, and few and rare
+members of them tell that: the rarest are joined, up to where what is left cannot reach the
+number. So no link between components is missed and copies are never paired with all copies.
 """
 
 from __future__ import annotations
@@ -36,8 +40,8 @@ from windrow.session import materialise
 #: Values that a sketch retains, and the chance that two similar documents go unseen.
 K, MISS = 64, 1e-6
 
-#: Pivots of a list, round by round after the first; None is all that is left.
-PIVOTS = (8, 64, 512, None)
+#: Strangers of a group that are its pivots in the second round.
+PIVOTS = 8
 
 #: Bytes of words and their hashes that a task remembers.
 WORD_BYTES = 40 << 20
@@ -176,73 +180,116 @@ def verified(pairs: DataFrame, whole: DataFrame, like: Similar) -> DataFrame:
     return both.where(sure).select("a", "b")
 
 
-def pivot_pairs(lists: DataFrame, like: Similar) -> DataFrame:
-    """Each member of a list with the list's first member."""
+def groups_by_pivot(lists: DataFrame) -> DataFrame:
+    """(pivot, pivot_n, cid, n, weight): each list's members under its first member; lists of one pivot are one group."""
     first = F.max_by(F.struct("cid", "n"), F.struct("weight", -F.col("cid")))
     pivots = lists.groupBy("value").agg(first.alias("p"))
-    pairs = lists.join(pivots, "value").where((F.col("cid") != F.col("p.cid")))
-    pairs = pairs.where(_close_in_size(F.col("n"), F.col("p.n"), like))
-    return pairs.select(F.greatest("cid", "p.cid").alias("a"), F.least("cid", "p.cid").alias("b")).distinct()
+    held = lists.join(pivots, "value").select(F.col("p.cid").alias("pivot"), F.col("p.n").alias("pivot_n"), "cid", "n", "weight")
+    return materialise(held.distinct(), "groups")
 
 
-def _can_link(a: Column, b: Column, like: Similar) -> Column:
-    """May two sets be linked of which at most ``common`` members are in any other set?"""
-    most = F.least(a["common"], b["common"])
-    return 100 * most >= like.percent * (a["n"] + b["n"] - most)
+def _pairs(rows: DataFrame, a: Column, b: Column) -> DataFrame:
+    return rows.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
 
 
-def open_lists(lists: DataFrame, roots: DataFrame, before: int, like: Similar) -> DataFrame:
-    """Members, with their roots, of lists that hold several components and untried pairs.
+def pivot_pairs(groups: DataFrame, like: Similar) -> DataFrame:
+    """Each member of a group with the pivot."""
+    pairs = groups.where(F.col("cid") != F.col("pivot")).where(_close_in_size(F.col("n"), F.col("pivot_n"), like))
+    return _pairs(pairs, F.col("cid"), F.col("pivot"))
+
+
+def open_groups(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """``groups`` that hold several components, with each member's ``root`` and whether it is a ``stranger`` to its pivot."""
+    own, main = roots.toDF("_n", "_r"), roots.toDF("_p", "_q")
+    rooted = groups.join(own, F.col("cid") == F.col("_n"), "left").join(main, F.col("pivot") == F.col("_p"), "left")
+    rooted = rooted.withColumn("root", F.coalesce("_r", "cid"))
+    rooted = rooted.withColumn("stranger", F.col("root") != F.coalesce("_q", "pivot")).drop("_n", "_r", "_p", "_q")
+    several = rooted.where("stranger").select("pivot").distinct()
+    return materialise(rooted.join(several, "pivot", "left_semi"), "open-groups")
 
-    Members that can't be linked with anything keep their places but count for no component.
-    """
-    rooted = lists.select("value", "cid", "n", "weight", "common").join(roots, F.col("cid") == F.col("node"), "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "cid")).drop("node")
-    rooted = rooted.withColumn("live", 100 * F.col("common") >= like.percent * F.col("n"))
-    parts = rooted.groupBy("value", "root").agg(F.count("*").alias("size"), F.count_if("live").alias("live"))
-    still = parts.groupBy("value").agg(
-        F.max_by("root", F.struct("live", "root")).alias("main"),
-        F.sum("size").alias("size"),
-        F.count_if(F.col("live") > 0).alias("parts"),
-    )
-    still = still.where((F.col("parts") > 1) & (F.col("size") > before + 1))
-    return materialise(rooted.join(still.select("value", "main"), "value"), "open-lists")
 
+def stranger_pairs(members: DataFrame, like: Similar) -> DataFrame:
+    """All members with a few strangers of their group."""
+    turn = F.row_number().over(Window.partitionBy("pivot").orderBy(F.desc("weight"), "cid"))
+    few = members.where("stranger").withColumn("turn", turn).where(F.col("turn") <= PIVOTS)
+    few = few.select("pivot", F.struct("cid", "n", "root").alias("b"))
+    pairs = members.join(few, "pivot").where(F.col("root") != F.col("b.root"))
+    return _pairs(pairs.where(_close_in_size(F.col("n"), F.col("b.n"), like)), F.col("cid"), F.col("b.cid"))
 
-def with_common(lists: DataFrame, whole: DataFrame) -> DataFrame:
-    """``lists`` with ``common``: how many members of each set are in another listed set too.
 
-    Only listed sets can be linked, so this bounds every intersection, and it is exact.
+def differences(members: DataFrame, whole: DataFrame, like: Similar) -> DataFrame:
+    """(pivot, cid, root, stranger, apart, cost, slack) of each member but the pivot.
+
+    ``apart`` is the difference from the pivot. With ``cost`` in units of 1 / (100 + percent)
+    members, two are linked when they share cost + cost - slack of it at least.
     """
-    held = whole.join(lists.select("cid").distinct(), "cid", "left_semi").select("cid", F.explode("whole").alias("v"))
-    alone = held.groupBy("v").agg(F.count("*").alias("seen"), F.min("cid").alias("cid")).where("seen = 1")
-    alone = alone.groupBy("cid").agg(F.count("*").alias("alone"))
-    lists = lists.drop("common").join(alone, "cid", "left")
-    return materialise(lists.withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone"), "bounded")
+    own, base = whole.toDF("_n", "_own"), whole.toDF("_p", "_base")
+    rows = members.where(F.col("cid") != F.col("pivot")).join(own, F.col("cid") == F.col("_n"))
+    rows = rows.join(base, F.col("pivot") == F.col("_p"))
+    lacks, more = F.array_except("_base", "_own"), F.array_except("_own", "_base")
+    rows = rows.select("pivot", "pivot_n", "cid", "root", "stranger", lacks.alias("lacks"), more.alias("more"))
+    return materialise(
+        rows.select(
+            "pivot",
+            "cid",
+            "root",
+            "stranger",
+            F.concat("lacks", "more").alias("apart"),
+            (100 * F.size("lacks") + like.percent * F.size("more")).cast("bigint").alias("cost"),
+            ((100 - like.percent) * F.col("pivot_n")).cast("bigint").alias("slack"),
+        ),
+        "differences",
+    )
 
 
-def further_pairs(members: DataFrame, before: int, pivots: int | None, like: Similar) -> DataFrame:
-    """Pairs across components with the pivots after the first ``before``; with all, for None.
+def difference_pairs(apart: DataFrame, like: Similar) -> DataFrame:
+    """(pivot, a, b): pairs across components whose differences may share as much as a link asks.
 
-    One of the two is outside the component that has most of the list, so a list of many
-    copies costs its strangers times the pivots.
+    Members that no other difference of the group has come first in the order of rarity and
+    are not joined. A linked pair meets at the rarest member that both have; from there on both
+    have enough left. ``rest`` is what is left, and joined are places up to which it can be enough
+    for the partner that asks least.
     """
-    side = F.struct("cid", "n", "common", "root").alias("b")
-    few = members.where("live AND root <> main").select("value", "cid", "n", "common", "root")
-    if pivots is None:
-        tried = members
-    else:
-        turn = F.row_number().over(Window.partitionBy("value").orderBy(F.desc("weight"), "cid"))
-        tried = members.withColumn("turn", turn).where(F.col("turn") <= pivots).where(F.col("turn") > before)
-    tried = tried.where("live")
-    pairs = few.join(tried.select("value", side), "value")
-    if pivots is not None:
-        strange = tried.where("root <> main").select("value", "cid", "n", "common", "root")
-        pairs = pairs.union(strange.join(members.where("live").select("value", side), "value"))
-    mine = {"n": F.col("n"), "common": F.col("common")}
-    other = F.col("b")
-    pairs = pairs.where((F.col("root") != other["root"]) & _can_link(mine, other, like))
-    return pairs.select(F.greatest("cid", "b.cid").alias("a"), F.least("cid", "b.cid").alias("b")).distinct()
+    unit = 100 + like.percent
+    held = apart.select("pivot", "cid", F.explode("apart").alias("value"))
+    shared = held.groupBy("pivot", "value").agg(F.count("*").alias("seen")).where("seen > 1")
+    ranked = held.join(shared, ["pivot", "value"]).groupBy("pivot", "cid").agg(
+        F.sort_array(F.collect_list(F.struct("seen", "value"))).alias("held")
+    )
+    least = apart.groupBy("pivot").agg(
+        F.min("cost").alias("least"), F.min(F.when(F.col("stranger"), F.col("cost"))).alias("least_stranger")
+    )
+    rows = apart.select("pivot", "cid", "root", "stranger", "cost", "slack").join(ranked, ["pivot", "cid"]).join(least, "pivot")
+    # Who shares with a costly one is costly too: it has what is shared.
+    partner = F.when(F.col("stranger"), F.col("least")).otherwise(F.col("least_stranger"))
+    partner = F.greatest(partner, F.ceil((F.col("cost") - F.col("slack")) * like.percent / F.lit(100)))
+    need = F.greatest(F.ceil((F.col("cost") + partner - F.col("slack")) / F.lit(unit)), F.lit(1))
+    places = F.slice("held", F.lit(1), F.greatest(F.size("held") - F.col("need") + 1, F.lit(0)).cast("int"))
+    rows = rows.withColumn("need", need).withColumn("all", F.size("held")).select(
+        "pivot", "cid", "root", "stranger", "cost", "slack", "all", F.posexplode(places).alias("at", "x")
+    )
+    rows = rows.select("pivot", F.col("x.value").alias("value"), "cid", "root", "stranger", "cost", "slack", (F.col("all") - F.col("at")).alias("rest"))
+    rows = materialise(rows, "places")
+    several = rows.groupBy("pivot", "value").agg(F.count("*").alias("n"), F.count_if("stranger").alias("s")).where("n > 1 AND s > 0")
+    rows = rows.join(several.select("pivot", "value"), ["pivot", "value"], "left_semi")
+    other = rows.select("pivot", "value", F.struct("cid", "root", "stranger", "cost", "rest").alias("b"))
+    # Strangers meet everyone, and each other once.
+    pairs = rows.where("stranger").join(other, ["pivot", "value"]).where(
+        (F.col("root") != F.col("b.root"))
+        & (~F.col("b.stranger") | (F.col("cid") > F.col("b.cid")))
+        & (unit * F.least("rest", "b.rest") >= F.col("cost") + F.col("b.cost") - F.col("slack"))
+    )
+    return pairs.select("pivot", F.col("cid").alias("a"), F.col("b.cid").alias("b")).distinct()
+
+
+def linked_by_difference(pairs: DataFrame, apart: DataFrame, like: Similar) -> DataFrame:
+    """The pairs (a, b) that are linked: what their differences share decides, so no whole set is carried."""
+    side = lambda x: apart.select("pivot", F.col("cid").alias(x), F.col("apart").alias(f"w_{x}"), F.col("cost").alias(f"c_{x}"))
+    slack = apart.groupBy("pivot").agg(F.first("slack").alias("slack"))
+    both = pairs.join(side("a"), ["pivot", "a"]).join(side("b"), ["pivot", "b"]).join(slack, "pivot")
+    shared = F.size(F.array_intersect("w_a", "w_b"))
+    sure = (100 + like.percent) * shared >= F.col("c_a") + F.col("c_b") - F.col("slack")
+    return _pairs(both.where(sure), F.col("a"), F.col("b"))
 
 
 def group(docs: DataFrame, doc_id: str, text: str, like: Similar = Similar()) -> DataFrame:
@@ -265,19 +312,21 @@ def group(docs: DataFrame, doc_id: str, text: str, like: Similar = Similar()) ->
     members = materialise(classes.join(lists.select("cid").distinct(), "cid", "left_semi"), "members")
     whole = whole_sets(members, docs, like)
     check = lambda pairs: materialise(verified(promising(pairs, members, like), whole, like), "linked")
-    roots, before = materialise(components(check(pivot_pairs(lists, like))), "roots"), 1
-    lists = lists.withColumn("common", F.col("n"))
-    for pivots in PIVOTS:
-        lists = open_lists(lists, roots, before, like)
-        if lists.isEmpty():
-            break
-        if before == 1:
-            lists = open_lists(with_common(lists, whole), roots, before, like)
-        links, before = check(further_pairs(lists, before, pivots, like)), pivots
-        if not links.isEmpty():
-            # What is known of components stands in for their links.
-            known = roots.where("node <> root").toDF("a", "b")
-            roots = materialise(components(links.union(known)), "roots")
+    groups = groups_by_pivot(lists)
+    roots = materialise(components(check(pivot_pairs(groups, like))), "roots")
+
+    def added(links: DataFrame) -> DataFrame:
+        # What is known of components stands in for their links.
+        known = roots.where("node <> root").toDF("a", "b")
+        return roots if links.isEmpty() else materialise(components(links.union(known)), "roots")
+
+    left = open_groups(groups, roots)
+    if not left.isEmpty():
+        roots = added(check(stranger_pairs(left, like)))
+        left = open_groups(left.drop("root", "stranger"), roots)
+        apart = differences(left, whole, like)
+        pairs = materialise(difference_pairs(apart, like), "pairs")
+        roots = added(materialise(linked_by_difference(pairs, apart, like), "linked"))
     named = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         "set_hash", "rep", F.coalesce("root", "cid").alias("root")
     )
