@@ -7,7 +7,6 @@ import argparse
 from windrow.plans import jobs
 from windrow.session import build_session, use_utc
 from windrow.sources import kafka as kafka_source
-from windrow.streaming import scoring
 
 
 #: Rows of a stored object at most. How much a batch reads is not bound by it.
@@ -35,7 +34,8 @@ def parser() -> argparse.ArgumentParser:
     step("gold", "lake")
     step("train", "lake", "model")
     step("experiments", "lake", "runs", "model", "refit", refit="fixed")
-    step("score", "features", "model", "out", "checkpoint")
+    step("publish", "lake")
+    step("score", "lake", "model", "out", "checkpoint")
     return top
 
 
@@ -82,11 +82,10 @@ def main(argv: list[str] | None = None) -> None:
         print(jobs.train(spark, a.lake, a.model))
     elif a.step == "experiments":
         jobs.experiments(spark, a.lake, a.runs, a.model, a.refit).show(truncate=False)
+    elif a.step == "publish":
+        print("version:", jobs.publish(spark, a.lake))
     elif a.step == "score":
-        model = scoring.load_model(a.model)
-        scoring.start_scoring(
-            scoring.read_gold_stream(spark, a.features), model, a.out, a.checkpoint
-        ).awaitTermination()
+        jobs.score(spark, a.lake, a.model, a.out, a.checkpoint)
 
 
 if __name__ == "__main__":

@@ -336,6 +336,10 @@ def statements() -> dict[str, str]:
     sql["rolling_by_supplier_sliced"] = sql["rolling_by_supplier"]
     sql["stream_raw_to_bronze"] = (("bronze",), f"""
         SELECT event_id, airport, timestamp_utc, event_date, {', '.join(_BRONZE)} FROM bronze""")
+    sql["stream_bronze_merged"] = (("bronze",), "SELECT event_id, airport, timestamp_utc, event_date FROM bronze")
+    sql["stream_score_versions"] = (("gold",), """
+        SELECT version::BIGINT AS version, count(*) AS row_count, count(DISTINCT event_id) AS event_count, count(*) AS same_score
+        FROM gold, (VALUES (1), (2)) v(version) GROUP BY version""")
     sql["stream_dual_sink"] = (("raw_weather",), """
         SELECT store, count(*) AS row_count, count(event_id) AS with_id, min(timestamp_utc) AS min_timestamp
         FROM raw_weather, (VALUES ('raw'), ('table')) s(store) GROUP BY store""")

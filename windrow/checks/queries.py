@@ -29,7 +29,7 @@ from windrow.sources import grid as grid_source
 from windrow.sources import kafka as kafka_source
 from windrow.sources import raw as raw_source
 from windrow.sources import tables as table_source
-from windrow.streaming import ingest, scoring
+from windrow.streaming import ingest, scoring, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -540,6 +540,18 @@ def stream_raw_to_bronze(spark, sf):
     )
 
 
+def stream_bronze_merged(spark, sf):
+    """Eight batches of one bronze table, merged by date on the way and once more at the end."""
+    landed, bronze, checkpoint = (work_path(spark, n) for n in ("landed", "bronze", "checkpoint"))
+    order = F.struct("_kafka_offset", "_kafka_partition")
+    raw = samples.raw_weather(spark, sf).select(*schemas.RAW.names)
+    raw.repartitionByRange(8, order).write.json(landed)
+    stream = ingest.read_landed(spark, landed, max_files=1)
+    jobs.stream_bronze(stream, bronze, checkpoint, merge_every=3)
+    jobs.merge_bronze(spark, bronze, 1)
+    return ingest.read_stream_bronze(spark, bronze).select("event_id", "airport", "timestamp_utc", "event_date")
+
+
 def stream_dual_sink(spark, sf):
     """Each batch goes to the raw zone and to a table; both hold every row."""
     landed, raw, table = (_landed(spark, sf), work_path(spark, "raw"), work_path(spark, "table"))
@@ -603,6 +615,31 @@ def stream_score(spark, sf):
     )
 
 
+def stream_score_versions(spark, sf):
+    """Gold is rebuilt with stronger winds while scoring follows: every event once a version, as a batch scores it."""
+    gold, base, out, checkpoint = (_gold_table(spark, sf), *(work_path(spark, n) for n in ("versions", "scores", "checkpoint")))
+    model = training.fit_final(gold, fixed.EXPERIMENTS[0])
+    again = gold.withColumn("wind_speed_kts", F.col("wind_speed_kts") + 5)
+    for build in (gold, again):
+        versions.publish(build, base)
+        versions.start_scoring(spark, base, model, out, checkpoint).awaitTermination()
+    batch = None
+    for number, build in ((1, gold), (2, again)):
+        rows = scoring.scored(build, model).select("event_id", F.lit(number).alias("of"), F.col("score").alias("batch_score"))
+        batch = rows if batch is None else batch.unionByName(rows)
+    return (
+        versions.scores(spark, out)
+        .withColumnRenamed("event_id", "id")
+        .join(batch, (F.col("id") == F.col("event_id")) & (F.col("version") == F.col("of")))
+        .groupBy("version")
+        .agg(
+            F.count("*").alias("row_count"),
+            F.count_distinct("event_id").alias("event_count"),
+            F.count_if(F.col("score") == F.col("batch_score")).alias("same_score"),
+        )
+    )
+
+
 def catalog() -> dict[str, Query]:
     listed = (
         grid_nearest_point,
@@ -664,6 +701,8 @@ def catalog() -> dict[str, Query]:
         stream_dual_sink,
         stream_raw_restart,
         stream_score,
+        stream_score_versions,
+        stream_bronze_merged,
     )
     named = {q.__name__: _in_utc(q) for q in listed}
     named["flatten_nested"] = _in_utc(flatten)

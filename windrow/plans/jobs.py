@@ -14,13 +14,14 @@ from windrow.sinks.tables import write_formats, write_sample
 from windrow.sources import grid as grid_source
 from windrow.sources import raw as raw_source
 from windrow.sources.tables import read_if_there, read_table
-from windrow.streaming import ingest, merging
+from windrow.streaming import ingest, merging, scoring, versions
 
 SECOND_TARGETS = {"parquet": ingest.ParquetBatches, "delta": ingest.DeltaBatches}
 
 BRONZE = "bronze/weather_events"
 SILVER = "silver/weather_labeled"
 GOLD = "gold/training_features"
+FEATURES = "gold/versions"
 
 
 def sample(
@@ -133,6 +134,17 @@ def gold(spark: SparkSession, lake: str, **options) -> dict[str, str]:
     return write_formats(layers.build_gold(rows, **options), f"{lake}/{GOLD}", partition_by=())
 
 
+def publish(spark: SparkSession, lake: str) -> int:
+    """The gold table as the next version that scoring follows; returns its number."""
+    return versions.publish(_features(spark, lake), f"{lake}/{FEATURES}")
+
+
+def score(spark: SparkSession, lake: str, model: str, out: str, checkpoint: str, only_new: bool = False) -> None:
+    """Score the versions published since the last call, each event once a version."""
+    loaded = scoring.load_model(model)
+    versions.start_scoring(spark, f"{lake}/{FEATURES}", loaded, out, checkpoint, only_new).awaitTermination()
+
+
 def _features(spark: SparkSession, lake: str) -> DataFrame:
     return quality.require_rows(read_table(spark, f"{lake}/{GOLD}", schemas.GOLD), "gold")
 
