@@ -336,6 +336,19 @@ def statements() -> dict[str, str]:
     sql["rolling_by_supplier_sliced"] = sql["rolling_by_supplier"]
     sql["stream_raw_to_bronze"] = (("bronze",), f"""
         SELECT event_id, airport, timestamp_utc, event_date, {', '.join(_BRONZE)} FROM bronze""")
+    sql["raw_lineage"] = (("raw_weather",), """
+        SELECT left(_ingested_at_utc, 10) AS day, count(*) AS row_count, count(*) AS same_day FROM raw_weather GROUP BY day""")
+    sql["raw_last_objects"] = (("raw_weather",), """
+        SELECT DISTINCT left(_ingested_at_utc, 10) AS day, true AS has_bytes FROM raw_weather ORDER BY day DESC LIMIT 10""")
+    sql["kafka_default_key"] = (("raw_weather",), """
+        SELECT CASE airport WHEN 'LAX' THEN 'UNKNOWN' ELSE airport END AS key, count(*) AS row_count,
+          min(_kafka_offset) AS first_offset
+        FROM raw_weather GROUP BY key""")
+    sql["stream_numbered_parts"] = (("raw_weather",), """
+        SELECT airport, count(*) AS row_count, 1::BIGINT AS stations_of_part, (SELECT count(DISTINCT airport) FROM raw_weather) AS numbers
+        FROM raw_weather GROUP BY airport""")
+    sql["stream_stops"] = (("raw_weather",), """
+        SELECT count(*) AS row_count, count(DISTINCT _kafka_offset) AS offset_count, true AS stopped_with_rows FROM raw_weather""")
     sql["stream_bronze_merged"] = (("bronze",), "SELECT event_id, airport, timestamp_utc, event_date FROM bronze")
     sql["stream_score_versions"] = (("gold",), """
         SELECT version::BIGINT AS version, count(*) AS row_count, count(DISTINCT event_id) AS event_count, count(*) AS same_score

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,6 +102,30 @@ def raw_write(spark, sf):
     return stored.where(placed).select(*schemas.RAW.names)
 
 
+def _by_day(spark, sf) -> str:
+    """Raw rows below a directory for each ingest day, one object in each."""
+    path = work_path(spark, "raw")
+    raw = samples.raw_weather(spark, sf).select(*schemas.RAW.names).withColumn("day", F.substring("_ingested_at_utc", 1, 10))
+    raw.repartition("day").write.partitionBy("day").json(path)
+    return path
+
+
+def raw_lineage(spark, sf):
+    """The key of each row's object, which says the day that the row was ingested on."""
+    rows = raw_source.scan_raw(spark, _by_day(spark, sf))
+    day = F.regexp_extract("_source_object", "^day=([0-9-]+)/[^/]+[.]json$", 1)
+    return rows.groupBy(day.alias("day")).agg(
+        F.count("*").alias("row_count"), F.count_if(day == F.substring("_ingested_at_utc", 1, 10)).alias("same_day")
+    )
+
+
+def raw_last_objects(spark, sf):
+    listing = raw_source.manifest(spark, _by_day(spark, sf)).where(F.col("object_key").endswith(".json"))
+    return raw_source.last_objects(listing, 10).select(
+        F.regexp_extract("object_key", "^day=([^/]+)/", 1).alias("day"), (F.col("size_bytes") > 0).alias("has_bytes")
+    )
+
+
 def raw_manifest(spark, sf):
     path = work_path(spark, "sample")
     table_sink.write_sample(samples.event_records(spark, sf), path)
@@ -194,6 +218,16 @@ def kafka_encode(spark, sf):
     )
 
 
+def kafka_default_key(spark, sf):
+    """Records of a station that does not give its name go under the default key."""
+    raw = samples.raw_weather(spark, sf)
+    nameless = raw.withColumn("airport", F.when(F.col("airport") != "LAX", F.col("airport")))
+    keyed = kafka_sink.encode(nameless, ["event_id", "_kafka_offset"])
+    return keyed.groupBy(F.col("key").cast("string").alias("key")).agg(
+        F.count("*").alias("row_count"), F.min(F.get_json_object(F.col("value").cast("string"), "$._kafka_offset").cast("bigint")).alias("first_offset")
+    )
+
+
 # Projections and filters
 
 
@@ -571,6 +605,40 @@ def stream_dual_sink(spark, sf):
     return summary
 
 
+def stream_numbered_parts(spark, sf):
+    """A batch takes one landed file and writes one numbered part; the last one is as short as its file."""
+    landed, raw, checkpoint = (work_path(spark, n) for n in ("landed", "raw", "checkpoint"))
+    rows = samples.raw_weather(spark, sf).select(*schemas.RAW.names)
+    rows.repartition("airport").write.partitionBy("airport").json(landed)
+    stream = ingest.read_landed(spark, landed, max_files=1).withColumn("airport", F.regexp_extract("_source_object", "airport=([^/]+)", 1))
+    jobs.consume(stream, raw, checkpoint)
+    parts = spark.read.schema(schemas.RAW).json(raw)
+    by_part = parts.groupBy("part", "airport").agg(F.count("*").alias("row_count"))
+    return by_part.select("airport", "row_count", F.count("*").over(Window.partitionBy("part")).alias("stations_of_part")).withColumn(
+        "numbers", F.lit(by_part.agg(F.max("part").cast("bigint")).first()[0]).cast("bigint")
+    )
+
+
+def stream_stops(spark, sf):
+    """Stops once a number of records has been read, starts again, stops when nothing comes: each row is there once."""
+    landed, raw, checkpoint = (work_path(spark, n) for n in ("landed", "raw", "checkpoint"))
+    rows = samples.raw_weather(spark, sf).select(*schemas.RAW.names)
+    rows.repartition(4).write.json(landed)
+
+    def stream():
+        return ingest.read_landed(spark, landed, max_files=1).select(*schemas.RAW.names)
+
+    jobs.consume(stream(), raw, checkpoint, max_records=1)
+    first = raw_source.scan_raw(spark, raw).count()
+    jobs.consume(stream(), raw, checkpoint, idle_seconds=4)
+    stored = raw_source.scan_raw(spark, raw)
+    return stored.agg(
+        F.count("*").alias("row_count"),
+        F.count_distinct("_kafka_offset").alias("offset_count"),
+        F.lit(first > 0).alias("stopped_with_rows"),
+    )
+
+
 def stream_raw_restart(spark, sf):
     """The second target fails once, the process dies behind a raw write, the next start names
     no run: both targets hold every row once."""
@@ -646,6 +714,8 @@ def catalog() -> dict[str, Query]:
         grid_extract,
         raw_scan,
         raw_write,
+        raw_lineage,
+        raw_last_objects,
         raw_manifest,
         read_fallback,
         kafka_decode,
@@ -654,6 +724,7 @@ def catalog() -> dict[str, Query]:
         bronze_roundtrip,
         sample_partitioned,
         kafka_encode,
+        kafka_default_key,
         unit_conversion,
         event_id_key,
         raw_valid,
@@ -699,6 +770,8 @@ def catalog() -> dict[str, Query]:
         model_roundtrip,
         stream_raw_to_bronze,
         stream_dual_sink,
+        stream_numbered_parts,
+        stream_stops,
         stream_raw_restart,
         stream_score,
         stream_score_versions,
