@@ -49,6 +49,23 @@ def test_ledger_scans_only_what_is_new(spark):
     assert hashlib.sha256(b"plain").hexdigest() in {r.blob for r in added}
 
 
+def test_a_run_without_news_moves_no_text(spark, monkeypatch):
+    ledger = work_path(spark, "ledger")
+    rows = spark.createDataFrame([(i, f"text {i % 50} token=abcdefgh{i % 50}") for i in range(200)], "path int, text string")
+    secrets.update_ledger(rows, ledger, "text")
+    asked = []
+    monkeypatch.setattr(secrets, "_scanner", lambda rules: asked.append(rules))
+    secrets.update_ledger(rows, ledger, "text")
+    assert not asked and secrets.read_ledger(spark, ledger).count() == 50
+
+
+def test_many_new_contents_are_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "FEW", 3)
+    rows = spark.createDataFrame([(i, f"text {i % 50} token=abcdefgh{i % 50}") for i in range(200)], "path int, text string")
+    got = secrets.scan(rows, work_path(spark, "ledger"), ["path"], "text").collect()
+    assert len(got) == 200 and all(len(r.findings) == 1 for r in got)
+
+
 def test_odd_rows_and_empty_table(spark, odd, none):
     got = secrets.scan(odd, work_path(spark, "ledger"), ["doc_id", "rank"], "text")
     assert got.columns == ["doc_id", "rank", "findings"] and got.count() == odd.count()

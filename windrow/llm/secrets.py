@@ -17,6 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.llm import common
+from windrow.session import materialise
+
+#: New contents up to which their names, some 200 bytes each, are sent to where the texts stand.
+FEW = 50_000
 
 FINDING = "array<struct<start:int,place:int,end:int,kind:string>>"
 LEDGER = f"blob string, rules array<string>, findings {FINDING}"
@@ -85,20 +89,27 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
 def update_ledger(versions: DataFrame, ledger: str, text: str, rules: Sequence[Rule] = RULES) -> None:
     """Scan what the ledger has not seen and append it; one row for each content scanned.
 
-    A content is scanned once however many paths hold it: copies meet in a partial
-    aggregate before the shuffle. A job that fails leaves no row, so its contents are
-    scanned by the next run; rows that are there twice do no harm.
+    Names alone are compared with the ledger; a run in which nothing is new moves no text, and
+    few new contents are looked for where they stand. A content is scanned once however many
+    paths hold it: copies meet in a partial aggregate before the shuffle. A job that fails
+    leaves no row, so its contents are scanned by the next run; rows that are there twice do
+    no harm.
     """
     spark = versions.sparkSession
     names = F.array(*[F.lit(r.name) for r in rules])
-    contents = versions.select(blob(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text")).dropDuplicates(["blob"])
     seen = read_ledger(spark, ledger).groupBy("blob").agg(F.flatten(F.collect_list("rules")).alias("seen"))
-    todo = (
-        contents.join(seen, "blob", "left")
-        .select("blob", "text", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))).alias("rules"))
-        .where(F.size("rules") > 0)
-    )
-    common.in_small_batches(todo).mapInPandas(_scanner(rules), LEDGER).write.mode("append").parquet(ledger)
+    todo = versions.select(blob(text).alias("blob")).distinct().join(seen, "blob", "left")
+    todo = todo.select("blob", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))).alias("rules"))
+    todo = materialise(todo.where(F.size("rules") > 0), "unseen")
+    if todo.isEmpty():
+        return
+    contents = versions.select(blob(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    few = todo.limit(FEW + 1).count() <= FEW
+    if few:
+        contents = contents.join(F.broadcast(todo.select("blob")), "blob", "left_semi")
+    contents = contents.dropDuplicates(["blob"])
+    rows = contents.join(F.broadcast(todo) if few else todo, "blob").select("blob", "text", "rules")
+    common.in_small_batches(rows).mapInPandas(_scanner(rules), LEDGER).write.mode("append").parquet(ledger)
 
 
 def findings_by_content(spark: SparkSession, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:
