@@ -140,3 +140,31 @@ def test_event_records(spark):
     assert event["wind_speed_kts"] == pytest.approx(9.7192)
     assert event["precipitation_mm"] == pytest.approx(2.0)
     assert list(event.asDict()) == list(fixed.EVENT_COLUMNS)
+
+
+def test_a_stored_archive_is_read_where_its_points_are(spark, tmp_path):
+    """No axis is read from the archive, and only the tiles of the points are listed."""
+    rnd = random.Random(9)
+    path, lats, lons = str(tmp_path / "archive"), [-12.5, 30.0, 33.0, 41.0, 44.9], [0.0, 118.5, 240.0, 284.0, 286.5]
+    rows = [
+        (f"2022-01-{d:02d} 00:00:00", a, o, *[rnd.random() for _ in fixed.ARCHIVE_VARIABLES])
+        for d in range(1, 5)
+        for a in lats
+        for o in lons
+    ]
+    names = ["time", "latitude", "longitude", *fixed.ARCHIVE_VARIABLES]
+    grid = spark.createDataFrame(rows, names).withColumn("time", F.to_timestamp("time"))
+    g.write_archive(grid, path)
+    archive, axes = g.read_archive(spark, path, grid.schema)
+    assert {(r.axis, r.mark) for r in axes.collect()} == {("latitude", x) for x in lats} | {("longitude", x) for x in lons}
+    stations = g.stations_frame(spark)
+    found = g.extract_points(archive, stations, "2022-01-02", "2022-01-03", axes=axes)
+    plain = g.extract_points(grid, stations, "2022-01-02", "2022-01-03")
+    assert found.count() > 0 and found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+    assert found.columns == plain.columns
+    points = {(r.latitude, r.longitude) for r in g.nearest_points(stations, grid, axes).collect()}
+    wanted = {(int(a // g.TILE), int(o // g.TILE)) for a, o in points}
+    listed = re.findall(r"lat_tile=(-?\d+)/lon_tile=(-?\d+)", " ".join(found.inputFiles()))
+    assert wanted <= {(int(a), int(o)) for a, o in listed}
+    plan = initial(found)
+    assert "PartitionFilters" in plan and "lat_tile" in plan.split("PartitionFilters")[1][:400]

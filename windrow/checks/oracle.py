@@ -331,6 +331,7 @@ def statements() -> dict[str, str]:
         sql[name] = (("gold", "sides"), """
         SELECT side, count(*) AS row_count, count(*) AS same_prediction, count(*) AS same_score
         FROM gold JOIN sides USING (event_id) GROUP BY side""")
+    sql["grid_extract_tiled"] = sql["grid_extract"]
     sql["raw_write"] = sql["raw_scan"]
     sql["gold_rolling_sliced"] = sql["gold_rolling"]
     sql["rolling_by_supplier_sliced"] = sql["rolling_by_supplier"]

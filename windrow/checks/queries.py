@@ -68,19 +68,29 @@ def grid_nearest_point(spark, sf):
     return grid_source.nearest_points(grid_source.stations_frame(spark), samples.grid(spark, sf))
 
 
+_BOUNDS = ("1995-01-01", "2001-12-31")
+_SHORT = {
+    "2m_temperature": "t2m",
+    "10m_u_component_of_wind": "u10",
+    "10m_v_component_of_wind": "v10",
+    "total_precipitation": "tp",
+    "surface_pressure": "sp",
+    "convective_available_potential_energy": "cape",
+}
+
+
 def grid_extract(spark, sf):
-    rows = grid_source.extract_points(
-        samples.grid(spark, sf), grid_source.stations_frame(spark), "1995-01-01", "2001-12-31"
-    )
-    short = {
-        "2m_temperature": "t2m",
-        "10m_u_component_of_wind": "u10",
-        "10m_v_component_of_wind": "v10",
-        "total_precipitation": "tp",
-        "surface_pressure": "sp",
-        "convective_available_potential_energy": "cape",
-    }
-    return rows.withColumnsRenamed(short)
+    rows = grid_source.extract_points(samples.grid(spark, sf), grid_source.stations_frame(spark), *_BOUNDS)
+    return rows.withColumnsRenamed(_SHORT)
+
+
+def grid_extract_tiled(spark, sf):
+    """The same rows from a stored archive: its axes and the tiles of the points are read, no more."""
+    grid, path = samples.grid(spark, sf), work_path(spark, "archive")
+    grid_source.write_archive(grid, path)
+    archive, axes = grid_source.read_archive(spark, path, grid.schema)
+    rows = grid_source.extract_points(archive, grid_source.stations_frame(spark), *_BOUNDS, axes=axes)
+    return rows.withColumnsRenamed(_SHORT)
 
 
 def raw_scan(spark, sf):
@@ -712,6 +722,7 @@ def catalog() -> dict[str, Query]:
     listed = (
         grid_nearest_point,
         grid_extract,
+        grid_extract_tiled,
         raw_scan,
         raw_write,
         raw_lineage,

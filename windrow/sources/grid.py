@@ -12,14 +12,18 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windrow import fixed, schemas
 from windrow.functions import weather
 from windrow.operators.quality import require_columns
 from windrow.session import is_small
+from windrow.sinks.tables import write_table
 
 #: Width in degrees of the cells an axis is cut into: at most 721 of them.
 _CELL = 1.0
+#: Side in degrees of the directories of a stored archive.
+TILE = 5
 #: Stations up to which the coordinates of their points are listed in the scan filter.
 LISTED_POINTS = 1000
 
@@ -83,13 +87,40 @@ def nearest_on_axes(targets: DataFrame, axes: DataFrame) -> DataFrame:
     )
 
 
-def nearest_points(stations: DataFrame, grid: DataFrame) -> DataFrame:
+def _tiles(latitude, longitude) -> dict:
+    return {"lat_tile": F.floor(latitude / TILE).cast("int"), "lon_tile": F.floor(longitude / TILE).cast("int")}
+
+
+def write_archive(grid: DataFrame, path: str) -> None:
+    """An archive in directories of ``TILE`` by ``TILE`` degrees, and its axes in a table beside it.
+
+    The axes come from the two coordinate columns of what was written, once; extractions then
+    read them instead of the archive, and only the tiles of their points.
+    """
+    tiled = grid.withColumns(_tiles(F.col("latitude"), F.col("longitude")))
+    write_table(tiled, path, ("lat_tile", "lon_tile"))
+    stored = grid.sparkSession.read.schema(tiled.schema).parquet(path)
+    write_table(axis_values(stored).coalesce(1), _axes(path), ())
+
+
+def read_archive(spark: SparkSession, path: str, schema) -> tuple[DataFrame, DataFrame]:
+    """The archive, its ``schema`` and tiles, and its axes."""
+    fields = [*schema.fields, T.StructField("lat_tile", T.IntegerType()), T.StructField("lon_tile", T.IntegerType())]
+    axes = spark.read.schema("axis string, mark double").parquet(_axes(path))
+    return spark.read.schema(T.StructType(fields)).parquet(path), axes
+
+
+def _axes(path: str) -> str:
+    return f"{path.rstrip('/')}-axes"
+
+
+def nearest_points(stations: DataFrame, grid: DataFrame, axes: DataFrame | None = None) -> DataFrame:
     """(code, latitude, longitude) of the grid point nearest to each station, axis by axis."""
     wanted = F.array(
         F.struct(F.lit("latitude").alias("axis"), F.col("lat").alias("value")),
         F.struct(F.lit("longitude").alias("axis"), weather.longitude_360(F.col("lon")).alias("value")),
     )
-    found = nearest_on_axes(stations.select("code", F.inline(wanted)), axis_values(grid))
+    found = nearest_on_axes(stations.select("code", F.inline(wanted)), axis_values(grid) if axes is None else axes)
     return found.groupBy("code").agg(
         *[F.max(F.when(F.col("axis") == a, F.col("nearest"))).alias(a) for a in ("latitude", "longitude")]
     )
@@ -109,25 +140,33 @@ def extract_points(
     end: str,
     variables: Sequence[str] = fixed.ARCHIVE_VARIABLES,
     time: str = "time",
+    axes: DataFrame | None = None,
 ) -> DataFrame:
     """The station rows of the grid between two times, both included; a date means its whole day.
 
     The time bounds and the wanted columns reach the scan. With a short station list the
     points are looked up first (a job over the two axis columns) and their coordinates
     reach the scan too, so that files and row groups without them are skipped. A longer
-    list is broadcast, and one too long for that is joined by shuffle.
+    list is broadcast, and one too long for that is joined by shuffle. Of a tiled archive
+    (``read_archive``) only the tiles of a short list's points are listed and read, and with its
+    ``axes`` the points are found without it.
     """
     require_columns(grid, [time, "latitude", "longitude", *variables])
-    sliced = grid.where(F.col(time) >= F.lit(start).cast("timestamp")).where(_until(time, end)).select(time, "latitude", "longitude", *variables)
-    points = nearest_points(stations, grid)
+    sliced = grid.where(F.col(time) >= F.lit(start).cast("timestamp")).where(_until(time, end))
+    points = nearest_points(stations, grid, axes)
     if is_small(stations, LISTED_POINTS):
         found = points.collect()
+        if "lat_tile" in grid.columns:
+            tiles = {(r["latitude"] // TILE, r["longitude"] // TILE) for r in found}
+            for name, of in (("lat_tile", 0), ("lon_tile", 1)):
+                sliced = sliced.where(F.col(name).isin(sorted({int(t[of]) for t in tiles})))
         for axis in ("latitude", "longitude"):
             sliced = sliced.where(F.col(axis).isin(sorted({r[axis] for r in found})))
         points = F.broadcast(grid.sparkSession.createDataFrame(found, points.schema))
     elif is_small(stations):
         points = F.broadcast(points)
-    return sliced.join(points, ["latitude", "longitude"]).select(
+    narrow = sliced.select(time, "latitude", "longitude", *variables)
+    return narrow.join(points, ["latitude", "longitude"]).select(
         F.col("code").alias("airport"), time, "latitude", "longitude", *variables
     )
 
