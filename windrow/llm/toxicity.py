@@ -30,9 +30,9 @@ from windrow.session import materialise
 #: Labelled rows to learn from, at most (about): rows are taken by a hash of their id.
 MOST_LABELLED = 40_000
 
-#: Lexicon entries at most, beginnings of words from this length to that, and the least
-#: evidence for an entry: toxic documents that have it, and log-odds of a document that does.
-LEXICON, SHORTEST, LONGEST, LEAST_SEEN, LEAST_ODDS = 4000, 3, 9, 5, 2.5
+#: Beginnings of words from this length to that, and the least evidence for an entry: toxic
+#: documents that have it, in number and as a share, and log-odds of a document that does.
+SHORTEST, LONGEST, LEAST_SEEN, LEAST_SHARE, LEAST_ODDS = 3, 9, 5, 0.001, 2.5
 
 #: Bytes of words and their classes that a task remembers.
 WORD_BYTES = 40 << 20
@@ -210,7 +210,9 @@ def aimed(text: str):
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     """Log-odds of word beginnings, whole words and words before a target, from counts of documents.
 
-    Counting is an aggregate over all rows; at most ``LEXICON`` entries come to the driver.
+    Counting is an aggregate over all rows. Evidence alone decides what is an entry; each is in a
+    thousandth of the toxic documents at least, so they are a thousand times what one document
+    has at most, and come to the driver.
     """
     seeds = {w + "$": SEED_WEIGHT for w in SEEDS.split()}
     counts = rows.groupBy().agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
@@ -226,13 +228,8 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     seen = rows.select(words.alias("w"), aimed("text").alias("aimed"), "toxic").select(F.explode(F.array_distinct(every)).alias("entry"), "toxic")
     seen = seen.groupBy("entry").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
-    best = (
-        seen.where(F.col("t") >= LEAST_SEEN)
-        .withColumn("odds", odds)
-        .where(F.col("odds") >= LEAST_ODDS)
-        .orderBy(F.desc(F.col("t") * F.col("odds")), "entry")
-        .limit(LEXICON)
-    )
+    least = max(LEAST_SEEN, LEAST_SHARE * toxic)
+    best = seen.where(F.col("t") >= least).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
     found = {r.entry: float(r.odds) for r in best.collect()}
     return {**seeds, **{k: max(v, seeds.get(k, 0.0)) for k, v in found.items()}}
 
