@@ -39,7 +39,7 @@ def test_buckets_merge_and_are_near(spark):
 
 
 def test_thresholds_follow_the_source(spark):
-    """What is usual in one source is rejected in another; a small source takes its language's limits."""
+    """What is usual in one source is rejected in another; a small source leans on its language."""
     clean = "one two three four five six seven eight nine ten el twelve th fo fi si se ei ni tw a{} b{}"
     marked = clean.replace(" ", " #### ", 6)
     rows = [(i, clean.format(i, i), "en", "plain") for i in range(300)]
@@ -57,3 +57,24 @@ def test_clean_documents_stay(spark, sf):
     marks = out.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
     clean = marks.where("quality = 1 AND NOT base_failed")
     assert clean.where("NOT kept").count() <= 0.01 * clean.count()
+
+
+def test_limits_differ_among_sources_and_change_gradually(spark):
+    """Two sources of a language with lines repeated more and less; a third of growing size."""
+    def text(i, again):
+        own = [f"one{i * 40 + j} two{i * 40 + j} three{i * 40 + j} four{i * 40 + j}" for j in range(30)]
+        return "\n".join(x for j, o in enumerate(own) for x in ((o, "roundly7 aboutly7 againly7") if j < again else (o,)))
+
+    rows = [(i, text(i, i % 3), "en", "calm") for i in range(400)] + [(1000 + i, text(1000 + i, 10 + i % 8), "en", "loops") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")
+    measured = quality.measures(df, ["doc_id", "lang", "source"], "text")
+    got = {r.source: r for r in quality.limits(quality.sketches(measured, ["lang", "source"]), ["lang", "source"]).collect()}
+    assert got["loops"].most_dup_lines > got["calm"].most_dup_lines + 200_000
+    verdicts = []
+    for size in (1, 30, 90, 99, 100, 101, 110, 300, 3000):
+        more = spark.createDataFrame([(5000 + i, text(5000 + i, 0), "en", "new") for i in range(size)], df.schema)
+        probe = spark.createDataFrame([(9999, text(1, 20), "en", "new")], df.schema)
+        out = quality.judge(df.union(more).union(probe), "doc_id", "text", ["lang", "source"])
+        verdicts.append(out.where("doc_id = 9999").first().kept)
+    # Its language's limits while it is small, its own when it is large, and no change at a hundred documents.
+    assert verdicts[0] and not verdicts[-1] and verdicts == sorted(verdicts, reverse=True) and len(set(verdicts[3:6])) == 1

@@ -49,7 +49,7 @@ _SHARES = """
    {'m': 'word_length', 'v': coalesce((1000000 * word_chars) // nullif(n_words, 0), 0)}]"""
 
 
-def _limits(name: str, by: str, least: int) -> str:
+def _limits(name: str, by: str) -> str:
     keys = by + ", " if by else ""
     group = f"GROUP BY {by}" if by else ""
     return f"""
@@ -58,16 +58,25 @@ def _limits(name: str, by: str, least: int) -> str:
   SELECT *, sum(n) OVER (PARTITION BY {keys}m ORDER BY b) AS below, sum(n) OVER (PARTITION BY {keys}m) AS total
   FROM {name}_b),
 {name}_q AS (
-  SELECT {keys}m, max(total) AS size, min(b) FILTER (below >= 0.5 * total) AS mid,
-    min(b) FILTER (below >= 0.75 * total) AS usual
+  SELECT {keys}m, max(total) AS size, min(b) FILTER (100 * below >= 50 * total) AS mid,
+    min(b) FILTER (100 * below >= CASE WHEN m IN ('symbols', 'word_length') THEN 75 ELSE 95 END * total) AS high,
+    min(b) FILTER (100 * below >= 25 * total) AS low
   FROM {name}_w GROUP BY {keys}m),
 {name} AS (
-  SELECT {keys}
-    max(usual + greatest(3 * (usual - mid), 50000)) FILTER (m = 'symbols') AS symbols,
-    max(usual + greatest(3 * (usual - mid), 400000)) FILTER (m = 'dup_lines') AS dup_lines,
-    max(usual + greatest(3 * (usual - mid), 300000)) FILTER (m = 'repeats') AS repeats,
-    max(usual + greatest(3 * (usual - mid), 3500000)) FILTER (m = 'word_length') AS word_length
-  FROM {name}_q {group} HAVING max(size) >= {least})"""
+  SELECT {keys}max(size)::BIGINT AS size,
+    max(high + greatest(3 * (high - mid), 20000)) FILTER (m = 'symbols') AS symbols,
+    max(high + greatest(3 * (high - mid), 300000)) FILTER (m = 'dup_lines') AS dup_lines,
+    max(high + greatest(3 * (high - mid), 200000)) FILTER (m = 'repeats') AS repeats,
+    max(high + greatest(3 * (high - mid), 700000)) FILTER (m = 'word_length') AS longest,
+    max(greatest(mid - greatest(3 * (mid - low), 1200000), 0)) FILTER (m = 'word_length') AS shortest
+  FROM {name}_q {group})"""
+
+
+def _drawn(limit: str) -> str:
+    """A group's limit drawn towards its language's, and that one towards the limit of all."""
+    return (
+        f"(a.size * a.{limit} + 100 * ((b.size * b.{limit} + 100 * c.{limit}) // (b.size + 100))) // (a.size + 100)"
+    )
 
 
 QUALITY = (
@@ -94,17 +103,25 @@ shares AS (SELECT *, """
 sketched AS (
   SELECT r, lang, source, x.m AS m, ((x.v >> greatest(length(bin(x.v)) - 5, 0)) << greatest(length(bin(x.v)) - 5, 0)) AS b
   FROM (SELECT r, lang, source, unnest(v) AS x FROM shares)),"""
-    + _limits("by_source", "lang, source", 100)
+    + _limits("by_source", "lang, source")
     + ","
-    + _limits("by_lang", "lang", 100)
+    + _limits("by_lang", "lang")
     + ","
-    + _limits("overall", "", 0)
+    + _limits("overall", "")
     + """,
 judged AS (
   SELECT m.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-    v[1].v <= coalesce(a.symbols, b.symbols, c.symbols) AND v[2].v <= coalesce(a.dup_lines, b.dup_lines, c.dup_lines)
-    AND v[3].v <= coalesce(a.repeats, b.repeats, c.repeats)
-    AND v[4].v <= coalesce(a.word_length, b.word_length, c.word_length) AS usual
+    v[1].v <= """
+    + _drawn("symbols")
+    + " AND v[2].v <= "
+    + _drawn("dup_lines")
+    + " AND v[3].v <= "
+    + _drawn("repeats")
+    + " AND v[4].v <= "
+    + _drawn("longest")
+    + " AND v[4].v >= "
+    + _drawn("shortest")
+    + """ AS usual
   FROM shares m
   LEFT JOIN by_source a ON m.lang IS NOT DISTINCT FROM a.lang AND m.source IS NOT DISTINCT FROM a.source
   LEFT JOIN by_lang b ON m.lang IS NOT DISTINCT FROM b.lang

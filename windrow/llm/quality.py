@@ -4,7 +4,7 @@ A document has four measures. For each language and source their distribution is
 mergeable sketch: counts in buckets whose width is a sixteenth of their value, so sketches of
 partitions, sources or days add up bucket by bucket, and a quantile read from one is at most
 a sixteenth below the true one. A document is rejected when a measure lies far beyond what is
-usual in its own language and source.
+usual in its own language and source; a small group leans on the wider one it is part of.
 """
 
 from __future__ import annotations
@@ -17,14 +17,19 @@ from pyspark.sql import functions as F
 from windrow.llm import common
 from windrow.session import materialise
 
-#: Measures, in millionths, and the least distance from the upper quantile at which one is far.
-SLACK = {"symbols": 50_000, "dup_lines": 400_000, "repeats": 300_000, "word_length": 3_500_000}
+#: Measures, in millionths: the percentile that says what is usual, how many times its distance
+#: from the median is far, and the least distance that is, for groups that hardly vary.
+UPPER = {
+    "symbols": (75, 3, 20_000),
+    "dup_lines": (95, 3, 300_000),
+    "repeats": (95, 3, 200_000),
+    "word_length": (75, 3, 700_000),
+}
+#: The same below: words may be too short too.
+LOWER = {"word_length": (25, 3, 1_200_000)}
 
-#: The quantile that says what is usual, and how many times its distance from the median is far.
-USUAL, FAR = 0.75, 3
-
-#: Groups with fewer documents take the thresholds of their language, then those of the whole corpus.
-LEAST_GROUP = 100
+#: A group's limits count as much as the group has documents, those of the next wider group as much as this many.
+PRIOR = 100
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
@@ -117,30 +122,43 @@ def merge(sketch: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def limits(sketch: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Per group: its size and ``limits``, the largest usual value of each measure.
+    """Per group: its size and the largest and least usual value of each measure, from its own documents.
 
     The windows run over the buckets of one group and measure, at most some hundreds.
     """
     w = Window.partitionBy(*by, "measure")
     below = F.sum("n").over(w.orderBy("bucket"))
-    quantile = lambda q: F.min(F.when(F.col("below") >= q * F.col("total"), F.col("bucket")))
+    percentile = lambda p: F.min(F.when(100 * F.col("below") >= p * F.col("total"), F.col("bucket")))
+    of = lambda table, i: F.coalesce(*[F.when(F.col("measure") == m, F.lit(x[i])) for m, x in table.items()], F.lit(50))
     read = (
         sketch.select("*", below.alias("below"), F.sum("n").over(w).alias("total"))
         .groupBy(*by, "measure")
-        .agg(F.first("total").alias("size"), quantile(0.5).alias("mid"), quantile(USUAL).alias("usual"))
+        .agg(
+            F.first("total").alias("size"),
+            percentile(50).alias("mid"),
+            percentile(of(UPPER, 0)).alias("high"),
+            percentile(of(LOWER, 0)).alias("low"),
+        )
     )
-    slack = F.coalesce(*[F.when(F.col("measure") == m, F.lit(s)) for m, s in SLACK.items()])
-    far = F.col("usual") + F.greatest(FAR * (F.col("usual") - F.col("mid")), slack)
+    most = {
+        f"most_{m}": F.col("high") + F.greatest(far * (F.col("high") - F.col("mid")), F.lit(guard))
+        for m, (_, far, guard) in UPPER.items()
+    }
+    least = {
+        f"least_{m}": F.greatest(F.col("mid") - F.greatest(far * (F.col("mid") - F.col("low")), F.lit(guard)), F.lit(0))
+        for m, (_, far, guard) in LOWER.items()
+    }
     return read.groupBy(*by).agg(
-        F.max("size").alias("size"), *[F.max(F.when(F.col("measure") == m, far)).alias(m) for m in SLACK]
+        F.max("size").alias("size"),
+        *[F.max(F.when(F.col("measure") == n.split("_", 1)[1], v)).cast("bigint").alias(n) for n, v in (most | least).items()],
     )
 
 
 def judge(docs: DataFrame, doc_id: str, text: str, groups: Sequence[str]) -> DataFrame:
     """Every row with its measures, ``base_failed`` and ``kept``.
 
-    ``groups`` are the columns that set thresholds, widest first. A group below
-    ``LEAST_GROUP`` rows takes the thresholds of the next wider one, at last of all rows.
+    ``groups`` are the columns that set thresholds, widest first. A group's limits are drawn
+    towards those of the next wider one, at last of all rows, the more the fewer rows it has.
     A null in a group column is a group of its own. Null texts count as empty: no words, so
     the base rule fails. Equal rows get equal verdicts; an empty table gives an empty result.
     The thresholds cover all rows, whatever the base rule says of them.
@@ -151,22 +169,27 @@ def judge(docs: DataFrame, doc_id: str, text: str, groups: Sequence[str]) -> Dat
     measured = materialise(measures(keyed, ["doc_id", *names], "_text"), "measures")
     finest = materialise(sketches(measured, names), "sketches")
     out = measured.withColumns(_parts())
-    for k in range(len(names), -1, -1):
+    sides = [*[f"most_{m}" for m in UPPER], *[f"least_{m}" for m in LOWER]]
+    for k in range(len(names) + 1):
         by = names[:k]
         found = limits(finest if k == len(names) else merge(finest, by), by)
-        if k:
-            found = found.where(F.col("size") >= LEAST_GROUP)
         found = found.select(
-            *[F.col(b).alias(f"_of{b}") for b in by], *[F.col(m).alias(f"_{m}_{k}") for m in SLACK]
+            *[F.col(b).alias(f"_of{b}") for b in by], F.col("size").alias("_size"), *[F.col(x).alias(f"_own_{x}") for x in sides]
         )
         # A row for each group of sources, or one row.
-        on = F.lit(True)
+        on, width = F.lit(True), F.lit(256)
         for b in by:
             on &= out[b].eqNullSafe(found[f"_of{b}"])
-        out = out.join(common.broadcast_if_bounded(found, 512) if k else F.broadcast(found), on, "left")
+            width = width + 4 * F.coalesce(F.length(F.col(f"_of{b}").cast("string")), F.lit(0))
+        out = out.join(common.broadcast_if_bounded(found, width) if k else F.broadcast(found), on, "left")
+        drawn = lambda x: F.expr(f"(_size * _own_{x} + {PRIOR} * {x}) div (_size + {PRIOR})")
+        out = out.withColumns({x: drawn(x) if k else F.col(f"_own_{x}") for x in sides})
+        out = out.drop("_size", *[f"_own_{x}" for x in sides], *[f"_of{b}" for b in by])
     usual = F.lit(True)
-    for m in SLACK:
-        usual &= F.col(m) <= F.coalesce(*[f"_{m}_{k}" for k in range(len(names), -1, -1)])
+    for m in UPPER:
+        usual &= F.col(m) <= F.col(f"most_{m}")
+    for m in LOWER:
+        usual &= F.col(m) >= F.col(f"least_{m}")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return out.select(
         "doc_id",
