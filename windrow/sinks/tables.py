@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windrow.sources.tables import condition
@@ -27,12 +28,8 @@ def write_table(
     partition_by: Sequence[str] = ("event_date",),
     fmt: str = "parquet",
     mode: str = "overwrite",
-    seen: Observation | None = None,
 ) -> None:
-    """``seen`` is given ``rows``, the rows written: counted in the tasks that write them."""
     out = balanced(df, *partition_by) if partition_by else df
-    if seen is not None:
-        out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
     out.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
 
 
@@ -70,13 +67,18 @@ def write_checked(
 ) -> DataFrame:
     """Write, read back and compare row count and columns; returns the table as read.
 
-    Without ``expected_rows`` the rows are counted as they are written, so the input is
-    computed once; the count of what is stored comes from the files' footers.
+    Without ``expected_rows`` the rows are kept while they are counted and written, so the
+    input is computed once; the count of what is stored comes from the files' footers. (Observed
+    metrics would do without, but in a session that has used them saved models no longer score:
+    their tasks cannot be serialised.)
     """
-    seen = Observation()
-    write_table(df, path, partition_by, seen=seen)
     if expected_rows is None:
-        expected_rows = seen.get["rows"]
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return write_checked(kept, path, partition_by, kept.count())
+        finally:
+            kept.unpersist()
+    write_table(df, path, partition_by)
     spark = df.sparkSession
     names = set(spark.read.parquet(path).columns)
     if names != set(df.columns):
