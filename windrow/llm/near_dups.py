@@ -44,7 +44,7 @@ K, MISS = 64, 1e-6
 PIVOTS = 8
 
 #: Bytes of words and their hashes that a task remembers.
-WORD_BYTES = 40 << 20
+WORD_BYTES = 8 << 20
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 

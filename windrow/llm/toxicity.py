@@ -35,7 +35,7 @@ MOST_LABELLED = 40_000
 SHORTEST, LONGEST, LEAST_SEEN, LEAST_SHARE, LEAST_ODDS = 3, 9, 5, 0.001, 2.5
 
 #: Bytes of words and their classes that a task remembers.
-WORD_BYTES = 40 << 20
+WORD_BYTES = 16 << 20
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, SPEECH = range(6)
 
