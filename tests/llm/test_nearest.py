@@ -74,3 +74,16 @@ def test_recall_and_bounds(spark):
     assert np.mean(estimate + error >= least[:, None]) < 0.5
     # Copies beyond those that can be answers are left out.
     assert len(nearest.Codes(np.arange(50), np.ones((50, 4)), np.zeros(4), 21).ids) == 21
+
+
+def test_lists_are_merged_without_comparing_all_pairs(spark):
+    """Distinct structs are sought by pairs: among the first 2 k of two passes, and not at all in one."""
+    lists = [[(-float(i), i) for i in range(g, 30, 3)] for g in range(3)]
+    df = spark.createDataFrame([(1, x) for x in lists], "query_id long, found array<struct<down:double,vec_id:long>>")
+    want = [(-float(i), i) for i in range(29, 22, -1)]
+    once = df.groupBy("query_id").agg(nearest.merged(7).alias("found"))
+    assert "array_distinct" not in str(once._jdf.queryExecution().analyzed())
+    assert [tuple(x) for x in once.first().found] == want
+    twice = df.union(once).groupBy("query_id").agg(nearest.merged(7, 2).alias("found"))
+    assert "array_distinct(slice(" in str(twice._jdf.queryExecution().analyzed())
+    assert [tuple(x) for x in twice.first().found] == want

@@ -184,6 +184,16 @@ def _answers(codes: dict[int, Codes], asked: dict[int, list[int]], ids, vectors,
     return out
 
 
+def merged(k: int, times: int = 1) -> Column:
+    """The ``k`` best of all that was ``found`` for a query, where none is in more than ``times`` of the lists.
+
+    A group is visited once a pass, so one pass has no repetitions. Of several passes they stand
+    side by side once sorted: distinct structs are sought by pairs, hence only among the first.
+    """
+    best = F.slice(F.sort_array(F.flatten(F.collect_list("found"))), 1, times * k)
+    return F.slice(F.array_distinct(best), 1, k) if times > 1 else best
+
+
 def search(vectors: DataFrame, queries: Column, vec_id: str, embedding: str, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each row that ``queries`` selects.
 
@@ -220,14 +230,13 @@ def search(vectors: DataFrame, queries: Column, vec_id: str, embedding: str, k:
             _searcher(centres, k), "query_id bigint, found array<struct<down:double,vec_id:bigint>>"
         )
 
-    best = F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("found")))), 1, k).alias("found")
     queries_of = rows.where("asked")
-    first = materialise(visit(queries_of.select("vec_id", "v", none)).groupBy("query_id").agg(best), "first")
+    first = materialise(visit(queries_of.select("vec_id", "v", none)).groupBy("query_id").agg(merged(k).alias("found")), "first")
     # Fewer than k found so far: everything may still be among the nearest.
     reached = F.when(F.size("found") >= k, -F.element_at("found", -1)["down"]).otherwise(F.lit(float("-inf")))
     reach = first.select("query_id", reached.alias("reach"))
     again = queries_of.join(reach, F.col("vec_id") == F.col("query_id")).select("vec_id", "v", "reach")
-    found = visit(again).union(first).groupBy("query_id").agg(best)
+    found = visit(again).union(first).groupBy("query_id").agg(merged(k, 2).alias("found"))
     return found.select("query_id", F.posexplode("found").alias("rank", "near")).select(
         "query_id", (F.col("rank") + 1).alias("rank"), "near.vec_id", (-F.col("near.down")).alias("score")
     )
