@@ -619,7 +619,8 @@ def stream_numbered_parts(spark, sf):
     """A batch takes one landed file and writes one numbered part; the last one is as short as its file."""
     landed, raw, checkpoint = (work_path(spark, n) for n in ("landed", "raw", "checkpoint"))
     rows = samples.raw_weather(spark, sf).select(*schemas.RAW.names)
-    rows.repartition("airport").write.partitionBy("airport").json(landed)
+    with table_sink.open_files(spark, len(fixed.STATIONS)):
+        rows.repartition("airport").write.partitionBy("airport").json(landed)
     stream = ingest.read_landed(spark, landed, max_files=1).withColumn("airport", F.regexp_extract("_source_object", "airport=([^/]+)", 1))
     jobs.consume(stream, raw, checkpoint)
     parts = spark.read.schema(schemas.RAW).json(raw)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.sources.tables import condition
@@ -22,6 +23,23 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """Tasks of the writes within keep ``most`` files open and do not sort their rows by directory.
+
+    For a task that has all rows of few directories: a sort would hold them together.
+    """
+    before = spark.conf.get(_WRITERS)
+    spark.conf.set(_WRITERS, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS, before)
+
+
 def write_table(
     df: DataFrame,
     path: str,
