@@ -1,10 +1,14 @@
 """How landed files come about and how much of them a batch takes."""
 
 import glob
+import os
 
 from pyspark.sql import functions as F
 
+from test_streaming import chunks, hourly, land
+from windrow import schemas
 from windrow.sinks import tables as table_sink
+from windrow.streaming import ingest
 
 
 def test_open_files_write_directories_without_a_sort(spark, tmp_path):
@@ -23,3 +27,13 @@ def test_open_files_write_directories_without_a_sort(spark, tmp_path):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
     assert len(glob.glob(str(tmp_path / "open" / "airport=*" / "*.json"))) == 3
     assert spark.read.json(str(tmp_path / "open")).groupBy("airport").count().where("count = 1000").count() == 3
+
+
+def test_a_batch_of_bounded_bytes_leaves_the_rest_to_the_next(spark, tmp_path):
+    landed = str(tmp_path / "landed")
+    land(spark, landed, chunks(hourly(24), 8))
+    size = os.path.getsize(sorted(glob.glob(f"{landed}/*.json"))[0])
+    seen = []
+    stream = ingest.read_landed(spark, landed, max_bytes=int(size * 2.5)).select(*schemas.RAW.names)
+    ingest.start(stream, lambda batch, _: seen.append(batch.count()), str(tmp_path / "checkpoint")).awaitTermination()
+    assert len(seen) == 3 and sum(seen) == 48

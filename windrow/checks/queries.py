@@ -564,9 +564,13 @@ def model_roundtrip(spark, sf):
 # Streams
 
 
+#: Rows of a landed file, and bytes of a batch of them.
+_FILE_ROWS, _BATCH_BYTES = 500_000, 512 << 20
+
+
 def _landed(spark, sf) -> str:
     path = work_path(spark, "landed")
-    samples.raw_weather(spark, sf).select(*schemas.RAW.names).write.json(path)
+    samples.raw_weather(spark, sf).select(*schemas.RAW.names).write.option("maxRecordsPerFile", _FILE_ROWS).json(path)
     return path
 
 
@@ -652,7 +656,7 @@ def stream_stops(spark, sf):
 
 def stream_raw_restart(spark, sf):
     """The second target fails once, the process dies behind a raw write, the next start names
-    no run: both targets hold every row once."""
+    no run: both targets hold every row once. Only the batch that was cut short is written again."""
     landed, raw, table, checkpoint = (_landed(spark, sf), *(work_path(spark, n) for n in ("raw", "table", "checkpoint")))
     run_id = ingest.run_of(spark, checkpoint)
 
@@ -666,7 +670,7 @@ def stream_raw_restart(spark, sf):
         raise RuntimeError("process is gone")
 
     def stream():
-        return ingest.read_landed(spark, landed).select(*schemas.RAW.names)
+        return ingest.read_landed(spark, landed, max_bytes=_BATCH_BYTES).select(*schemas.RAW.names)
 
     try:
         ingest.start(stream(), dies, checkpoint).awaitTermination()

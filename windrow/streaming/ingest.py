@@ -44,9 +44,17 @@ _DATE_LIST = 1000
 
 
 def read_landed(
-    spark: SparkSession, path: str, max_files: int | None = None, schema: T.StructType = schemas.RAW
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = None,
+    schema: T.StructType = schemas.RAW,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """A stream over JSON-lines files that appear below ``path``, oldest first."""
+    """A stream over JSON-lines files that appear below ``path``, oldest first.
+
+    A batch takes ``max_files`` files, or as many as ``max_bytes`` hold, and one at least; else all
+    there are, and a batch that is cut short is written again whole.
+    """
     reader = (
         spark.readStream.schema(schema)
         .option("mode", "FAILFAST")
@@ -54,6 +62,8 @@ def read_landed(
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return raw_source.with_object(reader.json(path), path)
 
 
