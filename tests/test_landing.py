@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from test_streaming import chunks, hourly, land
 from windrow import schemas
+from windrow.checks import queries
 from windrow.sinks import tables as table_sink
 from windrow.streaming import ingest
 
@@ -37,3 +38,10 @@ def test_a_batch_of_bounded_bytes_leaves_the_rest_to_the_next(spark, tmp_path):
     stream = ingest.read_landed(spark, landed, max_bytes=int(size * 2.5)).select(*schemas.RAW.names)
     ingest.start(stream, lambda batch, _: seen.append(batch.count()), str(tmp_path / "checkpoint")).awaitTermination()
     assert len(seen) == 3 and sum(seen) == 48
+
+
+def test_landed_files_come_from_where_the_rows_stand(spark, tmp_path):
+    for parts, files in ((1, 4), (6, 6)):
+        path = str(tmp_path / str(parts))
+        queries._land_files(spark.range(0, 1002, 1, parts), path, 4)
+        assert len(glob.glob(f"{path}/*.json")) == files and spark.read.json(path).count() == 1002

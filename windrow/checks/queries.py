@@ -574,6 +574,11 @@ def _landed(spark, sf) -> str:
     return path
 
 
+def _land_files(rows: DataFrame, path: str, least: int) -> None:
+    """``least`` files or more, from where the rows stand: counted first, not shuffled."""
+    rows.write.option("maxRecordsPerFile", max(1, -(-rows.count() // least))).json(path)
+
+
 def stream_raw_to_bronze(spark, sf):
     """First deliveries stream in, the query ends; it starts again when redeliveries have come."""
     landed, bronze, checkpoint = (work_path(spark, n) for n in ("landed", "bronze", "checkpoint"))
@@ -638,7 +643,7 @@ def stream_stops(spark, sf):
     """Stops once a number of records has been read, starts again, stops when nothing comes: each row is there once."""
     landed, raw, checkpoint = (work_path(spark, n) for n in ("landed", "raw", "checkpoint"))
     rows = samples.raw_weather(spark, sf).select(*schemas.RAW.names)
-    rows.repartition(4).write.json(landed)
+    _land_files(rows, landed, 4)
 
     def stream():
         return ingest.read_landed(spark, landed, max_files=1).select(*schemas.RAW.names)
