@@ -38,6 +38,16 @@ def test_encoder_equals_the_library():
         assert got == [c.ids for c in plain.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_first_pieces_of_a_batch_are_one_call():
+    mine, calls = token_files.Encoder(BPE), []
+    whole = mine._whole
+    mine._whole = lambda texts: calls.append(len(texts)) or whole(texts)
+    texts = [f"First{'abc'[i % 3]} of the words\nof a text" for i in range(100)]
+    got = mine.encode(texts)
+    assert [c for c in calls if c > 1] == [100] and calls.count(1) <= 2
+    assert got == whole(texts)
+
+
 @pytest.mark.parametrize("file_ids", [1 << 20, 3000])
 def test_token_files(spark, odd, none, file_ids):
     path = work_path(spark, "tokens")

@@ -42,6 +42,10 @@ for _b in range(256):
     _BYTE_CHARS[_b] = _b if _printable else 256 + sum(v >= 256 for v in _BYTE_CHARS.values())
 
 
+#: What is written for a space.
+_SPACE = chr(_BYTE_CHARS[ord(" ")])
+
+
 class Encoder:
     """The tokenizer's ids, with the ids of pieces between single white spaces remembered.
 
@@ -60,6 +64,8 @@ class Encoder:
         self.parts = self.parts and not spec["normalizer"]
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.white = re.compile(r"[^\S \n]")
+        # Taken once: each look at ``model`` makes a new object.
+        self.merges = self.tokenizer.model.tokenize if self.parts else None
         self.known = common.Memory(self._piece, PIECE_BYTES)
         self.tails = common.Memory(lambda tail: self._whole([tail])[0], TAIL_BYTES)
 
@@ -69,7 +75,12 @@ class Encoder:
 
     def _letters(self, word: str) -> bytes:
         """Letters, with a space before them or none, are one pre-token: its bytes go to the merges directly."""
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARS))]).tobytes()
+        if word.isascii():
+            # Letters stand for themselves.
+            chars = _SPACE + word[1:] if word[0] == " " else word
+        else:
+            chars = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return array("I", [t.id for t in self.merges(chars)]).tobytes()
 
     def _piece(self, key: str) -> bytes:
         """Ids of a piece that a space stands in front of, or that begins with a line end."""
@@ -88,14 +99,23 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.parts:
             return self._whole(texts)
-        find, out = self.known.__getitem__, []
+        find, split = self.known.__getitem__, []
         for text in texts:
-            keys = text.replace("\n", " \n").split(" ")
-            if "" in keys or "\n" in keys or self.white.search(text) or any(m in text for m in self.marks):
-                out += self._whole([text])
-                continue
-            out.append(b"".join([*self._whole(keys[:1]), *map(find, keys[1:])]))
-        return out
+            spaced = text.replace("\n", " \n")
+            keys = None if self._odd(text, spaced) else spaced.split(" ")
+            split.append(keys)
+        # One call for all that is not looked up: first pieces, and odd texts.
+        heads = self._whole([keys[0] if keys else text for keys, text in zip(split, texts)])
+        return [b"".join([head, *map(find, keys[1:])]) if keys else head for keys, head in zip(split, heads)]
+
+    def _odd(self, text: str, spaced: str) -> bool:
+        """Is there white space beside other white space or at an end, of another kind, or a special token?"""
+        if "  " in spaced or "\n " in spaced or spaced[:1] in ("", " ") or spaced[-1] in " \n":
+            return True
+        # Printable characters are no white space but the space; that is quicker to see than to search for.
+        if not text.replace("\n", "").isprintable() and self.white.search(text):
+            return True
+        return any(m in text for m in self.marks)
 
 
 _ENCODERS: dict[str, Encoder] = {}
