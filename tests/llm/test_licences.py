@@ -90,3 +90,12 @@ def test_headers_that_are_no_copies_of_the_templates(spark):
     rows = [(f"d{i}/x", text) for i, text in enumerate(cases)]
     got = {path: licence for path, licence, _, _ in scanned(spark, rows)}
     assert {text: got[f"d{i}/x"] for i, text in enumerate(cases)} == cases
+
+
+def test_one_table_is_written_on_the_way(spark, monkeypatch):
+    """Each file that a task writes costs the executor processes of the file system."""
+    written, keep = [], licences.materialise
+    monkeypatch.setattr(licences, "materialise", lambda df, name: written.append(name) or keep(df, name))
+    files = spark.createDataFrame([("a/LICENSE", "Released under the MIT License."), ("a/b/x", "x")], "path string, text string")
+    got = {r.path: (r.licence, r.inherited) for r in licences.scan(files, "path", "text").collect()}
+    assert got == {"a/LICENSE": ("MIT", False), "a/b/x": ("MIT", True)} and written == ["licences"]

@@ -244,14 +244,13 @@ def scan(
     declared = own.groupBy(home.alias("directory")).agg(
         F.min_by("own", F.struct(-F.col("own.similarity"), F.col("path"))).alias("from")
     )
-    declared = materialise(declared, "directories")
     # Narrow rows: paths only. A directory that holds a third of all files is a hot key of this
     # join, on the side that adaptive execution can split; its other side has it once.
     paths = rows.where("path IS NOT NULL").select("path")
     homes = paths.select(home.alias("home")).distinct()
     climbs = homes.select("home", F.explode(_above(F.concat(F.col("home"), F.lit("/x")))).alias("a"))
     heirs = climbs.join(declared, F.col("a.directory") == F.col("directory")).groupBy("home")
-    heirs = materialise(heirs.agg(F.max_by("from", "a.depth").alias("above")), "inherited")
+    heirs = heirs.agg(F.max_by("from", "a.depth").alias("above"))
     out = rows.select("path", home.alias("_home")).join(own.withColumnRenamed("path", "_path"), F.col("path") == F.col("_path"), "left")
     out = out.join(heirs, F.col("_home") == F.col("home"), "left")
     given = F.coalesce("own", "above")
