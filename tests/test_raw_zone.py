@@ -271,3 +271,15 @@ def test_tables_are_laid_out_by_date_with_few_files(spark, bronze, tmp_path):
     assert len(list(path.glob("event_date=*/*.parquet"))) <= 2 * len(dates)
     one = dates[0].name.split("=")[1]
     assert f"event_date#" in plan(spark.read.parquet(str(path)).where(F.col("event_date") == one))
+
+
+def test_known_fields_are_taken_in_one_walk(spark):
+    """One look at a record for all columns, and one for the map of its fields."""
+    value = '{"event_id": 5, "latitude": "12.5", "cape_j_kg": 1e3, "gust": 7, "origin": {"a": [1]}}'
+    records = spark.createDataFrame([(value, "t", 0, 1)], "value string, topic string, partition int, offset long")
+    found = kafka_source.decode(records)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("variant_get(_whole") == 2
+    row = found.first()
+    assert (row.event_id, row.latitude, row.cape_j_kg, row.airport) == ("5", 12.5, 1000.0, None)
+    assert row._rest == {"gust": "7", "origin": '{"a":[1]}'}
