@@ -74,3 +74,16 @@ def test_the_steps(spark, gold, model, tmp_path):
         jobs.publish(spark, lake)
         jobs.score(spark, lake, saved, str(tmp_path / "out"), str(tmp_path / "cp"))
     assert versions.scores(spark, str(tmp_path / "out")).count() == 2 * gold.count()
+
+
+def test_events_are_counted_where_the_join_has_them(spark, sf):
+    """With a join by shuffle: both its sides and the counts of the versions, no third time for the rows."""
+    from windrow.checks import queries
+
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        found = queries.stream_score_versions(spark, sf)
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
+    finally:
+        spark.conf.set(key, before)
