@@ -1,3 +1,5 @@
+import os
+import subprocess
 import sys
 
 import public_tokenizers
@@ -35,3 +37,16 @@ def test_an_encoder_with_little_memory_finds_the_same(monkeypatch):
     assert [narrow.encode(t).tolist() for t in texts] == wide
     assert wide == [narrow.sp.encode(t) for t in texts]
     assert held(narrow.ids) <= 5000 and held(narrow.pairs) <= 12_000
+
+
+def test_the_encoder_of_token_files_stays_in_its_thread():
+    code = (
+        "import os, public_tokenizers\n"
+        "from windrow.llm import token_files\n"
+        "made = token_files.encoder(public_tokenizers.path('byte_bpe_50k.json'))\n"
+        "before = len(os.listdir('/proc/self/task'))\n"
+        "made.encode(['some words and  odd ones'] * 300)\n"
+        "assert len(os.listdir('/proc/self/task')) == before\n"
+    )
+    clean = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    subprocess.run([sys.executable, "-c", code], env=clean, check=True, timeout=60)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import re
 import string
 import zlib
@@ -28,7 +29,7 @@ from windrow.session import materialise
 SEQUENCE, BATCH, FILE_IDS = 1024, 256, 2 << 20
 
 #: Bytes, as Python holds them, of the pieces of text that a worker remembers and their ids.
-PIECE_BYTES, TAIL_BYTES = 160 << 20, 1 << 20
+PIECE_BYTES, TAIL_BYTES = 128 << 20, 1 << 20
 
 #: Marks that no letter or number belongs to; an apostrophe may begin a pre-token with letters.
 _MARKS = string.punctuation.replace("'", "")
@@ -122,6 +123,11 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
+    """One per worker process, in its own thread: Spark has a worker for each core.
+
+    The library's threads cost more than they do for the short texts that it gets here.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
@@ -215,6 +221,7 @@ def _writer(tokenizer: str, end_id: int, sequence: int, file_ids: int):
                         yield close()
         if doc_ids:
             yield close()
+        common.give_back()
 
     return run
 
