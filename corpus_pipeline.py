@@ -48,9 +48,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.repeated(docs, "doc_id", "source", "text")
 
 
+#: Of what an encoder remembers alone: the executors' JVMs have grown by the stages before.
+ENCODER_SHARE = 0.4
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return queries.digest_ids(pieces.encode(docs, "doc_id", "text", model))
+    return queries.digest_ids(pieces.encode(docs, "doc_id", "text", model, ENCODER_SHARE))
 
 
 STAGES = [

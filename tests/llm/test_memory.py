@@ -39,6 +39,15 @@ def test_an_encoder_with_little_memory_finds_the_same(monkeypatch):
     assert held(narrow.ids) <= 5000 and held(narrow.pairs) <= 12_000
 
 
+def test_an_encoder_with_a_share_remembers_less_and_finds_the_same():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    narrow = pieces.encoder(path, 0.0001)
+    texts = [" ".join(f"wörd{i % 97}x{i % 41} and" for i in range(k, k + 400)) for k in range(30)]
+    assert [narrow.encode(t).tolist() for t in texts] == [narrow.sp.encode(t) for t in texts]
+    assert narrow.ids.limit == int(pieces.IDS_BYTES * 0.0001) and held(narrow.ids) <= narrow.ids.limit + 1000
+    assert pieces.encoder(path) is not narrow and pieces.encoder(path).ids.limit == pieces.IDS_BYTES
+
+
 def test_the_encoder_of_token_files_stays_in_its_thread():
     code = (
         "import os, public_tokenizers\n"

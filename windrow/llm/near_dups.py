@@ -116,6 +116,7 @@ def _sets(width: int, sketch: bool):
                     ],
                     names=["doc_id", "n", "set_hash", "values"],
                 )
+        common.give_back()
 
     return run
 

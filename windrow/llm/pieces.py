@@ -67,9 +67,9 @@ class Automaton:
 
 
 class Encoder:
-    """Ids of a text, equal to those of the library's own merge loop."""
+    """Ids of a text, equal to those of the library's own merge loop; ``share`` of the bytes is for what is remembered."""
 
-    def __init__(self, model: str):
+    def __init__(self, model: str, share: float = 1.0):
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_file=model)
         n = sp.get_piece_size()
         if any(sp.is_unused(i) for i in range(n)):
@@ -87,8 +87,8 @@ class Encoder:
         # Only a piece that its own text encodes to can be a token.
         self.automaton = Automaton({p: i for i, p in self.piece.items() if self._library(p) == [i]})
         self.length = {i: len(p) for i, p in self.piece.items()}
-        self.pairs = common.Memory(self._fits, PAIRS_BYTES)
-        self.ids = common.Memory(self._segment, IDS_BYTES, lambda key: len(key) <= LONG)
+        self.pairs = common.Memory(self._fits, int(PAIRS_BYTES * share))
+        self.ids = common.Memory(self._segment, int(IDS_BYTES * share), lambda key: len(key) <= LONG)
         # Every segment begins with a space, which its key leaves out.
         self.first = self.automaton.step(0, SPACE)
         self.first_token = next((t for _, t in self.automaton.ending[self.first]), NONE)
@@ -158,19 +158,19 @@ class Encoder:
         return np.frombuffer(b"".join(map(self.ids.__getitem__, self._keys(text))), dtype=np.int32)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, float], Encoder] = {}
 
 
-def encoder(model: str) -> Encoder:
+def encoder(model: str, share: float = 1.0) -> Encoder:
     """One per worker process: what it remembers serves the next task too."""
-    if model not in _ENCODERS:
-        _ENCODERS[model] = Encoder(model)
-    return _ENCODERS[model]
+    if (model, share) not in _ENCODERS:
+        _ENCODERS[model, share] = Encoder(model, share)
+    return _ENCODERS[model, share]
 
 
-def _coder(model: str):
+def _coder(model: str, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = encoder(model)
+        mine = encoder(model, share)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
@@ -182,18 +182,19 @@ def _coder(model: str):
                     [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(decoded, pa.string())],
                     names=["doc_id", "ids", "decoded"],
                 )
+        common.give_back()
 
     return run
 
 
-def encode(docs: DataFrame, doc_id: str, text: str, model: str) -> DataFrame:
+def encode(docs: DataFrame, doc_id: str, text: str, model: str, share: float = 1.0) -> DataFrame:
     """doc_id, ids (without begin or end ids) and the text they decode to, for each row.
 
     A null text counts as empty and has no ids. Texts are taken whole, whatever their length;
     repeated rows give repeated results; an empty table gives an empty result. ``model`` is a
-    path that every worker can open.
+    path that every worker can open. With a smaller ``share`` a worker remembers less and takes longer.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     return common.in_small_batches(docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text")).mapInArrow(
-        _coder(model), f"doc_id {kind}, ids array<int>, decoded string"
+        _coder(model, share), f"doc_id {kind}, ids array<int>, decoded string"
     )

@@ -242,6 +242,7 @@ def _features(lexicon: dict[str, float], keep: str):
                 part = batch.slice(at, 256)
                 found = [grammar.features(t or "") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.float64()))], names=[keep, "x"])
+        common.give_back()
 
     return run
 
@@ -303,6 +304,7 @@ def score(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
                 part = batch.slice(at, 256)
                 x = np.array([grammar.features(t or "") for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.scores(x))], names=["doc_id", "score"])
+        common.give_back()
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     scored = common.in_small_batches(rows).mapInArrow(run, f"doc_id {kind}, score double")
@@ -325,5 +327,6 @@ def without_toxic(docs: DataFrame, model: Model, text: str) -> DataFrame:
                 part = batch.slice(start, 256)
                 x = np.array([grammar.features(t or "") for t in part.column(at).to_pylist()])
                 yield part.filter(pa.array(model.scores(x) < 0.5))
+        common.give_back()
 
     return common.in_small_batches(docs).mapInArrow(run, docs.schema)
