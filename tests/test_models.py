@@ -3,6 +3,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import functions as F
 
 from windrow import fixed
+from windrow.checks import queries
 from windrow.operators import metrics, model_tables, runs, training
 from windrow.streaming import scoring
 
@@ -52,6 +53,20 @@ def test_runs_are_recorded(records):
     assert records[0]["params"]["numTrees"] == 5 and records[1]["params"]["regParam"] == 0.01
 
 
+def test_sessions_share_rows_that_are_laid_out_once(spark, sf, gold, monkeypatch):
+    apart = [training.run_experiments(gold, [spec], partitions=2)[0]["metrics"] for spec in SMALL_SPECS]
+    with training.kept_rows(gold, partitions=2) as kept:
+        assert "event_id" not in kept.columns
+        shared = [training.run_experiments(gold, [spec], kept=kept)[0]["metrics"] for spec in SMALL_SPECS]
+        assert kept.storageLevel.useMemory
+    assert shared == apart and not kept.storageLevel.useMemory
+
+    laid_out, real = [], training.model_rows
+    monkeypatch.setattr(training, "model_rows", lambda *a, **k: laid_out.append(1) or real(*a, **k))
+    assert queries.runs_table(spark, sf).count() == 2
+    assert len(laid_out) == 1
+
+
 def test_one_class_trains_on_all_rows_and_has_no_area(gold):
     calm = gold.withColumn("label", F.lit(0.0))
     (record,) = training.run_experiments(calm, SMALL_SPECS[:1], partitions=2)

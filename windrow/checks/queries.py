@@ -537,8 +537,9 @@ def experiment_grid(spark, sf):
 def runs_table(spark, sf):
     """Two sessions append to one table; what it holds, without the measured values."""
     path, gold = work_path(spark, "runs"), _gold_table(spark, sf)
-    for spec in (fixed.EXPERIMENTS[0], fixed.EXPERIMENTS[4]):
-        runs.log_runs(spark, training.run_experiments(gold, [spec]), path)
+    with training.kept_rows(gold) as kept:
+        for spec in (fixed.EXPERIMENTS[0], fixed.EXPERIMENTS[4]):
+            runs.log_runs(spark, training.run_experiments(gold, [spec], kept=kept), path)
     stored = runs.read_runs(spark, path)
     ranked = runs.top_runs(runs.run_metrics(stored))
     sizes = ("train_rows", "test_rows")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -38,6 +39,20 @@ def model_rows(df: DataFrame, key: str = "event_id", partitions: int | None = No
     return assemble(laid_out).select(key, "features", "label")
 
 
+@contextmanager
+def kept_rows(df: DataFrame, key: str = "event_id", partitions: int | None = None) -> Iterator[DataFrame]:
+    """``model_rows`` with the side of each row, kept for every comparison made in the block.
+
+    The key has done its work by then: it gives the order and the side, and is not kept.
+    """
+    rows = model_rows(df, key, partitions).withColumn("_train", is_train(key)).drop(key)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def estimator(spec: dict):
     """The classifier a run specification describes."""
     kind = spec["model_type"]
@@ -82,6 +97,7 @@ def fit_and_evaluate(
     key: str = "event_id",
     partitions: int | None = None,
     parallelism: int = 2,
+    kept: DataFrame | None = None,
 ) -> list[tuple[dict, object]]:
     """Fit each specification on the same split and evaluate them together.
 
@@ -89,39 +105,38 @@ def fit_and_evaluate(
     all rows are used on both sides. Each fit is a chain of distributed jobs over the kept
     train rows; ``parallelism`` fits run at a time, since the short jobs of one leave a
     cluster idle. Pass 1 when one fit fills it. The scored rows of all runs are evaluated
-    in one pass that keeps the runs apart.
+    in one pass that keeps the runs apart. ``kept`` are the ``kept_rows`` of ``df``, when several
+    comparisons share them.
     """
     if not specs:
         return []
     if len({s["run_name"] for s in specs}) < len(specs):
         raise ValueError("runs of one comparison need names of their own")
-    rows = model_rows(df, key, partitions).withColumn("_train", is_train(key))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     scored = None
-    try:
-        # One job keeps the rows, counts both sides and looks at the train labels.
-        sides = rows.groupBy("_train").agg(
-            F.count("*").alias("n"), (F.min("label") < F.max("label")).alias("two_classes")
-        )
-        side = {r["_train"]: r for r in sides.collect()}
-        if True in side and side[True]["two_classes"]:
-            train, test = rows.where("_train"), rows.where("not _train")
-            sizes = {name: side[s]["n"] if s in side else 0 for name, s in _SIDES}
-        else:
-            train = test = rows
-            sizes = {name: sum(r["n"] for r in side.values()) for name, _ in _SIDES}
-        fit = inheritable_thread_target(df.sparkSession)(lambda spec: estimator(spec).fit(train))
-        with ThreadPool(min(parallelism, len(specs))) as pool:
-            models = dict(zip([s["run_name"] for s in specs], pool.map(fit, specs, chunksize=1), strict=True))
-        for name, model in models.items():
-            run = score(model, test).select(F.lit(name).alias("run_name"), "label", "prediction", "score")
-            scored = run if scored is None else scored.unionByName(run)
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-        measured = {r["run_name"]: r.asDict() for r in evaluate(scored, by=("run_name",)).collect()}
-    finally:
-        rows.unpersist()
-        if scored is not None:
-            scored.unpersist()
+    with kept_rows(df, key, partitions) if kept is None else nullcontext(kept) as rows:
+        try:
+            # One job keeps the rows, counts both sides and looks at the train labels.
+            sides = rows.groupBy("_train").agg(
+                F.count("*").alias("n"), (F.min("label") < F.max("label")).alias("two_classes")
+            )
+            side = {r["_train"]: r for r in sides.collect()}
+            if True in side and side[True]["two_classes"]:
+                train, test = rows.where("_train"), rows.where("not _train")
+                sizes = {name: side[s]["n"] if s in side else 0 for name, s in _SIDES}
+            else:
+                train = test = rows
+                sizes = {name: sum(r["n"] for r in side.values()) for name, _ in _SIDES}
+            fit = inheritable_thread_target(df.sparkSession)(lambda spec: estimator(spec).fit(train))
+            with ThreadPool(min(parallelism, len(specs))) as pool:
+                models = dict(zip([s["run_name"] for s in specs], pool.map(fit, specs, chunksize=1), strict=True))
+            for name, model in models.items():
+                run = score(model, test).select(F.lit(name).alias("run_name"), "label", "prediction", "score")
+                scored = run if scored is None else scored.unionByName(run)
+            scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+            measured = {r["run_name"]: r.asDict() for r in evaluate(scored, by=("run_name",)).collect()}
+        finally:
+            if scored is not None:
+                scored.unpersist()
     if not measured:
         raise ValueError("no test rows to evaluate")
     shared = {
@@ -159,7 +174,7 @@ def best_spec(records: Sequence[dict], specs: Sequence[dict] = fixed.EXPERIMENTS
 
 def fit_final(df: DataFrame, spec: dict = fixed.FINAL_FOREST, key: str = "event_id", partitions: int | None = None):
     """Fit on all rows: the fixed forest, or whatever specification is handed in."""
-    rows = model_rows(df, key, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = model_rows(df, key, partitions).drop(key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return estimator(spec).fit(rows)
     finally:
