@@ -67,6 +67,14 @@ def test_sessions_share_rows_that_are_laid_out_once(spark, sf, gold, monkeypatch
     assert len(laid_out) == 1
 
 
+def test_gold_of_few_stations_is_stored_for_many_tasks(spark, sf, gold, monkeypatch):
+    monkeypatch.setattr(queries, "_GOLD_FILE_ROWS", 100)
+    table = queries._gold_table(spark, sf)
+    files = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert sum(files) == gold.count() and max(files) <= 100 and len(files) > gold.select("airport").distinct().count()
+    assert table.select("event_id").exceptAll(gold.select("event_id")).isEmpty()
+
+
 def test_one_class_trains_on_all_rows_and_has_no_area(gold):
     calm = gold.withColumn("label", F.lit(0.0))
     (record,) = training.run_experiments(calm, SMALL_SPECS[:1], partitions=2)

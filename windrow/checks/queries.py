@@ -57,8 +57,12 @@ def _gold(spark: SparkSession, sf: str) -> DataFrame:
     return layers.build_gold(_silver(spark, sf))
 
 
+#: Rows of a file of gold. A station is written by one task, and a file of one row group is read by one.
+_GOLD_FILE_ROWS = 250_000
+
+
 def _gold_table(spark: SparkSession, sf: str) -> DataFrame:
-    return materialise(_gold(spark, sf), "gold")
+    return materialise(_gold(spark, sf), "gold", _GOLD_FILE_ROWS)
 
 
 # Sources

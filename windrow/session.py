@@ -61,10 +61,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage with a written table, so that a lost executor costs a re-read."""
+def materialise(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """Cut the lineage with a written table, so that a lost executor costs a re-read.
+
+    ``file_rows`` bounds the rows of a file: few tasks may write, yet many can read.
+    """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
