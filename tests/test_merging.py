@@ -1,3 +1,4 @@
+import datetime
 import glob
 
 import pytest
@@ -5,7 +6,8 @@ from pyspark.sql import functions as F
 
 from test_streaming import COLUMNS, chunks, content, hourly, land
 from windrow import schemas
-from windrow.plans import jobs, layers
+from windrow.checks import queries
+from windrow.plans import jobs, layers, samples
 from windrow.streaming import ingest, merging
 
 LINEAGE = (*COLUMNS, "_kafka_partition", "_kafka_offset")
@@ -103,6 +105,49 @@ def test_the_step_streams_to_bronze(spark, tmp_path):
     assert jobs.stream_bronze(stream, str(tmp_path / "bronze"), str(tmp_path / "cp")).count() == 48
 
 
+def test_every_merge_of_the_query_merges(spark, tmp_path, monkeypatch):
+    # Dates come in order, as in the tables, and the last batches bring redeliveries only.
+    start = datetime.datetime(2024, 1, 1)
+    rows = [
+        (i, start + datetime.timedelta(hours=5 * i), i, "error" if i % 4 == 0 else "view", float(i), f'{{"k": {i}}}')
+        for i in range(90)
+    ]
+    events = spark.createDataFrame(rows, samples._SCHEMAS["events"])
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    merged, real = [], merging.merge
+
+    def counted(*args, **options):
+        merged.append(real(*args, **options))
+        return merged[-1]
+
+    monkeypatch.setattr(merging, "merge", counted)
+    got = queries.stream_bronze_merged(spark, str(tmp_path))
+    assert len(merged) == 3 and all(merged)
+    want = layers.build_bronze(samples.raw_weather(spark, str(tmp_path)))
+    assert want.count() > 80 and content(got, got.columns) == content(want, got.columns)
+
+
+def test_the_newest_batch_is_merged_once_it_is_committed(spark, tmp_path):
+    rows = hourly(40, redelivered=10, seed=25)
+    landed, path, checkpoint = (str(tmp_path / n) for n in ("in", "bronze", "cp"))
+    land(spark, landed, [rows, rows[:7]])
+    jobs.stream_bronze(ingest.read_landed(spark, landed, max_files=1), path, checkpoint)
+    # The second batch added nothing, so the first one is the newest of its run.
+    assert jobs.merge_bronze(spark, path, 1) == 0
+    assert jobs.merge_bronze(spark, path, 1, str(tmp_path / "other")) == 0
+    assert jobs.merge_bronze(spark, path, 1, checkpoint) == 2
+    want = content(batch_bronze(spark, rows), LINEAGE)
+    assert content(ingest.read_stream_bronze(spark, path), LINEAGE) == want
+    # A batch without a commit may still be written again and is left alone.
+    more, (name, last) = hourly(48, seed=25), ingest.last_commit(spark, checkpoint)
+    assert last == 1
+    sink = ingest.BronzeSink(path, name)
+    for _ in range(2):
+        sink(batches(spark, more, len(more))[0], last + 1)
+        assert jobs.merge_bronze(spark, path, 1, checkpoint) == 0
+        assert ingest.read_stream_bronze(spark, path).count() == 96
+
+
 def test_a_second_target_is_repaired_while_the_stream_runs(spark, tmp_path):
     landed, raw, table = (str(tmp_path / n) for n in ("in", "raw", "table"))
     land(spark, landed, chunks(hourly(36, seed=24), 24))

@@ -89,22 +89,30 @@ def stream_bronze(
     merge_every: int = 50,
     max_records: int | None = None,
     idle_seconds: float | None = None,
+    merge_least: int = merging.LEAST,
 ) -> DataFrame:
     """Decoded events of a stream to bronze, each event once; returns the table as it is read.
 
-    Ends like ``consume``. The table is merged on the way, every ``merge_every`` batches.
+    Ends like ``consume``. The table is merged on the way: every ``merge_every`` batches, the dates
+    that have ``merge_least`` directories or more.
     """
     spark = stream.sparkSession
-    sink = ingest.BronzeSink(bronze, ingest.run_of(spark, checkpoint, run_id), merge_every)
+    sink = ingest.BronzeSink(bronze, ingest.run_of(spark, checkpoint, run_id), merge_every, merge_least)
     if "_source_object" not in stream.columns:
         stream = stream.withColumn("_source_object", F.lit(None).cast("string"))
     _run(stream.select(*schemas.RAW.names, "_source_object"), sink, checkpoint, max_records, idle_seconds)
     return ingest.read_stream_bronze(spark, bronze)
 
 
-def merge_bronze(spark: SparkSession, bronze: str, least: int = merging.LEAST) -> int:
-    """Merge the small directories of a streamed bronze table, also while its stream runs."""
-    return merging.merge(spark, bronze, ingest.STREAM_BRONZE, least)
+def merge_bronze(
+    spark: SparkSession, bronze: str, least: int = merging.LEAST, checkpoint: str | None = None
+) -> int:
+    """Merge the small directories of a streamed bronze table, also while its stream runs.
+
+    With the checkpoint of the stream its newest batch is merged too, once it is committed.
+    """
+    committed = ingest.last_commit(spark, checkpoint) if checkpoint else None
+    return merging.merge(spark, bronze, ingest.STREAM_BRONZE, least, committed)
 
 
 def validate(spark: SparkSession, raw: str, table: str | None = None) -> tuple[DataFrame, DataFrame, int | None]:

@@ -39,6 +39,7 @@ STREAM_BRONZE = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
+_RUN = T.StructType([T.StructField("run_id", T.StringType())])
 #: Dates up to which a batch prunes bronze by a list; beyond it by their range.
 _DATE_LIST = 1000
 
@@ -67,26 +68,39 @@ def read_landed(
     return raw_source.with_object(reader.json(path), path)
 
 
+def _run_place(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-run"
+
+
+def _kept_run(spark: SparkSession, checkpoint: str) -> str | None:
+    kept = read_if_there(spark, _run_place(checkpoint), _RUN, "json")
+    row = kept and kept.first()
+    return row and row[0]
+
+
 def run_of(spark: SparkSession, checkpoint: str, run_id: str | None = None) -> str:
     """The name of the run that a checkpoint belongs to: kept next to it by the first start.
 
     ``run_id`` names it then; a later start may repeat the name but not change it.
     """
-    place = f"{checkpoint.rstrip('/')}-run"
-    schema = T.StructType([T.StructField("run_id", T.StringType())])
-    kept = read_if_there(spark, place, schema, "json")
-    kept = kept and kept.first()
-    if kept is None:
+    name = _kept_run(spark, checkpoint)
+    if name is None:
         # Also where a start that failed has left a folder without a row.
         name = run_id or new_run_id()
-        spark.createDataFrame([(name,)], schema).coalesce(1).write.mode("overwrite").json(place)
-        kept = spark.read.schema(schema).json(place).first()
-    name = kept[0]
+        spark.createDataFrame([(name,)], _RUN).coalesce(1).write.mode("overwrite").json(_run_place(checkpoint))
+        name = _kept_run(spark, checkpoint)
     if run_id and run_id != name:
         raise ValueError(f"the checkpoint belongs to run {name}, not to {run_id}")
     return name
 
 
+def last_commit(spark: SparkSession, checkpoint: str) -> tuple[str, int] | None:
+    """The run that a checkpoint belongs to and its newest committed batch, which is not run again."""
+    name = _kept_run(spark, checkpoint)
+    numbers = _numbers(spark, f"{checkpoint.rstrip('/')}/commits", "/commits/(\\d+)$")
+    return (name, max(numbers)) if name and numbers else None
+
+
 @dataclass
 class RawSink:
     """Writes each batch to the raw zone and, best effort, to a second target.
@@ -200,13 +214,14 @@ class BronzeSink:
     the first delivery, and only the directories of those dates are listed. Rows of this
     batch and of later ones (left by an attempt that failed) do not count as known.
 
-    Every ``merge_every`` batches the dates that have many directories are merged, so what a
-    batch lists and reads does not grow with the number of batches before it.
+    Every ``merge_every`` batches the dates that have many directories, ``merge_least`` or more, are
+    merged, so what a batch lists and reads does not grow with the number of batches before it.
     """
 
     path: str
     run_id: str
     merge_every: int | None = 50
+    merge_least: int = merging.LEAST
 
     def __post_init__(self):
         if self.run_id == merging.MERGED:
@@ -214,7 +229,7 @@ class BronzeSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.merge_every and batch_id and batch_id % self.merge_every == 0:
-            merging.merge(batch.sparkSession, self.path, STREAM_BRONZE)
+            merging.merge(batch.sparkSession, self.path, STREAM_BRONZE, self.merge_least)
         fresh = first_delivery(typed_events(valid_events(batch))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             stored = self._stored(fresh)

@@ -4,8 +4,8 @@ A merge writes one directory for each date and then, in a table next to bronze,
 which runs it holds: that row is the commit. Readers take a date's merged directory and the
 batches that it does not hold, so a merge that fails changes nothing that is read, and one that
 runs beside the stream disturbs neither. What a merge has replaced is removed by the next one,
-so a reader has that long to finish. The newest batch of a run is never merged, since it may be
-written again.
+so a reader has that long to finish. The newest batch of a run is not merged, since it may be
+written again, unless it is known to be committed.
 """
 
 from __future__ import annotations
@@ -83,11 +83,14 @@ def clear(spark: SparkSession, path: str) -> int:
     return count
 
 
-def merge(spark: SparkSession, path: str, schema, least: int = LEAST) -> int:
+def merge(
+    spark: SparkSession, path: str, schema, least: int = LEAST, committed: tuple[str, int] | None = None
+) -> int:
     """Merge the dates that have ``least`` directories to merge; returns the number of dates.
 
     One job reads those dates only, writes them with few files each, sorted by event, and the
-    commit is a small file behind it.
+    commit is a small file behind it. ``committed`` names a run and its newest batch that will not
+    be written again.
     """
     clear(spark, path)
     there = directories(spark, path)
@@ -95,7 +98,10 @@ def merge(spark: SparkSession, path: str, schema, least: int = LEAST) -> int:
         return 0
     plain = materialise(there.where(F.col("run_id") != MERGED).drop("directory"), "directories")
     newest = plain.groupBy("run_id").agg(F.max("batch_id").alias("newest"))
-    ready = plain.join(newest, "run_id").where("batch_id < newest")
+    closed = F.col("batch_id") < F.col("newest")
+    if committed:
+        closed = closed | ((F.col("run_id") == committed[0]) & (F.col("batch_id") <= committed[1]))
+    ready = plain.join(newest, "run_id").where(closed).drop("newest")
     by = held(spark, path)
     if by is not None:
         ready = ready.join(by, ["event_date", "run_id"], "left").where("upto IS NULL OR batch_id > upto")
